@@ -7,8 +7,10 @@ inside each partition; each row's position inside its partition comes from
 number in the lower 33 bits). The numbered frame is checkpointed to the
 shared checkpoint folder so that the per-partition counts and the numbering
 see the same partitioning, and so a lost executor does not renumber rows.
-Partition offsets are a running sum over one row per partition (bounded by the
-partition count) and are broadcast back.
+
+The only data that reaches the driver is one count per partition (bounded by
+the partition count, never by the data); the offsets go back as a literal
+array, so numbering is a narrow projection with no join.
 
 The result equals ``row_number() over (order by natural key)``, so keys are
 the same on every re-run over the same data.
@@ -16,15 +18,15 @@ the same on every re-run over the same data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import checkpoint_dir
 
 _PART = "_key_part"
 _MONO = "_key_mono"
-_ROWS = "_key_rows"
-_OFFSET = "_key_offset"
 
 
 def with_surrogate_key(df: DataFrame, key_name: str, order_by: list[Column],
@@ -40,10 +42,12 @@ def with_surrogate_key(df: DataFrame, key_name: str, order_by: list[Column],
         F.monotonically_increasing_id().alias(_MONO),
     ).checkpoint(eager=True)
 
-    sizes = tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias(_ROWS))
-    running = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = sizes.select(_PART, (F.sum(_ROWS).over(running) - F.col(_ROWS)).alias(_OFFSET))
+    sizes = dict(tagged.groupBy(_PART).count().collect())
+    parts = tagged.rdd.getNumPartitions()
+    counts = [int(sizes.get(p, 0)) for p in range(max(parts, max(sizes, default=-1) + 1))]
+    offsets = [0] + list(accumulate(counts))[:-1]
 
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PART) + 1)
     position = F.col(_MONO) - F.shiftleft(F.col(_PART).cast("long"), 33)
-    key = (F.col(_OFFSET) + position + F.lit(1)).cast("long").alias(key_name)
-    return tagged.join(F.broadcast(offsets), _PART).select(key, *[F.col(f"`{c}`") for c in df.columns])
+    key = (offset + position + F.lit(1)).cast("long").alias(key_name)
+    return tagged.select(key, *[F.col(f"`{c}`") for c in df.columns])

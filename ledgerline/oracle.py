@@ -85,3 +85,218 @@ SELECT category, sub_category,
        {margin()} AS profit_margin_pct
 FROM src WHERE product_id IS NOT NULL
 GROUP BY category, sub_category""")
+
+
+# ---------------------------------------------------------------------------
+# Dimensions and fact (keys = row_number over the natural key)
+# ---------------------------------------------------------------------------
+
+def _first(cols: str, part: str, where: str = "TRUE") -> str:
+    return (f"SELECT {cols} FROM (SELECT {cols}, row_number() OVER (PARTITION BY {part} ORDER BY {ORDINAL}) AS rn "
+            f"FROM src WHERE {where}) WHERE rn = 1")
+
+
+DIM_CTES = [
+    "dc AS (SELECT row_number() OVER (ORDER BY customer_id) AS customer_key, customer_id, customer_name, segment "
+    f"FROM ({_first('customer_id, customer_name, segment', 'customer_id', 'customer_id IS NOT NULL')}))",
+    "dp AS (SELECT row_number() OVER (ORDER BY product_id) AS product_key, product_id, product_name, category, "
+    f"sub_category FROM ({_first('product_id, product_name, category, sub_category', 'product_id', 'product_id IS NOT NULL')}))",
+    "dl AS (SELECT row_number() OVER (ORDER BY postal_code ASC NULLS FIRST, city ASC NULLS FIRST) AS location_key, "
+    f"postal_code, city, state, region, country FROM ({_first('postal_code, city, state, region, country', 'postal_code, city')}))",
+    """dd AS (SELECT row_number() OVER (ORDER BY full_date) AS date_key, full_date,
+       CAST(year(full_date) AS INTEGER) AS year, CAST(quarter(full_date) AS INTEGER) AS quarter,
+       CAST(month(full_date) AS INTEGER) AS month, monthname(full_date) AS month_name,
+       CAST(weekofyear(full_date) AS INTEGER) AS week, CAST(isodow(full_date) - 1 AS INTEGER) AS day_of_week,
+       dayname(full_date) AS day_name, isodow(full_date) IN (6, 7) AS is_weekend
+     FROM (SELECT DISTINCT d AS full_date FROM (SELECT order_date AS d FROM src UNION ALL SELECT ship_date FROM src)
+           WHERE d IS NOT NULL))""",
+]
+
+SQL["dim_customer"] = with_src("SELECT * FROM dc", *DIM_CTES)
+SQL["dim_product"] = with_src("SELECT * FROM dp", *DIM_CTES)
+SQL["dim_location"] = with_src("SELECT * FROM dl", *DIM_CTES)
+SQL["dim_date"] = with_src("SELECT * FROM dd", *DIM_CTES)
+SQL["dim_counts"] = with_src("""
+SELECT 'dim_customer' AS table_name, COUNT(*) AS row_count FROM dc
+UNION ALL SELECT 'dim_product', COUNT(*) FROM dp
+UNION ALL SELECT 'dim_location', COUNT(*) FROM dl
+UNION ALL SELECT 'dim_date', COUNT(*) FROM dd""", *DIM_CTES)
+SQL["fact_orders"] = with_src("""
+SELECT s.order_id, d1.date_key AS order_date_key, d2.date_key AS ship_date_key, dc.customer_key,
+       dp.product_key, dl.location_key, CAST(s.sales AS DOUBLE) AS sales, s.quantity,
+       CAST(s.discount AS DOUBLE) AS discount, CAST(s.profit AS DOUBLE) AS profit, s.ship_mode
+FROM src s
+LEFT JOIN dc ON s.customer_id = dc.customer_id
+LEFT JOIN dp ON s.product_id = dp.product_id
+LEFT JOIN dl ON s.postal_code IS NOT DISTINCT FROM dl.postal_code AND s.city = dl.city
+LEFT JOIN dd d1 ON s.order_date = d1.full_date
+LEFT JOIN dd d2 ON s.ship_date = d2.full_date""", *DIM_CTES)
+
+SOURCE_AS_HEADER = """order_id AS "Order ID", order_date AS "Order Date", ship_date AS "Ship Date",
+  ship_mode AS "Ship Mode", customer_id AS "Customer ID", customer_name AS "Customer Name", segment AS "Segment",
+  country AS "Country", city AS "City", state AS "State", postal_code AS "Postal Code", region AS "Region",
+  product_id AS "Product ID", category AS "Category", sub_category AS "Sub-Category",
+  product_name AS "Product Name", CAST(sales AS DOUBLE) AS "Sales", quantity AS "Quantity",
+  CAST(discount AS DOUBLE) AS "Discount", CAST(profit AS DOUBLE) AS "Profit\""""
+
+SQL["dedup_keep_first"] = with_src(f"""
+SELECT {SOURCE_AS_HEADER} FROM (
+  SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY {ORDINAL}) AS rn FROM src) WHERE rn = 1""")
+SQL["dedup_line_items"] = with_src(f"""
+SELECT {SOURCE_AS_HEADER} FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id, product_id, customer_id, order_date ORDER BY {ORDINAL}) AS rn
+  FROM src) WHERE rn = 1""")
+
+# ---------------------------------------------------------------------------
+# Views
+# ---------------------------------------------------------------------------
+
+SQL["daily_sales"] = with_src(f"""
+SELECT order_date AS full_date, CAST(year(order_date) AS INTEGER) AS year,
+       CAST(month(order_date) AS INTEGER) AS month, monthname(order_date) AS month_name,
+       dayname(order_date) AS day_name, isodow(order_date) IN (6, 7) AS is_weekend,
+       COUNT(*) AS total_orders, {money('SUM(sales)')} AS total_sales, {money('SUM(profit)')} AS total_profit,
+       CAST(SUM(quantity) AS BIGINT) AS total_quantity,
+       {ratio('SUM(discount)', 'COUNT(discount)')} AS avg_discount
+FROM src WHERE order_date IS NOT NULL
+GROUP BY order_date""")
+
+SQL["sales_by_region"] = with_src(f"""
+SELECT region, COUNT(*) AS total_orders, {money('SUM(sales)')} AS total_sales,
+       {money('SUM(profit)')} AS total_profit, {margin()} AS profit_margin_pct
+FROM src WHERE city IS NOT NULL GROUP BY region""")
+
+SQL["sales_by_segment"] = with_src(f"""
+SELECT segment, COUNT(DISTINCT customer_id) AS total_customers, COUNT(*) AS total_orders,
+       {money('SUM(sales)')} AS total_sales, {money('SUM(profit)')} AS total_profit,
+       {ratio('SUM(sales)', 'COUNT(DISTINCT customer_id)')} AS avg_sales_per_customer
+FROM src WHERE customer_id IS NOT NULL GROUP BY segment""")
+
+MONTHLY = """
+SELECT CAST(year(order_date) AS INTEGER) AS year, CAST(month(order_date) AS INTEGER) AS month,
+       monthname(order_date) AS month_name, COUNT(*) AS total_orders, SUM(sales) AS s, SUM(profit) AS p,
+       COUNT(DISTINCT customer_id) AS unique_customers
+FROM src WHERE order_date IS NOT NULL GROUP BY 1, 2, 3"""
+
+SQL["monthly_trend"] = with_src(f"""
+SELECT year, month, month_name, total_orders, {money('s')} AS total_sales, {money('p')} AS total_profit,
+       unique_customers FROM m""", f"m AS ({MONTHLY})")
+
+SQL["monthly_period"] = with_src(f"""
+SELECT year, month, month_name, total_orders, {money('s')} AS total_sales, {money('p')} AS total_profit,
+       unique_customers, CAST(year AS VARCHAR) || '-' || lpad(CAST(month AS VARCHAR), 2, '0') AS period
+FROM m""", f"m AS ({MONTHLY})")
+
+TOP_PRODUCTS = f"""
+SELECT product_name, category, sub_category, {money('SUM(sales)')} AS total_sales,
+       {money('SUM(profit)')} AS total_profit, CAST(SUM(quantity) AS BIGINT) AS total_quantity
+FROM src WHERE product_id IS NOT NULL GROUP BY product_name, category, sub_category
+ORDER BY SUM(sales) DESC NULLS FIRST, product_name ASC NULLS FIRST, category ASC NULLS FIRST,
+         sub_category ASC NULLS FIRST
+LIMIT 10"""
+
+TOP_CUSTOMERS = f"""
+SELECT customer_name, segment, COUNT(*) AS total_orders, {money('SUM(sales)')} AS total_sales,
+       {money('SUM(profit)')} AS total_profit
+FROM src WHERE customer_id IS NOT NULL GROUP BY customer_name, segment
+ORDER BY SUM(sales) DESC NULLS FIRST, customer_name ASC NULLS FIRST, segment ASC NULLS FIRST
+LIMIT 10"""
+
+SQL["top_products"] = with_src(TOP_PRODUCTS)
+SQL["top_customers"] = with_src(TOP_CUSTOMERS)
+
+KPIS = f"""
+SELECT COUNT(*) AS total_orders, {money('SUM(sales)')} AS total_sales, {money('SUM(profit)')} AS total_profit,
+       CAST(SUM(quantity) AS BIGINT) AS total_quantity, {ratio('SUM(sales)', 'COUNT(sales)')} AS avg_order_value,
+       {margin()} AS profit_margin_pct, COUNT(DISTINCT customer_id) AS unique_customers,
+       COUNT(DISTINCT product_id) AS unique_products
+FROM src"""
+
+SQL["overall_kpis"] = with_src(KPIS)
+
+SQL["discount_impact"] = with_src(f"""
+SELECT CASE WHEN discount = 0 THEN 'No Discount' WHEN discount <= 0.1 THEN 'Low (1-10%)'
+            WHEN discount <= 0.2 THEN 'Medium (11-20%)' ELSE 'High (>20%)' END AS discount_bucket,
+       COUNT(*) AS total_orders, {money('SUM(sales)')} AS total_sales, {money('SUM(profit)')} AS total_profit,
+       {ratio('SUM(profit)', 'COUNT(profit)')} AS avg_profit_per_order, {margin()} AS profit_margin_pct
+FROM src GROUP BY 1 ORDER BY 1""")
+
+# ---------------------------------------------------------------------------
+# Dashboard datasets
+# ---------------------------------------------------------------------------
+
+SQL["freshness"] = with_src("""
+SELECT MAX(order_date) AS latest_order_date, COUNT(*) AS total_records FROM src WHERE order_date IS NOT NULL""")
+
+SQL["category_totals"] = with_src(f"""
+SELECT category, {money('SUM(sales)')} AS total_sales FROM src WHERE product_id IS NOT NULL GROUP BY category""")
+
+SQL["region_share"] = with_src(f"""
+SELECT region, {money('s')} AS total_sales, {ratio('s', 'SUM(s) OVER ()', 2, 100)} AS share_pct
+FROM (SELECT region, SUM(sales) AS s FROM src WHERE city IS NOT NULL GROUP BY region)""")
+
+_LEAF_K = "(sign(pc) * sign(sc) * ((2 * 10000 * abs(pc) + abs(sc)) // (2 * abs(sc))))"
+SQL["category_tree"] = with_src(f"""
+SELECT category, sub_category, {money('s')} AS total_sales, k / 100.0 AS margin_pct, 2 AS level FROM leafk
+UNION ALL
+SELECT category, NULL, {money('SUM(s)')}, {ratio('SUM(k * sc)', 'SUM(sc) * 100', 2, 1, 0)}, 1
+FROM leafk GROUP BY category""",
+    "leaf AS (SELECT category, sub_category, SUM(sales) AS s, CAST(SUM(sales) * 100 AS HUGEINT) AS sc, "
+    "CAST(SUM(profit) * 100 AS HUGEINT) AS pc FROM src WHERE product_id IS NOT NULL GROUP BY category, sub_category)",
+    f"leafk AS (SELECT *, CASE WHEN sc = 0 THEN NULL ELSE {_LEAF_K} END AS k FROM leaf)")
+
+SQL["kpi_cards"] = with_src("""
+SELECT 1 AS position, 'Total Sales' AS label, '$' || format('{:,.0f}', total_sales) AS value FROM k
+UNION ALL SELECT 2, 'Total Profit', '$' || format('{:,.0f}', total_profit) FROM k
+UNION ALL SELECT 3, 'Total Orders', format('{:,}', total_orders) FROM k
+UNION ALL SELECT 4, 'Profit Margin', printf('%.2f', profit_margin_pct) || '%' FROM k
+UNION ALL SELECT 5, 'Avg Order Value', '$' || format('{:,.2f}', avg_order_value) FROM k
+UNION ALL SELECT 6, 'Total Quantity', format('{:,}', total_quantity) FROM k
+UNION ALL SELECT 7, 'Unique Customers', format('{:,}', unique_customers) FROM k
+UNION ALL SELECT 8, 'Unique Products', format('{:,}', unique_products) FROM k""", f"k AS ({KPIS})")
+
+SQL["top_products_display"] = with_src("""
+SELECT product_name AS "Product", category AS "Category", '$' || format('{:,.0f}', total_sales) AS "Sales",
+       '$' || format('{:,.0f}', total_profit) AS "Profit" FROM t""", f"t AS ({TOP_PRODUCTS})")
+
+SQL["top_customers_display"] = with_src("""
+SELECT customer_name AS "Customer", segment AS "Segment", total_orders AS "Orders",
+       '$' || format('{:,.0f}', total_sales) AS "Sales" FROM t""", f"t AS ({TOP_CUSTOMERS})")
+
+# ---------------------------------------------------------------------------
+# Advertised analyses
+# ---------------------------------------------------------------------------
+
+SQL["month_over_month"] = with_src(f"""
+SELECT year, month, {money('s')} AS total_sales, {money('p')} AS total_profit,
+       {money('ps')} AS prev_sales, {money('pp')} AS prev_profit,
+       {ratio('s - ps', 'abs(ps)', 2, 100)} AS sales_change_pct,
+       {ratio('p - pp', 'abs(pp)', 2, 100)} AS profit_change_pct
+FROM (SELECT *, LAG(s) OVER (ORDER BY year, month) AS ps, LAG(p) OVER (ORDER BY year, month) AS pp FROM m)""",
+    f"m AS ({MONTHLY})")
+
+SQL["high_revenue_low_margin"] = with_src(f"""
+SELECT product_id, product_name, category, sub_category, {money('s')} AS total_sales, {money('p')} AS total_profit,
+       {margin('p', 's')} AS profit_margin_pct
+FROM per, tot
+WHERE CAST(s * 100 AS HUGEINT) * n >= CAST(ts * 100 AS HUGEINT) AND s > 0 AND ts > 0
+  AND CAST(p * 100 AS HUGEINT) * CAST(ts * 100 AS HUGEINT) < CAST(tp * 100 AS HUGEINT) * CAST(s * 100 AS HUGEINT)""",
+    "per AS (SELECT product_id, product_name, category, sub_category, SUM(sales) AS s, SUM(profit) AS p "
+    "FROM src WHERE product_id IS NOT NULL GROUP BY 1, 2, 3, 4)",
+    "tot AS (SELECT COUNT(*) AS n, SUM(s) AS ts, SUM(p) AS tp FROM per)")
+
+FILTER_REGIONS = ["AMERICA", "ASIA", "EUROPE"]
+FILTER_CATEGORIES = ["ECONOMY", "PROMO", "STANDARD"]
+FILTER_SEGMENTS = ["AUTOMOBILE", "BUILDING", "MACHINERY"]
+FILTER_FROM, FILTER_TO = "1996-01-01", "1998-12-31"
+
+
+def _in(values: list[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+SQL["filtered_kpis"] = with_src(KPIS.replace("FROM src", f"""FROM src
+WHERE city IS NOT NULL AND region IN ({_in(FILTER_REGIONS)})
+  AND product_id IS NOT NULL AND category IN ({_in(FILTER_CATEGORIES)})
+  AND customer_id IS NOT NULL AND segment IN ({_in(FILTER_SEGMENTS)})
+  AND order_date BETWEEN DATE '{FILTER_FROM}' AND DATE '{FILTER_TO}'"""))

@@ -14,10 +14,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import oracle as O
+from . import schemas as S
+from .operators.dedup import keep_first
 from .plans import marts
-from .plans.star import Star, star_for_tables
+from .plans.star import DIMENSIONS, Star, star_for_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +43,80 @@ def _star_query(fn: Callable[[Star], DataFrame]) -> Query:
     return run
 
 
+def _table(name: str) -> Callable[[Star], DataFrame]:
+    def fn(star: Star) -> DataFrame:
+        return star.tables[name]
+    fn.__name__ = name
+    return fn
+
+
+def _fact_orders(star: Star) -> DataFrame:
+    """The keyed fact as stored, without its row identity."""
+    return star.fact.drop("order_key")
+
+
+def _dim_counts(star: Star) -> DataFrame:
+    """Row count of each dimension, counted over the written tables."""
+    frames = [star.tables[n].agg(F.count(F.lit(1)).alias("row_count"))
+              .select(F.lit(n).alias("table_name"), "row_count") for n in DIMENSIONS]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _dedup_keep_first(star: Star) -> DataFrame:
+    """First line (file order) of every product id, all source columns."""
+    rest = [c for c in S.SOURCE_COLUMNS if c != S.PRODUCT_ID]
+    return keep_first(star.source, [S.PRODUCT_ID], rest).select(*[F.col(f"`{c}`") for c in S.SOURCE_COLUMNS])
+
+
+def _dedup_line_items(star: Star) -> DataFrame:
+    """Exact line-item duplicates removed: first line per duplicate key."""
+    rest = [c for c in S.SOURCE_COLUMNS if c not in S.DUPLICATE_KEY]
+    return keep_first(star.source, S.DUPLICATE_KEY, rest).select(*[F.col(f"`{c}`") for c in S.SOURCE_COLUMNS])
+
+
+def _freshness(star: Star) -> DataFrame:
+    return marts.freshness(star, include_refreshed=False)
+
+
+def _filtered_kpis(star: Star) -> DataFrame:
+    return marts.filtered_kpis(star, regions=O.FILTER_REGIONS, categories=O.FILTER_CATEGORIES,
+                               segments=O.FILTER_SEGMENTS, date_from=O.FILTER_FROM, date_to=O.FILTER_TO)
+
+
 QUERIES: dict[str, Query] = {
+    # dimensions and fact (the ETL)
+    "dim_customer": _star_query(_table("dim_customer")),
+    "dim_product": _star_query(_table("dim_product")),
+    "dim_location": _star_query(_table("dim_location")),
+    "dim_date": _star_query(_table("dim_date")),
+    "dim_counts": _star_query(_dim_counts),
+    "dedup_keep_first": _star_query(_dedup_keep_first),
+    "fact_orders": _star_query(_fact_orders),
+    # views
+    "daily_sales": _star_query(marts.daily_sales),
+    "sales_by_region": _star_query(marts.sales_by_region),
     "sales_by_category": _star_query(marts.sales_by_category),
+    "sales_by_segment": _star_query(marts.sales_by_segment),
+    "monthly_trend": _star_query(marts.monthly_trend),
+    "top_products": _star_query(marts.top_products),
+    "top_customers": _star_query(marts.top_customers),
+    "overall_kpis": _star_query(marts.overall_kpis),
+    "discount_impact": _star_query(marts.discount_impact),
+    # dashboard datasets
+    "freshness": _star_query(_freshness),
+    "monthly_period": _star_query(marts.monthly_period),
+    "category_totals": _star_query(marts.category_totals),
+    "region_share": _star_query(marts.region_share),
+    "category_tree": _star_query(marts.category_tree),
+    "kpi_cards": _star_query(marts.kpi_cards),
+    "top_products_display": _star_query(marts.top_products_display),
+    "top_customers_display": _star_query(marts.top_customers_display),
+    # advertised analyses
+    "dedup_line_items": _star_query(_dedup_line_items),
+    "month_over_month": _star_query(marts.month_over_month),
+    "high_revenue_low_margin": _star_query(marts.high_revenue_low_margin),
+    "filtered_kpis": _star_query(_filtered_kpis),
 }
