@@ -100,15 +100,23 @@ def _failure_total(df: DataFrame, contract: Contract) -> Column:
     return total
 
 
+def missing(df: DataFrame, column: str) -> Column:
+    """The value is absent in the source (a value that failed to parse is present, just invalid)."""
+    c = _q(column).isNull()
+    if PARSE_ERRORS in df.columns:
+        c = c & F.element_at(F.col(PARSE_ERRORS), F.lit(column)).isNull()
+    return c
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """NULLs per column, one row per column (a single aggregate, unpivoted)."""
     cols = public_columns(df)
-    wide = df.agg(*[F.count_if(_q(c).isNull()).alias(c) for c in cols])
+    wide = df.agg(*[F.count_if(missing(df, c)).alias(c) for c in cols])
     return wide.unpivot([], [_q(c) for c in cols], "column_name", "null_count")
 
 
 def critical_nulls(df: DataFrame) -> DataFrame:
-    return df.agg(sum(F.count_if(_q(c).isNull()) for c in S.CRITICAL_COLUMNS).cast("long").alias("critical_nulls"))
+    return df.agg(sum(F.count_if(missing(df, c)) for c in S.CRITICAL_COLUMNS).cast("long").alias("critical_nulls"))
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -156,7 +164,7 @@ def quality_report(df: DataFrame, contract: Contract = Contract()) -> DataFrame:
     partial = df.groupBy(*[_q(c) for c in S.DUPLICATE_KEY]).agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum(_failure_total(df, contract)).alias("_schema"),
-        F.sum(sum(F.when(_q(c).isNull(), 1).otherwise(0) for c in S.CRITICAL_COLUMNS)).alias("_critical"),
+        F.sum(sum(F.when(missing(df, c), 1).otherwise(0) for c in S.CRITICAL_COLUMNS)).alias("_critical"),
         F.count_if(_ship_violation(df)).alias("_ship"),
         *[F.count_if(v).alias(f"_{k}") for k, v in ranges.items()],
     )

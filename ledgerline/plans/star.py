@@ -70,7 +70,7 @@ def build_star(spark: SparkSession, src: DataFrame, root: str | None = None,
     if stage:
         source, counts["source"] = stage_source(src, root)
     else:
-        source = src
+        source = src  # already a written table
     tables: dict[str, DataFrame] = {}
     for name in DIMENSIONS:
         tables[name], counts[name] = write_observed(
