@@ -1,12 +1,14 @@
 """Marts over the star: the nine KPI views, the dashboard datasets, and the
 advertised analyses.
 
-Plan shape. Where a view groups by attributes of one dimension, the fact is
-first aggregated on that dimension's key (map-side partial aggregation, so a
-key holding a third of all rows collapses to one row per task), and only the
-per-key partials are joined to the dimension and re-aggregated. The fact is
-never shuffled row by row to meet a large dimension. Small dimensions are
-broadcast behind their written row counts (``Star.dim``).
+Plan shape. Fact rows are never shuffled to meet a dimension. A dimension
+whose written row count proves it small is broadcast and joined inside the
+fact's scan stage, then the join output is aggregated once (map-side partial
+aggregation, so a key holding a third of all rows collapses to one row per
+task before the exchange). A dimension beyond the limit is met by the fact's
+per-key partial aggregates instead: aggregate on the dimension key first,
+join those (one row per key) to the dimension, re-aggregate. Views grouped
+by the dimension key itself (daily sales) always aggregate first.
 
 Semantics kept from the views: ``total_orders`` counts order lines; inner
 joins drop fact rows without a key; ratios and means are rounded half away
@@ -43,13 +45,28 @@ def _by_key(fact: DataFrame, key: str) -> DataFrame:
     return fact.filter(F.col(key).isNotNull()).groupBy(key).agg(*_sum_measures("p_"))
 
 
-def _reagg() -> list[Column]:
-    return [
-        F.sum("p_lines").alias("total_orders"),
-        F.sum("p_sales").alias("total_sales"),
-        F.sum("p_profit").alias("total_profit"),
-        F.sum("p_quantity").alias("total_quantity"),
-    ]
+_TOTALS = {"lines": "total_orders", "sales": "total_sales", "profit": "total_profit", "quantity": "total_quantity"}
+
+
+def rollup_by_dimension(star: Star, dim_name: str, key: str, attrs: list[str],
+                        measures: tuple[str, ...] = ("lines", "sales", "profit", "quantity")) -> DataFrame:
+    """Fact measures summed per attributes of one dimension (inner-join semantics).
+
+    When the dimension's written row count proves it broadcastable, the fact
+    meets it in a broadcast hash join inside the scan stage and is aggregated
+    once (one exchange, of partial aggregates). Otherwise the fact is first
+    aggregated per dimension key, and only those partials are joined to the
+    dimension (shuffled) and re-aggregated: fact rows are never shuffled to
+    meet a large dimension.
+    """
+    dim = star.tables[dim_name].select(key, *attrs)
+    if star.is_small(dim_name):
+        joined = star.fact.join(F.broadcast(dim), key)
+        aggs = {"lines": F.count(F.col("order_key")), "sales": F.sum("sales"), "profit": F.sum("profit"),
+                "quantity": F.sum("quantity")}
+        return joined.groupBy(*attrs).agg(*[aggs[m].alias(_TOTALS[m]) for m in measures])
+    parts = _by_key(star.fact, key)
+    return parts.join(dim, key).groupBy(*attrs).agg(*[F.sum(f"p_{m}").alias(_TOTALS[m]) for m in measures])
 
 
 # ---------------------------------------------------------------------------
@@ -75,19 +92,15 @@ def daily_sales(star: Star) -> DataFrame:
 
 
 def sales_by_region(star: Star) -> DataFrame:
-    parts = _by_key(star.fact, "location_key")
-    loc = star.dim("dim_location")
-    return (parts.join(loc, "location_key").groupBy("region").agg(*_reagg())
-            .select("region", "total_orders", "total_sales", "total_profit",
-                    margin_pct(F.col("total_profit"), F.col("total_sales")).alias("profit_margin_pct")))
+    agg = rollup_by_dimension(star, "dim_location", "location_key", ["region"], ("lines", "sales", "profit"))
+    return agg.select("region", "total_orders", "total_sales", "total_profit",
+                      margin_pct(F.col("total_profit"), F.col("total_sales")).alias("profit_margin_pct"))
 
 
 def sales_by_category(star: Star) -> DataFrame:
-    parts = _by_key(star.fact, "product_key")
-    prod = star.dim("dim_product")
-    return (parts.join(prod, "product_key").groupBy("category", "sub_category").agg(*_reagg())
-            .select("category", "sub_category", "total_orders", "total_sales", "total_profit", "total_quantity",
-                    margin_pct(F.col("total_profit"), F.col("total_sales")).alias("profit_margin_pct")))
+    agg = rollup_by_dimension(star, "dim_product", "product_key", ["category", "sub_category"])
+    return agg.select("category", "sub_category", "total_orders", "total_sales", "total_profit", "total_quantity",
+                      margin_pct(F.col("total_profit"), F.col("total_sales")).alias("profit_margin_pct"))
 
 
 def sales_by_segment(star: Star) -> DataFrame:
@@ -95,7 +108,8 @@ def sales_by_segment(star: Star) -> DataFrame:
     parts = _by_key(star.fact, "customer_key")
     cust = star.dim("dim_customer")
     agg = parts.join(cust, "customer_key").groupBy("segment").agg(
-        F.count(F.col("customer_key")).alias("total_customers"), *_reagg())
+        F.count(F.col("customer_key")).alias("total_customers"),
+        *[F.sum(f"p_{m}").alias(_TOTALS[m]) for m in ("lines", "sales", "profit")])
     return agg.select(
         "segment", "total_customers", "total_orders", "total_sales", "total_profit",
         rounded_mean(F.col("total_sales"), F.col("total_customers")).alias("avg_sales_per_customer"))
@@ -120,20 +134,14 @@ def _top(df: DataFrame, keys: list[str], n: int) -> DataFrame:
 
 def top_products(star: Star, n: int = 10) -> DataFrame:
     """Top ``n`` product names by sales (ids sharing a name, category and sub-category merge)."""
-    parts = _by_key(star.fact, "product_key")
     keys = ["product_name", "category", "sub_category"]
-    agg = parts.join(star.dim("dim_product"), "product_key").groupBy(*keys).agg(
-        F.sum("p_sales").alias("total_sales"), F.sum("p_profit").alias("total_profit"),
-        F.sum("p_quantity").alias("total_quantity"))
+    agg = rollup_by_dimension(star, "dim_product", "product_key", keys, ("sales", "profit", "quantity"))
     return _top(agg, keys, n)
 
 
 def top_customers(star: Star, n: int = 10) -> DataFrame:
-    parts = _by_key(star.fact, "customer_key")
     keys = ["customer_name", "segment"]
-    agg = parts.join(star.dim("dim_customer"), "customer_key").groupBy(*keys).agg(
-        F.sum("p_lines").alias("total_orders"), F.sum("p_sales").alias("total_sales"),
-        F.sum("p_profit").alias("total_profit"))
+    agg = rollup_by_dimension(star, "dim_customer", "customer_key", keys, ("lines", "sales", "profit"))
     return _top(agg, keys, n)
 
 
@@ -181,12 +189,16 @@ def discount_impact(star: Star) -> DataFrame:
 
 def freshness(star: Star, as_of: Column | None = None, include_refreshed: bool = True) -> DataFrame:
     """Latest order date and line count of facts with a known order date."""
-    parts = star.fact.filter(F.col("order_date_key").isNotNull()).groupBy("order_date_key").agg(
-        F.count(F.lit(1)).alias("n"))
-    d = star.dim("dim_date")
-    out = parts.join(d, parts.order_date_key == d.date_key).agg(
-        F.max("full_date").alias("latest_order_date"),
-        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total_records"))
+    d = star.tables["dim_date"].select(F.col("date_key").alias("order_date_key"), "full_date")
+    if star.is_small("dim_date"):
+        out = star.fact.join(F.broadcast(d), "order_date_key").agg(
+            F.max("full_date").alias("latest_order_date"), F.count(F.lit(1)).alias("total_records"))
+    else:
+        parts = star.fact.filter(F.col("order_date_key").isNotNull()).groupBy("order_date_key").agg(
+            F.count(F.lit(1)).alias("n"))
+        out = parts.join(d, "order_date_key").agg(
+            F.max("full_date").alias("latest_order_date"),
+            F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total_records"))
     if include_refreshed:
         out = out.withColumn("last_refreshed", as_of if as_of is not None else F.current_timestamp())
     return out

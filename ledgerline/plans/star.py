@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -43,6 +44,11 @@ class Star:
     def fact(self) -> DataFrame:
         return self.tables["fact_orders"]
 
+    def is_small(self, name: str) -> bool:
+        """The written row count of table ``name`` is known and within the broadcast limit."""
+        rows = self.counts.get(name)
+        return rows is not None and rows <= self.max_broadcast_rows
+
     def dim(self, name: str) -> DataFrame:
         """A dimension, hinted for broadcast when its written row count proves it small."""
         return broadcast_if_small(self.tables[name], self.max_broadcast_rows, self.counts.get(name))
@@ -72,9 +78,16 @@ def build_star(spark: SparkSession, src: DataFrame, root: str | None = None,
     else:
         source = src  # already a written table
     tables: dict[str, DataFrame] = {}
-    for name in DIMENSIONS:
-        tables[name], counts[name] = write_observed(
-            build_dimension(name, source, num_partitions), join_path(root, name), name)
+
+    def one(name: str) -> tuple[str, DataFrame, int]:
+        df, rows = write_observed(build_dimension(name, source, num_partitions), join_path(root, name), name)
+        return name, df, rows
+
+    # The four dimensions are independent jobs over the staged source; submitted
+    # together, the scheduler fills cores a small stage of one would leave idle.
+    with ThreadPoolExecutor(max_workers=len(DIMENSIONS)) as pool:
+        for name, df, rows in pool.map(one, DIMENSIONS):
+            tables[name], counts[name] = df, rows
     fact = with_order_key(fact_rows(source, tables, counts, limit))
     tables["fact_orders"], counts["fact_orders"] = write_observed(fact, join_path(root, "fact_orders"), "fact")
     return Star(root=root, source=source, tables=tables, counts=counts, max_broadcast_rows=limit)
