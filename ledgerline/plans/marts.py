@@ -301,21 +301,21 @@ def month_over_month(star: Star) -> DataFrame:
 def high_revenue_low_margin(star: Star) -> DataFrame:
     """Products selling at least the mean product's sales, at a margin below the overall margin.
 
-    Both comparisons are exact: ``sales * n >= sum`` and ``p * S < P * s``.
-    The per-product rows meet the one-row totals through a join on a constant
-    (one row on one side).
+    Both comparisons are exact: ``sales * n >= S`` and ``p * S < P * s``. The
+    totals (n, S, P) are uncorrelated scalar subqueries over the per-product
+    rows: evaluated once, then used as values -- no join to a one-row frame.
     """
     parts = _by_key(star.fact, "product_key")
     per = parts.join(star.dim("dim_product"), "product_key").select(
         "product_id", "product_name", "category", "sub_category",
         F.col("p_sales").alias("total_sales"), F.col("p_profit").alias("total_profit"))
-    totals = per.agg(F.count(F.lit(1)).alias("_n"), F.sum("total_sales").alias("_s"),
-                     F.sum("total_profit").alias("_p")).withColumn("_one", F.lit(1))
-    joined = per.withColumn("_one", F.lit(1)).join(F.broadcast(totals), "_one")
-    keep = ((F.col("total_sales") * F.col("_n") >= F.col("_s"))
-            & (F.col("total_sales") > 0) & (F.col("_s") > 0)
-            & (F.col("total_profit") * F.col("_s") < F.col("_p") * F.col("total_sales")))
-    return joined.filter(keep).select(
+    totals = per.select(F.struct(F.count(F.lit(1)).alias("n"), F.sum("total_sales").alias("s"),
+                                 F.sum("total_profit").alias("p"))).scalar()
+    n, total_s, total_p = totals.getField("n"), totals.getField("s"), totals.getField("p")
+    keep = ((F.col("total_sales") * n >= total_s)
+            & (F.col("total_sales") > 0) & (total_s > 0)
+            & (F.col("total_profit") * total_s < total_p * F.col("total_sales")))
+    return per.filter(keep).select(
         "product_id", "product_name", "category", "sub_category", "total_sales", "total_profit",
         margin_pct(F.col("total_profit"), F.col("total_sales")).alias("profit_margin_pct"))
 
