@@ -343,6 +343,12 @@ def filtered_fact(star: Star, regions: list[str] | None = None, categories: list
             cond = cond & (F.col("full_date") >= F.lit(date_from).cast("date"))
         if date_to is not None:
             cond = cond & (F.col("full_date") <= F.lit(date_to).cast("date"))
+        # Date keys are dense and ordered by date, so the date range is a key range:
+        # as a literal predicate it reaches the Parquet scan and skips row groups.
+        lo, hi = star.tables["dim_date"].filter(cond).agg(F.min("date_key"), F.max("date_key")).first()
+        if lo is None:
+            return f.limit(0)
+        f = f.filter(F.col("order_date_key").between(lo, hi))
         f = semi(f, "dim_date", "date_key", "order_date_key", cond)
     return f
 

@@ -88,7 +88,9 @@ def build_star(spark: SparkSession, src: DataFrame, root: str | None = None,
     with ThreadPoolExecutor(max_workers=len(DIMENSIONS)) as pool:
         for name, df, rows in pool.map(one, DIMENSIONS):
             tables[name], counts[name] = df, rows
-    fact = with_order_key(fact_rows(source, tables, counts, limit))
+    # Sorted by order date key inside each write task (no shuffle): row groups carry
+    # tight min/max date keys, so date-range reads skip most of the fact.
+    fact = with_order_key(fact_rows(source, tables, counts, limit)).sortWithinPartitions("order_date_key")
     tables["fact_orders"], counts["fact_orders"] = write_observed(fact, join_path(root, "fact_orders"), "fact")
     return Star(root=root, source=source, tables=tables, counts=counts, max_broadcast_rows=limit)
 
