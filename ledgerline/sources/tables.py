@@ -22,9 +22,9 @@ Sales / Profit      price * (1 - discount) / price * (0.22 - discount), 2 digits
 
 Join order is chosen for scale: orders are enriched with customer, nation and
 region first (orders are a quarter of lineitem), then the lines join the
-enriched orders on the order key, then the part. Nation and region are tiny
-and broadcast after a row-count check; every other join is left to AQE, which
-broadcasts only from measured runtime sizes.
+enriched orders on the order key, then the part. Strategies are left to the
+planner and AQE, which broadcast a side only from its measured size (file
+statistics or runtime shuffle sizes) and shuffle otherwise.
 """
 
 from __future__ import annotations
@@ -35,7 +35,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..operators.lookup import broadcast_if_small
 
 # Fixed values of the adapter mapping.
 DISCOUNT_FACTOR = 3
@@ -63,10 +62,10 @@ def read_tables_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
 
-    geo = nation.join(broadcast_if_small(region, 10_000), nation.n_regionkey == region.r_regionkey, "left")
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
     enriched_orders = (
         orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
-        .join(broadcast_if_small(geo, 100_000), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(geo, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     )
     joined = (
         lines.join(enriched_orders, lines.l_orderkey == enriched_orders.o_orderkey, "left")
