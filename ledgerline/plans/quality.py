@@ -21,6 +21,7 @@ from .. import schemas as S
 from ..operators.dedup import duplicate_count
 
 PARSE_ERRORS = "_parse_errors"   # map<column, raw text> of values that did not parse (CSV source)
+CORRUPT = "_corrupt_record"      # raw text of a line whose field count does not match the header
 
 
 def _q(name: str) -> Column:
@@ -70,6 +71,8 @@ def _rules(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column, Co
         if column in value_checks:
             name, bad = value_checks[column]
             rules.append((column, name, c.isNotNull() & bad(c), c.cast("string")))
+    if CORRUPT in df.columns:
+        rules.append(("<line>", "field_count", F.col(CORRUPT).isNotNull(), F.col(CORRUPT)))
     return rules
 
 

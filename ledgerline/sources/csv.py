@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions.text import null_tokens_to_null
@@ -35,6 +36,7 @@ _TYPED = {
 }
 
 PARSE_ERRORS = "_parse_errors"
+CORRUPT = "_corrupt_record"
 
 
 def _parse_date(raw: Column, formats: tuple[str, ...]) -> Column:
@@ -50,23 +52,34 @@ def _parse(raw: Column, target, formats: tuple[str, ...]) -> Column:
 def read_orders_csv(spark: SparkSession, path: str | list[str], *, encoding: str = "ISO-8859-1",
                     date_formats: tuple[str, ...] = DEFAULT_DATE_FORMATS,
                     null_tokens: list[str] | None = None) -> DataFrame:
-    """Typed order lines from CSV file(s), in source column names, plus ``_line_ordinal``."""
+    """Typed order lines from CSV file(s), in source column names, plus ``_line_ordinal``.
+
+    Lines whose field count does not match the header keep their raw text in
+    ``_corrupt_record`` (PERMISSIVE mode) and are reported by the contract check.
+    The CSV parser's column pruning is turned off for the session: with it on,
+    whether a line counts as malformed depends on which columns a query
+    selects. The pipeline reads every column once (extract) anyway.
+    """
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+    header = csv_header(spark, path, encoding)
+    text_schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
+                               + [T.StructField(CORRUPT, T.StringType())])
     raw = (spark.read
+           .schema(text_schema)
            .option("header", True)
-           .option("inferSchema", False)
            .option("encoding", encoding)
            .option("quote", '"')
            .option("escape", '"')
            .option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", CORRUPT)
            .csv(path))
-    header = list(raw.columns)
     ordinal = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("row"),
     )
     text = raw.select(*[null_tokens_to_null(F.col(f"`{c}`"), null_tokens).alias(c) for c in header],
-                      ordinal.alias(S.ORDINAL))
+                      F.col(CORRUPT), ordinal.alias(S.ORDINAL))
 
     def rawcol(c: str) -> Column:
         return F.col(f"`{c}`") if c in header else F.lit(None).cast("string")
@@ -86,6 +99,7 @@ def read_orders_csv(spark: SparkSession, path: str | list[str], *, encoding: str
         *[F.col(f"`{c}`") for c in extras],
         F.col(S.ORDINAL),
         F.map_filter(F.create_map(*errors), lambda k, v: v.isNotNull()).alias(PARSE_ERRORS),
+        F.col(CORRUPT),
     )
 
 

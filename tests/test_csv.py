@@ -70,3 +70,17 @@ def test_missing_columns(spark, workdir):
     assert "Customer ID" in missing_columns(csv_header(spark, path))
     df = read_orders_csv(spark, path)
     assert df.first()[S.CUSTOMER_ID] is None
+
+
+def test_malformed_lines_are_reported(spark, workdir):
+    good = "1,CA-1,1/1/2020,1/2/2020,S,C-1,Ann,Consumer,US,X,Y,1,East,P,Furniture,S,N,1,1,0,1"
+    path = _write(workdir, [good, "2,CA-2,1/1/2020,too,few", good.replace("1,CA-1", "3,CA-3") + ",extra"],
+                  name="bad.csv")
+    df = read_orders_csv(spark, path)
+    rows = {r[S.ORDER_ID]: r for r in df.collect()}
+    assert rows["CA-1"]["_corrupt_record"] is None
+    assert rows["CA-2"]["_corrupt_record"] == "2,CA-2,1/1/2020,too,few"
+    assert rows["CA-3"]["_corrupt_record"] is not None
+    malformed = [r for r in quality.schema_failures(df).collect() if r.check_name == "field_count"]
+    assert sum(r.failure_count for r in malformed) == 2
+    assert {r.column_name for r in malformed} == {"<line>"}

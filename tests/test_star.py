@@ -119,3 +119,26 @@ def test_pipeline_rerun_is_identical(spark, workdir):
     names = pipeline.register_views(spark, current)
     assert "vw_overall_kpis" in names
     assert spark.sql("SELECT total_orders FROM vw_overall_kpis").first().total_orders == 20
+
+
+def test_filtered_kpis_date_range_and_dims(spark):
+    lines = [{S.ORDER_ID: f"O-{i}", S.ORDER_DATE: dt.date(2024, 1, 1) + dt.timedelta(days=i),
+              S.SHIP_DATE: dt.date(2024, 1, 1) + dt.timedelta(days=i + 1),
+              S.REGION: "East" if i % 2 else "West", S.CITY: f"City{i % 2}", S.SALES: 10 + i}
+             for i in range(30)]
+    st = build_star(spark, make_source(spark, lines), num_partitions=3)
+    k = marts.filtered_kpis(st, date_from="2024-01-05", date_to="2024-01-09").first()
+    assert k.total_orders == 5 and k.total_sales == sum(Decimal(10 + i) for i in range(4, 9))
+    k = marts.filtered_kpis(st, regions=["East"], date_from=dt.date(2024, 1, 1), date_to="2024-01-10").first()
+    assert k.total_orders == 5                                   # odd days 1..9
+    k = marts.filtered_kpis(st, date_from="2030-01-01").first()
+    assert k.total_orders == 0 and k.total_sales is None
+    everything = marts.filtered_kpis(st).first()
+    assert everything == marts.overall_kpis(st).first()
+
+
+def test_materialise_marts(spark, star, workdir):
+    paths = marts.materialise(star, workdir + "/marts")
+    assert set(paths) == set(marts.MARTS)
+    back = spark.read.parquet(paths["sales_by_region"])
+    assert sorted(back.collect()) == sorted(marts.sales_by_region(star).collect())
