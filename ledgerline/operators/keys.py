@@ -34,8 +34,10 @@ def with_surrogate_key(df: DataFrame, key_name: str, order_by: list[Column],
     """``df`` with a dense ``key_name`` column numbered in ``order_by`` order, first column."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+    # Without an explicit count AQE may coalesce adjacent range partitions (order
+    # is kept), so a small dimension does not become many near-empty files.
+    ranged = (df.repartitionByRange(num_partitions, *order_by) if num_partitions
+              else df.repartitionByRange(*order_by)).sortWithinPartitions(*order_by)
     tagged = ranged.select(
         "*",
         F.spark_partition_id().alias(_PART),
@@ -43,8 +45,7 @@ def with_surrogate_key(df: DataFrame, key_name: str, order_by: list[Column],
     ).checkpoint(eager=True)
 
     sizes = dict(tagged.groupBy(_PART).count().collect())
-    parts = tagged.rdd.getNumPartitions()
-    counts = [int(sizes.get(p, 0)) for p in range(max(parts, max(sizes, default=-1) + 1))]
+    counts = [int(sizes.get(p, 0)) for p in range(max(sizes, default=-1) + 1)]
     offsets = [0] + list(accumulate(counts))[:-1]
 
     offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PART) + 1)

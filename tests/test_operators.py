@@ -17,6 +17,14 @@ def test_surrogate_key_equals_row_number(spark):
     assert sorted(keys) == list(range(1, len(keys) + 1))
 
 
+def test_surrogate_key_default_partitioning(spark):
+    df = spark.range(0, 20000).select((F.col("id") * 31 % 20011).alias("k"))
+    keyed = with_surrogate_key(df, "key", [F.col("k").desc()])
+    got = {r.k: r.key for r in keyed.collect()}
+    ordered = sorted(got, reverse=True)
+    assert [got[k] for k in ordered] == list(range(1, len(ordered) + 1))
+
+
 def test_surrogate_key_nulls_first_and_stable(spark):
     df = spark.createDataFrame([(None, "b"), ("1", "a"), (None, "a"), ("0", "z")], "p string, c string")
     order = [F.col("p").asc_nulls_first(), F.col("c").asc_nulls_first()]
