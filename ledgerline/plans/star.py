@@ -14,6 +14,7 @@ newest published run, so a failed run never leaves the served tables empty.
 from __future__ import annotations
 
 import os
+import threading
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -125,6 +126,7 @@ def load_published(spark: SparkSession, base: str) -> Star:
 # ---------------------------------------------------------------------------
 
 _STARS: dict[tuple[str, str], Star] = {}
+_STARS_LOCK = threading.Lock()
 
 
 def star_for_tables(spark: SparkSession, sf_dir: str) -> Star:
@@ -132,10 +134,11 @@ def star_for_tables(spark: SparkSession, sf_dir: str) -> Star:
     from ..sources.tables import read_tables_source
 
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    star = _STARS.get(key)
-    if star is None:
-        star = build_star(spark, read_tables_source(spark, sf_dir))
-        _STARS[key] = star
+    with _STARS_LOCK:
+        star = _STARS.get(key)
+        if star is None:
+            star = build_star(spark, read_tables_source(spark, sf_dir))
+            _STARS[key] = star
     return star
 
 
