@@ -229,7 +229,8 @@ SQL["freshness"] = with_src("""
 SELECT MAX(order_date) AS latest_order_date, COUNT(*) AS total_records FROM src WHERE order_date IS NOT NULL""")
 
 SQL["category_totals"] = with_src(f"""
-SELECT category, {money('SUM(sales)')} AS total_sales FROM src WHERE product_id IS NOT NULL GROUP BY category""")
+SELECT category, {money('SUM(sales)')} AS total_sales FROM src
+WHERE product_id IS NOT NULL AND category IS NOT NULL GROUP BY category""")
 
 SQL["region_share"] = with_src(f"""
 SELECT region, {money('s')} AS total_sales, {ratio('s', 'SUM(s) OVER ()', 2, 100)} AS share_pct

@@ -211,7 +211,9 @@ def monthly_period(star: Star) -> DataFrame:
 
 
 def category_totals(star: Star) -> DataFrame:
-    return sales_by_category(star).groupBy("category").agg(F.sum("total_sales").alias("total_sales"))
+    """Sales per category from the category view; a NULL category is dropped, as a pandas group-by does."""
+    return (sales_by_category(star).filter(F.col("category").isNotNull())
+            .groupBy("category").agg(F.sum("total_sales").alias("total_sales")))
 
 
 def region_share(star: Star) -> DataFrame:

@@ -142,3 +142,11 @@ def test_materialise_marts(spark, star, workdir):
     assert set(paths) == set(marts.MARTS)
     back = spark.read.parquet(paths["sales_by_region"])
     assert sorted(back.collect()) == sorted(marts.sales_by_region(star).collect())
+
+
+def test_category_totals_drop_null_category(spark):
+    lines = [{S.PRODUCT_ID: "P-1", S.CATEGORY: None, S.SALES: 5}, {S.PRODUCT_ID: "P-2", S.CATEGORY: "Technology"}]
+    st = build_star(spark, make_source(spark, lines), num_partitions=2)
+    got = {r.category: r.total_sales for r in marts.category_totals(st).collect()}
+    assert got == {"Technology": Decimal("100.00")}
+    assert len(marts.sales_by_category(st).collect()) == 2          # the view itself keeps the NULL group
