@@ -14,7 +14,9 @@ from pyspark.sql import SparkSession
 
 WAREHOUSE_CONF = "ledgerline.warehouse.dir"
 BROADCAST_ROWS_CONF = "ledgerline.broadcast.maxRows"
+BROADCAST_BYTES_CONF = "ledgerline.broadcast.maxBytes"
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def build_session(master: str | None = None, app_name: str = "ledgerline",
@@ -75,11 +77,18 @@ def warehouse_dir(spark: SparkSession) -> str:
     return checkpoint_dir(spark).rstrip("/") + "/warehouse"
 
 
-def broadcast_row_limit(spark: SparkSession) -> int:
+def _conf_int(spark: SparkSession, key: str, default: int) -> int:
     try:
-        return int(spark.conf.get(BROADCAST_ROWS_CONF))
-    except Exception:  # noqa: BLE001
-        return DEFAULT_BROADCAST_ROWS
+        return int(spark.conf.get(key))
+    except Exception:  # noqa: BLE001 - unset key
+        return default
+
+
+def broadcast_limit(spark: SparkSession):
+    """Largest table side broadcast in a join: rows and measured in-memory bytes."""
+    from .operators.lookup import BroadcastLimit
+    return BroadcastLimit(_conf_int(spark, BROADCAST_ROWS_CONF, DEFAULT_BROADCAST_ROWS),
+                          _conf_int(spark, BROADCAST_BYTES_CONF, DEFAULT_BROADCAST_BYTES))
 
 
 def new_run_id() -> str:
@@ -91,6 +100,6 @@ def join_path(*parts: str) -> str:
 
 
 __all__ = [
-    "build_session", "checkpoint_dir", "warehouse_dir", "broadcast_row_limit",
+    "build_session", "checkpoint_dir", "warehouse_dir", "broadcast_limit",
     "new_run_id", "join_path",
 ]

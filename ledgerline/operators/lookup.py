@@ -1,35 +1,92 @@
-"""Key lookups: equi-joins from a fact-sized frame to a keyed dimension.
+"""Key lookups and size-proven broadcasts.
 
-A dimension is broadcast only when its row count is known to be under a limit
-(the count comes from the materialised dimension, or from a count of a tiny
-table). Beyond the limit the join is left to the planner: a shuffled
-sort-merge join, with AQE free to switch to broadcast from runtime sizes and
-to split skewed partitions of the fact side.
+A side of a join is broadcast only when its size is known and under a limit.
+Sizes come from ``TableStats`` measured while the table was written (row count
+and the exact UTF-8 bytes of every string column, as ``Observation`` metrics
+of the write itself), so the bound is a measurement, not an estimate from
+file sizes. The in-memory size of a projection is bounded by
+``rows * (8 + 16 * columns) + string bytes`` (row header, one 8-byte slot per
+field, up to 8 bytes of word padding per value, plus the string payloads).
+
+Beyond the limit the join is left to the planner: a shuffled sort-merge join,
+with AQE free to split skewed partitions of the streamed (fact) side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+@dataclass(frozen=True)
+class TableStats:
+    """Row count and total string bytes per column of a written table."""
+
+    rows: int
+    text_bytes: dict[str, int] = field(default_factory=dict)
+
+    def bytes_for(self, columns: list[str]) -> int:
+        """Upper bound of the in-memory size of ``columns`` of this table."""
+        return self.rows * (8 + 16 * len(columns)) + sum(self.text_bytes.get(c, 0) for c in columns)
+
+    def to_dict(self) -> dict:
+        return {"rows": self.rows, "text_bytes": dict(self.text_bytes)}
+
+    @staticmethod
+    def from_dict(d: dict) -> "TableStats":
+        return TableStats(int(d["rows"]), {k: int(v) for k, v in d.get("text_bytes", {}).items()})
+
+
+@dataclass(frozen=True)
+class BroadcastLimit:
+    max_rows: int
+    max_bytes: int
+
+    def allows(self, stats: TableStats | None, columns: list[str]) -> bool:
+        return (stats is not None and stats.rows <= self.max_rows
+                and stats.bytes_for(columns) <= self.max_bytes)
+
+
+def stats_metrics(df: DataFrame) -> list[Column]:
+    """Aggregates to observe on a write: row count and string bytes per top-level string column."""
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            metrics.append(F.coalesce(F.sum(F.octet_length(F.col(f"`{f.name}`"))), F.lit(0))
+                           .cast("long").alias(f"bytes:{f.name}"))
+    return metrics
+
+
+def stats_from_metrics(values: dict) -> TableStats:
+    text = {k.split(":", 1)[1]: int(v or 0) for k, v in values.items() if k.startswith("bytes:")}
+    return TableStats(int(values["rows"]), text)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int, known_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged."""
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    For tables without measured stats; counting is an action, so use it only on
+    tables that are small by construction.
+    """
     rows = known_rows if known_rows is not None else df.count()
     return F.broadcast(df) if rows <= max_rows else df
 
 
 def lookup(fact: DataFrame, dim: DataFrame, pairs: list[tuple[str, str]], take: list[str], *,
-           null_safe: tuple[str, ...] = (), max_rows: int, dim_rows: int | None = None) -> DataFrame:
+           null_safe: tuple[str, ...] = (), broadcast: bool = False) -> DataFrame:
     """Left join ``fact`` to ``dim`` on ``fact_col == dim_col`` per pair; add the ``take`` columns.
 
     Fact columns named in ``null_safe`` match NULL to NULL, as a pandas merge
     does; Spark still plans ``<=>`` as a hash-joinable equi-join. Every fact
     row is kept exactly once provided the dimension is unique on its side of
-    the pairs.
+    the pairs. ``broadcast`` must come from a proven size bound.
     """
     right = dim.select(*[F.col(r).alias(f"_lk_{r}") for _, r in pairs], *take)
-    right = broadcast_if_small(right, max_rows, dim_rows)
+    if broadcast:
+        right = F.broadcast(right)
     cond = None
     for left_col, right_col in pairs:
         l, r = F.col(f"`{left_col}`"), F.col(f"_lk_{right_col}")

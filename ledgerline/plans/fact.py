@@ -6,21 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..operators.lookup import lookup
+from ..operators.lookup import BroadcastLimit, TableStats, lookup
 
 
 def _q(name: str):
     return F.col(f"`{name}`")
 
 
-def fact_rows(src: DataFrame, dims: dict[str, DataFrame], dim_rows: dict[str, int],
-              max_broadcast_rows: int) -> DataFrame:
+def fact_rows(src: DataFrame, dims: dict[str, DataFrame], stats: dict[str, TableStats],
+              limit: BroadcastLimit) -> DataFrame:
     """Project the 12 fact columns, look up five keys, keep the 11 stored columns.
 
     Every source line yields exactly one fact row: all lookups are left joins
     against dimensions unique on their lookup key, the location lookup matches
-    a NULL postal code to the NULL-postal location. Money is rounded to the
-    store's decimals here (half away from zero).
+    a NULL postal code to the NULL-postal location. A dimension is broadcast
+    when the measured size of the columns the lookup needs is within ``limit``.
+    Money is rounded to the store's decimals here (half away from zero).
     """
     f = src.select(
         _q(S.ORDER_ID).alias("order_id"),
@@ -36,18 +37,22 @@ def fact_rows(src: DataFrame, dims: dict[str, DataFrame], dim_rows: dict[str, in
         _q(S.PROFIT).try_cast(S.MONEY).alias("profit"),
         _q(S.SHIP_MODE).alias("ship_mode"),
     )
-    kw = {"max_rows": max_broadcast_rows}
+
+    def fits(name: str, columns: list[str]) -> bool:
+        return limit.allows(stats.get(name), columns)
+
     f = lookup(f, dims["dim_customer"], [("customer_id", "customer_id")], ["customer_key"],
-               dim_rows=dim_rows.get("dim_customer"), **kw)
+               broadcast=fits("dim_customer", ["customer_id", "customer_key"]))
     f = lookup(f, dims["dim_product"], [("product_id", "product_id")], ["product_key"],
-               dim_rows=dim_rows.get("dim_product"), **kw)
+               broadcast=fits("dim_product", ["product_id", "product_key"]))
     f = lookup(f, dims["dim_location"], [("postal_code", "postal_code"), ("city", "city")], ["location_key"],
-               null_safe=("postal_code",), dim_rows=dim_rows.get("dim_location"), **kw)
+               null_safe=("postal_code",), broadcast=fits("dim_location", ["postal_code", "city", "location_key"]))
     dates = dims["dim_date"]
+    date_fits = fits("dim_date", ["full_date", "date_key"])
     f = lookup(f, dates.withColumnRenamed("date_key", "order_date_key"), [("order_date", "full_date")],
-               ["order_date_key"], dim_rows=dim_rows.get("dim_date"), **kw)
+               ["order_date_key"], broadcast=date_fits)
     f = lookup(f, dates.withColumnRenamed("date_key", "ship_date_key"), [("ship_date", "full_date")],
-               ["ship_date_key"], dim_rows=dim_rows.get("dim_date"), **kw)
+               ["ship_date_key"], broadcast=date_fits)
     return f.select(
         "order_id", "order_date_key", "ship_date_key", "customer_key", "product_key", "location_key",
         "sales", "quantity", "discount", "profit", "ship_mode",

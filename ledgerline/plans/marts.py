@@ -60,7 +60,7 @@ def rollup_by_dimension(star: Star, dim_name: str, key: str, attrs: list[str],
     meet a large dimension.
     """
     dim = star.tables[dim_name].select(key, *attrs)
-    if star.is_small(dim_name):
+    if star.is_small(dim_name, [key, *attrs]):
         joined = star.fact.join(F.broadcast(dim), key)
         aggs = {"lines": F.count(F.col("order_key")), "sales": F.sum("sales"), "profit": F.sum("profit"),
                 "quantity": F.sum("quantity")}
@@ -80,7 +80,7 @@ def daily_sales(star: Star) -> DataFrame:
         F.sum("discount").alias("p_discount_sum"),
         F.count("discount").alias("p_discount_n"),
     )
-    d = star.dim("dim_date")
+    d = star.dim("dim_date", ["date_key", "full_date", "year", "month", "month_name", "day_name", "is_weekend"])
     return parts.join(d, parts.order_date_key == d.date_key).select(
         "full_date", "year", "month", "month_name", "day_name", "is_weekend",
         F.col("p_lines").alias("total_orders"),
@@ -106,7 +106,7 @@ def sales_by_category(star: Star) -> DataFrame:
 def sales_by_segment(star: Star) -> DataFrame:
     """Per segment; each customer key is one partial row, so customers = partial rows."""
     parts = _by_key(star.fact, "customer_key")
-    cust = star.dim("dim_customer")
+    cust = star.dim("dim_customer", ["customer_key", "segment"])
     agg = parts.join(cust, "customer_key").groupBy("segment").agg(
         F.count(F.col("customer_key")).alias("total_customers"),
         *[F.sum(f"p_{m}").alias(_TOTALS[m]) for m in ("lines", "sales", "profit")])
@@ -117,7 +117,7 @@ def sales_by_segment(star: Star) -> DataFrame:
 
 def monthly_trend(star: Star) -> DataFrame:
     """Per calendar month of the order date, with distinct customers."""
-    d = star.dim("dim_date").select("date_key", "year", "month", "month_name")
+    d = star.dim("dim_date", ["date_key", "year", "month", "month_name"])
     f = star.fact.select("order_key", "order_date_key", "customer_key", "sales", "profit")
     return (f.join(d, f.order_date_key == d.date_key).groupBy("year", "month", "month_name").agg(
         F.count("order_key").alias("total_orders"),
@@ -190,7 +190,7 @@ def discount_impact(star: Star) -> DataFrame:
 def freshness(star: Star, as_of: Column | None = None, include_refreshed: bool = True) -> DataFrame:
     """Latest order date and line count of facts with a known order date."""
     d = star.tables["dim_date"].select(F.col("date_key").alias("order_date_key"), "full_date")
-    if star.is_small("dim_date"):
+    if star.is_small("dim_date", ["date_key", "full_date"]):
         out = star.fact.join(F.broadcast(d), "order_date_key").agg(
             F.max("full_date").alias("latest_order_date"), F.count(F.lit(1)).alias("total_records"))
     else:
@@ -308,7 +308,8 @@ def high_revenue_low_margin(star: Star) -> DataFrame:
     rows: evaluated once, then used as values -- no join to a one-row frame.
     """
     parts = _by_key(star.fact, "product_key")
-    per = parts.join(star.dim("dim_product"), "product_key").select(
+    prod = star.dim("dim_product", ["product_key", "product_id", "product_name", "category", "sub_category"])
+    per = parts.join(prod, "product_key").select(
         "product_id", "product_name", "category", "sub_category",
         F.col("p_sales").alias("total_sales"), F.col("p_profit").alias("total_profit"))
     totals = per.select(F.struct(F.count(F.lit(1)).alias("n"), F.sum("total_sales").alias("s"),
@@ -330,7 +331,7 @@ def filtered_fact(star: Star, regions: list[str] | None = None, categories: list
 
     def semi(frame: DataFrame, dim_name: str, key: str, fact_key: str, cond: Column) -> DataFrame:
         d = star.tables[dim_name].filter(cond).select(F.col(key).alias(f"_sk_{fact_key}"))
-        d = F.broadcast(d) if star.counts.get(dim_name, 1 << 62) <= star.max_broadcast_rows else d
+        d = F.broadcast(d) if star.is_small(dim_name, [key]) else d
         return frame.join(d, frame[fact_key] == F.col(f"_sk_{fact_key}"), "left_semi")
 
     if regions is not None:

@@ -55,7 +55,6 @@ def run_etl(spark: SparkSession, source: DataFrame, base: str | None = None,
         pending = pool.submit(lambda: quality.quality_report(staged, contract).first().asDict())
         star = build_star(spark, staged, root=root, stage=False)
         report = pending.result()
-    star.counts["source"] = report["total_rows"]
     t = mark("quality_dimensions_fact", t)
     recon = [r.asDict() for r in reconcile.reconciliation(staged, star.fact).orderBy("position").collect()]
     t = mark("reconciliation", t)

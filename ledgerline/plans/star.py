@@ -9,10 +9,13 @@ decisions.
 
 A run is published by appending one row to ``_manifest``; readers take the
 newest published run, so a failed run never leaves the served tables empty.
+The manifest also keeps each table's measured stats, so a reader can prove
+broadcast bounds without scanning.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import threading
 import time
@@ -23,8 +26,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..config import broadcast_row_limit, join_path, new_run_id, warehouse_dir
-from ..operators.lookup import broadcast_if_small
+from ..config import broadcast_limit, join_path, new_run_id, warehouse_dir
+from ..operators.lookup import BroadcastLimit, TableStats, stats_from_metrics, stats_metrics
 from .dims import build_dimension
 from .fact import fact_rows, with_order_key
 
@@ -38,32 +41,36 @@ class Star:
     root: str
     source: DataFrame
     tables: dict[str, DataFrame]
-    counts: dict[str, int] = field(default_factory=dict)
-    max_broadcast_rows: int = 2_000_000
+    stats: dict[str, TableStats] = field(default_factory=dict)
+    limit: BroadcastLimit = BroadcastLimit(2_000_000, 256 * 1024 * 1024)
 
     @property
     def fact(self) -> DataFrame:
         return self.tables["fact_orders"]
 
-    def is_small(self, name: str) -> bool:
-        """The written row count of table ``name`` is known and within the broadcast limit."""
-        rows = self.counts.get(name)
-        return rows is not None and rows <= self.max_broadcast_rows
+    @property
+    def counts(self) -> dict[str, int]:
+        return {name: st.rows for name, st in self.stats.items()}
+
+    def is_small(self, name: str, columns: list[str] | None = None) -> bool:
+        """The measured size of ``columns`` (default: all) of table ``name`` is within the broadcast limit."""
+        cols = columns if columns is not None else self.tables[name].columns
+        return self.limit.allows(self.stats.get(name), cols)
 
-    def dim(self, name: str) -> DataFrame:
-        """A dimension, hinted for broadcast when its written row count proves it small."""
-        return broadcast_if_small(self.tables[name], self.max_broadcast_rows, self.counts.get(name))
+    def dim(self, name: str, columns: list[str] | None = None) -> DataFrame:
+        """Columns of a dimension, hinted for broadcast when their measured size proves them small."""
+        df = self.tables[name] if columns is None else self.tables[name].select(*columns)
+        return F.broadcast(df) if self.is_small(name, columns) else df
 
 
-def write_observed(df: DataFrame, path: str, name: str, mode: str = "overwrite") -> tuple[DataFrame, int]:
-    """Write ``df`` as Parquet, return the re-read table and the row count seen by the write."""
+def write_observed(df: DataFrame, path: str, name: str, mode: str = "overwrite") -> tuple[DataFrame, TableStats]:
+    """Write ``df`` as Parquet; return the re-read table and the stats measured by the write itself."""
     obs = Observation(name)
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
-    rows = int(obs.get["rows"])
-    return df.sparkSession.read.parquet(path), rows
+    df.observe(obs, *stats_metrics(df)).write.mode(mode).parquet(path)
+    return df.sparkSession.read.parquet(path), stats_from_metrics(obs.get)
 
 
-def stage_source(src: DataFrame, root: str) -> tuple[DataFrame, int]:
+def stage_source(src: DataFrame, root: str) -> tuple[DataFrame, TableStats]:
     """Extract step: the typed source (with its ordinal) as a columnar table."""
     return write_observed(src, join_path(root, "source"), "source")
 
@@ -72,28 +79,28 @@ def build_star(spark: SparkSession, src: DataFrame, root: str | None = None,
                num_partitions: int | None = None, stage: bool = True) -> Star:
     """Run extract, dimensions and fact; return handles to the written tables."""
     root = root or join_path(warehouse_dir(spark), "runs", new_run_id())
-    limit = broadcast_row_limit(spark)
-    counts: dict[str, int] = {}
+    limit = broadcast_limit(spark)
+    stats: dict[str, TableStats] = {}
     if stage:
-        source, counts["source"] = stage_source(src, root)
+        source, stats["source"] = stage_source(src, root)
     else:
         source = src  # already a written table
     tables: dict[str, DataFrame] = {}
 
-    def one(name: str) -> tuple[str, DataFrame, int]:
-        df, rows = write_observed(build_dimension(name, source, num_partitions), join_path(root, name), name)
-        return name, df, rows
+    def one(name: str) -> tuple[str, DataFrame, TableStats]:
+        df, st = write_observed(build_dimension(name, source, num_partitions), join_path(root, name), name)
+        return name, df, st
 
     # The four dimensions are independent jobs over the staged source; submitted
     # together, the scheduler fills cores a small stage of one would leave idle.
     with ThreadPoolExecutor(max_workers=len(DIMENSIONS)) as pool:
-        for name, df, rows in pool.map(one, DIMENSIONS):
-            tables[name], counts[name] = df, rows
+        for name, df, st in pool.map(one, DIMENSIONS):
+            tables[name], stats[name] = df, st
     # Sorted by order date key inside each write task (no shuffle): row groups carry
     # tight min/max date keys, so date-range reads skip most of the fact.
-    fact = with_order_key(fact_rows(source, tables, counts, limit)).sortWithinPartitions("order_date_key")
-    tables["fact_orders"], counts["fact_orders"] = write_observed(fact, join_path(root, "fact_orders"), "fact")
-    return Star(root=root, source=source, tables=tables, counts=counts, max_broadcast_rows=limit)
+    fact = with_order_key(fact_rows(source, tables, stats, limit)).sortWithinPartitions("order_date_key")
+    tables["fact_orders"], stats["fact_orders"] = write_observed(fact, join_path(root, "fact_orders"), "fact")
+    return Star(root=root, source=source, tables=tables, stats=stats, limit=limit)
 
 
 # ---------------------------------------------------------------------------
@@ -102,8 +109,9 @@ def build_star(spark: SparkSession, src: DataFrame, root: str | None = None,
 
 def publish(spark: SparkSession, star: Star, base: str) -> None:
     """Mark ``star`` as the current version under ``base`` (append-only manifest)."""
-    row = [(star.root, int(time.time() * 1000), *[star.counts.get(t, 0) for t in S.STAR_TABLES])]
-    cols = ["root", "published_ms", *[f"{t}_rows" for t in S.STAR_TABLES]]
+    stats = json.dumps({t: st.to_dict() for t, st in star.stats.items()})
+    row = [(star.root, int(time.time() * 1000), *[star.counts.get(t, 0) for t in S.STAR_TABLES], stats)]
+    cols = ["root", "published_ms", *[f"{t}_rows" for t in S.STAR_TABLES], "stats_json"]
     spark.createDataFrame(row, cols).coalesce(1).write.mode("append").parquet(join_path(base, "_manifest"))
 
 
@@ -116,9 +124,9 @@ def load_published(spark: SparkSession, base: str) -> Star:
     rec = latest[0].asDict()
     root = rec["root"]
     tables = {t: spark.read.parquet(join_path(root, t)) for t in S.STAR_TABLES}
-    counts = {t: rec[f"{t}_rows"] for t in S.STAR_TABLES}
+    stats = {t: TableStats.from_dict(d) for t, d in json.loads(rec["stats_json"]).items()}
     return Star(root=root, source=spark.read.parquet(join_path(root, "source")), tables=tables,
-                counts=counts, max_broadcast_rows=broadcast_row_limit(spark))
+                stats=stats, limit=broadcast_limit(spark))
 
 
 # ---------------------------------------------------------------------------

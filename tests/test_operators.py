@@ -64,12 +64,26 @@ def test_duplicate_count_with_null_in_key(spark):
 def test_lookup_null_safe_no_fanout(spark):
     fact = spark.createDataFrame([(None, "X"), ("1", "X"), ("2", "Y"), (None, "Z")], "postal string, city string")
     dim = spark.createDataFrame([(None, "X", 10), ("1", "X", 11), ("2", "Y", 12)], "postal string, city string, key long")
-    out = lookup(fact, dim, [("postal", "postal"), ("city", "city")], ["key"], null_safe=("postal",), max_rows=10)
+    for bc in (True, False):
+        out = lookup(fact, dim, [("postal", "postal"), ("city", "city")], ["key"], null_safe=("postal",), broadcast=bc)
+        got = [(r.postal, r.city, r.key) for r in out.collect()]
+        assert len(got) == 4
     got = [(r.postal, r.city, r.key) for r in out.collect()]
     assert len(got) == 4
     assert set(got) == {(None, "X", 10), ("1", "X", 11), ("2", "Y", 12), (None, "Z", None)}
 
 
+def test_table_stats_bound(spark):
+    from ledgerline.operators.lookup import BroadcastLimit, TableStats
+    st = TableStats(1000, {"name": 50_000})
+    assert st.bytes_for(["key"]) == 1000 * 24
+    assert st.bytes_for(["key", "name"]) == 1000 * 40 + 50_000
+    assert BroadcastLimit(1000, 10**6).allows(st, ["key", "name"])
+    assert not BroadcastLimit(999, 10**6).allows(st, ["key"])
+    assert not BroadcastLimit(1000, 80_000).allows(st, ["key", "name"])
+    assert not BroadcastLimit(1000, 10**6).allows(None, ["key"])
+
+
 def test_broadcast_only_under_limit(spark):
     small = spark.range(3)
     assert broadcast_if_small(small, 3) is not small      # hinted copy
