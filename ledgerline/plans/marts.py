@@ -146,7 +146,14 @@ def top_customers(star: Star, n: int = 10) -> DataFrame:
 
 
 def kpis_of(fact: DataFrame) -> DataFrame:
-    """Overall KPIs of any fact-shaped frame (one row, also for an empty input)."""
+    """Overall KPIs of any fact-shaped frame (one row, also for an empty input).
+
+    The additive measures are one pass; each distinct count is an uncorrelated
+    scalar subquery (partial aggregation per key, then a count), so rows are not
+    tripled by an ``Expand`` as two distinct aggregates in one pass would be.
+    """
+    customers = fact.agg(F.count_distinct("customer_key")).scalar()
+    products = fact.agg(F.count_distinct("product_key")).scalar()
     return fact.agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.sum("sales").alias("total_sales"),
@@ -154,9 +161,7 @@ def kpis_of(fact: DataFrame) -> DataFrame:
         F.sum("quantity").alias("total_quantity"),
         rounded_mean(F.sum("sales"), F.count("sales")).alias("avg_order_value"),
         margin_pct(F.sum("profit"), F.sum("sales")).alias("profit_margin_pct"),
-        F.count_distinct("customer_key").alias("unique_customers"),
-        F.count_distinct("product_key").alias("unique_products"),
-    )
+    ).select("*", customers.alias("unique_customers"), products.alias("unique_products"))
 
 
 def overall_kpis(star: Star) -> DataFrame:
