@@ -1,9 +1,8 @@
 """Data-quality checks on the order-line source and constraint audit of the star.
 
-All checks are conditional aggregates. The scalar quality report is one plan:
-lines are grouped on the duplicate key (partial aggregation map-side), every
-counter rides along as a partial sum, and a final global aggregate adds
-duplicates, counters and distinct orders -- no second scan, no cross join.
+All checks are conditional aggregates. The scalar quality report is one pass
+of counters plus two scalar subqueries (duplicates, distinct orders) -- no
+row shuffle for the counters, no cross join.
 
 The contract check lists every failure case (lazy validation): each row gets
 an array of the rules it breaks, the array is exploded, and failures are
