@@ -17,6 +17,8 @@ BROADCAST_ROWS_CONF = "ledgerline.broadcast.maxRows"
 BROADCAST_BYTES_CONF = "ledgerline.broadcast.maxBytes"
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+SINGLE_TASK_KEYS_CONF = "ledgerline.keys.singleTaskMaxRows"
+DEFAULT_SINGLE_TASK_KEYS = 1_000_000
 
 
 def build_session(master: str | None = None, app_name: str = "ledgerline",
@@ -91,6 +93,11 @@ def broadcast_limit(spark: SparkSession):
                           _conf_int(spark, BROADCAST_BYTES_CONF, DEFAULT_BROADCAST_BYTES))
 
 
+def single_task_key_rows(spark: SparkSession) -> int:
+    """Largest measured dimension numbered in one sorted task instead of distributed."""
+    return _conf_int(spark, SINGLE_TASK_KEYS_CONF, DEFAULT_SINGLE_TASK_KEYS)
+
+
 def new_run_id() -> str:
     return uuid.uuid4().hex[:12]
 
@@ -100,6 +107,6 @@ def join_path(*parts: str) -> str:
 
 
 __all__ = [
-    "build_session", "checkpoint_dir", "warehouse_dir", "broadcast_limit",
+    "build_session", "checkpoint_dir", "warehouse_dir", "broadcast_limit", "single_task_key_rows",
     "new_run_id", "join_path",
 ]

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import checkpoint_dir
@@ -52,3 +52,19 @@ def with_surrogate_key(df: DataFrame, key_name: str, order_by: list[Column],
     position = F.col(_MONO) - F.shiftleft(F.col(_PART).cast("long"), 33)
     key = (offset + position + F.lit(1)).cast("long").alias(key_name)
     return tagged.select(key, *[F.col(f"`{c}`") for c in df.columns])
+
+
+def with_dense_key(df: DataFrame, key_name: str, order_by: list[Column], rows: int | None,
+                   single_task_max_rows: int, num_partitions: int | None = None) -> DataFrame:
+    """Dense key in ``order_by`` order, choosing the plan from a measured row count.
+
+    When ``rows`` (measured, e.g. by the Observation of the write that produced
+    ``df``) is within ``single_task_max_rows``, one sorted task numbers the rows
+    with ``row_number()`` -- the bound is proven, and it saves the range
+    sampling, staging and offset jobs. Otherwise, or when the count is unknown,
+    the distributed numbering above. Both give identical keys.
+    """
+    if rows is not None and rows <= single_task_max_rows:
+        numbered = F.row_number().over(Window.orderBy(*order_by)).cast("long").alias(key_name)
+        return df.select(numbered, *[F.col(f"`{c}`") for c in df.columns])
+    return with_surrogate_key(df, key_name, order_by, num_partitions)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.dates import date_attributes
 from ..operators.dedup import keep_first
-from ..operators.keys import with_surrogate_key
+from ..operators.keys import with_dense_key, with_surrogate_key
 
 
 def _q(name: str):
@@ -85,3 +85,10 @@ def keyed(name: str, rows: DataFrame, num_partitions: int | None = None) -> Data
 
 def build_dimension(name: str, src: DataFrame, num_partitions: int | None = None) -> DataFrame:
     return keyed(name, ROW_BUILDERS[name](src), num_partitions)
+
+
+def keyed_measured(name: str, rows: DataFrame, row_count: int | None, single_task_max_rows: int,
+                   num_partitions: int | None = None) -> DataFrame:
+    """Key already-written dimension rows, picking the numbering plan from their measured count."""
+    key, order = KEY_ORDER[name]
+    return with_dense_key(rows, key, order(), row_count, single_task_max_rows, num_partitions)

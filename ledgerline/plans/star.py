@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..config import broadcast_limit, join_path, new_run_id, warehouse_dir
+from ..config import broadcast_limit, join_path, new_run_id, single_task_key_rows, warehouse_dir
 from ..operators.lookup import BroadcastLimit, TableStats, stats_from_metrics, stats_metrics
-from .dims import build_dimension
+from .dims import ROW_BUILDERS, keyed_measured
 from .fact import fact_rows, with_order_key
 
 DIMENSIONS = ["dim_customer", "dim_product", "dim_location", "dim_date"]
@@ -86,9 +86,13 @@ def build_star(spark: SparkSession, src: DataFrame, root: str | None = None,
     else:
         source = src  # already a written table
     tables: dict[str, DataFrame] = {}
+    single_task = single_task_key_rows(spark)
 
     def one(name: str) -> tuple[str, DataFrame, TableStats]:
-        df, st = write_observed(build_dimension(name, source, num_partitions), join_path(root, name), name)
+        # De-duplicated rows are written first; their measured count picks the numbering plan.
+        rows, rows_stats = write_observed(ROW_BUILDERS[name](source), join_path(root, "_rows", name), f"{name}_rows")
+        keyed = keyed_measured(name, rows, rows_stats.rows, single_task, num_partitions)
+        df, st = write_observed(keyed, join_path(root, name), name)
         return name, df, st
 
     # The four dimensions are independent jobs over the staged source; submitted
