@@ -26,7 +26,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerline.config import build_session  # noqa: E402
 from ledgerline.plans import pipeline  # noqa: E402
-from ledgerline.plans.star import _STARS  # noqa: E402
+from ledgerline.plans.star import remember_star  # noqa: E402
 from ledgerline.registry import QUERIES  # noqa: E402
 from ledgerline.sources.tables import read_tables_source  # noqa: E402
 
@@ -66,8 +66,7 @@ def main() -> None:
     lines = int(result.quality["total_rows"])
 
     # Serve the registry from the star just built.
-    import os.path as _p
-    _STARS[(spark.sparkContext.applicationId, _p.abspath(sf_dir))] = result.star
+    remember_star(spark, sf_dir, result.star)
 
     timings = {"etl": round(etl_times[-1], 3)}
     for name in HEADLINE:

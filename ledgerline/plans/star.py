@@ -154,5 +154,12 @@ def star_for_tables(spark: SparkSession, sf_dir: str) -> Star:
     return star
 
 
+def remember_star(spark: SparkSession, sf_dir: str, star: Star) -> None:
+    """Serve ``star`` for the test tables in ``sf_dir`` in this session (e.g. after ``run_etl``)."""
+    with _STARS_LOCK:
+        _STARS[(spark.sparkContext.applicationId, os.path.abspath(sf_dir))] = star
+
+
 def forget_stars() -> None:
-    _STARS.clear()
+    with _STARS_LOCK:
+        _STARS.clear()

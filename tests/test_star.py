@@ -168,3 +168,11 @@ def test_numbering_plans_agree(spark):
         a = sorted(single.tables[t].collect(), key=lambda r: r[0])
         b = sorted(distributed.tables[t].collect(), key=lambda r: r[0])
         assert a == b and [r[0] for r in a] == list(range(1, len(a) + 1))
+
+
+def test_written_tables_match_declared_schema(star):
+    declared = {"dim_customer": S.DIM_CUSTOMER, "dim_product": S.DIM_PRODUCT, "dim_location": S.DIM_LOCATION,
+                "dim_date": S.DIM_DATE, "fact_orders": S.FACT_ORDERS}
+    for name, schema in declared.items():
+        got = [(f.name, f.dataType) for f in star.tables[name].schema.fields]
+        assert got == [(f.name, f.dataType) for f in schema.fields], name
