@@ -25,7 +25,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerline.config import build_session  # noqa: E402
-from ledgerline.plans import pipeline  # noqa: E402
+from ledgerline.plans import etl  # noqa: E402
 from ledgerline.plans.star import remember_star  # noqa: E402
 from ledgerline.registry import QUERIES  # noqa: E402
 from ledgerline.sources.tables import read_tables_source  # noqa: E402
@@ -60,7 +60,7 @@ def main() -> None:
     result = None
     for _ in range(2):
         t0 = time.time()
-        result = pipeline.run_etl(spark, read_tables_source(spark, sf_dir), base=base)
+        result = etl.run_etl(spark, read_tables_source(spark, sf_dir), base=base)
         etl_times.append(time.time() - t0)
         print("etl stages:", result.stage_sec, file=sys.stderr)
     lines = int(result.quality["total_rows"])

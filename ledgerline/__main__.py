@@ -11,7 +11,7 @@ import argparse
 import sys
 
 from .config import build_session
-from .plans import marts, pipeline
+from .plans import etl, marts
 from .plans.star import load_published
 
 
@@ -39,7 +39,7 @@ def main(argv: list[str] | None = None) -> int:
         else:
             from .sources.tables import read_tables_source
             source = read_tables_source(spark, args.tables)
-        result = pipeline.run_etl(spark, source, base=args.base)
+        result = etl.run_etl(spark, source, base=args.base)
         print("quality:", result.quality)
         for row in result.reconciliation:
             print("reconciliation:", row)

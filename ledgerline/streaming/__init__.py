@@ -2,5 +2,5 @@
 
 The reference refreshes its store in batch; it has no streams, watermarks,
 windows over event time or streaming state. Nothing is built here; the batch
-refresh is ``ledgerline.plans.pipeline``.
+refresh is ``ledgerline.plans.etl``.
 """

@@ -1,4 +1,4 @@
-"""Dimensions, fact, marts and the pipeline over hand-made rows."""
+"""Dimensions, fact, marts and the ETL run over hand-made rows."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 
 from ledgerline import schemas as S
-from ledgerline.plans import marts, pipeline, quality
+from ledgerline.plans import etl, marts, quality
 from ledgerline.plans.star import build_star, load_published
 
 from conftest import make_source
@@ -105,18 +105,18 @@ def test_top_k_ties_and_null_first(spark):
     assert [r.customer_name for r in top[1:]] == [f"N{i:02d}" for i in range(9)]
 
 
-def test_pipeline_rerun_is_identical(spark, workdir):
+def test_etl_rerun_is_identical(spark, workdir):
     lines = [{S.CUSTOMER_ID: f"C-{i % 5}", S.PRODUCT_ID: f"P-{i % 3}", S.ORDER_ID: f"O-{i}"} for i in range(20)]
     src = make_source(spark, lines)
-    a = pipeline.run_etl(spark, src, base=workdir)
-    b = pipeline.run_etl(spark, src, base=workdir)
+    a = etl.run_etl(spark, src, base=workdir)
+    b = etl.run_etl(spark, src, base=workdir)
     for t in S.STAR_TABLES:
         cols = [c for c in a.star.tables[t].columns if c != "order_key"]
         assert sorted(a.star.tables[t].select(cols).collect()) == sorted(b.star.tables[t].select(cols).collect())
     assert a.summary.first().reconciliation_status == "PASSED"
     current = load_published(spark, workdir)
     assert current.root == b.star.root
-    names = pipeline.register_views(spark, current)
+    names = etl.register_views(spark, current)
     assert "vw_overall_kpis" in names
     assert spark.sql("SELECT total_orders FROM vw_overall_kpis").first().total_orders == 20
 
