@@ -18,12 +18,12 @@ from .plans.star import load_published
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="ledgerline")
     sub = parser.add_subparsers(dest="command", required=True)
-    etl = sub.add_parser("etl", help="extract, check, build the star, reconcile, publish")
-    src = etl.add_mutually_exclusive_group(required=True)
+    run = sub.add_parser("etl", help="extract, check, build the star, reconcile, publish")
+    src = run.add_mutually_exclusive_group(required=True)
     src.add_argument("--csv", help="order-line CSV file(s) or glob")
     src.add_argument("--tables", help="folder of the TPC-H-style test tables")
-    etl.add_argument("--base", help="publication folder (default: under spark.checkpoint.dir)")
-    etl.add_argument("--date-format", action="append", help="date pattern(s) of the CSV")
+    run.add_argument("--base", help="publication folder (default: under spark.checkpoint.dir)")
+    run.add_argument("--date-format", action="append", help="date pattern(s) of the CSV")
     show = sub.add_parser("show", help="print one mart of the published star")
     show.add_argument("mart", choices=sorted(marts.MARTS))
     show.add_argument("--base", required=True)

@@ -176,3 +176,11 @@ def test_written_tables_match_declared_schema(star):
     for name, schema in declared.items():
         got = [(f.name, f.dataType) for f in star.tables[name].schema.fields]
         assert got == [(f.name, f.dataType) for f in schema.fields], name
+
+
+def test_command_line(spark, workdir, capsys):
+    from ledgerline.__main__ import main
+    assert main(["etl", "--tables", "/root/testdata/sf0.001", "--base", workdir]) == 0
+    assert main(["show", "sales_by_region", "--base", workdir]) == 0
+    out = capsys.readouterr().out
+    assert "reconciliation" in out and "profit_margin_pct" in out
