@@ -50,10 +50,10 @@ class BroadcastLimit:
                 and stats.bytes_for(columns) <= self.max_bytes)
 
 
-def stats_metrics(df: DataFrame) -> list[Column]:
-    """Aggregates to observe on a write: row count and string bytes per top-level string column."""
+def stats_metrics(df: DataFrame, text_bytes: bool = True) -> list[Column]:
+    """Aggregates to observe on a write: row count and (optionally) string bytes per string column."""
     metrics = [F.count(F.lit(1)).alias("rows")]
-    for f in df.schema.fields:
+    for f in (df.schema.fields if text_bytes else []):
         if isinstance(f.dataType, T.StringType):
             metrics.append(F.coalesce(F.sum(F.octet_length(F.col(f"`{f.name}`"))), F.lit(0))
                            .cast("long").alias(f"bytes:{f.name}"))
