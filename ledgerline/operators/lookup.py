@@ -27,17 +27,19 @@ class TableStats:
 
     rows: int
     text_bytes: dict[str, int] = field(default_factory=dict)
+    text_measured: bool = True   # False: string sizes unknown, so no byte bound can be proven
 
     def bytes_for(self, columns: list[str]) -> int:
         """Upper bound of the in-memory size of ``columns`` of this table."""
         return self.rows * (8 + 16 * len(columns)) + sum(self.text_bytes.get(c, 0) for c in columns)
 
     def to_dict(self) -> dict:
-        return {"rows": self.rows, "text_bytes": dict(self.text_bytes)}
+        return {"rows": self.rows, "text_bytes": dict(self.text_bytes), "text_measured": self.text_measured}
 
     @staticmethod
     def from_dict(d: dict) -> "TableStats":
-        return TableStats(int(d["rows"]), {k: int(v) for k, v in d.get("text_bytes", {}).items()})
+        return TableStats(int(d["rows"]), {k: int(v) for k, v in d.get("text_bytes", {}).items()},
+                          bool(d.get("text_measured", True)))
 
 
 @dataclass(frozen=True)
@@ -46,7 +48,7 @@ class BroadcastLimit:
     max_bytes: int
 
     def allows(self, stats: TableStats | None, columns: list[str]) -> bool:
-        return (stats is not None and stats.rows <= self.max_rows
+        return (stats is not None and stats.text_measured and stats.rows <= self.max_rows
                 and stats.bytes_for(columns) <= self.max_bytes)
 
 
@@ -60,9 +62,9 @@ def stats_metrics(df: DataFrame, text_bytes: bool = True) -> list[Column]:
     return metrics
 
 
-def stats_from_metrics(values: dict) -> TableStats:
+def stats_from_metrics(values: dict, text_measured: bool = True) -> TableStats:
     text = {k.split(":", 1)[1]: int(v or 0) for k, v in values.items() if k.startswith("bytes:")}
-    return TableStats(int(values["rows"]), text)
+    return TableStats(int(values["rows"]), text, text_measured)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int, known_rows: int | None = None) -> DataFrame:

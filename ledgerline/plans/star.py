@@ -72,7 +72,7 @@ def write_observed(df: DataFrame, path: str, name: str, mode: str = "overwrite",
     """
     obs = Observation(name)
     df.observe(obs, *stats_metrics(df, text_bytes)).write.mode(mode).parquet(path)
-    return df.sparkSession.read.parquet(path), stats_from_metrics(obs.get)
+    return df.sparkSession.read.parquet(path), stats_from_metrics(obs.get, text_bytes)
 
 
 def stage_source(src: DataFrame, root: str) -> tuple[DataFrame, TableStats]:

@@ -82,6 +82,7 @@ def test_table_stats_bound(spark):
     assert not BroadcastLimit(999, 10**6).allows(st, ["key"])
     assert not BroadcastLimit(1000, 80_000).allows(st, ["key", "name"])
     assert not BroadcastLimit(1000, 10**6).allows(None, ["key"])
+    assert not BroadcastLimit(1000, 10**6).allows(TableStats(10, {}, text_measured=False), ["key"])
 
 
 def test_broadcast_only_under_limit(spark):
