@@ -12,7 +12,6 @@ import sys
 
 from .config import build_session
 from .plans import etl, marts
-from .plans.star import load_published
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -24,6 +23,7 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--tables", help="folder of the TPC-H-style test tables")
     run.add_argument("--base", help="publication folder (default: under spark.checkpoint.dir)")
     run.add_argument("--date-format", action="append", help="date pattern(s) of the CSV")
+    run.add_argument("--materialise", action="store_true", help="also write the nine views as Parquet marts")
     show = sub.add_parser("show", help="print one mart of the published star")
     show.add_argument("mart", choices=sorted(marts.MARTS))
     show.add_argument("--base", required=True)
@@ -39,15 +39,14 @@ def main(argv: list[str] | None = None) -> int:
         else:
             from .sources.tables import read_tables_source
             source = read_tables_source(spark, args.tables)
-        result = etl.run_etl(spark, source, base=args.base)
+        result = etl.run_etl(spark, source, base=args.base, materialise_marts=args.materialise)
         print("quality:", result.quality)
         for row in result.reconciliation:
             print("reconciliation:", row)
         print("stages (s):", result.stage_sec)
         result.summary.show(truncate=False)
         return 0 if all(r["matched"] for r in result.reconciliation) else 1
-    star = load_published(spark, args.base)
-    marts.MARTS[args.mart](star).show(args.rows, truncate=False)
+    etl.served_mart(spark, args.base, args.mart).show(args.rows, truncate=False)
     return 0
 
 

@@ -10,12 +10,13 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import join_path, new_run_id, warehouse_dir
 from . import marts, quality, reconcile
-from .star import Star, build_star, publish, stage_source
+from .star import Star, build_star, load_published, publish, stage_source
 
 
 @dataclass
@@ -29,11 +30,14 @@ class EtlResult:
 
 
 def run_etl(spark: SparkSession, source: DataFrame, base: str | None = None,
-            contract: quality.Contract = quality.Contract(), publish_run: bool = True) -> EtlResult:
+            contract: quality.Contract = quality.Contract(), publish_run: bool = True,
+            materialise_marts: bool = False) -> EtlResult:
     """Refresh the star from ``source`` and publish it under ``base``.
 
     Re-running over the same source yields the same rows and the same keys;
-    the previous version stays readable until the new one is published.
+    the previous version stays readable until the new one is published. With
+    ``materialise_marts`` the nine views are also written as Parquet marts of
+    the run before it is published, so a dashboard reads pre-aggregated rows.
     """
     started = time.time()
     stages: dict[str, float] = {}
@@ -47,7 +51,7 @@ def run_etl(spark: SparkSession, source: DataFrame, base: str | None = None,
     root = join_path(base, "runs", new_run_id())
 
     t = started
-    staged, _ = stage_source(source, root)
+    staged, source_stats = stage_source(source, root)
     t = mark("extract", t)
     # The quality report and the star build both read the staged source and do
     # not depend on each other: run them as concurrent jobs.
@@ -55,9 +59,13 @@ def run_etl(spark: SparkSession, source: DataFrame, base: str | None = None,
         pending = pool.submit(lambda: quality.quality_report(staged, contract).first().asDict())
         star = build_star(spark, staged, root=root, stage=False)
         report = pending.result()
+    star.stats["source"] = source_stats
     t = mark("quality_dimensions_fact", t)
     recon = [r.asDict() for r in reconcile.reconciliation(staged, star.fact).orderBy("position").collect()]
     t = mark("reconciliation", t)
+    if materialise_marts:
+        marts.materialise(star)
+        t = mark("marts", t)
     if publish_run:
         publish(spark, star, base)
     mark("publish", t)
@@ -83,6 +91,15 @@ def register_views(spark: SparkSession, star: Star, prefix: str = "vw_") -> list
     return names
 
 
+def served_mart(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """A view of the published star: its materialised mart when the run wrote one, else computed."""
+    star = load_published(spark, base)
+    try:
+        return spark.read.parquet(join_path(star.root, "marts", name))
+    except AnalysisException:
+        return marts.MARTS[name](star)
+
+
 def freshness_now(star: Star) -> DataFrame:
     """The dashboard's freshness row including the refresh time."""
     return marts.freshness(star, as_of=F.current_timestamp())

@@ -385,11 +385,19 @@ def all_marts(star: Star) -> dict[str, DataFrame]:
 
 
 def materialise(star: Star, root: str | None = None) -> dict[str, str]:
-    """Write every view as a Parquet mart under ``root`` (default: the star's run folder)."""
+    """Write every view as a Parquet mart under ``root`` (default: the star's run folder).
+
+    The nine writes are independent jobs and are submitted together.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     base = root or f"{star.root}/marts"
-    paths = {}
-    for name, df in all_marts(star).items():
+
+    def write(item: tuple[str, DataFrame]) -> tuple[str, str]:
+        name, df = item
         path = f"{base}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        paths[name] = path
-    return paths
+        df.write.mode("overwrite").parquet(path)   # AQE coalesces the few aggregated rows
+        return name, path
+
+    with ThreadPoolExecutor(max_workers=len(MARTS)) as pool:
+        return dict(pool.map(write, all_marts(star).items()))
