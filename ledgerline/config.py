@@ -33,6 +33,7 @@ def build_session(master: str | None = None, app_name: str = "ledgerline",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         # checkpoint files of dimension numbering are removed once unreferenced
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
