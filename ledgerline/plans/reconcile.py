@@ -3,13 +3,12 @@
 Source totals are taken from the source lines as parsed (unrounded; a sum
 over no values counts as 0), store totals from the overall-KPI view of the
 written fact. Money matches within a tolerance, counts exactly. The two
-one-row aggregates meet as rows of one small frame (unpivot, union, group by
-metric), never through a cross join.
+one-row aggregates meet through a scalar subquery, never a cross join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -45,23 +44,27 @@ def store_metrics(fact: DataFrame) -> DataFrame:
 
 
 def reconciliation(src: DataFrame, fact: DataFrame, tolerance: float = S.RECON_TOLERANCE) -> DataFrame:
-    """Per metric: source value, store value, match; plus the overall verdict on every row."""
+    """Per metric: source value, store value, match; plus the overall verdict on every row.
+
+    The store totals are one struct-valued scalar subquery next to the one-row
+    source aggregate; the four metric rows are unrolled with ``inline``.
+    """
     names = [m for _, m, _ in _METRICS]
+    store = store_metrics(fact).select(F.struct(*[F.col(f"`{n}`") for n in names])).scalar()
+    tol = F.lit(tolerance).cast(_VALUE)
 
-    def long(df: DataFrame, side: str) -> DataFrame:
-        return df.unpivot([], [F.col(f"`{n}`") for n in names], "metric", "value").withColumn("side", F.lit(side))
+    def matched(name: str, kind: str):
+        a, b = F.col(f"`{name}`"), store.getField(name)
+        ok = F.abs(a - b) < tol if kind == "money" else a == b
+        return F.coalesce(ok, F.lit(False))
 
-    both = long(source_metrics(src), "source").unionByName(long(store_metrics(fact), "store"))
-    per = both.groupBy("metric").agg(
-        F.max(F.when(F.col("side") == "source", F.col("value"))).alias("source_value"),
-        F.max(F.when(F.col("side") == "store", F.col("value"))).alias("store_value"),
-    )
-    kinds = F.create_map(*[x for _, m, k in _METRICS for x in (F.lit(m), F.lit(k))])
-    order = F.create_map(*[x for p, m, _ in _METRICS for x in (F.lit(m), F.lit(p))])
-    diff = F.abs(F.col("source_value") - F.col("store_value"))
-    matched = F.when(kinds[F.col("metric")] == "money", diff < F.lit(tolerance).cast(_VALUE)) \
-        .otherwise(F.col("source_value") == F.col("store_value"))
-    out = per.select(order[F.col("metric")].alias("position"), "metric", "source_value", "store_value",
-                     F.coalesce(matched, F.lit(False)).alias("matched"))
-    # four rows: a global window is bounded by the metric count
-    return out.withColumn("all_passed", F.min(F.col("matched").cast("int")).over(Window.partitionBy()) == 1)
+    rows = F.array(*[
+        F.struct(F.lit(pos).alias("position"), F.lit(name).alias("metric"),
+                 F.col(f"`{name}`").alias("source_value"), store.getField(name).alias("store_value"),
+                 matched(name, kind).alias("matched"))
+        for pos, name, kind in _METRICS
+    ])
+    verdict = matched(names[0], _METRICS[0][2])
+    for _, name, kind in _METRICS[1:]:
+        verdict = verdict & matched(name, kind)
+    return source_metrics(src).select(F.inline(rows), verdict.alias("all_passed"))
