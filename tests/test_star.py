@@ -184,3 +184,14 @@ def test_command_line(spark, workdir, capsys):
     assert main(["show", "sales_by_region", "--base", workdir]) == 0
     out = capsys.readouterr().out
     assert "reconciliation" in out and "profit_margin_pct" in out
+
+
+def test_empty_source_builds_empty_star(spark):
+    st = build_star(spark, make_source(spark, [{}]).limit(0))
+    assert all(st.tables[t].count() == 0 for t in S.STAR_TABLES)
+    k = marts.overall_kpis(st).first()
+    assert k.total_orders == 0 and k.total_sales is None and k.unique_customers == 0
+    assert k.profit_margin_pct is None and k.avg_order_value is None
+    assert marts.discount_impact(st).count() == 0
+    f = marts.freshness(st, include_refreshed=False).first()
+    assert f.latest_order_date is None and f.total_records == 0
