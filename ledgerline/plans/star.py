@@ -70,7 +70,7 @@ def write_observed(df: DataFrame, path: str, name: str, mode: str = "overwrite",
     ``text_bytes`` adds the string byte totals needed to prove broadcast bounds;
     tables that are never broadcast (source, fact) only count rows.
     """
-    obs = Observation(name)
+    obs = Observation(f"{name}-{new_run_id()}")   # unique: concurrent builds may share a session
     df.observe(obs, *stats_metrics(df, text_bytes)).write.mode(mode).parquet(path)
     return df.sparkSession.read.parquet(path), stats_from_metrics(obs.get, text_bytes)
 
