@@ -59,7 +59,7 @@ def _rules(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column, Co
         if column not in df.columns:
             continue
         c = _q(column)
-        raw_bad = F.element_at(F.col(PARSE_ERRORS), F.lit(column)) if has_parse else None
+        raw_bad = F.try_element_at(F.col(PARSE_ERRORS), F.lit(column)) if has_parse else None
         if has_parse and dtype not in (None, "string"):
             rules.append((column, f"dtype('{dtype}')", raw_bad.isNotNull(), raw_bad))
         if required:
@@ -106,7 +106,7 @@ def missing(df: DataFrame, column: str) -> Column:
     """The value is absent in the source (a value that failed to parse is present, just invalid)."""
     c = _q(column).isNull()
     if PARSE_ERRORS in df.columns:
-        c = c & F.element_at(F.col(PARSE_ERRORS), F.lit(column)).isNull()
+        c = c & F.try_element_at(F.col(PARSE_ERRORS), F.lit(column)).isNull()
     return c
 
 

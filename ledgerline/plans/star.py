@@ -95,7 +95,8 @@ def build_star(spark: SparkSession, src: DataFrame, root: str | None = None,
 
     def one(name: str) -> tuple[str, DataFrame, TableStats]:
         # De-duplicated rows are written first; their measured count picks the numbering plan.
-        rows, rows_stats = write_observed(ROW_BUILDERS[name](source), join_path(root, "_rows", name), f"{name}_rows")
+        rows, rows_stats = write_observed(ROW_BUILDERS[name](source), join_path(root, "_rows", name),
+                                          f"{name}_rows", text_bytes=False)
         keyed = keyed_measured(name, rows, rows_stats.rows, single_task, num_partitions)
         df, st = write_observed(keyed, join_path(root, name), name)
         return name, df, st
