@@ -51,7 +51,7 @@ def _parse(raw: Column, target, formats: tuple[str, ...]) -> Column:
 
 def read_orders_csv(spark: SparkSession, path: str | list[str], *, encoding: str = "ISO-8859-1",
                     date_formats: tuple[str, ...] = DEFAULT_DATE_FORMATS,
-                    null_tokens: list[str] | None = None) -> DataFrame:
+                    null_tokens: list[str] | None = None, multiline: bool = False) -> DataFrame:
     """Typed order lines from CSV file(s), in source column names, plus ``_line_ordinal``.
 
     Lines whose field count does not match the header keep their raw text in
@@ -59,6 +59,10 @@ def read_orders_csv(spark: SparkSession, path: str | list[str], *, encoding: str
     The CSV parser's column pruning is turned off for the session: with it on,
     whether a line counts as malformed depends on which columns a query
     selects. The pipeline reads every column once (extract) anyway.
+
+    ``multiline`` accepts line breaks inside quoted fields; Spark then reads
+    each file as one split, so keep it off for large single files that have
+    none.
     """
     spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     header = csv_header(spark, path, encoding)
@@ -72,6 +76,7 @@ def read_orders_csv(spark: SparkSession, path: str | list[str], *, encoding: str
            .option("escape", '"')
            .option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", CORRUPT)
+           .option("multiLine", multiline)
            .csv(path))
     ordinal = F.struct(
         F.col("_metadata.file_path").alias("file"),

@@ -84,3 +84,34 @@ def test_malformed_lines_are_reported(spark, workdir):
     malformed = [r for r in quality.schema_failures(df).collect() if r.check_name == "field_count"]
     assert sum(r.failure_count for r in malformed) == 2
     assert {r.column_name for r in malformed} == {"<line>"}
+
+
+def test_random_text_round_trip(spark, workdir):
+    import csv
+    import random
+
+    rnd = random.Random(9)
+    alphabet = "abcXYZ ,\"'\xe9\xfc\xdf;|"
+    names = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 12))).strip() or "x" for _ in range(300)]
+    path = os.path.join(workdir, "rt.csv")
+    with open(path, "w", encoding="latin-1", newline="") as f:
+        w = csv.writer(f)                                   # doubled quotes, quotes only where needed
+        w.writerow(HEADER.split(","))
+        for i, n in enumerate(names):
+            w.writerow([i, f"O-{i}", "1/1/2020", "1/2/2020", "S", f"C-{i}", n, "Consumer", "US", "X", "Y",
+                        "1", "East", "P", "Furniture", "S", n, "1", "1", "0", "1"])
+    got = {r[S.ORDER_ID]: (r[S.CUSTOMER_NAME], r[S.PRODUCT_NAME], r["_corrupt_record"])
+           for r in read_orders_csv(spark, path).collect()}
+    tokens = {"NA", "NULL", "nan", "N/A", "None", "null", "n/a"}
+    for i, n in enumerate(names):
+        want = None if n in tokens else n
+        assert got[f"O-{i}"] == (want, want, None), n
+
+
+def test_multiline_fields(spark, workdir):
+    path = os.path.join(workdir, "ml.csv")
+    with open(path, "w", encoding="latin-1") as f:
+        f.write(HEADER + "\n")
+        f.write('1,O-1,1/1/2020,1/2/2020,S,C-1,"two\nlines",Consumer,US,X,Y,1,East,P,Furniture,S,N,1,1,0,1\n')
+    rows = read_orders_csv(spark, path, multiline=True).collect()
+    assert len(rows) == 1 and rows[0][S.CUSTOMER_NAME] == "two\nlines" and rows[0]["_corrupt_record"] is None
