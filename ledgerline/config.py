@@ -64,7 +64,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             configured = None
     if not configured:
-        configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+                               "(checkpoints and the star's tables are written there)")
+        configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")   # single machine only (tests)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
