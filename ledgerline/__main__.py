@@ -24,8 +24,8 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--base", help="publication folder (default: under spark.checkpoint.dir)")
     run.add_argument("--date-format", action="append", help="date pattern(s) of the CSV")
     run.add_argument("--materialise", action="store_true", help="also write the nine views as Parquet marts")
-    show = sub.add_parser("show", help="print one mart of the published star")
-    show.add_argument("mart", choices=sorted(marts.MARTS))
+    show = sub.add_parser("show", help="print a view or dashboard dataset of the published star")
+    show.add_argument("mart", choices=sorted({**marts.MARTS, **marts.DATASETS}))
     show.add_argument("--base", required=True)
     show.add_argument("--rows", type=int, default=50)
     args = parser.parse_args(argv)

@@ -51,7 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session, set up if needed.
 
     Uses ``spark.checkpoint.dir`` when the cluster names one; falls back to a
-    fresh local folder only when the setting is absent (tests).
+    fresh local folder only when the setting is absent and the master is local
+    (tests). On a cluster without the setting it refuses to run.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()

@@ -92,12 +92,14 @@ def register_views(spark: SparkSession, star: Star, prefix: str = "vw_") -> list
 
 
 def served_mart(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A view of the published star: its materialised mart when the run wrote one, else computed."""
+    """A view or dataset of the published star: the run's materialised mart if written, else computed."""
     star = load_published(spark, base)
-    try:
-        return spark.read.parquet(join_path(star.root, "marts", name))
-    except AnalysisException:
-        return marts.MARTS[name](star)
+    if name in marts.MARTS:
+        try:
+            return spark.read.parquet(join_path(star.root, "marts", name))
+        except AnalysisException:
+            return marts.MARTS[name](star)
+    return marts.DATASETS[name](star)
 
 
 def freshness_now(star: Star) -> DataFrame:

@@ -379,6 +379,22 @@ MARTS = {
 }
 
 
+# Dashboard datasets and advertised analyses, computed from the star on request.
+DATASETS = {
+    "freshness": freshness,
+    "monthly_period": monthly_period,
+    "category_totals": category_totals,
+    "region_share": region_share,
+    "category_tree": category_tree,
+    "kpi_cards": kpi_cards,
+    "top_products_display": top_products_display,
+    "top_customers_display": top_customers_display,
+    "month_over_month": month_over_month,
+    "high_revenue_low_margin": high_revenue_low_margin,
+    "filtered_kpis": filtered_kpis,
+}
+
+
 def all_marts(star: Star) -> dict[str, DataFrame]:
     """The dashboard's bundle of views, keyed by view name without the ``vw_`` prefix."""
     return {name: fn(star) for name, fn in MARTS.items()}

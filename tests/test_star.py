@@ -182,8 +182,9 @@ def test_command_line(spark, workdir, capsys):
     from ledgerline.__main__ import main
     assert main(["etl", "--tables", "/root/testdata/sf0.001", "--base", workdir, "--materialise"]) == 0
     assert main(["show", "sales_by_region", "--base", workdir]) == 0
+    assert main(["show", "kpi_cards", "--base", workdir]) == 0
     out = capsys.readouterr().out
-    assert "reconciliation" in out and "profit_margin_pct" in out
+    assert "reconciliation" in out and "profit_margin_pct" in out and "Unique Products" in out
 
 
 def test_empty_source_builds_empty_star(spark):
