@@ -2,7 +2,8 @@
 advertised analyses.
 
 Plan shape. Fact rows are never shuffled to meet a dimension. A dimension
-whose written row count proves it small is broadcast and joined inside the
+whose measured size (rows and string bytes of the columns used) proves it
+small is broadcast and joined inside the
 fact's scan stage, then the join output is aggregated once (map-side partial
 aggregation, so a key holding a third of all rows collapses to one row per
 task before the exchange). A dimension beyond the limit is met by the fact's
