@@ -55,8 +55,9 @@ def _rules(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column, Co
         S.DISCOUNT: ("in_range(0, 1)", lambda c: (c < 0) | (c > 1)),
     }
     rules = []
+    absent = set(absent_columns(df))
     for column, dtype, required in S.CONTRACT:
-        if column not in df.columns:
+        if column not in df.columns or column in absent:
             continue
         c = _q(column)
         raw_bad = F.try_element_at(F.col(PARSE_ERRORS), F.lit(column)) if has_parse else None
@@ -75,17 +76,40 @@ def _rules(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column, Co
     return rules
 
 
+def absent_columns(df: DataFrame) -> list[str]:
+    """Contract columns the reader found missing from the file header (schema metadata)."""
+    if S.ORDINAL not in df.columns:
+        return []
+    return list(df.schema[S.ORDINAL].metadata.get("missing_columns", []))
+
+
+def _absent_cases(df: DataFrame) -> DataFrame | None:
+    """One failure case per absent column (bounded by the contract's size), or None."""
+    absent = absent_columns(df)
+    if not absent:
+        return None
+    return df.sparkSession.createDataFrame(
+        [(c, "column_in_dataframe", c) for c in absent],
+        "column_name string, check_name string, failure_case string")
+
+
 def contract_failures(df: DataFrame, contract: Contract = Contract()) -> DataFrame:
-    """Every failure case: one row per (line, broken rule), with the line's ordinal when present."""
+    """Every failure case: one row per (line, broken rule), with the line's ordinal when present.
+
+    A contract column missing from the file is one case of its own (no ordinal),
+    not a NULL failure on every line.
+    """
     cases = F.array(*[
         F.when(fails, F.struct(F.lit(col).alias("column_name"), F.lit(check).alias("check_name"),
                                case.alias("failure_case")))
         for col, check, fails, case in _rules(df, contract)
     ])
     keep = [F.col(S.ORDINAL)] if S.ORDINAL in df.columns else []
-    return (df.select(*keep, F.filter(cases, lambda x: x.isNotNull()).alias("_cases"))
+    rows = (df.select(*keep, F.filter(cases, lambda x: x.isNotNull()).alias("_cases"))
             .select(*keep, F.explode("_cases").alias("_c"))
             .select(*keep, "_c.column_name", "_c.check_name", "_c.failure_case"))
+    absent = _absent_cases(df)
+    return rows if absent is None else rows.unionByName(absent, allowMissingColumns=True)
 
 
 def schema_failures(df: DataFrame, contract: Contract = Contract()) -> DataFrame:
@@ -170,7 +194,8 @@ def quality_report(df: DataFrame, contract: Contract = Contract()) -> DataFrame:
     """
     ranges = _range_counters(df)
     counters = df.agg(
-        F.coalesce(F.sum(_failure_total(df, contract)), F.lit(0)).cast("long").alias("schema_failures"),
+        (F.coalesce(F.sum(_failure_total(df, contract)), F.lit(0)) + len(absent_columns(df)))
+        .cast("long").alias("schema_failures"),
         F.coalesce(F.sum(sum(F.when(missing(df, c), 1).otherwise(0) for c in S.CRITICAL_COLUMNS)), F.lit(0))
         .cast("long").alias("critical_nulls"),
         F.count_if(_ship_violation(df)).alias("ship_date_violations"),

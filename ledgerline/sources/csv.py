@@ -83,8 +83,10 @@ def read_orders_csv(spark: SparkSession, path: str | list[str], *, encoding: str
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("row"),
     )
+    # Contract columns absent from the header travel as schema metadata (no scan needed to read them).
+    header_meta = {"missing_columns": missing_columns(header)}
     text = raw.select(*[null_tokens_to_null(F.col(f"`{c}`"), null_tokens).alias(c) for c in header],
-                      F.col(CORRUPT), ordinal.alias(S.ORDINAL))
+                      F.col(CORRUPT), ordinal.alias(S.ORDINAL, metadata=header_meta))
 
     def rawcol(c: str) -> Column:
         return F.col(f"`{c}`") if c in header else F.lit(None).cast("string")

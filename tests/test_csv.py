@@ -70,6 +70,15 @@ def test_missing_columns(spark, workdir):
     assert "Customer ID" in missing_columns(csv_header(spark, path))
     df = read_orders_csv(spark, path)
     assert df.first()[S.CUSTOMER_ID] is None
+    fails = {(r.column_name, r.check_name): r.failure_count for r in quality.schema_failures(df).collect()}
+    assert fails[("Customer ID", "column_in_dataframe")] == 1
+    assert ("Customer ID", "not_nullable") not in fails          # reported once, not per line
+    assert ("Sales", "column_in_dataframe") not in fails
+    rep = quality.quality_report(df).first()
+    assert rep.schema_valid is False and rep.schema_failures == len(missing_columns(["Order ID", "Sales"]))
+    from ledgerline.plans.star import stage_source
+    staged, _ = stage_source(df, os.path.join(workdir, "staged"))       # metadata survives the Parquet copy
+    assert quality.absent_columns(staged) == quality.absent_columns(df) != []
 
 
 def test_malformed_lines_are_reported(spark, workdir):
