@@ -20,6 +20,7 @@ the grouping keys.
 from __future__ import annotations
 
 import datetime as _dt
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -171,10 +172,9 @@ def overall_kpis(star: Star) -> DataFrame:
 
 def discount_bucket(discount: Column) -> Column:
     """Bucket of a decimal discount; NULL falls through to the last bucket."""
-    from decimal import Decimal
-    return (F.when(discount == F.lit(Decimal("0.00")), S.BUCKET_NONE)
-            .when(discount <= F.lit(Decimal("0.10")), S.BUCKET_LOW)
-            .when(discount <= F.lit(Decimal("0.20")), S.BUCKET_MEDIUM)
+    return (F.when(discount == F.lit(Decimal(S.BUCKET_NONE_AT)), S.BUCKET_NONE)
+            .when(discount <= F.lit(Decimal(S.BUCKET_LOW_MAX)), S.BUCKET_LOW)
+            .when(discount <= F.lit(Decimal(S.BUCKET_MEDIUM_MAX)), S.BUCKET_MEDIUM)
             .otherwise(S.BUCKET_HIGH))
 
 

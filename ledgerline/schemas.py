@@ -55,11 +55,14 @@ DUPLICATE_KEY = [ORDER_ID, PRODUCT_ID, CUSTOMER_ID, ORDER_DATE]
 # Reconciliation tolerance for money totals, in currency units.
 RECON_TOLERANCE = 1.00
 
-# Discount buckets: upper bounds are inclusive, compared as decimals.
+# Discount buckets: labels and inclusive upper bounds, compared as decimals.
 BUCKET_NONE = "No Discount"
 BUCKET_LOW = "Low (1-10%)"
 BUCKET_MEDIUM = "Medium (11-20%)"
 BUCKET_HIGH = "High (>20%)"
+BUCKET_NONE_AT = "0.00"
+BUCKET_LOW_MAX = "0.10"
+BUCKET_MEDIUM_MAX = "0.20"
 
 # Column length limits of the star schema (VARCHAR(n)).
 LENGTH_LIMITS = {
