@@ -14,6 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..config import join_path, new_run_id, warehouse_dir
 from . import marts, quality, reconcile
 from .star import Star, build_star, load_published, publish, stage_source
@@ -84,7 +85,7 @@ def run_etl(spark: SparkSession, source: DataFrame, base: str | None = None,
                      stage_sec=stages)
 
 
-def register_views(spark: SparkSession, star: Star, prefix: str = "vw_") -> list[str]:
+def register_views(spark: SparkSession, star: Star, prefix: str = S.VIEW_PREFIX) -> list[str]:
     """Star tables and the nine views as temporary views, for ``spark.sql`` users."""
     names = []
     for table, df in star.tables.items():

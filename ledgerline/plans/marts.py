@@ -134,14 +134,14 @@ def _top(df: DataFrame, keys: list[str], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def top_products(star: Star, n: int = 10) -> DataFrame:
+def top_products(star: Star, n: int = S.TOP_K) -> DataFrame:
     """Top ``n`` product names by sales (ids sharing a name, category and sub-category merge)."""
     keys = ["product_name", "category", "sub_category"]
     agg = rollup_by_dimension(star, "dim_product", "product_key", keys, ("sales", "profit", "quantity"))
     return _top(agg, keys, n)
 
 
-def top_customers(star: Star, n: int = 10) -> DataFrame:
+def top_customers(star: Star, n: int = S.TOP_K) -> DataFrame:
     keys = ["customer_name", "segment"]
     agg = rollup_by_dimension(star, "dim_customer", "customer_key", keys, ("lines", "sales", "profit"))
     return _top(agg, keys, n)
@@ -256,31 +256,30 @@ def category_tree(star: Star) -> DataFrame:
 def kpi_cards(star: Star) -> DataFrame:
     """The eight KPI card texts, one row per card."""
     k = overall_kpis(star)
-    cards = [
-        ("Total Sales", dollars(F.col("total_sales"))),
-        ("Total Profit", dollars(F.col("total_profit"))),
-        ("Total Orders", thousands(F.col("total_orders"))),
-        ("Profit Margin", percent_text(F.col("profit_margin_pct"))),
-        ("Avg Order Value", dollars(F.col("avg_order_value"), 2)),
-        ("Total Quantity", thousands(F.col("total_quantity"))),
-        ("Unique Customers", thousands(F.col("unique_customers"))),
-        ("Unique Products", thousands(F.col("unique_products"))),
+    values = [
+        dollars(F.col("total_sales")),
+        dollars(F.col("total_profit")),
+        thousands(F.col("total_orders")),
+        percent_text(F.col("profit_margin_pct")),
+        dollars(F.col("avg_order_value"), 2),
+        thousands(F.col("total_quantity")),
+        thousands(F.col("unique_customers")),
+        thousands(F.col("unique_products")),
     ]
+    cards = list(zip(S.KPI_CARD_LABELS, values))
     arr = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(lbl).alias("label"), v.alias("value"))
                     for i, (lbl, v) in enumerate(cards, start=1)])
     return k.select(F.inline(arr))
 
 
 def top_products_display(star: Star) -> DataFrame:
-    return top_products(star).select(
-        F.col("product_name").alias("Product"), F.col("category").alias("Category"),
-        dollars(F.col("total_sales")).alias("Sales"), dollars(F.col("total_profit")).alias("Profit"))
+    cols = [F.col("product_name"), F.col("category"), dollars(F.col("total_sales")), dollars(F.col("total_profit"))]
+    return top_products(star).select(*[c.alias(h) for c, h in zip(cols, S.TOP_PRODUCTS_HEADERS)])
 
 
 def top_customers_display(star: Star) -> DataFrame:
-    return top_customers(star).select(
-        F.col("customer_name").alias("Customer"), F.col("segment").alias("Segment"),
-        F.col("total_orders").alias("Orders"), dollars(F.col("total_sales")).alias("Sales"))
+    cols = [F.col("customer_name"), F.col("segment"), F.col("total_orders"), dollars(F.col("total_sales"))]
+    return top_customers(star).select(*[c.alias(h) for c, h in zip(cols, S.TOP_CUSTOMERS_HEADERS)])
 
 
 # ---------------------------------------------------------------------------

@@ -13,34 +13,28 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 
-_METRICS = [
-    (1, "Total Sales", "money"),
-    (2, "Total Profit", "money"),
-    (3, "Total Orders", "count"),
-    (4, "Total Quantity", "count"),
-]
+# (position, metric, kind): money matches within the tolerance, counts exactly.
+_METRICS = [(i + 1, name, "money" if i < 2 else "count") for i, name in enumerate(S.RECON_METRICS)]
 _VALUE = "decimal(38,4)"
 
 
 def source_metrics(src: DataFrame) -> DataFrame:
+    """The four source totals, one row, in ``RECON_METRICS`` order."""
     def q(c):
         return F.col(f"`{c}`")
-    return src.agg(
-        F.coalesce(F.sum(q(S.SALES)), F.lit(0)).cast(_VALUE).alias("Total Sales"),
-        F.coalesce(F.sum(q(S.PROFIT)), F.lit(0)).cast(_VALUE).alias("Total Profit"),
-        F.count(F.lit(1)).cast(_VALUE).alias("Total Orders"),
-        F.coalesce(F.sum(q(S.QUANTITY)), F.lit(0)).cast(_VALUE).alias("Total Quantity"),
-    )
+    values = [
+        F.coalesce(F.sum(q(S.SALES)), F.lit(0)),
+        F.coalesce(F.sum(q(S.PROFIT)), F.lit(0)),
+        F.count(F.lit(1)),
+        F.coalesce(F.sum(q(S.QUANTITY)), F.lit(0)),
+    ]
+    return src.agg(*[v.cast(_VALUE).alias(n) for v, n in zip(values, S.RECON_METRICS)])
 
 
 def store_metrics(fact: DataFrame) -> DataFrame:
     """The additive columns of the overall-KPI view of the stored fact (one pass, no distincts)."""
-    return fact.agg(
-        F.sum("sales").cast(_VALUE).alias("Total Sales"),
-        F.sum("profit").cast(_VALUE).alias("Total Profit"),
-        F.count(F.lit(1)).cast(_VALUE).alias("Total Orders"),
-        F.sum("quantity").cast(_VALUE).alias("Total Quantity"),
-    )
+    values = [F.sum("sales"), F.sum("profit"), F.count(F.lit(1)), F.sum("quantity")]
+    return fact.agg(*[v.cast(_VALUE).alias(n) for v, n in zip(values, S.RECON_METRICS)])
 
 
 def reconciliation(src: DataFrame, fact: DataFrame, tolerance: float = S.RECON_TOLERANCE) -> DataFrame:

@@ -64,6 +64,23 @@ BUCKET_NONE_AT = "0.00"
 BUCKET_LOW_MAX = "0.10"
 BUCKET_MEDIUM_MAX = "0.20"
 
+# KPI card labels, in card order.
+KPI_CARD_LABELS = [
+    "Total Sales", "Total Profit", "Total Orders", "Profit Margin",
+    "Avg Order Value", "Total Quantity", "Unique Customers", "Unique Products",
+]
+
+# Headers of the two display tables.
+TOP_PRODUCTS_HEADERS = ["Product", "Category", "Sales", "Profit"]
+TOP_CUSTOMERS_HEADERS = ["Customer", "Segment", "Orders", "Sales"]
+
+# Reconciliation metrics, in report order.
+RECON_METRICS = ["Total Sales", "Total Profit", "Total Orders", "Total Quantity"]
+
+# Name prefix of the published views; number of rows in the top-k views.
+VIEW_PREFIX = "vw_"
+TOP_K = 10
+
 # Column length limits of the star schema (VARCHAR(n)).
 LENGTH_LIMITS = {
     "dim_customer": {"customer_id": 20, "customer_name": 100, "segment": 50},
