@@ -141,3 +141,23 @@ def test_large_dimension_paths_match_broadcast_paths(spark):
         assert k == marts.filtered_kpis(small, regions=["ASIA"], date_from="1996-01-01").first()
     finally:
         spark.conf.unset(BROADCAST_ROWS_CONF)
+
+
+def test_display_formats_match_python(spark):
+    from ledgerline.functions.text import dollars, percent_text, thousands
+
+    rnd = random.Random(21)
+    values = [Decimal(rnd.randint(-10**12, 10**12)).scaleb(-2) for _ in range(2000)]
+    values += [Decimal("0.50"), Decimal("1.50"), Decimal("2.50"), Decimal("-0.50"), Decimal("1234.5"),
+               Decimal("999.995"), Decimal("0.00")]
+    counts = [rnd.randint(0, 10**10) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v decimal(22,3)")
+    got = df.select("v", dollars(F.col("v")).alias("d0"), dollars(F.col("v"), 2).alias("d2"),
+                    percent_text(F.round(F.col("v"), 2).cast("decimal(20,2)")).alias("p")).collect()
+    for r in got:
+        assert r.d0 == f"${r.v:,.0f}", r.v
+        assert r.d2 == f"${r.v:,.2f}", r.v
+        assert r.p == f"{r.v.quantize(Decimal('0.01'), rounding=ROUND_HALF_UP)}%", r.v
+    cdf = spark.createDataFrame([(c,) for c in counts], "c long")
+    for r in cdf.select("c", thousands(F.col("c")).alias("t")).collect():
+        assert r.t == f"{r.c:,}"
