@@ -9,8 +9,8 @@ shared checkpoint folder so that the per-partition counts and the numbering
 see the same partitioning, and so a lost executor does not renumber rows.
 
 The only data that reaches the driver is one count per partition (bounded by
-the partition count, never by the data); the offsets go back as a literal
-array, so numbering is a narrow projection with no join.
+the partition count, never by the data); the running offsets go back as a
+broadcast frame of one row per partition, joined on the partition index.
 
 The result equals ``row_number() over (order by natural key)``, so keys are
 the same on every re-run over the same data. ``with_dense_key`` uses that
@@ -28,6 +28,7 @@ from ..config import checkpoint_dir
 
 _PART = "_key_part"
 _MONO = "_key_mono"
+_OFFSET = "_key_offset"
 
 
 def with_surrogate_key(df: DataFrame, key_name: str, order_by: list[Column],
@@ -45,14 +46,14 @@ def with_surrogate_key(df: DataFrame, key_name: str, order_by: list[Column],
         F.monotonically_increasing_id().alias(_MONO),
     ).checkpoint(eager=True)
 
-    sizes = dict(tagged.groupBy(_PART).count().collect())
-    counts = [int(sizes.get(p, 0)) for p in range(max(sizes, default=-1) + 1)]
-    offsets = [0] + list(accumulate(counts))[:-1]
+    sizes = sorted((int(p), int(n)) for p, n in tagged.groupBy(_PART).count().collect())
+    starts = [0] + list(accumulate(n for _, n in sizes))[:-1]
+    offsets = spark.createDataFrame([(p, s) for (p, _), s in zip(sizes, starts)],
+                                    f"{_PART} int, {_OFFSET} long")
 
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PART) + 1)
     position = F.col(_MONO) - F.shiftleft(F.col(_PART).cast("long"), 33)
-    key = (offset + position + F.lit(1)).cast("long").alias(key_name)
-    return tagged.select(key, *[F.col(f"`{c}`") for c in df.columns])
+    key = (F.col(_OFFSET) + position + F.lit(1)).cast("long").alias(key_name)
+    return tagged.join(F.broadcast(offsets), _PART).select(key, *[F.col(f"`{c}`") for c in df.columns])
 
 
 def with_dense_key(df: DataFrame, key_name: str, order_by: list[Column], rows: int | None,
