@@ -18,7 +18,7 @@ BROADCAST_BYTES_CONF = "ledgerline.broadcast.maxBytes"
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 SINGLE_TASK_KEYS_CONF = "ledgerline.keys.singleTaskMaxRows"
-DEFAULT_SINGLE_TASK_KEYS = 1_000_000
+DEFAULT_SINGLE_TASK_KEYS = 100_000
 
 
 def build_session(master: str | None = None, app_name: str = "ledgerline",
