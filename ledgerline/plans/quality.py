@@ -135,8 +135,9 @@ def missing(df: DataFrame, column: str) -> Column:
 
 
 def null_counts(df: DataFrame) -> DataFrame:
-    """NULLs per column, one row per column (a single aggregate, unpivoted)."""
-    cols = public_columns(df)
+    """NULLs per column present in the source, one row per column (a single aggregate, unpivoted)."""
+    absent = set(absent_columns(df))
+    cols = [c for c in public_columns(df) if c not in absent]
     wide = df.agg(*[F.count_if(missing(df, c)).alias(c) for c in cols])
     return wide.unpivot([], [_q(c) for c in cols], "column_name", "null_count")
 

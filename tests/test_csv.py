@@ -74,6 +74,7 @@ def test_missing_columns(spark, workdir):
     assert fails[("Customer ID", "column_in_dataframe")] == 1
     assert ("Customer ID", "not_nullable") not in fails          # reported once, not per line
     assert ("Sales", "column_in_dataframe") not in fails
+    assert {r.column_name for r in quality.null_counts(df).collect()} == {"Order ID", "Sales"}
     rep = quality.quality_report(df).first()
     assert rep.schema_valid is False and rep.schema_failures == len(missing_columns(["Order ID", "Sales"]))
     from ledgerline.plans.star import stage_source
