@@ -76,11 +76,16 @@ def _rules(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column, Co
     return rules
 
 
-def absent_columns(df: DataFrame) -> list[str]:
-    """Contract columns the reader found missing from the file header (schema metadata)."""
+def absent_columns(df: DataFrame, contract_only: bool = True) -> list[str]:
+    """Columns the reader found missing from the file header (schema metadata).
+
+    ``contract_only``: only columns of the contract (each is one failure case);
+    otherwise every source column the reader had to fill with NULL.
+    """
     if S.ORDINAL not in df.columns:
         return []
-    return list(df.schema[S.ORDINAL].metadata.get("missing_columns", []))
+    key = "missing_columns" if contract_only else "absent_columns"
+    return list(df.schema[S.ORDINAL].metadata.get(key, []))
 
 
 def _absent_cases(df: DataFrame) -> DataFrame | None:
@@ -136,7 +141,7 @@ def missing(df: DataFrame, column: str) -> Column:
 
 def null_counts(df: DataFrame) -> DataFrame:
     """NULLs per column present in the source, one row per column (a single aggregate, unpivoted)."""
-    absent = set(absent_columns(df))
+    absent = set(absent_columns(df, contract_only=False))
     cols = [c for c in public_columns(df) if c not in absent]
     wide = df.agg(*[F.count_if(missing(df, c)).alias(c) for c in cols])
     return wide.unpivot([], [_q(c) for c in cols], "column_name", "null_count")

@@ -84,7 +84,8 @@ def read_orders_csv(spark: SparkSession, path: str | list[str], *, encoding: str
         F.monotonically_increasing_id().alias("row"),
     )
     # Contract columns absent from the header travel as schema metadata (no scan needed to read them).
-    header_meta = {"missing_columns": missing_columns(header)}
+    header_meta = {"missing_columns": missing_columns(header),
+                   "absent_columns": [c for c in S.SOURCE_COLUMNS if c not in header]}
     text = raw.select(*[null_tokens_to_null(F.col(f"`{c}`"), null_tokens).alias(c) for c in header],
                       F.col(CORRUPT), ordinal.alias(S.ORDINAL, metadata=header_meta))
 
