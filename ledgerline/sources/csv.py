@@ -71,6 +71,7 @@ def read_orders_csv(spark: SparkSession, path: str | list[str], *, encoding: str
     raw = (spark.read
            .schema(text_schema)
            .option("header", True)
+           .option("enforceSchema", False)   # every file's header must match the first file's
            .option("encoding", encoding)
            .option("quote", '"')
            .option("escape", '"')

@@ -125,3 +125,15 @@ def test_multiline_fields(spark, workdir):
         f.write('1,O-1,1/1/2020,1/2/2020,S,C-1,"two\nlines",Consumer,US,X,Y,1,East,P,Furniture,S,N,1,1,0,1\n')
     rows = read_orders_csv(spark, path, multiline=True).collect()
     assert len(rows) == 1 and rows[0][S.CUSTOMER_NAME] == "two\nlines" and rows[0]["_corrupt_record"] is None
+
+
+def test_files_with_different_headers_are_rejected(spark, workdir):
+    import pytest as _pytest
+    d = os.path.join(workdir, "mixed")
+    os.makedirs(d)
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write("Order ID,Sales\nA,1\n")
+    with open(os.path.join(d, "b.csv"), "w") as f:
+        f.write("Sales,Order ID\n2,B\n")
+    with _pytest.raises(Exception):
+        read_orders_csv(spark, d).collect()
