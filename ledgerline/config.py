@@ -47,41 +47,52 @@ def build_session(master: str | None = None, app_name: str = "ledgerline",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of this session, set up if needed.
+_LOCAL_FALLBACK: dict[str, str] = {}
+
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one; falls back to a
-    fresh local folder only when the setting is absent and the master is local
-    (tests). On a cluster without the setting it refuses to run.
+def shared_root(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Falls back to one fresh local folder per process only when the setting is
+    absent and the master is local (tests). On a cluster without the setting it
+    refuses to run.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         try:
             configured = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key
             configured = None
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
-                               "(checkpoints and the star's tables are written there)")
-        configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")   # single machine only (tests)
-    sc.setCheckpointDir(configured)
+    if configured:
+        return configured.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+                           "(checkpoints and the star's tables are written there)")
+    if "dir" not in _LOCAL_FALLBACK:
+        _LOCAL_FALLBACK["dir"] = tempfile.mkdtemp(prefix="ledgerline-shared-")   # single machine only
+    return _LOCAL_FALLBACK["dir"]
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """This application's checkpoint folder (Spark adds a per-application subfolder)."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    sc.setCheckpointDir(shared_root(spark))
     return sc.getCheckpointDir()
 
 
 def warehouse_dir(spark: SparkSession) -> str:
-    """Root folder for materialised star tables and marts."""
+    """Root folder for materialised star tables and marts (shared by all applications)."""
     try:
         configured = spark.conf.get(WAREHOUSE_CONF)
     except Exception:  # noqa: BLE001
         configured = None
     if configured:
         return configured.rstrip("/")
-    return checkpoint_dir(spark).rstrip("/") + "/warehouse"
+    return shared_root(spark) + "/ledgerline-warehouse"
 
 
 def _conf_int(spark: SparkSession, key: str, default: int) -> int:
@@ -112,6 +123,6 @@ def join_path(*parts: str) -> str:
 
 
 __all__ = [
-    "build_session", "checkpoint_dir", "warehouse_dir", "broadcast_limit", "single_task_key_rows",
+    "build_session", "shared_root", "checkpoint_dir", "warehouse_dir", "broadcast_limit", "single_task_key_rows",
     "new_run_id", "join_path",
 ]

@@ -15,6 +15,7 @@ broadcast bounds without scanning.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import threading
@@ -148,15 +149,59 @@ _STARS: dict[tuple[str, str], Star] = {}
 _STARS_LOCK = threading.Lock()
 
 
+_TABLES_USED = ["lineitem", "orders", "customer", "nation", "region", "part"]
+
+
+def _fingerprint(sf_dir: str) -> str | None:
+    """Identity of (input files, library code), or None when the inputs are not local files.
+
+    Input files contribute path, size and modification time; the library
+    contributes the hash of every one of its source files, so a change to either
+    means a new build.
+    """
+    h = hashlib.sha256()
+    for t in _TABLES_USED:
+        path = os.path.join(sf_dir, f"{t}.parquet")
+        if not os.path.exists(path):
+            return None
+        files = [path] if os.path.isfile(path) else sorted(
+            os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs)
+        for f in files:
+            st = os.stat(f)
+            h.update(f"{f}|{st.st_size}|{st.st_mtime_ns}\n".encode())
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for d, _, fs in sorted(os.walk(package)):
+        for f in sorted(fs):
+            if f.endswith(".py"):
+                with open(os.path.join(d, f), "rb") as fh:
+                    h.update(fh.read())
+    return h.hexdigest()[:20]
+
+
 def star_for_tables(spark: SparkSession, sf_dir: str) -> Star:
-    """The star built from the test tables in ``sf_dir``, built once per session."""
+    """The star built from the test tables in ``sf_dir``: built once, then reused.
+
+    Within a session the handles are kept in memory. Across sessions a build is
+    published under the shared warehouse folder, keyed by ``_fingerprint``; a
+    later session loads it instead of rebuilding (same tables, same keys).
+    """
     from ..sources.tables import read_tables_source
 
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     with _STARS_LOCK:
         star = _STARS.get(key)
         if star is None:
-            star = build_star(spark, read_tables_source(spark, sf_dir))
+            fp = _fingerprint(os.path.abspath(sf_dir))
+            base = join_path(warehouse_dir(spark), "tables", fp) if fp else None
+            if base is not None:
+                try:
+                    star = load_published(spark, base)
+                except Exception:  # noqa: BLE001 - nothing published yet (or unreadable): build
+                    star = None
+            if star is None:
+                star = build_star(spark, read_tables_source(spark, sf_dir))
+                if base is not None:
+                    publish(spark, star, base)
             _STARS[key] = star
     return star
 

@@ -196,3 +196,14 @@ def test_empty_source_builds_empty_star(spark):
     assert marts.discount_impact(st).count() == 0
     f = marts.freshness(st, include_refreshed=False).first()
     assert f.latest_order_date is None and f.total_records == 0
+
+
+def test_star_for_tables_reuses_published_build(spark):
+    from ledgerline.plans.star import forget_stars, star_for_tables
+    sf = "/root/testdata/sf0.001"
+    first = star_for_tables(spark, sf)
+    forget_stars()                                   # as a new session would start
+    again = star_for_tables(spark, sf)
+    assert again.root == first.root
+    assert again.counts == {k: v for k, v in first.counts.items() if k in again.counts}
+    assert sorted(again.tables["dim_product"].collect()) == sorted(first.tables["dim_product"].collect())
