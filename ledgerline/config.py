@@ -7,6 +7,7 @@ nothing is configured (unit tests on a laptop).
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -19,6 +20,8 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 SINGLE_TASK_KEYS_CONF = "ledgerline.keys.singleTaskMaxRows"
 DEFAULT_SINGLE_TASK_KEYS = 100_000
+ROWS_PER_PARTITION_CONF = "ledgerline.shuffle.rowsPerPartition"
+DEFAULT_ROWS_PER_PARTITION = 2_000_000
 
 
 def build_session(master: str | None = None, app_name: str = "ledgerline",
@@ -114,6 +117,28 @@ def single_task_key_rows(spark: SparkSession) -> int:
     return _conf_int(spark, SINGLE_TASK_KEYS_CONF, DEFAULT_SINGLE_TASK_KEYS)
 
 
+def shuffle_partitions_for(spark: SparkSession, rows: int) -> int:
+    """Shuffle partitions for a job over ``rows`` source lines: never fewer than configured.
+
+    AQE can merge small shuffle partitions but cannot add any, so the initial
+    count must cover the largest shuffle (about ``rowsPerPartition`` lines each).
+    """
+    per = max(1, _conf_int(spark, ROWS_PER_PARTITION_CONF, DEFAULT_ROWS_PER_PARTITION))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(current, -(-rows // per))
+
+
+@contextlib.contextmanager
+def shuffle_partitions(spark: SparkSession, n: int):
+    """Run a block with ``spark.sql.shuffle.partitions = n``; the previous value is restored."""
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
+
+
 def new_run_id() -> str:
     return uuid.uuid4().hex[:12]
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..config import join_path, new_run_id, warehouse_dir
+from ..config import join_path, new_run_id, shuffle_partitions, shuffle_partitions_for, warehouse_dir
 from . import marts, quality, reconcile
 from .star import Star, build_star, load_published, publish, stage_source
 
@@ -54,27 +54,29 @@ def run_etl(spark: SparkSession, source: DataFrame, base: str | None = None,
     t = started
     staged, source_stats = stage_source(source, root)
     t = mark("extract", t)
-    # The quality report and the star build both read the staged source and do
-    # not depend on each other: run them as concurrent jobs.
-    with ThreadPoolExecutor(max_workers=1) as pool:
-        pending = pool.submit(lambda: quality.quality_report(staged, contract).first().asDict())
-        star = build_star(spark, staged, root=root, stage=False)
-        report = pending.result()
-    star.stats["source"] = source_stats
-    t = mark("quality_dimensions_fact", t)
-    # Reconciliation, optional mart writes and publication only read the written
-    # tables and do not depend on each other (the run is published whatever the
-    # reconciliation finds, as the reference loads before it reconciles).
-    with ThreadPoolExecutor(max_workers=3) as pool:
-        recon_job = pool.submit(lambda: [r.asDict() for r in reconcile.reconciliation(staged, star.fact)
-                                         .orderBy("position").collect()])
-        marts_job = pool.submit(marts.materialise, star) if materialise_marts else None
-        if marts_job is not None:
-            marts_job.result()          # marts are part of the run: written before it is published
-        if publish_run:
-            publish(spark, star, base)
-        recon = recon_job.result()
-    mark("reconcile_publish", t)
+    # Shuffles of this run are sized from the measured source (setting restored afterwards).
+    with shuffle_partitions(spark, shuffle_partitions_for(spark, source_stats.rows)):
+        # The quality report and the star build both read the staged source and
+        # do not depend on each other: run them as concurrent jobs.
+        with ThreadPoolExecutor(max_workers=1) as pool:
+            pending = pool.submit(lambda: quality.quality_report(staged, contract).first().asDict())
+            star = build_star(spark, staged, root=root, stage=False)
+            report = pending.result()
+        star.stats["source"] = source_stats
+        t = mark("quality_dimensions_fact", t)
+        # Reconciliation, optional mart writes and publication only read the
+        # written tables and do not depend on each other (the run is published
+        # whatever the reconciliation finds, as the reference loads first).
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            recon_job = pool.submit(lambda: [r.asDict() for r in reconcile.reconciliation(staged, star.fact)
+                                             .orderBy("position").collect()])
+            marts_job = pool.submit(marts.materialise, star) if materialise_marts else None
+            if marts_job is not None:
+                marts_job.result()          # marts are part of the run: written before it is published
+            if publish_run:
+                publish(spark, star, base)
+            recon = recon_job.result()
+        mark("reconcile_publish", t)
     elapsed = time.time() - started
     all_passed = all(r["matched"] for r in recon)
     summary = spark.createDataFrame(

@@ -90,3 +90,17 @@ def test_broadcast_only_under_limit(spark):
     assert broadcast_if_small(small, 3) is not small      # hinted copy
     assert broadcast_if_small(small, 2) is small          # over the limit: left to the planner
     assert broadcast_if_small(small, 10, known_rows=11) is small
+
+
+def test_shuffle_partitions_sizing(spark):
+    from ledgerline.config import ROWS_PER_PARTITION_CONF, shuffle_partitions, shuffle_partitions_for
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert shuffle_partitions_for(spark, 10) == current                      # never fewer than configured
+    spark.conf.set(ROWS_PER_PARTITION_CONF, "100")
+    try:
+        assert shuffle_partitions_for(spark, 100 * current * 3 + 1) == current * 3 + 1
+    finally:
+        spark.conf.unset(ROWS_PER_PARTITION_CONF)
+    with shuffle_partitions(spark, current + 5):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(current + 5)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == str(current)
