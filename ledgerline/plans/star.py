@@ -15,6 +15,7 @@ broadcast bounds without scanning.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import json
 import os
@@ -27,7 +28,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..config import broadcast_limit, join_path, new_run_id, single_task_key_rows, warehouse_dir
+from ..config import (broadcast_limit, join_path, new_run_id, shuffle_partitions, shuffle_partitions_for,
+                      single_task_key_rows, warehouse_dir)
 from ..operators.lookup import BroadcastLimit, TableStats, stats_from_metrics, stats_metrics
 from .dims import ROW_BUILDERS, keyed_measured
 from .fact import fact_rows, with_order_key
@@ -102,16 +104,20 @@ def build_star(spark: SparkSession, src: DataFrame, root: str | None = None,
         df, st = write_observed(keyed, join_path(root, name), name)
         return name, df, st
 
-    # The four dimensions are independent jobs over the staged source; submitted
-    # together, the scheduler fills cores a small stage of one would leave idle.
-    with ThreadPoolExecutor(max_workers=len(DIMENSIONS)) as pool:
-        for name, df, st in pool.map(one, DIMENSIONS):
-            tables[name], stats[name] = df, st
-    # Sorted by order date key inside each write task (no shuffle): row groups carry
-    # tight min/max date keys, so date-range reads skip most of the fact.
-    fact = with_order_key(fact_rows(source, tables, stats, limit)).sortWithinPartitions("order_date_key")
-    tables["fact_orders"], stats["fact_orders"] = write_observed(fact, join_path(root, "fact_orders"), "fact",
-                                                                 text_bytes=False)
+    # Shuffles sized from the measured source when this call staged it (run_etl does its own).
+    sizing = (shuffle_partitions(spark, shuffle_partitions_for(spark, stats["source"].rows))
+              if "source" in stats else contextlib.nullcontext())
+    with sizing:
+        # The four dimensions are independent jobs over the staged source; submitted
+        # together, the scheduler fills cores a small stage of one would leave idle.
+        with ThreadPoolExecutor(max_workers=len(DIMENSIONS)) as pool:
+            for name, df, st in pool.map(one, DIMENSIONS):
+                tables[name], stats[name] = df, st
+        # Sorted by order date key inside each write task (no shuffle): row groups carry
+        # tight min/max date keys, so date-range reads skip most of the fact.
+        fact = with_order_key(fact_rows(source, tables, stats, limit)).sortWithinPartitions("order_date_key")
+        tables["fact_orders"], stats["fact_orders"] = write_observed(
+            fact, join_path(root, "fact_orders"), "fact", text_bytes=False)
     return Star(root=root, source=source, tables=tables, stats=stats, limit=limit)
 
 
