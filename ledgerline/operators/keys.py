@@ -13,15 +13,16 @@ the partition count, never by the data); the running offsets go back as a
 broadcast frame of one row per partition, joined on the partition index.
 
 The result equals ``row_number() over (order by natural key)``, so keys are
-the same on every re-run over the same data. ``with_dense_key`` uses that
-single window directly when a measured row count proves the input small.
+the same on every re-run over the same data. ``with_dense_key`` numbers a
+single sorted partition instead when a measured row count proves the input
+small.
 """
 
 from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import checkpoint_dir
@@ -62,11 +63,13 @@ def with_dense_key(df: DataFrame, key_name: str, order_by: list[Column], rows: i
 
     When ``rows`` (measured, e.g. by the Observation of the write that produced
     ``df``) is within ``single_task_max_rows``, one sorted task numbers the rows
-    with ``row_number()`` -- the bound is proven, and it saves the range
-    sampling, staging and offset jobs. Otherwise, or when the count is unknown,
+    in key order (as ``row_number()`` would) -- the bound is proven, and it
+    saves the range sampling, staging and offset jobs. Otherwise, or when the count is unknown,
     the distributed numbering above. Both give identical keys.
     """
     if rows is not None and rows <= single_task_max_rows:
-        numbered = F.row_number().over(Window.orderBy(*order_by)).cast("long").alias(key_name)
-        return df.select(numbered, *[F.col(f"`{c}`") for c in df.columns])
+        # One partition, sorted: its row ids are 0..n-1 in key order (same keys as row_number()).
+        one = df.coalesce(1).sortWithinPartitions(*order_by)
+        key = (F.monotonically_increasing_id() + F.lit(1)).cast("long").alias(key_name)
+        return one.select(key, *[F.col(f"`{c}`") for c in df.columns])
     return with_surrogate_key(df, key_name, order_by, num_partitions)

@@ -223,9 +223,9 @@ def category_totals(star: Star) -> DataFrame:
 
 
 def region_share(star: Star) -> DataFrame:
-    """Each region's share of sales, in percent (the pie chart). Window runs over region rows only."""
+    """Each region's share of sales, in percent (the pie chart); the total is a scalar subquery."""
     by_region = sales_by_region(star).select("region", "total_sales")
-    total = F.sum("total_sales").over(Window.partitionBy())
+    total = by_region.agg(F.sum("total_sales")).scalar()
     return by_region.select("region", "total_sales",
                             rounded_ratio(F.col("total_sales"), total, digits=2, factor=100).alias("share_pct"))
 

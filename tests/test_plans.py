@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 
 # Windows are allowed only over aggregated rows of a small domain.
-BOUNDED_WINDOWS = {"region_share", "month_over_month"}
+BOUNDED_WINDOWS = {"month_over_month"}
 
 
 def _plan(spark, name: str) -> str:
