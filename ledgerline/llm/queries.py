@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing
+from . import bpe, exact_dedup, packing, winnow
 from .common import table
 
 #: Tokenizer file that the queries use.
@@ -18,12 +18,27 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(spark, table(spark, sf_dir, "documents"))
+
+
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.edited_fingerprints(spark, table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe_round_trip, op6_packing)
+    f.__name__: f for f in (op2_bpe_round_trip, op4_exact_dedup, op6_packing, op9_winnowing)
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
+               count(*) OVER (PARTITION BY text_sha256) AS group_size,
+               row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+               text_sha256
+        FROM (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)""",
+}
