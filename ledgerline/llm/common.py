@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -16,7 +17,16 @@ from ..config import checkpoint_dir, shared_root
 SLICE_CHARS = 1 << 20
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers that share this machine's files import the package from where the driver did."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -7,13 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, packing, winnow
+from . import bpe, exact_dedup, packing, toxicity, winnow
 from .common import table
 
 #: Tokenizer file that the queries use.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(spark, docs, toxicity.train(spark, docs, table(spark, sf_dir, "labels")))
+
+
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -31,7 +36,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe_round_trip, op4_exact_dedup, op6_packing, op9_winnowing)
+    f.__name__: f for f in (op1_toxicity, op2_bpe_round_trip, op4_exact_dedup, op6_packing, op9_winnowing)
 }
 
 SQL: dict[str, str] = {
