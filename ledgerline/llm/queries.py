@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, packing, toxicity, winnow
+from . import bpe, exact_dedup, packing, quality, toxicity, winnow
 from .common import table
 
 #: Tokenizer file that the queries use.
@@ -35,8 +35,13 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.train(spark, docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_bpe_round_trip, op4_exact_dedup, op6_packing, op9_winnowing)
+    f.__name__: f for f in (op1_toxicity, op2_bpe_round_trip, op4_exact_dedup, op6_packing, op7_quality, op9_winnowing)
 }
 
 SQL: dict[str, str] = {
