@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, packing, quality, toxicity, winnow
+from . import bpe, exact_dedup, near_dup, packing, quality, toxicity, winnow
 from .common import table
 
 #: Tokenizer file that the queries use.
@@ -31,6 +31,11 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.edited_fingerprints(spark, table(spark, sf_dir, "documents"))
 
 
+def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return near_dup.near_classes(spark, docs).select("doc_id", "class_id", "class_size", "n_texts", "kept")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -41,7 +46,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_bpe_round_trip, op4_exact_dedup, op6_packing, op7_quality, op9_winnowing)
+    f.__name__: f for f in (op1_toxicity, op2_bpe_round_trip, op4_exact_dedup, op5_near_dup, op6_packing, op7_quality, op9_winnowing)
 }
 
 SQL: dict[str, str] = {
