@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, near_dup, packing, quality, toxicity, winnow
+from . import bpe, exact_dedup, near_dup, packing, quality, toxicity, warc, winnow
 from .common import table
 
 #: Tokenizer file that the queries use.
@@ -23,6 +23,10 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(spark, table(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_bpe_round_trip, op4_exact_dedup, op5_near_dup, op6_packing, op7_quality, op9_winnowing)
+    f.__name__: f for f in (op1_toxicity, op2_bpe_round_trip, op3_warc, op4_exact_dedup, op5_near_dup, op6_packing, op7_quality, op9_winnowing)
 }
 
 SQL: dict[str, str] = {
