@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, near_dup, packing, quality, toxicity, warc, winnow
+from . import bpe, exact_dedup, license_scan, line_dedup, near_dup, packing, quality, toxicity, warc, winnow
 from .common import table
 
 #: Tokenizer file that the queries use.
@@ -31,6 +32,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(spark, table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.clean_documents(spark, table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "removed_lines", F.sha2("text", 256).alias("clean_sha256"))
+
+
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.edited_fingerprints(spark, table(spark, sf_dir, "documents"))
 
@@ -49,8 +55,15 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, quality.train(spark, docs, table(spark, sf_dir, "labels")))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_documents(table(spark, sf_dir, "documents")).withColumn("licenses", F.concat_ws(",", "licenses"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_bpe_round_trip, op3_warc, op4_exact_dedup, op5_near_dup, op6_packing, op7_quality, op9_winnowing)
+    f.__name__: f for f in (
+        op1_toxicity, op2_bpe_round_trip, op3_warc, op4_exact_dedup, op5_near_dup, op6_packing, op7_quality,
+        op8_line_dedup, op9_winnowing, op10_license_scan,
+    )
 }
 
 SQL: dict[str, str] = {
@@ -60,4 +73,15 @@ SQL: dict[str, str] = {
                row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
                text_sha256
         FROM (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)""",
+    "op8_line_dedup": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, source FROM documents),
+             l AS (SELECT r, source, unnest(string_split(text, chr(10))) AS line,
+                          generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
+             b AS (SELECT trim(line) AS line FROM l WHERE length(trim(line)) >= {line_dedup.MIN_CHARS}
+                   GROUP BY 1 HAVING count(DISTINCT coalesce(source, chr(1))) >= {line_dedup.SITES}),
+             m AS (SELECT r, pos, l.line, b.line IS NOT NULL AS gone FROM l LEFT JOIN b ON trim(l.line) = b.line)
+        SELECT doc_id, n_lines, removed_lines, sha256(clean) AS clean_sha256
+        FROM d JOIN (SELECT r, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS removed_lines,
+                            coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS clean
+                     FROM m GROUP BY r) USING (r)""",
 }
