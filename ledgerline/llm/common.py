@@ -53,6 +53,15 @@ def doc_texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def wrapped(docs: DataFrame, **more) -> DataFrame:
+    """Each row as one struct ``r`` beside the columns ``more``, so that no name of ``docs`` can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"), *[c.alias(k) for k, c in more.items()])
+
+
+def text_of() -> F.Column:
+    return F.coalesce(F.col("text"), F.lit(""))
+
+
 def held_out(doc_id) -> F.Column:
     """The fixed fifth of rows that no classifier learns from: crc32 of the id's text mod 5 is 0."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))

@@ -1,9 +1,9 @@
 """Exact deduplication with a heavy-hitter split, in DataFrame operations only.
 
-A Misra-Gries summary (Spark's mergeable ``approx_top_k`` sketch) over the text
-digests names every digest that more than one row in ``TRACKED / 4`` has, and
-maybe some others. Their exact counts and winners are aggregated, and those that
-are frequent indeed (``TOP`` at most) are broadcast: rows of a frequent text are
+Misra-Gries summaries (Spark's mergeable ``approx_top_k`` sketch) of the text digests,
+one for each group of tasks, name every digest that one row in ``TRACKED / 4`` or more
+has, and maybe some others. Their exact counts and winners are aggregated, and those
+that are frequent indeed (``TOP`` at most) are broadcast: rows of a frequent text are
 decided where they are read and never shuffled. All other digests go through an
 ordinary shuffle, pre-aggregated.
 
@@ -18,14 +18,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import settled
+from .common import settled, text_of, wrapped
 
-#: Digests that the summary tracks: any with over (rows / TRACKED) * 4 rows is found.
-TRACKED = 4096
-#: Most digests broadcast.
-TOP = 512
-#: First-level summaries merged side by side.
-MERGERS = 32
+#: Digests that a summary tracks: any that fills a share of 4 / TRACKED of a group's rows is found.
+TRACKED = 2048
+#: Candidates taken from a summary: no more than TRACKED / 4 digests can have that share.
+TOP = TRACKED // 4
+#: Groups of tasks that have a summary each.
+GROUPS = 16
 #: A digest is frequent from this share of all rows on.
 FREQUENT_SHARE = 4 / TRACKED
 
@@ -33,16 +33,17 @@ _D, _R, _KEEP, _KEEP_ROW, _SIZE = "__digest", "__row", "__keep_id", "__keep_row"
 
 
 def text_digest() -> F.Column:
-    return F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    return F.sha2(text_of(), 256)
 
 
 def frequent_digests(rows: DataFrame, digest: str = _D) -> DataFrame:
-    """Candidates for frequent digests: ``TOP`` at most, from Misra-Gries summaries merged in two levels."""
-    level1 = rows.groupBy((F.spark_partition_id() % MERGERS).alias("m")).agg(
-        F.expr(f"approx_top_k_accumulate({digest}, {TRACKED})").alias("s"))
-    level2 = level1.agg(F.expr(f"approx_top_k_combine(s, {TRACKED})").alias("s"))
-    return (level2.select(F.explode(F.expr(f"approx_top_k_estimate(s, {TOP})")).alias("e"))
-            .select(F.col("e.item").alias(digest)).where(F.col(digest).isNotNull()))
+    """Candidates for frequent digests: ``GROUPS * TOP`` at most, from the Misra-Gries summary of each group of tasks.
+
+    A digest that is frequent among all rows is frequent in one of the groups at least.
+    """
+    by_group = rows.groupBy((F.spark_partition_id() % GROUPS).alias("g")).agg(
+        F.expr(f"approx_top_k({digest}, {TOP}, {TRACKED})").alias("top"))
+    return (by_group.select(F.explode("top.item").alias(digest)).where(F.col(digest).isNotNull()).distinct())
 
 
 def _winners(rows: DataFrame) -> DataFrame:
@@ -79,16 +80,14 @@ def drop_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     Losing rows of frequent texts are removed map-side; what is left is numbered per digest after one
     shuffle. Rows that repeat both a frequent text and its winning id are merged by a partial aggregate.
     """
-    names = docs.columns
-    plain = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()
-             and f.dataType.simpleString() != "variant"]
-    rows = docs.withColumn(_D, text_digest()).withColumn(_R, F.xxhash64(*[F.col(f"`{c}`") for c in plain]))
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields
+             if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    rows = wrapped(docs, doc_id=F.col("doc_id"), **{_D: text_digest(), _R: F.xxhash64(*plain)})
     frequent = settled(spark, _verified(rows.select("doc_id", _D, _R)))
     hot = (rows.join(F.broadcast(frequent.select(_D, _KEEP)), _D)
            .where(F.col("doc_id").eqNullSafe(F.col(_KEEP)))
-           .groupBy(_D).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in names]), _R).alias("r"))
-           .select("r.*"))
+           .groupBy(_D).agg(F.max_by("r", _R).alias("r")).select("r.*"))
     cold = rows.join(F.broadcast(frequent.select(_D)), _D, "left_anti")
     order = Window.partitionBy(_D).orderBy(F.col("doc_id").desc_nulls_last(), F.col(_R))
-    cold = cold.withColumn("__n", F.row_number().over(order)).where(F.col("__n") == 1)
-    return hot.unionAll(cold.select(*[F.col(f"`{c}`") for c in names]))
+    cold = cold.withColumn("n", F.row_number().over(order)).where(F.col("n") == 1).select("r.*")
+    return hot.unionAll(cold)

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import settled, slices, written
+from .common import settled, slices, text_of, wrapped, written
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 25, 5
@@ -80,7 +80,7 @@ def elements(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = BANDS * ROWS) -> np.ndarray:
     """ProbMinHash signature (the element in each register) of every non-empty set."""
-    sizes = np.array([len(s) for s, _ in sets])
+    sizes = np.array([len(s) for s, _ in sets], np.int64)
     element = np.concatenate([s for s, _ in sets]) if len(sets) else np.zeros(0, np.uint64)
     rate = np.concatenate([w for _, w in sets]) if len(sets) else np.zeros(0)
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -139,13 +139,13 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def _digest() -> F.Column:
-    return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))
+    return F.unhex(F.md5(text_of()))
 
 
 def _signed(docs: DataFrame) -> DataFrame:
     """``row, doc_id, digest, bands`` of every document."""
     src = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", _digest().alias("digest"),
-                      F.coalesce(F.col("text"), F.lit("")).alias("text"))
+                      text_of().alias("text"))
 
     def run(batches):
         for b in slices(batches):
@@ -203,7 +203,7 @@ def links(spark: SparkSession, docs: DataFrame, signed: DataFrame, nodes: DataFr
     shared = bands.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
     buckets = settled(spark, bands.join(shared.select("band", "leader"), "band"))
     wanted = buckets.select("node").distinct().join(nodes, "node").select("node", "digest")
-    texts = docs.select(_digest().alias("digest"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    texts = docs.select(_digest().alias("digest"), text_of().alias("text"))
     texts = written(spark, texts.join(wanted, "digest").dropDuplicates(["node"]).select("node", "text"), "near-texts")
     best = (buckets.where("node <> leader").groupBy("leader", "node").agg(F.count("*").alias("n"))
             .groupBy(F.col("node").alias("b")).agg(F.max_by("leader", F.col("n") * F.lit(1.0)).alias("a")))
@@ -259,9 +259,8 @@ def near_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each class, that of the smallest id; all columns kept."""
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    keep = near_classes(spark, docs).where("kept").select(F.col("digest").alias("__d"), F.col("doc_id").alias("__id"))
-    rows = docs.withColumn("__digest", _digest())
-    rows = rows.join(keep, (rows["__digest"] == keep["__d"]) & rows["doc_id"].eqNullSafe(keep["__id"]), "left_semi")
-    order = Window.partitionBy("__digest", "doc_id").orderBy(F.lit(0))
-    return rows.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*names)
+    keep = near_classes(spark, docs).where("kept").select(F.col("digest").alias("d"), F.col("doc_id").alias("id"))
+    rows = wrapped(docs, doc_id=F.col("doc_id"), digest=_digest())
+    rows = rows.join(keep, (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    order = Window.partitionBy("digest", "doc_id").orderBy(F.lit(0))
+    return rows.withColumn("n", F.row_number().over(order)).where("n = 1").select("r.*")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_texts, held_out, slices
+from .common import doc_texts, held_out, slices, text_of, wrapped
 
 #: Labelled documents that the model learns from, at most.
 SAMPLE_DOCS = 20_000
@@ -234,12 +234,11 @@ def score_documents(docs: DataFrame, model: Tables) -> DataFrame:
 
 def keep_good(docs: DataFrame, model: Tables) -> DataFrame:
     """``docs`` without the rows whose text scores below ``THRESHOLD``; all columns kept."""
-    text = "__text"
-    src = docs.withColumn(text, F.coalesce(F.col("text"), F.lit("")))
+    src = wrapped(docs, text=text_of())
 
     def run(batches):
-        for b in slices(batches, text):
-            score = model.score(_matrix(b.column(b.schema.get_field_index(text)).to_pylist()))
-            yield b.filter(pa.array(score >= THRESHOLD))
+        for b in slices(batches):
+            score = model.score(_matrix(b.column(1).to_pylist()))
+            yield b.select(["r"]).filter(pa.array(score >= THRESHOLD, pa.bool_()))
 
-    return src.mapInArrow(run, src.schema).drop(text)
+    return src.mapInArrow(run, src.select("r").schema).select("r.*")

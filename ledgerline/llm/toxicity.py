@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_texts, held_out, slices
+from .common import doc_texts, held_out, slices, text_of, wrapped
 
 #: Labelled documents that the model learns from, at most (the smallest by a hash of the id).
 SAMPLE_DOCS = 12_000
@@ -322,13 +322,12 @@ def score_documents(spark: SparkSession, docs: DataFrame, model: Model) -> DataF
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` without the rows whose text is toxic; all columns kept."""
-    text = "__text"
-    src = docs.withColumn(text, F.coalesce(F.col("text"), F.lit("")))
+    src = wrapped(docs, text=text_of())
 
     def run(batches):
         scorer = _Scorer(model)
-        for b in slices(batches, text):
-            p = model.probability(scorer.texts(b.column(b.schema.get_field_index(text)).to_pylist()))
-            yield b.filter(pa.array(p < 0.5))
+        for b in slices(batches):
+            p = model.probability(scorer.texts(b.column(1).to_pylist()))
+            yield b.select(["r"]).filter(pa.array(p < 0.5, pa.bool_()))
 
-    return src.mapInArrow(run, src.schema).drop(text)
+    return src.mapInArrow(run, src.select("r").schema).select("r.*")
