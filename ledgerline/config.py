@@ -9,19 +9,20 @@ from __future__ import annotations
 
 import contextlib
 import tempfile
+import threading
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 WAREHOUSE_CONF = "ledgerline.warehouse.dir"
 BROADCAST_ROWS_CONF = "ledgerline.broadcast.maxRows"
 BROADCAST_BYTES_CONF = "ledgerline.broadcast.maxBytes"
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
-SINGLE_TASK_KEYS_CONF = "ledgerline.keys.singleTaskMaxRows"
-DEFAULT_SINGLE_TASK_KEYS = 100_000
-ROWS_PER_PARTITION_CONF = "ledgerline.shuffle.rowsPerPartition"
-DEFAULT_ROWS_PER_PARTITION = 2_000_000
+BYTES_PER_PARTITION_CONF = "ledgerline.shuffle.bytesPerPartition"
+DEFAULT_BYTES_PER_PARTITION = 128 * 1024 * 1024
+MAX_PARTITIONS_CONF = "ledgerline.shuffle.maxPartitions"
+DEFAULT_MAX_PARTITIONS = 20_000
 
 
 def build_session(master: str | None = None, app_name: str = "ledgerline",
@@ -112,31 +113,48 @@ def broadcast_limit(spark: SparkSession):
                           _conf_int(spark, BROADCAST_BYTES_CONF, DEFAULT_BROADCAST_BYTES))
 
 
-def single_task_key_rows(spark: SparkSession) -> int:
-    """Largest measured dimension numbered in one sorted task instead of distributed."""
-    return _conf_int(spark, SINGLE_TASK_KEYS_CONF, DEFAULT_SINGLE_TASK_KEYS)
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads (0 where it reads none), asked of their own file system."""
+    files = df.inputFiles()
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    total = 0
+    for folder in sorted({f.rpartition("/")[0] for f in files}):
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        inside = {f for f in files if f.rpartition("/")[0] == folder}
+        total += sum(s.getLen() for s in path.getFileSystem(conf).listStatus(path)
+                     if s.getPath().toString().rpartition("/")[2] in {f.rpartition("/")[2] for f in inside})
+    return total
 
 
-def shuffle_partitions_for(spark: SparkSession, rows: int) -> int:
-    """Shuffle partitions for a job over ``rows`` source lines: never fewer than configured.
+def shuffle_partitions_for(spark: SparkSession, size: int) -> int:
+    """Shuffle partitions for a job that reads ``size`` bytes: at least the configured number, at most a bound.
 
-    AQE can merge small shuffle partitions but cannot add any, so the initial
-    count must cover the largest shuffle (about ``rowsPerPartition`` lines each).
+    AQE can merge small shuffle partitions but cannot add any, so the initial count covers the
+    largest shuffle; the bound keeps the shuffle's own bookkeeping (map tasks x partitions) in check,
+    beyond it partitions grow and spill.
     """
-    per = max(1, _conf_int(spark, ROWS_PER_PARTITION_CONF, DEFAULT_ROWS_PER_PARTITION))
+    per = max(1, _conf_int(spark, BYTES_PER_PARTITION_CONF, DEFAULT_BYTES_PER_PARTITION))
+    most = max(1, _conf_int(spark, MAX_PARTITIONS_CONF, DEFAULT_MAX_PARTITIONS))
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(current, -(-rows // per))
+    return max(current, min(most, -(-size // per)))
+
+
+_SIZING = threading.RLock()
 
 
 @contextlib.contextmanager
 def shuffle_partitions(spark: SparkSession, n: int):
-    """Run a block with ``spark.sql.shuffle.partitions = n``; the previous value is restored."""
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
+    """Run a block with ``spark.sql.shuffle.partitions = n``; the previous value is restored.
+
+    One block at a time: a second refresh in the same process waits, so neither sees the other's value.
+    """
+    with _SIZING:
+        previous = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        try:
+            yield
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
 def new_run_id() -> str:
@@ -148,6 +166,6 @@ def join_path(*parts: str) -> str:
 
 
 __all__ = [
-    "build_session", "shared_root", "checkpoint_dir", "warehouse_dir", "broadcast_limit", "single_task_key_rows",
+    "build_session", "shared_root", "checkpoint_dir", "warehouse_dir", "broadcast_limit", "input_bytes",
     "new_run_id", "join_path",
 ]

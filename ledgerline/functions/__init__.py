@@ -1,11 +1,10 @@
 """Column-level helpers (all built-in Spark expressions, no Python UDFs)."""
 
 from .dates import date_attributes, year_month_period
-from .money import as_money, as_rate, margin_pct, rounded_mean, rounded_ratio, to_double
-from .text import dollars, null_tokens_to_null, percent_text, thousands
+from .money import margin_pct, rounded_mean, rounded_ratio
+from .text import dollars, minute_text, null_tokens_to_null, percent_text, thousands
 
 __all__ = [
-    "date_attributes", "year_month_period", "as_money", "as_rate", "margin_pct",
-    "rounded_mean", "rounded_ratio", "to_double", "dollars", "null_tokens_to_null",
-    "percent_text", "thousands",
+    "date_attributes", "year_month_period", "margin_pct", "rounded_mean", "rounded_ratio",
+    "dollars", "minute_text", "null_tokens_to_null", "percent_text", "thousands",
 ]

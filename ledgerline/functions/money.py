@@ -12,16 +12,6 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import MONEY, RATE
-
-
-def as_money(c: Column) -> Column:
-    return c.cast(MONEY)
-
-
-def as_rate(c: Column) -> Column:
-    return c.cast(RATE)
-
 
 def _units(c: Column, scale: int) -> Column:
     """Value times 10^scale as an integral decimal (exact when c has <= scale digits)."""
@@ -48,15 +38,10 @@ def rounded_ratio(num: Column, den: Column, digits: int = 2, factor: int = 1, sc
 
 
 def margin_pct(profit_sum: Column, sales_sum: Column) -> Column:
-    """``ROUND(SUM(profit) / NULLIF(SUM(sales), 0) * 100, 2)``."""
+    """Profit as a percentage of sales, two digits; NULL where sales are 0."""
     return rounded_ratio(profit_sum, sales_sum, digits=2, factor=100)
 
 
 def rounded_mean(total: Column, count: Column, digits: int = 2) -> Column:
     """``ROUND(AVG(x), digits)`` from an exact sum and a count."""
     return rounded_ratio(total, count, digits=digits)
-
-
-def to_double(c: Column) -> Column:
-    """Last step before a report leaves the library: decimal to double."""
-    return c.cast("double")

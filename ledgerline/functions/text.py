@@ -9,10 +9,9 @@ from ..schemas import NULL_TOKENS
 
 
 def null_tokens_to_null(c: Column, tokens: list[str] | None = None) -> Column:
-    """Text that spells a missing value (``NA``, ``nan``, empty, ...) becomes NULL."""
+    """Text that spells a missing value (``NA``, ``nan``, empty, ...) becomes NULL; padded or blank text is kept."""
     toks = NULL_TOKENS if tokens is None else tokens
-    trimmed = F.trim(c)
-    return F.when(trimmed.isin(toks), F.lit(None).cast("string")).otherwise(c)
+    return F.when(c.isin(toks), F.lit(None).cast("string")).otherwise(c)
 
 
 def dollars(x: Column, decimals: int = 0) -> Column:
@@ -25,6 +24,11 @@ def thousands(x: Column) -> Column:
     return F.format_number(x, 0)
 
 
+def minute_text(ts: Column) -> Column:
+    """``2024-01-02 03:04``."""
+    return F.date_format(ts, "yyyy-MM-dd HH:mm")
+
+
 def percent_text(x: Column) -> Column:
     """``12.47%`` from a value already rounded to two digits."""
     return F.concat(x.cast("string"), F.lit("%"))

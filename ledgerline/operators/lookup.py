@@ -67,16 +67,6 @@ def stats_from_metrics(values: dict, text_measured: bool = True) -> TableStats:
     return TableStats(int(values["rows"]), text, text_measured)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int, known_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    For tables without measured stats; counting is an action, so use it only on
-    tables that are small by construction.
-    """
-    rows = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if rows <= max_rows else df
-
-
 def lookup(fact: DataFrame, dim: DataFrame, pairs: list[tuple[str, str]], take: list[str], *,
            null_safe: tuple[str, ...] = (), broadcast: bool = False) -> DataFrame:
     """Left join ``fact`` to ``dim`` on ``fact_col == dim_col`` per pair; add the ``take`` columns.

@@ -13,6 +13,8 @@ integers.
 
 from __future__ import annotations
 
+from . import schemas as S
+
 SRC = """
 src AS (
   SELECT
@@ -24,7 +26,7 @@ src AS (
     c.c_name AS customer_name,
     c.c_mktsegment AS segment,
     n.n_name AS country,
-    n.n_name AS city,
+    CASE WHEN n.n_nationkey % 12 <> 7 THEN n.n_name END AS city,
     n.n_name AS state,
     CASE WHEN n.n_nationkey % 8 = 0 THEN NULL ELSE CAST(n.n_nationkey AS VARCHAR) END AS postal_code,
     r.r_name AS region,
@@ -128,7 +130,7 @@ SELECT s.order_id, d1.date_key AS order_date_key, d2.date_key AS ship_date_key,
 FROM src s
 LEFT JOIN dc ON s.customer_id = dc.customer_id
 LEFT JOIN dp ON s.product_id = dp.product_id
-LEFT JOIN dl ON s.postal_code IS NOT DISTINCT FROM dl.postal_code AND s.city = dl.city
+LEFT JOIN dl ON s.postal_code IS NOT DISTINCT FROM dl.postal_code AND s.city IS NOT DISTINCT FROM dl.city
 LEFT JOIN dd d1 ON s.order_date = d1.full_date
 LEFT JOIN dd d2 ON s.ship_date = d2.full_date""", *DIM_CTES)
 
@@ -164,7 +166,7 @@ GROUP BY order_date""")
 SQL["sales_by_region"] = with_src(f"""
 SELECT region, COUNT(*) AS total_orders, {money('SUM(sales)')} AS total_sales,
        {money('SUM(profit)')} AS total_profit, {margin()} AS profit_margin_pct
-FROM src WHERE city IS NOT NULL GROUP BY region""")
+FROM src GROUP BY region""")
 
 SQL["sales_by_segment"] = with_src(f"""
 SELECT segment, COUNT(DISTINCT customer_id) AS total_customers, COUNT(*) AS total_orders,
@@ -215,8 +217,9 @@ FROM src"""
 SQL["overall_kpis"] = with_src(KPIS)
 
 SQL["discount_impact"] = with_src(f"""
-SELECT CASE WHEN discount = 0 THEN 'No Discount' WHEN discount <= 0.1 THEN 'Low (1-10%)'
-            WHEN discount <= 0.2 THEN 'Medium (11-20%)' ELSE 'High (>20%)' END AS discount_bucket,
+SELECT CASE WHEN discount = {S.BUCKET_NONE_AT} THEN '{S.BUCKET_NONE}'
+            WHEN discount <= {S.BUCKET_LOW_MAX} THEN '{S.BUCKET_LOW}'
+            WHEN discount <= {S.BUCKET_MEDIUM_MAX} THEN '{S.BUCKET_MEDIUM}' ELSE '{S.BUCKET_HIGH}' END AS discount_bucket,
        COUNT(*) AS total_orders, {money('SUM(sales)')} AS total_sales, {money('SUM(profit)')} AS total_profit,
        {ratio('SUM(profit)', 'COUNT(profit)')} AS avg_profit_per_order, {margin()} AS profit_margin_pct
 FROM src GROUP BY 1 ORDER BY 1""")
@@ -228,13 +231,20 @@ FROM src GROUP BY 1 ORDER BY 1""")
 SQL["freshness"] = with_src("""
 SELECT MAX(order_date) AS latest_order_date, COUNT(*) AS total_records FROM src WHERE order_date IS NOT NULL""")
 
+AS_OF = "2024-01-02 03:04:05"
+SQL["freshness_cards"] = with_src(f"""
+SELECT 1 AS position, 'Latest Order Date' AS label, strftime(d, '%Y-%m-%d') AS value FROM f
+UNION ALL SELECT 2, 'Total Records', format('{{:,}}', n) FROM f
+UNION ALL SELECT 3, 'Dashboard Refreshed', strftime(TIMESTAMP '{AS_OF}', '%Y-%m-%d %H:%M')""",
+    "f AS (SELECT MAX(order_date) AS d, COUNT(*) AS n FROM src WHERE order_date IS NOT NULL)")
+
 SQL["category_totals"] = with_src(f"""
 SELECT category, {money('SUM(sales)')} AS total_sales FROM src
 WHERE product_id IS NOT NULL AND category IS NOT NULL GROUP BY category""")
 
 SQL["region_share"] = with_src(f"""
 SELECT region, {money('s')} AS total_sales, {ratio('s', 'SUM(s) OVER ()', 2, 100)} AS share_pct
-FROM (SELECT region, SUM(sales) AS s FROM src WHERE city IS NOT NULL GROUP BY region)""")
+FROM (SELECT region, SUM(sales) AS s FROM src GROUP BY region)""")
 
 _LEAF_K = "(sign(pc) * sign(sc) * ((2 * 10000 * abs(pc) + abs(sc)) // (2 * abs(sc))))"
 SQL["category_tree"] = with_src(f"""
@@ -297,7 +307,7 @@ def _in(values: list[str]) -> str:
 
 
 SQL["filtered_kpis"] = with_src(KPIS.replace("FROM src", f"""FROM src
-WHERE city IS NOT NULL AND region IN ({_in(FILTER_REGIONS)})
+WHERE region IN ({_in(FILTER_REGIONS)})
   AND product_id IS NOT NULL AND category IN ({_in(FILTER_CATEGORIES)})
   AND customer_id IS NOT NULL AND segment IN ({_in(FILTER_SEGMENTS)})
   AND order_date BETWEEN DATE '{FILTER_FROM}' AND DATE '{FILTER_TO}'"""))
@@ -335,10 +345,10 @@ def _failure_union() -> str:
     for col, lst in (("Segment", TEST_SEGMENTS), ("Region", TEST_REGIONS), ("Category", TEST_CATEGORIES)):
         c = _SQL_NAME[col]
         parts.append(f"SELECT '{col}', 'isin', {c} FROM src WHERE {c} IS NOT NULL AND {c} NOT IN ({_in(lst)})")
-    parts.append("SELECT 'Sales', 'greater_than_or_equal_to(0)', CAST(CAST(sales AS DECIMAL(18,4)) AS VARCHAR) "
+    parts.append("SELECT 'Sales', 'greater_than_or_equal_to(0)', CAST(CAST(sales AS DOUBLE) AS VARCHAR) "
                  "FROM src WHERE sales < 0")
     parts.append("SELECT 'Quantity', 'greater_than(0)', CAST(quantity AS VARCHAR) FROM src WHERE quantity <= 0")
-    parts.append("SELECT 'Discount', 'in_range(0, 1)', CAST(CAST(discount AS DECIMAL(7,4)) AS VARCHAR) "
+    parts.append("SELECT 'Discount', 'in_range(0, 1)', CAST(CAST(discount AS DOUBLE) AS VARCHAR) "
                  "FROM src WHERE discount < 0 OR discount > 1")
     return "\nUNION ALL ".join(parts)
 
@@ -396,12 +406,12 @@ FROM (SELECT COUNT(*) AS n FROM fails) f, ({DUPS}) d, ({RANGES}) r,
 # ---------------------------------------------------------------------------
 
 def _fact_cte() -> str:
-    body = """SELECT s.order_id, d1.date_key AS order_date_key, d2.date_key AS ship_date_key, dc.customer_key,
+    body = """SELECT row_number() OVER () AS order_key, s.order_id, d1.date_key AS order_date_key, d2.date_key AS ship_date_key, dc.customer_key,
        dp.product_key, dl.location_key, s.ship_mode
 FROM src s
 LEFT JOIN dc ON s.customer_id = dc.customer_id
 LEFT JOIN dp ON s.product_id = dp.product_id
-LEFT JOIN dl ON s.postal_code IS NOT DISTINCT FROM dl.postal_code AND s.city = dl.city
+LEFT JOIN dl ON s.postal_code IS NOT DISTINCT FROM dl.postal_code AND s.city IS NOT DISTINCT FROM dl.city
 LEFT JOIN dd d1 ON s.order_date = d1.full_date
 LEFT JOIN dd d2 ON s.ship_date = d2.full_date"""
     return f"fo AS ({body})"
@@ -422,6 +432,10 @@ _FKS = [("order_date_key", "dd", "date_key"), ("ship_date_key", "dd", "date_key"
         ("location_key", "dl", "location_key")]
 
 
+_PRIMARY = {"dim_customer": ["customer_key"], "dim_product": ["product_key"], "dim_location": ["location_key"],
+            "dim_date": ["date_key"], "fact_orders": ["order_key"]}
+
+
 def _audit_sql() -> str:
     parts = []
     for table, alias, not_null, lengths, unique in _AUDIT_TABLES:
@@ -434,10 +448,13 @@ def _audit_sql() -> str:
         if table == "fact_orders":
             for fk, _, _ in _FKS:
                 parts.append(f"SELECT '{table}', 'unmatched({fk})', COUNT(*) FILTER (WHERE {fk} IS NULL) FROM fo")
-        if unique:
-            key = ", ".join(unique)
-            parts.append(f"SELECT '{table}', 'unique({','.join(unique)})', COALESCE(SUM(n - 1), 0) FROM "
-                         f"(SELECT COUNT(*) AS n FROM {alias} GROUP BY {key})")
+        for rule, keys in (("unique", unique), ("primary_key", _PRIMARY[table])):
+            if keys:
+                parts.append(f"SELECT '{table}', '{rule}({','.join(keys)})', COALESCE(SUM(n - 1), 0) FROM "
+                             f"(SELECT COUNT(*) AS n FROM {alias} GROUP BY {', '.join(keys)})")
+    for c, store in (("sales", "12,2"), ("profit", "12,2"), ("discount", "5,2")):
+        parts.append(f"SELECT 'fact_orders', 'numeric_range({c})', COUNT(*) FILTER (WHERE {c} IS NOT NULL AND "
+                     f"TRY_CAST({c} AS DECIMAL({store})) IS NULL) FROM src")
     for fk, dim, key in _FKS:
         parts.append(f"SELECT 'fact_orders', 'references({fk})', COUNT(*) FROM fo WHERE {fk} IS NOT NULL "
                      f"AND {fk} NOT IN (SELECT {key} FROM {dim})")
@@ -448,10 +465,12 @@ def _audit_sql() -> str:
         "\nUNION ALL ".join(parts) + ")"
 
 
+SQL["csv_profile"] = SQL["src_profile"]
+SQL["csv_quality_report"] = SQL["quality_report"]
 SQL["constraint_audit"] = with_src(_audit_sql(), *DIM_CTES, _fact_cte())
 
 SQL["reconciliation"] = with_src("""
-SELECT position, metric, CAST(sv AS DOUBLE) AS source_value, CAST(tv AS DOUBLE) AS store_value, matched,
+SELECT position, metric, CAST(sv AS DOUBLE) AS source_value, CAST(tv AS DOUBLE) AS store_value, CAST(0 AS BIGINT) AS parse_loss, matched,
        bool_and(matched) OVER () AS all_passed
 FROM (
   SELECT 1 AS position, 'Total Sales' AS metric, s.a AS sv, t.a AS tv, abs(s.a - t.a) < 1.00 AS matched FROM s, t
@@ -461,3 +480,9 @@ FROM (
     "s AS (SELECT COALESCE(SUM(sales), 0) AS a, COALESCE(SUM(profit), 0) AS b, COUNT(*) AS c, "
     "COALESCE(SUM(quantity), 0) AS d FROM src)",
     "t AS (SELECT SUM(sales) AS a, SUM(profit) AS b, COUNT(*) AS c, SUM(quantity) AS d FROM src)")
+
+SQL["etl_summary"] = f"""
+SELECT q.total_rows AS records_processed, q.quality_status,
+       CASE WHEN (SELECT bool_and(matched) FROM ({SQL["reconciliation"]})) THEN 'PASSED' ELSE 'FAILED' END
+         AS reconciliation_status
+FROM ({SQL["quality_report"]}) q"""

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..config import join_path, new_run_id, shuffle_partitions, shuffle_partitions_for, warehouse_dir
+from ..config import input_bytes, join_path, new_run_id, shuffle_partitions, shuffle_partitions_for, warehouse_dir
 from . import marts, quality, reconcile
 from .star import Star, build_star, load_published, publish, stage_source
 
@@ -30,15 +30,23 @@ class EtlResult:
     stage_sec: dict
 
 
+class RefusedLoad(ValueError):
+    """The run is not published; the version before it stays the one that readers see."""
+
+
 def run_etl(spark: SparkSession, source: DataFrame, base: str | None = None,
             contract: quality.Contract = quality.Contract(), publish_run: bool = True,
-            materialise_marts: bool = False) -> EtlResult:
+            materialise_marts: bool = False, strict: bool = False) -> EtlResult:
     """Refresh the star from ``source`` and publish it under ``base``.
 
     Re-running over the same source yields the same rows and the same keys;
     the previous version stays readable until the new one is published. With
     ``materialise_marts`` the nine views are also written as Parquet marts of
     the run before it is published, so a dashboard reads pre-aggregated rows.
+
+    Source numbers that the store's types cannot hold make the load fail (``RefusedLoad``), as an
+    insert into such a column would. With ``strict`` a failed reconciliation does so too; by default
+    the run is published whatever the reconciliation finds.
     """
     started = time.time()
     stages: dict[str, float] = {}
@@ -52,27 +60,31 @@ def run_etl(spark: SparkSession, source: DataFrame, base: str | None = None,
     root = join_path(base, "runs", new_run_id())
 
     t = started
-    staged, source_stats = stage_source(source, root)
-    t = mark("extract", t)
-    # Shuffles of this run are sized from the measured source (setting restored afterwards).
-    with shuffle_partitions(spark, shuffle_partitions_for(spark, source_stats.rows)):
+    # Shuffles of this run are sized from the input files (setting restored afterwards).
+    with shuffle_partitions(spark, shuffle_partitions_for(spark, input_bytes(source))):
+        staged, source_stats = stage_source(source, root)
+        t = mark("extract", t)
         # The quality report and the star build both read the staged source and
         # do not depend on each other: run them as concurrent jobs.
-        with ThreadPoolExecutor(max_workers=1) as pool:
+        with ThreadPoolExecutor(max_workers=2) as pool:
             pending = pool.submit(lambda: quality.quality_report(staged, contract).first().asDict())
+            overflow = pool.submit(lambda: quality.store_overflow(staged).first().asDict())
             star = build_star(spark, staged, root=root, stage=False)
             report = pending.result()
+            if any(overflow.result().values()):
+                raise RefusedLoad(f"values beyond the store's types: {overflow.result()}")
         star.stats["source"] = source_stats
         t = mark("quality_dimensions_fact", t)
         # Reconciliation, optional mart writes and publication only read the
-        # written tables and do not depend on each other (the run is published
-        # whatever the reconciliation finds, as the reference loads first).
+        # written tables and do not depend on each other.
         with ThreadPoolExecutor(max_workers=3) as pool:
             recon_job = pool.submit(lambda: [r.asDict() for r in reconcile.reconciliation(staged, star.fact)
                                              .orderBy("position").collect()])
             marts_job = pool.submit(marts.materialise, star) if materialise_marts else None
             if marts_job is not None:
                 marts_job.result()          # marts are part of the run: written before it is published
+            if strict and not all(r["matched"] for r in recon_job.result()):
+                raise RefusedLoad(f"reconciliation failed: {recon_job.result()}")
             if publish_run:
                 publish(spark, star, base)
             recon = recon_job.result()
@@ -110,6 +122,9 @@ def served_mart(spark: SparkSession, base: str, name: str) -> DataFrame:
     return marts.DATASETS[name](star)
 
 
-def freshness_now(star: Star) -> DataFrame:
-    """The dashboard's freshness row including the refresh time."""
-    return marts.freshness(star, as_of=F.current_timestamp())
+def summary_of(source: DataFrame, fact: DataFrame, contract: quality.Contract = quality.Contract()) -> DataFrame:
+    """The summary row of a run over its written tables (without the wall time)."""
+    passed = reconcile.reconciliation(source, fact).agg(F.bool_and("matched")).scalar()
+    return quality.quality_report(source, contract).select(
+        F.col("total_rows").alias("records_processed"), "quality_status",
+        F.when(passed, "PASSED").otherwise("FAILED").alias("reconciliation_status"))

@@ -19,9 +19,10 @@ def fact_rows(src: DataFrame, dims: dict[str, DataFrame], stats: dict[str, Table
 
     Every source line yields exactly one fact row: all lookups are left joins
     against dimensions unique on their lookup key, the location lookup matches
-    a NULL postal code to the NULL-postal location. A dimension is broadcast
+    a NULL postal code or city to the location with that NULL. A dimension is broadcast
     when the measured size of the columns the lookup needs is within ``limit``.
-    Money is rounded to the store's decimals here (half away from zero).
+    Money is rounded to the store's decimals here (half away from zero); a value that
+    the store's type cannot hold is NULL here and counted by ``quality.store_overflow``.
     """
     f = src.select(
         _q(S.ORDER_ID).alias("order_id"),
@@ -46,7 +47,7 @@ def fact_rows(src: DataFrame, dims: dict[str, DataFrame], stats: dict[str, Table
     f = lookup(f, dims["dim_product"], [("product_id", "product_id")], ["product_key"],
                broadcast=fits("dim_product", ["product_id", "product_key"]))
     f = lookup(f, dims["dim_location"], [("postal_code", "postal_code"), ("city", "city")], ["location_key"],
-               null_safe=("postal_code",), broadcast=fits("dim_location", ["postal_code", "city", "location_key"]))
+               null_safe=("postal_code", "city"), broadcast=fits("dim_location", ["postal_code", "city", "location_key"]))
     dates = dims["dim_date"]
     date_fits = fits("dim_date", ["full_date", "date_key"])
     f = lookup(f, dates.withColumnRenamed("date_key", "order_date_key"), [("order_date", "full_date")],

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.dates import year_month_period
 from ..functions.money import margin_pct, rounded_mean, rounded_ratio
-from ..functions.text import dollars, percent_text, thousands
+from ..functions.text import dollars, minute_text, percent_text, thousands
 from .star import Star
 
 
@@ -50,6 +50,10 @@ def _by_key(fact: DataFrame, key: str) -> DataFrame:
 _TOTALS = {"lines": "total_orders", "sales": "total_sales", "profit": "total_profit", "quantity": "total_quantity"}
 
 
+# One result schema, whichever plan computed it.
+_TYPES = {"lines": "long", "sales": S.MONEY_SUM, "profit": S.MONEY_SUM, "quantity": "long"}
+
+
 def rollup_by_dimension(star: Star, dim_name: str, key: str, attrs: list[str],
                         measures: tuple[str, ...] = ("lines", "sales", "profit", "quantity")) -> DataFrame:
     """Fact measures summed per attributes of one dimension (inner-join semantics).
@@ -66,9 +70,10 @@ def rollup_by_dimension(star: Star, dim_name: str, key: str, attrs: list[str],
         joined = star.fact.join(F.broadcast(dim), key)
         aggs = {"lines": F.count(F.col("order_key")), "sales": F.sum("sales"), "profit": F.sum("profit"),
                 "quantity": F.sum("quantity")}
-        return joined.groupBy(*attrs).agg(*[aggs[m].alias(_TOTALS[m]) for m in measures])
-    parts = _by_key(star.fact, key)
-    return parts.join(dim, key).groupBy(*attrs).agg(*[F.sum(f"p_{m}").alias(_TOTALS[m]) for m in measures])
+    else:
+        joined = _by_key(star.fact, key).join(dim, key)
+        aggs = {m: F.sum(f"p_{m}") for m in _TOTALS}
+    return joined.groupBy(*attrs).agg(*[aggs[m].cast(_TYPES[m]).alias(_TOTALS[m]) for m in measures])
 
 
 # ---------------------------------------------------------------------------
@@ -147,15 +152,25 @@ def top_customers(star: Star, n: int = S.TOP_K) -> DataFrame:
     return _top(agg, keys, n)
 
 
+def _distinct_keys(fact: DataFrame, key: str) -> Column:
+    """Exact number of distinct surrogate keys, as a scalar subquery.
+
+    Keys are dense, so each bucket of them is one bitmap of fixed size: built map-side, merged by
+    bucket, counted. No row is expanded and no key is shuffled.
+    """
+    seen = fact.filter(F.col(key).isNotNull())
+    maps = seen.groupBy(F.bitmap_bucket_number(F.col(key)).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(F.col(key))).alias("bits"))
+    return maps.agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).cast("long")).scalar()
+
+
 def kpis_of(fact: DataFrame) -> DataFrame:
     """Overall KPIs of any fact-shaped frame (one row, also for an empty input).
 
     The additive measures are one pass; each distinct count is an uncorrelated
-    scalar subquery (partial aggregation per key, then a count), so rows are not
-    tripled by an ``Expand`` as two distinct aggregates in one pass would be.
+    scalar subquery over one key column.
     """
-    customers = fact.agg(F.count_distinct("customer_key")).scalar()
-    products = fact.agg(F.count_distinct("product_key")).scalar()
+    customers, products = _distinct_keys(fact, "customer_key"), _distinct_keys(fact, "product_key")
     return fact.agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.sum("sales").alias("total_sales"),
@@ -196,20 +211,25 @@ def discount_impact(star: Star) -> DataFrame:
 def freshness(star: Star, as_of: Column | None = None, include_refreshed: bool = True) -> DataFrame:
     """Latest order date and line count of facts with a known order date."""
     d = star.tables["dim_date"].select(F.col("date_key").alias("order_date_key"), "full_date")
-    if star.is_small("dim_date", ["date_key", "full_date"]):
-        out = star.fact.join(F.broadcast(d), "order_date_key").agg(
-            F.max("full_date").alias("latest_order_date"), F.count(F.lit(1)).alias("total_records"))
-    else:
-        parts = star.fact.filter(F.col("order_date_key").isNotNull()).groupBy("order_date_key").agg(
-            F.count(F.lit(1)).alias("n"))
-        out = parts.join(d, "order_date_key").agg(
-            F.max("full_date").alias("latest_order_date"),
-            F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total_records"))
+    parts = star.fact.filter(F.col("order_date_key").isNotNull()).groupBy("order_date_key").agg(
+        F.count(F.lit(1)).alias("n"))
+    out = parts.join(d, "order_date_key").agg(
+        F.max("full_date").alias("latest_order_date"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total_records"))
     if include_refreshed:
         out = out.withColumn("last_refreshed", as_of if as_of is not None else F.current_timestamp())
     return out
 
 
+def freshness_cards(star: Star, as_of: Column | None = None) -> DataFrame:
+    """The three freshness card texts: latest order date, records, refresh time (``as_of``, default now)."""
+    values = [F.date_format("latest_order_date", "yyyy-MM-dd"), thousands(F.col("total_records")),
+              minute_text(F.col("last_refreshed"))]
+    arr = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(label).alias("label"), v.alias("value"))
+                    for i, (label, v) in enumerate(zip(S.FRESHNESS_CARD_LABELS, values), start=1)])
+    return freshness(star, as_of).select(F.inline(arr))
+
+
 def monthly_period(star: Star) -> DataFrame:
     """Monthly trend with a ``YYYY-MM`` label, in calendar order (the line chart's feed)."""
     return (monthly_trend(star).withColumn("period", year_month_period(F.col("year"), F.col("month")))
@@ -382,6 +402,7 @@ MARTS = {
 # Dashboard datasets and advertised analyses, computed from the star on request.
 DATASETS = {
     "freshness": freshness,
+    "freshness_cards": freshness_cards,
     "monthly_period": monthly_period,
     "category_totals": category_totals,
     "region_share": region_share,

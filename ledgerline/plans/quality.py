@@ -41,6 +41,11 @@ class Contract:
     categories: tuple[str, ...] = tuple(S.ALLOWED_CATEGORIES)
 
 
+def _number_text(c: Column, dtype: str) -> Column:
+    """A failing number as text: as a double for money and rates, so no padding digits."""
+    return (c.cast("double") if dtype == "double" else c).cast("string")
+
+
 def _rules(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column, Column]]:
     """(column, check, fails, failure case) for every rule of the contract.
 
@@ -70,7 +75,7 @@ def _rules(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column, Co
             rules.append((column, "isin", c.isNotNull() & ~c.isin(list(allowed[column])), c.cast("string")))
         if column in value_checks:
             name, bad = value_checks[column]
-            rules.append((column, name, c.isNotNull() & bad(c), c.cast("string")))
+            rules.append((column, name, c.isNotNull() & bad(c), _number_text(c, dtype)))
     if CORRUPT in df.columns:
         rules.append(("<line>", "field_count", F.col(CORRUPT).isNotNull(), F.col(CORRUPT)))
     return rules
@@ -179,6 +184,18 @@ def _range_counters(df: DataFrame) -> dict[str, Column]:
     }
 
 
+STORE_TYPES = {"sales": (S.SALES, S.MONEY), "profit": (S.PROFIT, S.MONEY), "discount": (S.DISCOUNT, S.RATE)}
+
+
+def _overflows(column: str, store) -> Column:
+    return _q(column).isNotNull() & _q(column).try_cast(store).isNull()
+
+
+def store_overflow(df: DataFrame) -> DataFrame:
+    """Per stored number: source values that the store's type cannot hold (one row)."""
+    return df.agg(*[F.count_if(_overflows(c, t)).alias(name) for name, (c, t) in STORE_TYPES.items()])
+
+
 def range_violations(df: DataFrame) -> DataFrame:
     counters = _range_counters(df)
     out = df.agg(*[F.count_if(v).alias(k) for k, v in counters.items()])
@@ -231,6 +248,13 @@ _UNIQUE = {
     "dim_location": ["postal_code", "city"],
     "dim_date": ["full_date"],
 }
+_PRIMARY = {
+    "dim_customer": ["customer_key"],
+    "dim_product": ["product_key"],
+    "dim_location": ["location_key"],
+    "dim_date": ["date_key"],
+    "fact_orders": ["order_key"],
+}
 _NOT_NULL = {
     "dim_customer": ["customer_id"],
     "dim_product": ["product_id"],
@@ -255,9 +279,9 @@ def _rows(table: str, wide: DataFrame) -> DataFrame:
 def constraint_audit(tables: dict[str, DataFrame], source: DataFrame | None = None) -> DataFrame:
     """Violations per table and constraint; all zero for a clean load.
 
-    ``unique`` counts rows beyond the first per key; ``references`` counts fact
-    rows whose non-NULL key has no dimension row (pre-aggregated per key, then
-    anti-joined); ``unmatched`` counts fact rows whose lookup found no key;
+    ``unique`` and ``primary_key`` count rows beyond the first per key; ``references`` counts fact
+    rows whose non-NULL key has no dimension row; ``numeric_range`` counts source values that the
+    store's type cannot hold (they are NULL in the fact); ``unmatched`` counts fact rows whose lookup found no key;
     ``conflict`` counts (postal code, city) pairs of the source with more than
     one (state, region, country).
     """
@@ -272,24 +296,29 @@ def constraint_audit(tables: dict[str, DataFrame], source: DataFrame | None = No
             for fk, _, _ in _REFERENCES:
                 counters[f"unmatched({fk})"] = F.count_if(F.col(fk).isNull())
         parts.append(_rows(table, df.agg(*[v.alias(k) for k, v in counters.items()])))
-        if table in _UNIQUE:
-            key = _UNIQUE[table]
+        for rule, key in [("unique", _UNIQUE.get(table)), ("primary_key", _PRIMARY.get(table))]:
+            if key is None:
+                continue
             dup = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-                   .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias(f"unique({','.join(key)})")))
+                   .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias(f"{rule}({','.join(key)})")))
             parts.append(_rows(table, dup))
     fact = tables.get("fact_orders")
     if fact is not None:
+        # All references in one pass over the fact: each dimension's keys joined once, hits counted.
+        seen, counters = fact.select(*[fk for fk, _, _ in _REFERENCES]), {}
         for fk, dim, key in _REFERENCES:
             if dim not in tables:
                 continue
-            per_key = fact.filter(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("_n"))
-            keys = tables[dim].select(F.col(key).alias("_ref"))
-            missing = per_key.join(keys, per_key[fk] == keys["_ref"], "left_anti")
-            parts.append(_rows("fact_orders", missing.agg(
-                F.coalesce(F.sum("_n"), F.lit(0)).alias(f"references({fk})"))))
+            hit = f"_hit_{fk}"
+            keys = tables[dim].select(F.col(key).alias(f"_ref_{fk}"), F.lit(True).alias(hit)).distinct()
+            seen = seen.join(keys, F.col(fk) == F.col(f"_ref_{fk}"), "left")
+            counters[f"references({fk})"] = F.count_if(F.col(fk).isNotNull() & F.col(hit).isNull())
+        parts.append(_rows("fact_orders", seen.agg(*[v.alias(k) for k, v in counters.items()])))
     if source is not None:
         per_pair = source.groupBy(_q(S.POSTAL_CODE), _q(S.CITY)).agg(
             F.count_distinct(F.struct(_q(S.STATE), _q(S.REGION), _q(S.COUNTRY))).alias("_v"))
+        ranges = store_overflow(source)
+        parts.append(_rows("fact_orders", ranges.select(*[F.col(c).alias(f"numeric_range({c})") for c in ranges.columns])))
         parts.append(_rows("dim_location", per_pair.agg(F.count_if(F.col("_v") > 1).alias("conflict(postal_code,city)"))))
     out = parts[0]
     for p in parts[1:]:

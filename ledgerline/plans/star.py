@@ -24,14 +24,15 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..config import (broadcast_limit, join_path, new_run_id, shuffle_partitions, shuffle_partitions_for,
-                      single_task_key_rows, warehouse_dir)
+from ..config import (broadcast_limit, input_bytes, join_path, new_run_id, shuffle_partitions, shuffle_partitions_for,
+                      warehouse_dir)
 from ..operators.lookup import BroadcastLimit, TableStats, stats_from_metrics, stats_metrics
-from .dims import ROW_BUILDERS, keyed_measured
+from .dims import build_dimension
 from .fact import fact_rows, with_order_key
 
 DIMENSIONS = ["dim_customer", "dim_product", "dim_location", "dim_date"]
@@ -83,41 +84,43 @@ def stage_source(src: DataFrame, root: str) -> tuple[DataFrame, TableStats]:
     return write_observed(src, join_path(root, "source"), "source", text_bytes=False)
 
 
+def laid_out(number, fact: DataFrame) -> DataFrame:
+    """The fact in its stored layout: range-partitioned by order date, so each file holds few dates.
+
+    A date filter then skips whole files by their footers. The order id splits a date that holds
+    a large share of all lines over several partitions.
+    """
+    return number(fact.repartitionByRange("order_date_key", "order_id").sortWithinPartitions("order_date_key"))
+
+
 def build_star(spark: SparkSession, src: DataFrame, root: str | None = None,
                num_partitions: int | None = None, stage: bool = True) -> Star:
     """Run extract, dimensions and fact; return handles to the written tables."""
     root = root or join_path(warehouse_dir(spark), "runs", new_run_id())
     limit = broadcast_limit(spark)
     stats: dict[str, TableStats] = {}
-    if stage:
-        source, stats["source"] = stage_source(src, root)
-    else:
-        source = src  # already a written table
     tables: dict[str, DataFrame] = {}
-    single_task = single_task_key_rows(spark)
 
     def one(name: str) -> tuple[str, DataFrame, TableStats]:
-        # De-duplicated rows are written first; their measured count picks the numbering plan.
-        rows, rows_stats = write_observed(ROW_BUILDERS[name](source), join_path(root, "_rows", name),
-                                          f"{name}_rows", text_bytes=False)
-        keyed = keyed_measured(name, rows, rows_stats.rows, single_task, num_partitions)
-        df, st = write_observed(keyed, join_path(root, name), name)
+        df, st = write_observed(build_dimension(name, source, num_partitions), join_path(root, name), name)
         return name, df, st
 
-    # Shuffles sized from the measured source when this call staged it (run_etl does its own).
-    sizing = (shuffle_partitions(spark, shuffle_partitions_for(spark, stats["source"].rows))
-              if "source" in stats else contextlib.nullcontext())
+    # Shuffles sized from the input files before the first job (run_etl does its own sizing).
+    sizing = (shuffle_partitions(spark, shuffle_partitions_for(spark, input_bytes(src)))
+              if stage else contextlib.nullcontext())
     with sizing:
+        if stage:
+            source, stats["source"] = stage_source(src, root)
+        else:
+            source = src  # already a written table
         # The four dimensions are independent jobs over the staged source; submitted
         # together, the scheduler fills cores a small stage of one would leave idle.
         with ThreadPoolExecutor(max_workers=len(DIMENSIONS)) as pool:
             for name, df, st in pool.map(one, DIMENSIONS):
                 tables[name], stats[name] = df, st
-        # Sorted by order date key inside each write task (no shuffle): row groups carry
-        # tight min/max date keys, so date-range reads skip most of the fact.
-        fact = with_order_key(fact_rows(source, tables, stats, limit)).sortWithinPartitions("order_date_key")
         tables["fact_orders"], stats["fact_orders"] = write_observed(
-            fact, join_path(root, "fact_orders"), "fact", text_bytes=False)
+            laid_out(with_order_key, fact_rows(source, tables, stats, limit)), join_path(root, "fact_orders"),
+            "fact", text_bytes=False)
     return Star(root=root, source=source, tables=tables, stats=stats, limit=limit)
 
 
@@ -202,7 +205,9 @@ def star_for_tables(spark: SparkSession, sf_dir: str) -> Star:
             if base is not None:
                 try:
                     star = load_published(spark, base)
-                except Exception:  # noqa: BLE001 - nothing published yet (or unreadable): build
+                except (AnalysisException, FileNotFoundError) as e:   # nothing published yet: build
+                    if isinstance(e, AnalysisException) and "PATH_NOT_FOUND" not in str(e):
+                        raise
                     star = None
             if star is None:
                 star = build_star(spark, read_tables_source(spark, sf_dir))

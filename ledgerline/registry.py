@@ -11,6 +11,7 @@ differ between engines, values do not.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,9 @@ from pyspark.sql import types as T
 from . import oracle as O
 from . import schemas as S
 from .operators.dedup import keep_first
-from .plans import marts, quality, reconcile
+from .plans import etl, marts, quality, reconcile
 from .plans.star import DIMENSIONS, Star, star_for_tables
+from .sources.csv import read_orders_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,6 +108,43 @@ def _reconciliation(star: Star) -> DataFrame:
     return reconcile.reconciliation(star.source, star.fact)
 
 
+def _csv_source(star: Star) -> DataFrame:
+    """The star's source written as CSV files once per run folder, and read by the CSV reader."""
+    spark, path = star.source.sparkSession, f"{star.root}/source_csv"
+    with _CSV_LOCK:
+        if path not in _CSV_WRITTEN:
+            plain = star.source.select(*[
+                (F.date_format(F.col(f"`{f.name}`"), "M/d/yyyy") if isinstance(f.dataType, T.DateType)
+                 else F.col(f"`{f.name}`")).alias(f.name)
+                for f in star.source.schema.fields if f.name in S.SOURCE_COLUMNS])
+            (plain.write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1")
+             .option("escape", '"').csv(path))
+            _CSV_WRITTEN.add(path)
+    return read_orders_csv(spark, path)
+
+
+_CSV_LOCK = threading.Lock()
+_CSV_WRITTEN: set[str] = set()
+
+
+def _csv_profile(star: Star) -> DataFrame:
+    """Source profile of the CSV copy."""
+    return quality.source_profile(_csv_source(star))
+
+
+def _csv_quality_report(star: Star) -> DataFrame:
+    """Quality report of the CSV copy."""
+    return quality.quality_report(_csv_source(star), TEST_CONTRACT)
+
+
+def _etl_summary(star: Star) -> DataFrame:
+    return etl.summary_of(star.source, star.fact, TEST_CONTRACT)
+
+
+def _freshness_cards(star: Star) -> DataFrame:
+    return marts.freshness_cards(star, as_of=F.lit(O.AS_OF).cast("timestamp"))
+
+
 QUERIES: dict[str, Query] = {
     # source profile and quality checks
     "src_profile": _star_query(_on_source(quality.source_profile)),
@@ -117,6 +156,8 @@ QUERIES: dict[str, Query] = {
     "range_violations": _star_query(_on_source(quality.range_violations)),
     "uniqueness": _star_query(_on_source(quality.uniqueness)),
     "quality_report": _star_query(_on_source(lambda df: quality.quality_report(df, TEST_CONTRACT))),
+    "csv_profile": _star_query(_csv_profile),
+    "csv_quality_report": _star_query(_csv_quality_report),
     "constraint_audit": _star_query(_constraint_audit),
     "reconciliation": _star_query(_reconciliation),
     # dimensions and fact (the ETL)
@@ -127,6 +168,7 @@ QUERIES: dict[str, Query] = {
     "dim_counts": _star_query(_dim_counts),
     "dedup_keep_first": _star_query(_dedup_keep_first),
     "fact_orders": _star_query(_fact_orders),
+    "etl_summary": _star_query(_etl_summary),
     # views
     "daily_sales": _star_query(marts.daily_sales),
     "sales_by_region": _star_query(marts.sales_by_region),
@@ -139,6 +181,7 @@ QUERIES: dict[str, Query] = {
     "discount_impact": _star_query(marts.discount_impact),
     # dashboard datasets
     "freshness": _star_query(_freshness),
+    "freshness_cards": _star_query(_freshness_cards),
     "monthly_period": _star_query(marts.monthly_period),
     "category_totals": _star_query(marts.category_totals),
     "region_share": _star_query(marts.region_share),

@@ -77,6 +77,9 @@ TOP_CUSTOMERS_HEADERS = ["Customer", "Segment", "Orders", "Sales"]
 # Reconciliation metrics, in report order.
 RECON_METRICS = ["Total Sales", "Total Profit", "Total Orders", "Total Quantity"]
 
+# Freshness card labels, in card order.
+FRESHNESS_CARD_LABELS = ["Latest Order Date", "Total Records", "Dashboard Refreshed"]
+
 # Name prefix of the published views; number of rows in the top-k views.
 VIEW_PREFIX = "vw_"
 TOP_K = 10
@@ -130,8 +133,12 @@ CONTRACT = [
 # Store types (star schema) and source types (as parsed; rounded at load).
 MONEY = T.DecimalType(12, 2)
 RATE = T.DecimalType(5, 2)
-SOURCE_MONEY = T.DecimalType(18, 4)
-SOURCE_RATE = T.DecimalType(7, 4)
+# Source numbers keep every digit that a text gives up to 28 before and 10 after the point; the store's
+# narrower types are applied at the fact, where values they cannot hold are counted.
+SOURCE_MONEY = T.DecimalType(38, 10)
+SOURCE_RATE = T.DecimalType(38, 10)
+# Sums of money in the marts, whatever plan computed them.
+MONEY_SUM = T.DecimalType(32, 2)
 
 # Typed source (after parsing). Money stays decimal from here on.
 SOURCE_SCHEMA = T.StructType([

@@ -9,7 +9,8 @@ Order ID            l_orderkey as text
 Order / Ship Date   o_orderdate / l_shipdate as DATE
 Ship Mode           o_orderpriority
 Customer ...        c_custkey as text, c_name, c_mktsegment
-Country/State/City  n_name
+Country/State       n_name
+City                n_name, NULL where n_nationkey % 12 = 7
 Postal Code         n_nationkey as text, NULL where n_nationkey % 8 = 0
 Region              r_name
 Product ...         p_partkey as text, p_name, p_type (category), p_brand
@@ -40,6 +41,7 @@ from .. import schemas as S
 DISCOUNT_FACTOR = 3
 PROFIT_RATE = Decimal("0.22")
 POSTAL_NULL_MODULUS = 8
+CITY_NULL_MODULUS, CITY_NULL_REST = 12, 7
 
 LINEITEM_COLUMNS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -79,6 +81,8 @@ def read_tables_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     postal = F.when(F.col("n_nationkey") % POSTAL_NULL_MODULUS == 0, F.lit(None).cast("string")) \
         .otherwise(F.col("n_nationkey").cast("string"))
 
+    city = F.when(F.col("n_nationkey") % CITY_NULL_MODULUS != CITY_NULL_REST, F.col("n_name"))
+
     return joined.select(
         F.col("l_orderkey").cast("string").alias(S.ORDER_ID),
         F.col("o_orderdate").cast("date").alias(S.ORDER_DATE),
@@ -88,7 +92,7 @@ def read_tables_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias(S.CUSTOMER_NAME),
         F.col("c_mktsegment").alias(S.SEGMENT),
         F.col("n_name").alias(S.COUNTRY),
-        F.col("n_name").alias(S.CITY),
+        city.alias(S.CITY),
         F.col("n_name").alias(S.STATE),
         postal.alias(S.POSTAL_CODE),
         F.col("r_name").alias(S.REGION),

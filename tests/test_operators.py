@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators import broadcast_if_small, duplicate_count, keep_first, lookup, with_surrogate_key
+from ledgerline.operators import duplicate_count, keep_first, lookup, with_surrogate_key
 
 
 def test_surrogate_key_equals_row_number(spark):
@@ -85,22 +85,31 @@ def test_table_stats_bound(spark):
     assert not BroadcastLimit(1000, 10**6).allows(TableStats(10, {}, text_measured=False), ["key"])
 
 
-def test_broadcast_only_under_limit(spark):
-    small = spark.range(3)
-    assert broadcast_if_small(small, 3) is not small      # hinted copy
-    assert broadcast_if_small(small, 2) is small          # over the limit: left to the planner
-    assert broadcast_if_small(small, 10, known_rows=11) is small
-
-
 def test_shuffle_partitions_sizing(spark):
-    from ledgerline.config import ROWS_PER_PARTITION_CONF, shuffle_partitions, shuffle_partitions_for
+    from ledgerline.config import (BYTES_PER_PARTITION_CONF, MAX_PARTITIONS_CONF, shuffle_partitions,
+                                   shuffle_partitions_for)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert shuffle_partitions_for(spark, 10) == current                      # never fewer than configured
-    spark.conf.set(ROWS_PER_PARTITION_CONF, "100")
+    spark.conf.set(BYTES_PER_PARTITION_CONF, "100")
     try:
         assert shuffle_partitions_for(spark, 100 * current * 3 + 1) == current * 3 + 1
+        spark.conf.set(MAX_PARTITIONS_CONF, str(current * 2))
+        assert shuffle_partitions_for(spark, 10**15) == current * 2          # bounded
     finally:
-        spark.conf.unset(ROWS_PER_PARTITION_CONF)
+        spark.conf.unset(BYTES_PER_PARTITION_CONF)
+        spark.conf.unset(MAX_PARTITIONS_CONF)
     with shuffle_partitions(spark, current + 5):
         assert spark.conf.get("spark.sql.shuffle.partitions") == str(current + 5)
     assert spark.conf.get("spark.sql.shuffle.partitions") == str(current)
+
+
+def test_input_bytes_are_the_files_sizes(spark, workdir):
+    import glob
+    import os
+
+    from ledgerline.config import input_bytes
+    spark.range(1000).repartition(3).write.parquet(f"{workdir}/a")
+    spark.range(10).write.parquet(f"{workdir}/b")
+    want = sum(os.path.getsize(f) for f in glob.glob(f"{workdir}/a/*.parquet"))
+    assert input_bytes(spark.read.parquet(f"{workdir}/a")) == want
+    assert input_bytes(spark.createDataFrame([(1,)], "a int")) == 0

@@ -152,24 +152,6 @@ def test_category_totals_drop_null_category(spark):
     assert len(marts.sales_by_category(st).collect()) == 2          # the view itself keeps the NULL group
 
 
-def test_numbering_plans_agree(spark):
-    from ledgerline.config import SINGLE_TASK_KEYS_CONF
-    lines = [{S.CUSTOMER_ID: f"C-{(i * 37) % 101}", S.PRODUCT_ID: f"P-{(i * 11) % 53}",
-              S.POSTAL_CODE: None if i % 5 == 0 else str(i % 13), S.CITY: f"City {i % 7}",
-              S.ORDER_DATE: dt.date(2024, 1, 1) + dt.timedelta(days=i % 40)} for i in range(400)]
-    src = make_source(spark, lines)
-    single = build_star(spark, src)                       # default: measured rows are small
-    spark.conf.set(SINGLE_TASK_KEYS_CONF, "0")
-    try:
-        distributed = build_star(spark, src)             # forced range-partitioned numbering
-    finally:
-        spark.conf.unset(SINGLE_TASK_KEYS_CONF)
-    for t in ["dim_customer", "dim_product", "dim_location", "dim_date"]:
-        a = sorted(single.tables[t].collect(), key=lambda r: r[0])
-        b = sorted(distributed.tables[t].collect(), key=lambda r: r[0])
-        assert a == b and [r[0] for r in a] == list(range(1, len(a) + 1))
-
-
 def test_written_tables_match_declared_schema(star):
     declared = {"dim_customer": S.DIM_CUSTOMER, "dim_product": S.DIM_PRODUCT, "dim_location": S.DIM_LOCATION,
                 "dim_date": S.DIM_DATE, "fact_orders": S.FACT_ORDERS}
