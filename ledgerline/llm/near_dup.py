@@ -10,11 +10,12 @@ Jaccard similarity, which is the plain Jaccard similarity where weights are even
 
 Equal texts are one node. Nodes with an equal band of registers share a bucket; of
 each bucket its leader is paired with every member (never all pairs). A first round
-verifies for each node the pair that shares most bands; further rounds deal with
-buckets whose members are still in different classes, with ``LEADERS`` other leaders
-a bucket and round, until none is left. Verification computes the similarity of two
+verifies for each node the pair that shares most bands. Further rounds deal with
+buckets whose members are still in different classes: a few members stand for each
+class there (others in each bucket), and about ``LEADERS`` classes meet all others a
+round, until no two classes of a bucket have not met. Verification computes the similarity of two
 whole texts exactly; links of ``THRESHOLD`` or more make classes (connected
-components, by label propagation with pointer jumping).
+components, by hooking and pointer jumping).
 
 A pair at the threshold shares no bucket with probability (1 - 0.8^ROWS)^BANDS, about
 0.00005, and less above it.
@@ -37,7 +38,8 @@ from .common import settled, slices, text_of, wrapped, written
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 25, 5
-LEADERS = 16
+#: Classes of a bucket that meet all its others in a round, and members that stand for a class in a bucket.
+LEADERS, MEMBERS = 64, 4
 #: Word hashes kept in a worker's cache; it starts anew beyond that.
 CACHE_WORDS = 500_000
 
@@ -157,21 +159,39 @@ def _signed(docs: DataFrame) -> DataFrame:
     return src.mapInArrow(run, f"row long, doc_id {kind}, digest binary, bands array<long>")
 
 
-def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
-    """``node, label`` of every node of ``edges`` (``a, b``): the smallest node of its component."""
-    both = settled(spark, edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
-    labels = settled(spark, labels)
+def _roots(spark: SparkSession, parents: DataFrame) -> DataFrame:
+    """``node, label``: the root above each node of a forest (``node, up``, ``up`` < ``node``), by pointer jumping."""
     while True:
-        near = (both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("l")), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("l").alias("l")))
-        hooked = labels.join(near, "node").select("node", "label", F.least("label", "l").alias("now"))
-        jump = labels.select(F.col("node").alias("now"), F.col("label").alias("beyond"))
-        moved = settled(spark, hooked.join(jump, "now", "left").select(
-            "node", F.least("now", F.coalesce("beyond", "now")).alias("now"), F.col("label").alias("was")))
-        labels = moved.select("node", F.col("now").alias("label"))
-        if moved.where("now <> was").isEmpty():
-            return labels
+        above = parents.select(F.col("node").alias("up"), F.col("up").alias("beyond"))
+        jumped = settled(spark, parents.join(above, "up", "left").select("node", F.coalesce("beyond", "up").alias("up"),
+                                                                         F.col("beyond").isNotNull().alias("moved")))
+        parents = jumped.select("node", "up")
+        if jumped.where("moved").isEmpty():
+            return parents.withColumnRenamed("up", "label")
+
+
+def components(spark: SparkSession, edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """``node, label`` of every node that is not the smallest of its component; ``edges`` are ``a, b``.
+
+    Each node hooks to its smallest smaller neighbour, trees collapse to their roots, and the edges
+    between different roots go on: at most half of the nodes are left after each pass. ``labels``
+    are those of earlier edges, whose roots the new edges join.
+    """
+    while True:
+        if labels is not None:
+            up = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_up"))
+            edges = (edges.join(up("a"), "a", "left").join(up("b"), "b", "left")
+                     .select(F.coalesce("a_up", "a").alias("a"), F.coalesce("b_up", "b").alias("b")))
+        edges = settled(spark, edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        if edges.isEmpty():
+            return labels if labels is not None else edges.select(F.col("b").alias("node"), F.col("a").alias("label"))
+        roots = _roots(spark, edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up")))
+        if labels is None:
+            labels = roots
+        else:
+            above = roots.select(F.col("node").alias("label"), F.col("label").alias("root"))
+            labels = settled(spark, labels.join(above, "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+                             .unionAll(roots))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -206,37 +226,30 @@ def links(spark: SparkSession, docs: DataFrame, signed: DataFrame, nodes: DataFr
     texts = docs.select(_digest().alias("digest"), text_of().alias("text"))
     texts = written(spark, texts.join(wanted, "digest").dropDuplicates(["node"]).select("node", "text"), "near-texts")
     best = (buckets.where("node <> leader").groupBy("leader", "node").agg(F.count("*").alias("n"))
-            .groupBy(F.col("node").alias("b")).agg(F.max_by("leader", F.col("n") * F.lit(1.0)).alias("a")))
-    tested = settled(spark, best.select("a", "b"))
-    edges = settled(spark, _verified(tested, texts))
-    labels = components(spark, edges)
-    active = buckets.select("band", "node")
-    turn = 0
+            .groupBy(F.col("node").alias("b")).agg(F.max_by("leader", "n").alias("a")))
+    labels = components(spark, _verified(best.select("a", "b"), texts))
+    active, turn = buckets.select("band", "node"), 0
     while True:
         turn += 1
-        at = _labelled(active, labels)
-        mixed = at.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), *[
-            F.min_by("node", F.xxhash64("node", "band", F.lit(turn * LEADERS + k))).alias(f"k{k}") for k in range(LEADERS)
-        ]).where("lo <> hi")
-        chosen = mixed.select("band", F.explode(F.array_distinct(F.array(*[f"k{k}" for k in range(LEADERS)]))).alias("leader"))
-        at = settled(spark, at.join(mixed.select("band"), "band", "left_semi"))
+        # of each class in a bucket, a few members stand for it there; other ones in other buckets and rounds
+        picked = [F.min_by("node", F.xxhash64("node", "band", F.lit(turn * MEMBERS + k))) for k in range(MEMBERS)]
+        at = (_labelled(active, labels).groupBy("band", "label").agg(F.array_distinct(F.array(*picked)).alias("nodes")))
+        mixed = at.groupBy("band").agg(F.count("*").alias("classes"), F.min("label").alias("lowest")).where("classes > 1")
+        at = settled(spark, at.join(mixed, "band"))
         if at.isEmpty():
             return labels
-        chosen = settled(spark, chosen)
-        led = chosen.join(at.select("band", F.col("node").alias("leader"), F.col("label").alias("leading")), ["band", "leader"])
-        met = at.join(led, "band").where("label <> leading")
+        # some classes lead: the lowest, and about LEADERS of the others
+        leads = (F.col("label") == F.col("lowest")) | (
+            F.pmod(F.xxhash64("label", "band", F.lit(turn)), F.ceil(F.col("classes") / LEADERS)) == 0)
+        leaders = at.where(leads).select("band", F.col("label").alias("leading"), F.explode("nodes").alias("leader"))
+        others = at.select("band", "label", F.explode("nodes").alias("node"), leads.alias("leads"))
+        met = others.join(leaders, "band").where("label < leading or (label > leading and not leads)")
         pairs = met.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
-        pairs = settled(spark, pairs.join(tested, ["a", "b"], "left_anti"))
-        found = settled(spark, _verified(pairs, texts))
-        tested = tested.unionAll(pairs)
-        if not found.isEmpty():
-            edges = edges.unionAll(found)
-            labels = components(spark, edges)
-        # leaders have met everyone here; so has, through them, each node of their classes
-        now = _labelled(at.select("band", "node"), labels)
-        done = (chosen.join(now.select("band", F.col("node").alias("leader"), "label"), ["band", "leader"])
-                .select("band", "label").distinct())
-        active = settled(spark, now.join(done, ["band", "label"], "left_anti").select("band", "node"))
+        labels = components(spark, _verified(pairs, texts), labels)
+        # leaders have met every class here; those that are left meet each other in the next round
+        led = _labelled(leaders.select("band", F.col("leader").alias("node")), labels).select("band", "label").distinct()
+        left = _labelled(others.where("not leads").select("band", "node"), labels)
+        active = settled(spark, left.join(led, ["band", "label"], "left_anti").select("band", "node"))
 
 
 def near_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
