@@ -12,8 +12,9 @@ Equal texts are one node. Nodes with an equal band of registers share a bucket;
 each bucket its leader is paired with every member (never all pairs). A first round
 verifies for each node the pair that shares most bands. Further rounds deal with
 buckets whose members are still in different classes: a few members stand for each
-class there (others in each bucket), and about ``LEADERS`` classes meet all others a
-round, until no two classes of a bucket have not met. Verification computes the similarity of two
+class there (others in each bucket), and some classes drawn by lot, up to ``LEADERS``
+as the rounds go on, meet all others, until no two classes of a bucket have not met.
+Verification computes the similarity of two
 whole texts exactly; links of ``THRESHOLD`` or more make classes (connected
 components, by hooking and pointer jumping).
 
@@ -232,15 +233,18 @@ def links(spark: SparkSession, docs: DataFrame, signed: DataFrame, nodes: DataFr
     while True:
         turn += 1
         # of each class in a bucket, a few members stand for it there; other ones in other buckets and rounds
-        picked = [F.min_by("node", F.xxhash64("node", "band", F.lit(turn * MEMBERS + k))) for k in range(MEMBERS)]
+        picked = [F.min_by("node", F.xxhash64("node", "band", F.lit(turn * MEMBERS + k))) for k in range(min(MEMBERS, turn))]
         at = (_labelled(active, labels).groupBy("band", "label").agg(F.array_distinct(F.array(*picked)).alias("nodes")))
-        mixed = at.groupBy("band").agg(F.count("*").alias("classes"), F.min("label").alias("lowest")).where("classes > 1")
+        lot = F.xxhash64("label", "band", F.lit(turn))
+        mixed = at.groupBy("band").agg(F.count("*").alias("classes"), F.min_by("label", lot).alias("drawn")).where("classes > 1")
         at = settled(spark, at.join(mixed, "band"))
         if at.isEmpty():
             return labels
-        # some classes lead: the lowest, and about LEADERS of the others
-        leads = (F.col("label") == F.col("lowest")) | (
-            F.pmod(F.xxhash64("label", "band", F.lit(turn)), F.ceil(F.col("classes") / LEADERS)) == 0)
+        # classes that lead are drawn by lot: one a bucket at first, when most members turn out to be of one
+        # class whichever leads; eight times as many each round, up to about LEADERS
+        leads = F.col("label") == F.col("drawn")
+        if turn > 1:
+            leads = leads | (F.pmod(lot, F.ceil(F.col("classes") / min(LEADERS, 8 ** (turn - 1)))) == 0)
         leaders = at.where(leads).select("band", F.col("label").alias("leading"), F.explode("nodes").alias("leader"))
         others = at.select("band", "label", F.explode("nodes").alias("node"), leads.alias("leads"))
         met = others.join(leaders, "band").where("label < leading or (label > leading and not leads)")
