@@ -10,13 +10,13 @@ Jaccard similarity, which is the plain Jaccard similarity where weights are even
 
 Equal texts are one node. Nodes with an equal band of registers share a bucket; of
 each bucket its leader is paired with every member (never all pairs). A first round
-verifies for each node the pair that shares most bands. Further rounds deal with
-buckets whose members are still in different classes: a few members stand for each
-class there (others in each bucket), and some classes drawn by lot, up to ``LEADERS``
-as the rounds go on, meet all others, until no two classes of a bucket have not met.
-Verification computes the similarity of two
-whole texts exactly; links of ``THRESHOLD`` or more make classes (connected
-components, by hooking and pointer jumping).
+verifies for each node the pair that shares most bands, a second one lets a class drawn
+by lot meet the other classes of its bucket. Then, as long as that finds links, each node
+of a bucket with several classes is verified against the nodes of other classes there
+whose signatures agree most with its own and that it has not met (``CLOSEST``, doubled
+each round). Verification computes the similarity of two whole texts exactly; links of
+``THRESHOLD`` or more make classes (connected components, by hooking and pointer
+jumping).
 
 A pair at the threshold shares no bucket with probability (1 - 0.8^ROWS)^BANDS, about
 0.00005, and less above it.
@@ -39,8 +39,9 @@ from .common import settled, slices, text_of, wrapped, written
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 25, 5
-#: Classes of a bucket that meet all its others in a round, and members that stand for a class in a bucket.
-LEADERS, MEMBERS = 64, 4
+#: Partners of a node that are verified in a bucket, in the first round and (doubled each round) at most; least
+#: share of registers in which they agree (3.3 standard errors below the threshold); nodes of a block of a bucket.
+CLOSEST, MOST, NEAR, BLOCK = 8, 64, 0.68, 2048
 #: Word hashes kept in a worker's cache; it starts anew beyond that.
 CACHE_WORDS = 500_000
 
@@ -111,15 +112,17 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = BANDS
     return held.reshape(-1, registers)
 
 
-def band_keys(sets: list[tuple[np.ndarray, np.ndarray]]) -> list[list[int]]:
-    """One signed 64-bit key per band of every set; none for an empty set."""
+def band_keys(sets: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[list[int]], list[bytes]]:
+    """One signed 64-bit key per band of every set, none for an empty set; and a byte per register."""
     full = [s for s in sets if len(s[0])]
-    sig = signatures(full).reshape(-1, BANDS, ROWS)
+    sig = signatures(full)
+    short = iter([row.tobytes() for row in (sig & np.uint64(255)).astype(np.uint8)])
+    sig = sig.reshape(-1, BANDS, ROWS)
     key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), sig.shape[:2]).copy()
     for r in range(ROWS):
         key = _mix(key * _GOLDEN + sig[:, :, r])
     rows = iter(key.view(np.int64).tolist())
-    return [next(rows) if len(s[0]) else [] for s in sets]
+    return [next(rows) if len(s[0]) else [] for s in sets], [next(short) if len(s[0]) else b"" for s in sets]
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -146,18 +149,18 @@ def _digest() -> F.Column:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, digest, bands`` of every document."""
+    """``row, doc_id, digest, bands, sig`` of every document."""
     src = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", _digest().alias("digest"),
                       text_of().alias("text"))
 
     def run(batches):
         for b in slices(batches):
-            keys = band_keys([elements(t) for t in b.column(3).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(keys, pa.list_(pa.int64()))],
-                                             ["row", "doc_id", "digest", "bands"])
+            keys, short = band_keys([elements(t) for t in b.column(3).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(keys, pa.list_(pa.int64())), pa.array(short, pa.binary())],
+                                             ["row", "doc_id", "digest", "bands", "sig"])
 
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"row long, doc_id {kind}, digest binary, bands array<long>")
+    return src.mapInArrow(run, f"row long, doc_id {kind}, digest binary, bands array<long>, sig binary")
 
 
 def _roots(spark: SparkSession, parents: DataFrame) -> DataFrame:
@@ -229,31 +232,69 @@ def links(spark: SparkSession, docs: DataFrame, signed: DataFrame, nodes: DataFr
     best = (buckets.where("node <> leader").groupBy("leader", "node").agg(F.count("*").alias("n"))
             .groupBy(F.col("node").alias("b")).agg(F.max_by("leader", "n").alias("a")))
     labels = components(spark, _verified(best.select("a", "b"), texts))
-    active, turn = buckets.select("band", "node"), 0
+    # one class of each bucket, drawn by lot, meets the others: most members of a large group of copies
+    # turn out to be of one class, whichever is drawn, and each meets others in its other buckets
+    at = _labelled(buckets, labels).groupBy("band", "label").agg(F.min_by("node", F.xxhash64("node", "band")).alias("node"))
+    drawn = at.groupBy("band").agg(F.min_by("node", F.xxhash64("label", "band")).alias("leader"), F.count("*").alias("n"))
+    met = at.join(drawn.where("n > 1"), "band").where("node <> leader")
+    pairs = met.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
+    labels = components(spark, _verified(pairs, texts), labels)
+    # then each member meets those of other classes in its buckets that its signature is closest to
+    signs = settled(spark, buckets.select("node").distinct().join(signed, F.col("node") == F.col("row")).select("node", "sig"))
+    tested, closest = None, CLOSEST
     while True:
-        turn += 1
-        # of each class in a bucket, a few members stand for it there; other ones in other buckets and rounds
-        picked = [F.min_by("node", F.xxhash64("node", "band", F.lit(turn * MEMBERS + k))) for k in range(min(MEMBERS, turn))]
-        at = (_labelled(active, labels).groupBy("band", "label").agg(F.array_distinct(F.array(*picked)).alias("nodes")))
-        lot = F.xxhash64("label", "band", F.lit(turn))
-        mixed = at.groupBy("band").agg(F.count("*").alias("classes"), F.min_by("label", lot).alias("drawn")).where("classes > 1")
-        at = settled(spark, at.join(mixed, "band"))
-        if at.isEmpty():
+        at = _labelled(buckets, labels)
+        mixed = at.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
+        open_ = at.join(mixed.select("band", F.ceil(F.col("n") / BLOCK).alias("blocks")), "band").join(signs, "node")
+        pairs = _closest(open_, closest).distinct()
+        pairs = settled(spark, pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        found = settled(spark, _verified(pairs, texts))
+        if found.isEmpty():
             return labels
-        # classes that lead are drawn by lot: one a bucket at first, when most members turn out to be of one
-        # class whichever leads; eight times as many each round, up to about LEADERS
-        leads = F.col("label") == F.col("drawn")
-        if turn > 1:
-            leads = leads | (F.pmod(lot, F.ceil(F.col("classes") / min(LEADERS, 8 ** (turn - 1)))) == 0)
-        leaders = at.where(leads).select("band", F.col("label").alias("leading"), F.explode("nodes").alias("leader"))
-        others = at.select("band", "label", F.explode("nodes").alias("node"), leads.alias("leads"))
-        met = others.join(leaders, "band").where("label < leading or (label > leading and not leads)")
-        pairs = met.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
-        labels = components(spark, _verified(pairs, texts), labels)
-        # leaders have met every class here; those that are left meet each other in the next round
-        led = _labelled(leaders.select("band", F.col("leader").alias("node")), labels).select("band", "label").distinct()
-        left = _labelled(others.where("not leads").select("band", "node"), labels)
-        active = settled(spark, left.join(led, ["band", "label"], "left_anti").select("band", "node"))
+        tested = pairs if tested is None else tested.unionAll(pairs)
+        labels = components(spark, found, labels)
+        closest = min(2 * closest, MOST)
+
+
+def _closest(rows: DataFrame, closest: int) -> DataFrame:
+    """Pairs ``a, b`` of different classes: of each node in a bucket, the ``closest`` whose signatures agree most.
+
+    ``rows`` are ``node, band, label, blocks, sig``. A large bucket is cut into blocks, and each pair of
+    blocks is a group of its own, so no group is larger than two blocks.
+    """
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select("band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node", "label", "sig")
+
+    def pairs_of(group: list) -> pa.RecordBatch:
+        node, label = np.array([g[0] for g in group]), np.array([g[1] for g in group])
+        sig = np.frombuffer(b"".join(g[2] for g in group), np.uint8).reshape(len(group), -1)
+        left, right = [], []
+        for k in range(0, len(group), 64):
+            agree = (sig[k:k + 64, None, :] == sig[None, :, :]).mean(axis=2)
+            agree[label[k:k + 64, None] == label[None, :]] = -1.0
+            best = np.argpartition(-agree, min(closest, len(group)) - 1, axis=1)[:, :closest]
+            i, j = np.nonzero(np.take_along_axis(agree, best, axis=1) >= NEAR)
+            left.append(node[k + i])
+            right.append(node[best[i, j]])
+        left, right = np.concatenate(left), np.concatenate(right)
+        found = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], ["a", "b"])
+
+    def run(batches):
+        key, group = None, []
+        for b in batches:
+            for band, p, q, *rest in zip(*(c.to_pylist() for c in b.columns)):
+                if (band, p, q) != key:
+                    if group:
+                        yield pairs_of(group)
+                    key, group = (band, p, q), []
+                group.append(rest)
+        if group:
+            yield pairs_of(group)
+
+    return (dealt.repartition("band", "p", "q").sortWithinPartitions("band", "p", "q")
+            .mapInArrow(run, "a long, b long"))
 
 
 def near_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
