@@ -3,19 +3,17 @@
 Texts are cut into sentences, sentences into segments (runs of non-space characters
 without punctuation; three or more single letters in a row are one segment;
 segments over ``SEGMENT`` characters are cut into overlapping ones). The kernel of
-two segments (each with a start mark) counts their common subsequences of ``ORDER``
-characters within a span of ``SPAN``, each weighted by ``DECAY`` per character of span,
-normalised to 1 for equal segments: inserted or dropped characters cost a factor, not
-the match.
+two segments counts their common subsequences of ``ORDER`` characters within a span
+of ``SPAN``, each weighted by ``DECAY`` per character of span, normalised to 1 for
+equal segments: inserted or dropped characters cost a factor, not the match.
 
 Training, on a bounded sample of labelled documents (``SAMPLE_DOCS``): sentences of
 clean documents are clean, so every segment in one is. In each toxic document the
-segments with its witness are toxic: the beginning (``STEMS`` characters, or a whole
-segment) met in most toxic documents and in hardly any clean one. A linear SVM learns on
-Nystroem features (kernel values to ``LANDMARKS`` landmark segments, whitened by the
-landmarks' own kernel matrix), and again with the clean segments that it finds
-hardest among its rows and landmarks. A text scores its most toxic segment, through a logistic curve fitted on the
-training documents.
+sentences with its witness are toxic: the segment met in most other toxic documents
+and in no clean one. A linear SVM learns on Nystroem features (kernel values to
+``LANDMARKS`` landmark segments, whitened by the landmarks' own kernel matrix), picks
+the witnesses again by its own margin, and learns once more. A text scores its most
+toxic segment, through a logistic curve fitted on the training documents.
 
 For scoring, the learnt function (a weighted sum of kernels to landmarks) is folded
 into one weight per character subsequence: the same value, since the kernel is an
@@ -40,16 +38,12 @@ from pyspark.sql import functions as F
 from .common import doc_texts, held_out, slices, text_of, wrapped
 
 #: Labelled documents that the model learns from, at most (the smallest by a hash of the id).
-SAMPLE_DOCS = 10_000
+SAMPLE_DOCS = 12_000
 #: Segments of the training set: toxic ones, and clean ones (the most frequent, then by hash).
 TOXIC_SEGMENTS, CLEAN_SEGMENTS = 2_000, 20_000
 ORDER, SPAN, DECAY = 3, 5, 0.6
-#: Lengths of beginnings that may be a witness; clean documents with it per toxic one, at most.
-STEMS, CLEAN_SHARE = (4, 5, 6), 0.02
-LANDMARKS = 384
+LANDMARKS = 256
 SEGMENT = 24
-#: Weight of a toxic segment against a clean one, at most; rounds of looking for the hardest clean segments.
-TOXIC_WEIGHT, HARD_ROUNDS = 10.0, 2
 #: Scores kept in a worker's cache of segments; it starts anew beyond that.
 CACHE_SEGMENTS = 300_000
 
@@ -78,8 +72,6 @@ def trimmed(segment: str) -> list[str]:
     return [segment[i:i + SEGMENT] for i in range(0, len(segment) - SEGMENT // 2, SEGMENT // 2)]
 
 
-#: Stands before a segment's first character, so that beginnings have subsequences of their own.
-START = "\x01"
 #: Positions within a span: a first character, then two more, up to SPAN - 1 further on.
 _OFFSETS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 
@@ -89,12 +81,12 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     Once per word and key, their weights summed and scaled to unit length per word.
     """
-    joined = np.frombuffer(("\0" + "".join(f"{START}{w}" + "\0" * (SPAN - 1) for w in words)).encode("utf-32-le"), np.uint32)
+    joined = np.frombuffer(("\0" + "".join(w + "\0" * (SPAN - 1) for w in words)).encode("utf-32-le"), np.uint32)
     letters, code = np.unique(joined, return_inverse=True)       # the zero between words gets code 0
     letters, code = letters.astype(np.int64), code.astype(np.int64)[1:]
     bits = max(1, int(len(letters) - 1).bit_length())
     n = len(code)
-    row = np.repeat(np.arange(len(words)) << 3 * bits, np.fromiter((len(w) + SPAN for w in words), np.int64, len(words)))
+    row = np.repeat(np.arange(len(words)) << 3 * bits, np.fromiter((len(w) + SPAN - 1 for w in words), np.int64, len(words)))
     packed, weights = [], []
     for a, b in _OFFSETS:
         x, y, z = code[:n - b], code[a:n - b + a], code[b:]
@@ -184,49 +176,35 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, seed: int = 7
     """Fit on the sample: Spark counts segments and picks witnesses, the driver solves the bounded SVM."""
     found = training_segments(spark, docs, labels).persist()
     try:
-        toxic = [r["segment"] for r in _witnessed(found).groupBy("segment").agg(F.count("*").alias("n"))
-                 .orderBy(F.desc("n"), "segment").limit(TOXIC_SEGMENTS).collect()]
-        clean_only = found.where("toxic = 0").groupBy("segment").agg(F.count("*").alias("c"))
-        clean = [r["segment"] for r in clean_only.orderBy(F.desc("c"), F.xxhash64("segment")).limit(CLEAN_SEGMENTS).collect()]
+        by = (found.groupBy("segment")
+              .agg(F.sum(F.col("toxic").cast("long")).alias("t"), F.sum(1 - F.col("toxic")).alias("c")).persist())
+        # witness of a toxic document: its segment in most toxic documents and in no clean one
+        only = by.where((F.col("c") == 0) & (F.col("t") > 0))
+        witness = (found.where("toxic = 1").join(only, "segment")
+                   .groupBy("doc_id").agg(F.max(F.struct("t", "segment")).alias("w")))
+        toxic = [r["segment"] for r in witness.groupBy("w.segment").agg(F.count("*").alias("n"), F.max("w.t").alias("t"))
+                 .where("t > 1").orderBy(F.desc("n"), "segment").limit(TOXIC_SEGMENTS).select("segment").collect()]
+        clean = [r["segment"] for r in by.where("c > 0").orderBy(F.desc("c"), F.xxhash64("segment")).limit(CLEAN_SEGMENTS)
+                 .select("segment").collect()]
         if not toxic or not clean:
             return Model(np.zeros(0, np.int64), np.zeros(0), -1.0, 40.0, 0.0)
-        clean = {*clean} - {*toxic}
-        positive = _gapped(toxic, seed)
-        model, hard = _fit(positive, sorted(clean), [], seed), []
-        for _ in range(HARD_ROUNDS):
-            hard = [r["segment"] for r in _scored(clean_only, model).where("margin > -0.7")
-                    .orderBy(F.desc("margin"), "segment").limit(CLEAN_SEGMENTS // 4).collect()]
-            hard = [x for x in hard if x not in toxic]
-            clean |= {*hard}
-            model = _fit(positive, sorted(clean), hard, seed)
+        model = _fit(_gapped(toxic, seed), clean, seed)
+        # once more, with the segments that the first machine finds toxic in toxic documents, or wrongly in clean ones
+        again = _scored(found.groupBy("segment").agg(F.max("toxic").alias("t"), F.min("toxic").alias("c")), model)
+        again = again.where("margin > -0.5")
+        more = {r["segment"] for r in again.where("c = 1 and margin > 0").orderBy(F.desc("margin"), "segment")
+                .limit(TOXIC_SEGMENTS).select("segment").collect()}
+        hard = {r["segment"] for r in again.where("c = 0").orderBy(F.desc("margin"), "segment")
+                .limit(CLEAN_SEGMENTS).select("segment").collect()}
+        model = _fit(_gapped(sorted({*toxic, *more}), seed), sorted({*clean, *hard}), seed)
         best = _scored(found, model).groupBy("doc_id").agg(F.max("toxic").alias("y"), F.max("margin").alias("m")).collect()
-        best.sort(key=lambda r: (r["m"], r["y"]))
         model.slope, model.offset = _curve(np.array([r["m"] for r in best]), np.array([r["y"] for r in best]))
+        by.unpersist()
         return model
     finally:
         found.unpersist()
 
 
-def _witnessed(found: DataFrame) -> DataFrame:
-    """``segment``: those of toxic documents that begin with the document's witness, once per document."""
-    stems = F.array_distinct(F.array(*[F.substring("segment", 1, n) for n in STEMS], F.concat("segment", F.lit("$"))))
-    stems = found.select("doc_id", "toxic", "segment", F.explode(stems).alias("stem"))
-    per = stems.select("doc_id", "toxic", "stem").distinct().groupBy("stem").agg(
-        F.sum(F.col("toxic").cast("long")).alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
-    toxic_docs = found.where("toxic = 1").agg(F.count_distinct("doc_id")).scalar()
-    docs = found.agg(F.count_distinct("doc_id")).scalar()
-    # so many toxic documents, and no others, would have a beginning by chance less than once in all beginnings
-    chance = F.col("t") * F.ln(docs / toxic_docs) >= F.ln(per.agg(F.count("*")).scalar()) + 3
-    per = per.where((F.col("t") >= F.when(toxic_docs >= 30, 3).otherwise(2)) & (F.col("c") <= F.col("t") * CLEAN_SHARE))
-    seen = stems.where("toxic = 1").join(per.withColumn("sure", chance), "stem")
-    best = seen.groupBy("doc_id").agg(F.max(F.struct("t", F.length("stem").alias("n"), "stem")).alias("w"))
-    picked = seen.join(best.select("doc_id", F.col("w.stem").alias("best")), "doc_id").where("sure or stem = best")
-    picked = picked.select("doc_id", "stem", "segment").distinct()
-    often = picked.groupBy("stem").agg(F.count_distinct("doc_id").alias("n")).where(
-        F.col("n") >= F.when(toxic_docs >= 30, 2).otherwise(1))
-    return picked.join(often, "stem", "left_semi").select("doc_id", "segment").distinct()
-
-
 def _gapped(toxic: list[str], seed: int) -> list[str]:
     """Toxic segments, and each again with one character inserted at a random inner place."""
     rng = np.random.default_rng(seed)
@@ -248,19 +226,19 @@ def _scored(df: DataFrame, model: Model) -> DataFrame:
     return df.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema) + ", margin double")
 
 
-def _fit(toxic: list[str], clean: list[str], hard: list[str], seed: int) -> Model:
+def _fit(toxic: list[str], clean: list[str], seed: int) -> Model:
     """Landmarks, Nystroem features, a squared-hinge SVM by Newton steps, and the folded weights."""
     rng = np.random.default_rng(seed)
+    half = LANDMARKS // 2
     pick = lambda words, n: [words[i] for i in sorted(rng.permutation(len(words))[:n])]
-    third = LANDMARKS // 3
-    landmarks = list(dict.fromkeys(pick(toxic, third) + hard[:third] + pick(clean, third)))
+    landmarks = pick(toxic, half) + pick(clean, half)
     words = toxic + clean
     y = np.concatenate([np.ones(len(toxic)), -np.ones(len(clean))])
     value, vector = np.linalg.eigh(kernel(landmarks, landmarks).astype(float))
     keep = value > 1e-4 * value.max()
     whiten = vector[:, keep] / np.sqrt(value[keep])
-    x = kernel(words, landmarks).astype(float) @ whiten
-    weight = np.where(y > 0, min(len(clean) / len(toxic), TOXIC_WEIGHT), 1.0)
+    x = kernel(words, landmarks) @ whiten.astype(np.float32)
+    weight = np.where(y > 0, len(y) / (2 * len(toxic)), len(y) / (2 * len(clean)))
     w, bias = _svm(x, y, weight)
     beta = whiten @ w
     rows, keys, values = subsequences(landmarks)
@@ -268,17 +246,23 @@ def _fit(toxic: list[str], clean: list[str], hard: list[str], seed: int) -> Mode
     return Model(vocab, np.bincount(at, values * beta[rows], len(vocab)), float(bias), 1.0, 0.0)
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 20.0, steps: int = 30) -> tuple[np.ndarray, float]:
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 4.0, steps: int = 30) -> tuple[np.ndarray, float]:
     """Primal SVM with squared hinge loss: Newton steps over the rows inside the margin."""
-    x1 = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    reg = np.eye(x1.shape[1])
+    n = x.shape[1] + 1
+    reg = np.eye(n)
     reg[-1, -1] = 1e-6
-    w = np.zeros(x1.shape[1])
+    w = np.zeros(n)
     active = np.ones(len(y), bool)
     for _ in range(steps):
-        xa, ca = x1[active], (c * weight[active])[:, None]
-        w = np.linalg.solve(reg + xa.T @ (xa * ca), xa.T @ (ca[:, 0] * y[active]))
-        now = y * (x1 @ w) < 1
+        gram, target = reg.copy(), np.zeros(n)
+        for k in range(0, len(y), 4096):          # a block of rows at a time in double precision
+            at = k + np.flatnonzero(active[k:k + 4096])
+            rows = np.concatenate([x[at].astype(float), np.ones((len(at), 1))], axis=1)
+            weighted = rows * (c * weight[at])[:, None]
+            gram += rows.T @ weighted
+            target += weighted.T @ y[at]
+        w = np.linalg.solve(gram, target)
+        now = y * (x @ w[:-1].astype(np.float32) + w[-1]) < 1
         if (now == active).all():
             break
         active = now
