@@ -11,12 +11,12 @@ Jaccard similarity, which is the plain Jaccard similarity where weights are even
 Equal texts are one node. Nodes with an equal band of registers share a bucket; of
 each bucket its leader is paired with every member (never all pairs). A first round
 verifies for each node the pair that shares most bands, a second one lets a class drawn
-by lot meet the other classes of its bucket. Then, as long as that finds links, each node
-of a bucket with several classes is verified against the nodes of other classes there
-whose signatures agree most with its own and that it has not met (``CLOSEST``, doubled
-each round). Verification computes the similarity of two whole texts exactly; links of
-``THRESHOLD`` or more make classes (connected components, by hooking and pointer
-jumping).
+by lot meet the other classes of its bucket. Then every pair of different classes that
+shares a bucket is verified, in the first bucket that it shares: a bucket is cut into
+blocks of its nodes, each pair of blocks is a group of its own, and a group compares its
+texts by their common elements. No pair is left out, and none is a row. Verification
+computes the similarity of two whole texts exactly; links of ``THRESHOLD`` or more make
+classes (connected components, by hooking and pointer jumping).
 
 A pair at the threshold shares no bucket with probability (1 - 0.8^ROWS)^BANDS, about
 0.00005, and less above it.
@@ -39,9 +39,10 @@ from .common import settled, slices, text_of, wrapped, written
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 25, 5
-#: Partners of a node that are verified in a bucket, in the first round and (doubled each round) at most; least
-#: share of registers in which they agree (3.3 standard errors below the threshold); nodes of a block of a bucket.
-CLOSEST, MOST, NEAR, BLOCK = 8, 64, 0.68, 2048
+#: Nodes of a block of a bucket, and characters of their texts, about.
+BLOCK, BLOCK_CHARS = 512, 4 << 20
+#: Up to so many sets are compared pair by pair.
+FEW = 4
 #: Word hashes kept in a worker's cache; it starts anew beyond that.
 CACHE_WORDS = 500_000
 
@@ -112,17 +113,14 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = BANDS
     return held.reshape(-1, registers)
 
 
-def band_keys(sets: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[list[int]], list[bytes]]:
-    """One signed 64-bit key per band of every set, none for an empty set; and a byte per register."""
-    full = [s for s in sets if len(s[0])]
-    sig = signatures(full)
-    short = iter([row.tobytes() for row in (sig & np.uint64(255)).astype(np.uint8)])
-    sig = sig.reshape(-1, BANDS, ROWS)
+def band_keys(sets: list[tuple[np.ndarray, np.ndarray]]) -> list[list[int]]:
+    """One signed 64-bit key per band of every set, none for an empty set."""
+    sig = signatures([s for s in sets if len(s[0])]).reshape(-1, BANDS, ROWS)
     key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), sig.shape[:2]).copy()
     for r in range(ROWS):
         key = _mix(key * _GOLDEN + sig[:, :, r])
     rows = iter(key.view(np.int64).tolist())
-    return [next(rows) if len(s[0]) else [] for s in sets], [next(short) if len(s[0]) else b"" for s in sets]
+    return [next(rows) if len(s[0]) else [] for s in sets]
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -149,18 +147,19 @@ def _digest() -> F.Column:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, digest, bands, sig`` of every document."""
+    """``row, doc_id, digest, bands, size`` (characters) of every document."""
     src = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", _digest().alias("digest"),
                       text_of().alias("text"))
 
     def run(batches):
         for b in slices(batches):
-            keys, short = band_keys([elements(t) for t in b.column(3).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(keys, pa.list_(pa.int64())), pa.array(short, pa.binary())],
-                                             ["row", "doc_id", "digest", "bands", "sig"])
+            texts = b.column(3).to_pylist()
+            keys = band_keys([elements(t) for t in texts])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(keys, pa.list_(pa.int64())), pa.array(map(len, texts), pa.int64())],
+                                             ["row", "doc_id", "digest", "bands", "size"])
 
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"row long, doc_id {kind}, digest binary, bands array<long>, sig binary")
+    return src.mapInArrow(run, f"row long, doc_id {kind}, digest binary, bands array<long>, size long")
 
 
 def _roots(spark: SparkSession, parents: DataFrame) -> DataFrame:
@@ -239,47 +238,25 @@ def links(spark: SparkSession, docs: DataFrame, signed: DataFrame, nodes: DataFr
     met = at.join(drawn.where("n > 1"), "band").where("node <> leader")
     pairs = met.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
     labels = components(spark, _verified(pairs, texts), labels)
-    # then each member meets those of other classes in its buckets that its signature is closest to
-    signs = settled(spark, buckets.select("node").distinct().join(signed, F.col("node") == F.col("row")).select("node", "sig"))
-    tested, closest = None, CLOSEST
-    while True:
-        at = _labelled(buckets, labels)
-        mixed = at.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
-        open_ = at.join(mixed.select("band", F.ceil(F.col("n") / BLOCK).alias("blocks")), "band").join(signs, "node")
-        pairs = _closest(open_, closest).distinct()
-        pairs = settled(spark, pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        found = settled(spark, _verified(pairs, texts))
-        if found.isEmpty():
-            return labels
-        tested = pairs if tested is None else tested.unionAll(pairs)
-        labels = components(spark, found, labels)
-        closest = min(2 * closest, MOST)
-
-
-def _closest(rows: DataFrame, closest: int) -> DataFrame:
-    """Pairs ``a, b`` of different classes: of each node in a bucket, the ``closest`` whose signatures agree most.
-
-    ``rows`` are ``node, band, label, blocks, sig``. A large bucket is cut into blocks, and each pair of
-    blocks is a group of its own, so no group is larger than two blocks.
+    # then every pair of different classes that shares a bucket
+    known = settled(spark, buckets.select("node").distinct().join(signed, F.col("node") == F.col("row")).select("node", "bands", "size"))
+    at = _labelled(buckets, labels).join(known.select("node", "size"), "node")
+    mixed = (at.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"), F.sum("size").alias("size"))
+             .where("lo <> hi").select("band", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("size") / BLOCK_CHARS)).alias("blocks")))
+    open_ = at.join(mixed, "band").select("node", "band", "label", "blocks")
+    return components(spark, _block_links(open_.join(known.select("node", "bands"), "node").join(texts, "node")), labels)
+
+
+def _block_links(rows: DataFrame) -> DataFrame:
+    """Links ``a, b`` that join all nodes of different classes which share a bucket and are similar enough.
+
+    ``rows`` are ``node, band, label, blocks, bands, text``. A large bucket is cut into blocks, and each
+    pair of blocks is a group of its own, so no group is larger than two blocks.
     """
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.select("band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node", "label", "sig")
-
-    def pairs_of(group: list) -> pa.RecordBatch:
-        node, label = np.array([g[0] for g in group]), np.array([g[1] for g in group])
-        sig = np.frombuffer(b"".join(g[2] for g in group), np.uint8).reshape(len(group), -1)
-        left, right = [], []
-        for k in range(0, len(group), 64):
-            agree = (sig[k:k + 64, None, :] == sig[None, :, :]).mean(axis=2)
-            agree[label[k:k + 64, None] == label[None, :]] = -1.0
-            best = np.argpartition(-agree, min(closest, len(group)) - 1, axis=1)[:, :closest]
-            i, j = np.nonzero(np.take_along_axis(agree, best, axis=1) >= NEAR)
-            left.append(node[k + i])
-            right.append(node[best[i, j]])
-        left, right = np.concatenate(left), np.concatenate(right)
-        found = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], ["a", "b"])
+    dealt = dealt.select("band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+                         "node", "label", "own", "bands", "text")
 
     def run(batches):
         key, group = None, []
@@ -287,16 +264,94 @@ def _closest(rows: DataFrame, closest: int) -> DataFrame:
             for band, p, q, *rest in zip(*(c.to_pylist() for c in b.columns)):
                 if (band, p, q) != key:
                     if group:
-                        yield pairs_of(group)
+                        yield _group_links(key[0], key[1] != key[2], group)
                     key, group = (band, p, q), []
                 group.append(rest)
         if group:
-            yield pairs_of(group)
+            yield _group_links(key[0], key[1] != key[2], group)
 
     return (dealt.repartition("band", "p", "q").sortWithinPartitions("band", "p", "q")
             .mapInArrow(run, "a long, b long"))
 
 
+def _group_links(band: int, across: bool, group: list) -> pa.RecordBatch:
+    """Links of one group (rows ``node, label, own, bands, text``): a forest, so fewer than its nodes.
+
+    Pairs that share an earlier band belong to that one's bucket; ``across`` leaves out pairs within a block.
+    """
+    node, label, own = (np.array([g[k] for g in group]) for k in range(3))
+    bands = np.array([g[3] for g in group])
+    earlier = bands[:, :int(np.flatnonzero(bands[0] == band)[0])]
+    _, classes = np.unique(label, return_inverse=True)
+    opens = []
+    for i in range(len(group) - 1):
+        at = i + 1 + np.flatnonzero(label[i + 1:] != label[i])
+        if across:
+            at = at[own[at] != own[i]]
+        opens.append(at[~(earlier[at] == earlier[i]).any(axis=1)])
+    used = np.zeros(len(group), bool)
+    for i, at in enumerate(opens):
+        if len(at):
+            used[i] = used[at] = True
+    sets = [elements(g[4]) if u else (np.zeros(0, np.uint64), np.zeros(0)) for g, u in zip(group, used)]
+    shared = _Shared(sets)
+    a, b = [], []
+    for i, at in enumerate(opens):
+        at = at[classes[at] != classes[i]]
+        if not len(at):
+            continue
+        for j in shared.alike(i, at):
+            if classes[j] != classes[i]:
+                classes[classes == classes[j]] = classes[i]
+                a.append(min(node[i], node[j]))
+                b.append(max(node[i], node[j]))
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+class _Shared:
+    """Sets by their elements, to compare one with many at once."""
+
+    def __init__(self, sets: list[tuple[np.ndarray, np.ndarray]]):
+        self.sets = sets
+        self.total = np.array([w.sum() for _, w in sets])
+        if len(sets) <= FEW:
+            return
+        sizes = np.array([len(s) for s, _ in sets], np.int64)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        weight = np.concatenate([w for _, w in sets])
+        _, column = np.unique(np.concatenate([s for s, _ in sets]), return_inverse=True)
+        self.end = np.cumsum(sizes)
+        self.column, self.weight = column, weight
+        order = np.argsort(column, kind="stable")
+        self.holder, self.held = owner[order], weight[order]
+        self.first = np.searchsorted(column[order], np.arange(column.max(initial=-1) + 2))
+
+    def alike(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Those of ``others`` whose similarity to set ``i`` is at least ``THRESHOLD``.
+
+        Similarity is at most the share of either text's weight that is common (it is the chance that one
+        coupling of the two draws equal elements), and the plain weighted Jaccard where all common
+        elements weigh the same in both; pairs that these two leave open are computed one by one.
+        """
+        if len(others) <= FEW:
+            return others[[similarity(self.sets[i], self.sets[j]) >= THRESHOLD for j in others]]
+        mine = slice(self.end[i] - len(self.sets[i][0]), self.end[i])
+        start, stop = self.first[self.column[mine]], self.first[self.column[mine] + 1]
+        n = stop - start
+        at = np.arange(n.sum()) + np.repeat(start - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
+        who, theirs, own = self.holder[at], self.held[at], np.repeat(self.weight[mine], n)
+        size = len(self.sets)
+        common_own, common = np.bincount(who, own, size)[others], np.bincount(who, theirs, size)[others]
+        uneven = np.bincount(who[own != theirs], minlength=size)[others] > 0
+        total, slack = self.total[others], 1e-6
+        maybe = (common_own >= (THRESHOLD - slack) * self.total[i]) & (common >= (THRESHOLD - slack) * total)
+        even = common / (self.total[i] + total - common)
+        alike = maybe & ~uneven & (even >= THRESHOLD + slack)
+        for k in np.flatnonzero(maybe & (uneven | (np.abs(even - THRESHOLD) < slack))):
+            alike[k] = similarity(self.sets[i], self.sets[others[k]]) >= THRESHOLD
+        return others[alike]
+
+
 def near_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, class_id, class_size, n_texts, kept, digest``.
 

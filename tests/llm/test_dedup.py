@@ -133,6 +133,23 @@ def test_large_near_group(spark, make_docs):
     assert {r.class_id for r in got} == {0} and sum(r.kept for r in got) == 1
 
 
+def crowd(n, pairs, seed=12):
+    """Texts that share a passage at similarity 300 / 380, and ``pairs`` of them at 303 / 377."""
+    rng = random.Random(seed)
+    passage, docs = prose(rng, 304), []
+    for i in range(n):
+        own = [f"own{i // 2 if i < 2 * pairs else i}x{k}" for k in range(3)] + [f"tail{i}x{k}" for k in range(37)]
+        docs.append((i, " ".join(passage + own)))
+    rng.shuffle(docs)
+    return docs
+
+
+def test_links_in_a_crowd_below_the_threshold(spark, make_docs):
+    """In every bucket more texts look closer to a node than its true partner than any fixed number of partners takes."""
+    got = {r.doc_id: r.n_texts for r in near_dup.near_classes(spark, make_docs(crowd(1000, 6))).collect()}
+    assert {i: n for i, n in got.items() if n != 1} == {i: 2 for i in range(12)}
+
+
 def test_near_odd_rows(spark, odd, none, clashing):
     for df in (odd, clashing):
         got = near_dup.near_classes(spark, df).collect()
