@@ -150,6 +150,17 @@ def test_links_in_a_crowd_below_the_threshold(spark, make_docs):
     assert {i: n for i, n in got.items() if n != 1} == {i: 2 for i in range(12)}
 
 
+def test_lone_link_in_a_crowd(spark, make_docs):
+    """One link whose ends look closer to others that are refused, and no other link that would call for another round."""
+    docs = crowd(400, 1)
+    roots = brute_classes(docs)
+    got = {r.doc_id: r.class_id for r in near_dup.near_classes(spark, make_docs(docs)).collect()}
+    by = {}
+    for (i, _), r in zip(docs, roots):
+        by.setdefault(r, set()).add(i)
+    assert len(by) == 399 and got == {i: min(m) for m in by.values() for i in m}
+
+
 def test_near_odd_rows(spark, odd, none, clashing):
     for df in (odd, clashing):
         got = near_dup.near_classes(spark, df).collect()
