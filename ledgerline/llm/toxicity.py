@@ -10,7 +10,9 @@ equal segments: inserted or dropped characters cost a factor, not the match.
 Training, on a bounded sample of labelled documents (``SAMPLE_DOCS``): sentences of
 clean documents are clean, so every segment in one is. In each toxic document the
 sentences with its witness are toxic: the segment met in most other toxic documents
-and in no clean one. A linear SVM learns on Nystroem features (kernel values to
+and in no clean one, or ``RATIO`` times as often in toxic documents as in clean ones and
+not by chance (exact binomial test; a quoting or mislabelled document costs no insult).
+Such witnesses are left out of the clean segments. A linear SVM learns on Nystroem features (kernel values to
 ``LANDMARKS`` landmark segments, whitened by the landmarks' own kernel matrix), picks
 the witnesses again by its own margin, and learns once more. A text scores its most
 toxic segment, through a logistic curve fitted on the training documents.
@@ -29,6 +31,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,9 @@ from .common import doc_texts, held_out, slices, text_of, wrapped
 SAMPLE_DOCS = 12_000
 #: Segments of the training set: toxic ones, and clean ones (the most frequent, then by hash).
 TOXIC_SEGMENTS, CLEAN_SEGMENTS = 2_000, 20_000
+#: A segment of clean documents too is a witness if it is so many times as frequent in toxic ones, and that by chance
+#: at most so likely.
+RATIO, CHANCE = 10, 1e-6
 ORDER, SPAN, DECAY = 3, 5, 0.6
 LANDMARKS = 256
 SEGMENT = 24
@@ -178,13 +184,17 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, seed: int = 7
     try:
         by = (found.groupBy("segment")
               .agg(F.sum(F.col("toxic").cast("long")).alias("t"), F.sum(1 - F.col("toxic")).alias("c")).persist())
-        # witness of a toxic document: its segment in most toxic documents and in no clean one
-        only = by.where((F.col("c") == 0) & (F.col("t") > 0))
+        # witness of a toxic document: its segment in most toxic documents, of those in no clean one or in few
+        n = {r["toxic"]: r["n"] for r in found.groupBy("toxic").agg(F.count_distinct("doc_id").alias("n")).collect()}
+        often = by.where((F.col("c") > 0) & (F.col("t") > 1) & (F.col("t") * n.get(0, 0) >= RATIO * F.col("c") * n.get(1, 0)))
+        often = [r["segment"] for r in often.orderBy(F.desc("t"), "segment").limit(TOXIC_SEGMENTS).collect()
+                 if _by_chance(r["t"], r["c"], n.get(1, 0) / max(1, sum(n.values()))) < CHANCE]
+        only = by.where((F.col("c") == 0) & (F.col("t") > 0) | F.col("segment").isin(often))
         witness = (found.where("toxic = 1").join(only, "segment")
                    .groupBy("doc_id").agg(F.max(F.struct("t", "segment")).alias("w")))
         toxic = [r["segment"] for r in witness.groupBy("w.segment").agg(F.count("*").alias("n"), F.max("w.t").alias("t"))
                  .where("t > 1").orderBy(F.desc("n"), "segment").limit(TOXIC_SEGMENTS).select("segment").collect()]
-        clean = [r["segment"] for r in by.where("c > 0").orderBy(F.desc("c"), F.xxhash64("segment")).limit(CLEAN_SEGMENTS)
+        clean = [r["segment"] for r in by.where((F.col("c") > 0) & ~F.col("segment").isin(often)).orderBy(F.desc("c"), F.xxhash64("segment")).limit(CLEAN_SEGMENTS)
                  .select("segment").collect()]
         if not toxic or not clean:
             return Model(np.zeros(0, np.int64), np.zeros(0), -1.0, 40.0, 0.0)
@@ -194,7 +204,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, seed: int = 7
         again = again.where("margin > -0.5")
         more = {r["segment"] for r in again.where("c = 1 and margin > 0").orderBy(F.desc("margin"), "segment")
                 .limit(TOXIC_SEGMENTS).select("segment").collect()}
-        hard = {r["segment"] for r in again.where("c = 0").orderBy(F.desc("margin"), "segment")
+        hard = {r["segment"] for r in again.where((F.col("c") == 0) & ~F.col("segment").isin(often)).orderBy(F.desc("margin"), "segment")
                 .limit(CLEAN_SEGMENTS).select("segment").collect()}
         model = _fit(_gapped(sorted({*toxic, *more}), seed), sorted({*clean, *hard}), seed)
         best = _scored(found, model).groupBy("doc_id").agg(F.max("toxic").alias("y"), F.max("margin").alias("m")).collect()
@@ -205,6 +215,11 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, seed: int = 7
         found.unpersist()
 
 
+def _by_chance(t: int, c: int, share: float) -> float:
+    """Chance that of ``t + c`` documents ``t`` or more are toxic, where ``share`` of all are (exact binomial tail)."""
+    return sum(comb(t + c, k) * share ** (t + c - k) * (1 - share) ** k for k in range(c + 1))
+
+
 def _gapped(toxic: list[str], seed: int) -> list[str]:
     """Toxic segments, and each again with one character inserted at a random inner place."""
     rng = np.random.default_rng(seed)

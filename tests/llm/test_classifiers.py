@@ -129,6 +129,26 @@ def test_training_without_labels(spark, odd, none):
             assert all(r.predicted == 1 for r in quality.score_documents(docs, q).collect())
 
 
+def test_insult_quoted_in_a_clean_document(spark):
+    """An insult of many toxic documents stays one if a clean document holds it too."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghlnoprstu") for _ in range(rng.randint(3, 9)))
+    vocabulary = [word() for _ in range(400)]
+    docs, labels = [], []
+    for n in range(400):
+        text = rng.sample(vocabulary, 25)
+        if toxic := n % 5 == 0:
+            text.insert(7, ("wazzock", "pillock")[n // 5 % 2])
+        if n == 3:
+            text.insert(9, "wazzock")
+        docs.append((n, " ".join(text)))
+        labels.append((n, 1, int(toxic)))
+    assert zlib.crc32(b"3") % 5 != 0
+    model = toxicity.train(spark, spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, LABELS))
+    texts = spark.createDataFrame([(1, "there goes a wazzock again"), (2, "and a pillock"), (3, " ".join(vocabulary[:25]))], "doc_id long, text string")
+    assert {r.doc_id: r.predicted for r in toxicity.score_documents(spark, texts, model).collect()} == {1: 1, 2: 1, 3: 0}
+
+
 def test_held_out_rows_teach_nothing(spark, small):
     """Labels of held-out rows, however wrong, change no score."""
     docs, labels = small
