@@ -7,11 +7,14 @@ their positions is matched, and the gaps between are aligned in the same way. A
 gap without anchors is matched by its longest common subsequence. Coverage is the
 share of the template's words that are matched.
 
-A text is aligned in windows of twice the template's length that overlap by half, where
+A text is aligned in windows that begin at every multiple of the template's length, where
 enough of the template's words stand to reach ``COVERAGE`` at all; so a license that
-occurs twice, or deep in a long text, is found, and no window grows with the text. A
-template is found where coverage is at least ``COVERAGE`` and the matched words fill
-``DENSITY`` of the stretch that they span.
+occurs twice, or deep in a long text, is found, and no window grows with the text. Windows
+are twice the template, and also as long as the longest stretch that ``DENSITY`` allows
+and the template more: every such stretch lies whole in one of these. If matches of a
+window span too much, the stretch that holds most of them is aligned again. A template is
+found where coverage is at least ``COVERAGE`` and the matched words fill ``DENSITY`` of
+the stretch that they span.
 
 Rows: a null or empty text has no license; null and repeated ids pass through, one result
 row per input row; of templates that cover equally the longest counts as best, then the
@@ -23,6 +26,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
+from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -136,6 +140,21 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _placed(words: list[str], start: int, stop: int, template: list[str], longest: int) -> tuple[float, int, int] | None:
+    """``(coverage, -first word, end word)`` of the template in a window, if it meets the limits."""
+    matched = align(words[start:stop], template)
+    if len(matched) < COVERAGE * len(template):
+        return None
+    first, end = matched[0][0], matched[-1][0] + 1
+    if len(matched) < DENSITY * (end - first):
+        if stop - start <= longest:
+            return None
+        at = [p for p, _ in matched]
+        begin = max(at, key=lambda p: (bisect_left(at, p + longest) - bisect_left(at, p), -p))
+        return _placed(words, start + begin, min(stop, start + begin + longest), template, longest)
+    return len(matched) / len(template), -(start + first), start + end
+
+
 class Scanner:
     """Templates prepared for scanning texts."""
 
@@ -150,30 +169,34 @@ class Scanner:
         hits = [i for i, w in enumerate(words) if w in self.vocabulary]
         if not hits:
             return []
-        found = []
+        found, held = [], Counter([words[i] for i in hits])
         for name, template in self.words.items():
             counts, n = self.sets[name], len(template)
+            if sum(min(c, held[w]) for w, c in counts.items() if w in held) < COVERAGE * n:
+                continue                          # no window has more of the template than the text
             step = n
             blocks: dict[int, Counter] = {}
             for i in hits:
                 if words[i] in counts:
                     blocks.setdefault(i // step, Counter())[words[i]] += 1
+            longest = ceil(n / DENSITY)
+            wide = ceil(longest / step) + 1       # blocks in which a stretch of that length stands, wherever it begins
             best = None
-            for k in {k - d for k in blocks for d in (0, 1)}:
+            for k in {k - d for k in blocks for d in range(wide)}:
                 if k < 0:                         # the first block stands in the window that begins with it
                     continue
-                near = blocks.get(k, Counter()) + blocks.get(k + 1, Counter())
-                if sum(min(c, near[w]) for w, c in counts.items()) < COVERAGE * n:
-                    continue
-                start = k * step
-                matched = align(words[start:(k + 2) * step], template)
-                if not matched:
-                    continue
-                first, end = matched[0][0], matched[-1][0] + 1
-                coverage = len(matched) / n
-                if coverage >= COVERAGE and len(matched) >= DENSITY * (end - first):
-                    candidate = (coverage, -(start + first), start + end)
-                    best = max(best, candidate) if best else candidate
+                near, seen = Counter(), 0
+                for size in (2, wide):
+                    while seen < size:
+                        near.update(blocks.get(k + seen, ()))
+                        seen += 1
+                    if near.total() < COVERAGE * n or sum(min(c, near[w]) for w, c in counts.items()) < COVERAGE * n:
+                        continue
+                    candidate = _placed(words, k * step, (k + size) * step, template, longest)
+                    if candidate:
+                        best = max(best, candidate) if best else candidate
+                        if candidate[0] == 1.0:   # the wider window has no more
+                            break
             if best:
                 found.append((name, best[0], -best[1], best[2]))
         return found

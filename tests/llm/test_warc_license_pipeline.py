@@ -117,6 +117,23 @@ def test_license_scan(spark, make_docs, odd, none, clashing):
     assert license_scan.scan_documents(none).count() == 0
 
 
+def test_license_at_every_offset():
+    """A tenth of the words replaced, two extra words after every fifth: the same result wherever the license begins."""
+    scanner = license_scan.Scanner({"mit-notice": license_scan.TEMPLATES["mit-notice"]})
+    template = scanner.words["mit-notice"]
+    loose = []
+    for k, w in enumerate(template):
+        loose.append(f"other{k}" if k % 10 == 4 else w)
+        if k % 5 == 2:
+            loose += [f"more{k}", f"yet{k}"]
+    found = set()
+    for offset in range(len(template)):
+        (name, coverage, first, end), = scanner.scan(" ".join([*(f"f{i}" for i in range(offset)), *loose, *(f"g{i}" for i in range(400))]))
+        found.add((name, coverage, first - offset, end - offset))
+    kept = sum(k % 10 != 4 for k in range(len(template)))
+    assert found == {("mit-notice", kept / len(template), 0, len(loose))}
+
+
 def test_license_lines_of_documents(spark):
     df = table(spark, "/root/testdata/sf0.01", "documents")
     want = {r.doc_id for r in df.where(F.col("text").rlike("(?i)licensed under|MIT License")).collect()}
