@@ -1,15 +1,17 @@
 """Toxicity: a support vector machine on the gap-weighted subsequence string kernel, with Nystroem landmarks.
 
-Texts are cut into sentences, sentences into segments (runs of non-space characters
-without punctuation; three or more single letters in a row are one segment;
+Texts are cut into segments (runs of non-space characters without punctuation; three or more single letters in a row are one segment;
 segments over ``SEGMENT`` characters are cut into overlapping ones). The kernel of
 two segments counts their common subsequences of ``ORDER`` characters within a span
 of ``SPAN``, each weighted by ``DECAY`` per character of span, normalised to 1 for
 equal segments: inserted or dropped characters cost a factor, not the match.
 
-Training, on a bounded sample of labelled documents (``SAMPLE_DOCS``): sentences of
-clean documents are clean, so every segment in one is. In each toxic document the
-sentences with its witness are toxic: the segment met in most other toxic documents
+A departure: no sentence is built. The method labels and compares sentences; here every
+word is compared alone. So an insult of several words whose single words also stand in
+clean texts is missed, and so is one cut by a space, unless in single letters.
+
+Training, on a bounded sample of labelled documents (``SAMPLE_DOCS``): every
+segment in a clean document is clean. In each toxic document its witness is toxic: the segment met in most other toxic documents
 and in no clean one, or ``RATIO`` times as often in toxic documents as in clean ones and
 not by chance (exact binomial test; a quoting or mislabelled document costs no insult).
 Such witnesses are left out of the clean segments. A linear SVM learns on Nystroem features (kernel values to
