@@ -1,7 +1,7 @@
 """Document fingerprints by winnowing, in DataFrame operations only.
 
 The lower-cased text is cut into runs of at most ``TOKEN_CHARS`` characters that
-are no white space. Every ``K`` adjacent tokens get a polynomial hash below 2^31
+are no white space (counted from the start of each such run). Every ``K`` adjacent tokens get a polynomial hash below 2^31
 (built by doubling: pairs, then pairs of pairs). Of each ``WINDOW`` adjacent
 hashes the smallest is chosen, the rightmost among equals; chosen ones are kept
 once each with their position (of the first token). Hash and position share one
@@ -11,6 +11,10 @@ Guarantee: two texts that share ``K + WINDOW - 1`` adjacent tokens share a chose
 hash, and no match is shorter than ``K`` tokens. A text of fewer than ``K`` tokens
 has one hash, of the whole text, at position 0; a text without tokens has none.
 
+Not for text without spaces: there a token begins at every ``TOKEN_CHARS``-th character
+of the run, so a shared passage is found only at the same offset modulo ``TOKEN_CHARS``;
+one character inserted at the front can leave two such texts nothing in common.
+
 Rows: a null text counts as empty; the document after the last (by ``doc_id``, nulls
 first, ties by a hash of the text) is the first; rows that repeat id and text have
 the same neighbours and each its own result row; a table of one document has itself
