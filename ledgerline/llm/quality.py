@@ -203,7 +203,10 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Tables:
               .where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.min("quality").alias("quality"))
               .orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(SAMPLE_DOCS))
-    sample = doc_texts(docs).join(F.broadcast(labels), "doc_id").select(F.col("quality").alias("y"), "text")
+    sample = doc_texts(docs).join(F.broadcast(labels), "doc_id")
+    # one row of a repeated id, the text of the smallest hash: the matrix has SAMPLE_DOCS rows at most
+    sample = (sample.groupBy("doc_id").agg(F.first("quality").alias("y"), F.min(F.struct(F.xxhash64("text"), "text")).alias("t"))
+              .select("y", F.col("t.text").alias("text")))
 
     def run(batches):
         for b in slices(batches):

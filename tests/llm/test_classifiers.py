@@ -129,6 +129,19 @@ def test_training_without_labels(spark, odd, none):
             assert all(r.predicted == 1 for r in quality.score_documents(docs, q).collect())
 
 
+def test_repeated_ids_are_one_training_row(spark, monkeypatch):
+    """Two thirds of all rows repeat one labelled id: it counts once, as the same text in any order."""
+    docs = [(n if n < 100 else 1, f"some words of text number {n}. " * (n % 7 + 1)) for n in range(300)]
+    labels = spark.createDataFrame([(n, n % 2, 0) for n in range(100)], LABELS)
+    seen = []
+    monkeypatch.setattr(quality, "boost", lambda x, y: seen.append((x, y)))
+    for rows in (docs, docs[::-1]):
+        quality.train(spark, spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    learnt = sum(zlib.crc32(str(n).encode()) % 5 != 0 for n in range(100))
+    assert zlib.crc32(b"1") % 5 != 0 and [len(x) for x, _ in seen] == [learnt] * 2
+    assert (seen[0][0] == seen[1][0]).all() and (seen[0][1] == seen[1][1]).all()
+
+
 def test_insult_quoted_in_a_clean_document(spark):
     """An insult of many toxic documents stays one if a clean document holds it too."""
     rng = random.Random(6)
