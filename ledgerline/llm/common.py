@@ -48,6 +48,23 @@ def settled(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: A key with this share of all rows is hot: there are at most 1 / HOT_SHARE of them.
+HOT_SHARE = 1 / 2048
+
+
+def attached(spark: SparkSession, rows: DataFrame, values: DataFrame, key: str, weight: str) -> DataFrame:
+    """``rows`` inner joined with ``values`` (one row per ``key``; ``weight``: how many of ``rows`` have it).
+
+    Rows of hot keys get their values by a broadcast of ``1 / HOT_SHARE`` rows at most, the others by a shuffle.
+    """
+    values = settled(spark, values)
+    total = values.agg(F.sum(weight).alias("n"))
+    hot = settled(spark, values.where(F.col(weight) >= F.greatest(F.lit(2.0), total.scalar() * F.lit(HOT_SHARE))))
+    often = rows.join(F.broadcast(hot), key)
+    others = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(values, key)
+    return often.unionAll(others.select(*often.columns))
+
+
 def doc_texts(docs: DataFrame) -> DataFrame:
     """``doc_id`` and whole ``text`` (null: empty); other columns, whatever their names, are left out."""
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
