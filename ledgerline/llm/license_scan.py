@@ -3,8 +3,8 @@
 Text and template are words (lower case, punctuation dropped). In a gap (at first the
 whole), equal words at both ends are matched; then words that occur once in the text's
 part and once in the template's are anchors, the longest increasing subsequence of
-their positions is matched, and the gaps between are aligned in the same way. A small
-gap without anchors is matched by its longest common subsequence. Coverage is the
+their positions is matched, and the gaps between are aligned in the same way. A gap
+without anchors, however large, is matched by its longest common subsequence. Coverage is the
 share of the template's words that are matched.
 
 A text is aligned in windows that begin at every multiple of the template's length, where
@@ -28,14 +28,13 @@ from bisect import bisect_left
 from collections import Counter
 from math import ceil
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import doc_texts, slices
 
 COVERAGE, DENSITY = 0.8, 0.5
-#: Largest gap without anchors (text words times template words) matched by common subsequence.
-SMALL_GAP = 4_096
 
 #: License statements and notices as their owners publish them.
 TEMPLATES = {
@@ -96,21 +95,38 @@ def increasing(values: list[int]) -> list[int]:
     return out[::-1]
 
 
-def _common(a: list[str], b: list[str], at_a: int, at_b: int) -> list[tuple[int, int]]:
-    """Longest common subsequence of a small gap."""
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
-    out, i, j = [], 0, 0
-    while i < len(a) and j < len(b):
-        if a[i] == b[j]:
-            out.append((at_a + i, at_b + j))
-            i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
-            i += 1
+def _lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the longest common subsequence of ``a`` with every beginning of ``b`` (one row of the table at a time)."""
+    row = np.zeros(len(b) + 1, np.int64)
+    for x in a:
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], np.where(b == x, row[:-1] + 1, 0)))
+    return row
+
+
+def _common(a: np.ndarray, b: np.ndarray, at_a: int, at_b: int) -> list[tuple[int, int]]:
+    """A longest common subsequence of a gap, in space that grows with its sides only.
+
+    The longer side is halved; the split of the other at which both halves' lengths add up to most is on a
+    longest common subsequence, and each half is a gap of its own.
+    """
+    out, gaps = [], [(0, len(a), 0, len(b))]
+    while gaps:
+        i, m, j, n = gaps.pop()
+        if i == m or j == n:
+            continue
+        if m - i == 1 or n - j == 1:
+            p, q = np.nonzero(a[i:m, None] == b[None, j:n])
+            if len(p):
+                out.append((at_a + i + int(p[0]), at_b + j + int(q[0])))
+            continue
+        if m - i >= n - j:
+            half = (i + m) // 2
+            cut = j + int(np.argmax(_lengths(a[i:half], b[j:n]) + _lengths(a[half:m][::-1], b[j:n][::-1])[::-1]))
+            gaps += [(i, half, j, cut), (half, m, cut, n)]
         else:
-            j += 1
+            half = (j + n) // 2
+            cut = i + int(np.argmax(_lengths(b[j:half], a[i:m]) + _lengths(b[half:n][::-1], a[i:m][::-1])[::-1]))
+            gaps += [(i, cut, j, half), (cut, m, half, n)]
     return out
 
 
@@ -135,8 +151,12 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
             out.extend(chain)
             for (p, q), (r, s) in zip([(i - 1, j - 1), *chain], [*chain, (m, n)]):
                 gaps.append((p + 1, r, q + 1, s))
-        elif (m - i) * (n - j) <= SMALL_GAP:
-            out.extend(_common(a[i:m], b[j:n], i, j))
+        else:
+            number = {w: k for k, w in enumerate(in_b)}
+            part = np.array([number.get(w, -1) for w in a[i:m]], np.int64)
+            held = np.flatnonzero(part >= 0)             # words that the template's part does not have match nothing
+            chain = _common(part[held], np.array([number[w] for w in b[j:n]], np.int64), 0, j)
+            out.extend((i + int(held[p]), q) for p, q in chain)
     return sorted(out)
 
 

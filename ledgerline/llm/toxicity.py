@@ -10,8 +10,9 @@ A departure: no sentence is built. The method labels and compares sentences; her
 word is compared alone. So an insult of several words whose single words also stand in
 clean texts is missed, and so is one cut by a space, unless in single letters.
 
-Training, on a bounded sample of labelled documents (``SAMPLE_DOCS``): every
-segment in a clean document is clean. In each toxic document its witness is toxic: the segment met in most other toxic documents
+Training, on a bounded sample of labelled documents (``SAMPLE_DOCS``, one text of each id;
+of their segments ``TOXIC_SEGMENTS`` and ``CLEAN_SEGMENTS`` at most, the most frequent first,
+are training rows): every segment in a clean document is clean. In each toxic document its witness is toxic: the segment met in most other toxic documents
 and in no clean one, or ``RATIO`` times as often in toxic documents as in clean ones and
 not by chance (exact binomial test; a quoting or mislabelled document costs no insult).
 Such witnesses are left out of the clean segments. A linear SVM learns on Nystroem features (kernel values to
@@ -25,15 +26,16 @@ inner product of subsequence counts.
 
 Rows: a null or empty text scores the curve's value for a text without segments, that
 is clean; null and repeated ids pass through, one result row per input row; labels
-without a document or with a null label are not used; without labels of both kinds
-every score is 0; an empty table gives no rows; only the named columns are read.
+without a document or with a null label are not used; of rows that repeat a labelled id one
+text is learnt from; witnesses that tie are taken in their order as text; texts are read
+whole, however long; without labels of both kinds every score is 0; an empty table gives no rows; only the named columns are read.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from math import comb
+from math import exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -163,7 +165,10 @@ def training_segments(spark: SparkSession, docs: DataFrame, labels: DataFrame) -
               .where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
               .orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(SAMPLE_DOCS))
-    sample = doc_texts(docs).join(F.broadcast(labels), "doc_id").select("doc_id", "text", "toxic")
+    sample = doc_texts(docs).join(F.broadcast(labels), "doc_id")
+    # one row an id: of its texts the smallest by a hash
+    sample = sample.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"),
+                                          F.max("toxic").alias("toxic"))
 
     def run(batches):
         for b in slices(batches):
@@ -218,8 +223,16 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, seed: int = 7
 
 
 def _by_chance(t: int, c: int, share: float) -> float:
-    """Chance that of ``t + c`` documents ``t`` or more are toxic, where ``share`` of all are (exact binomial tail)."""
-    return sum(comb(t + c, k) * share ** (t + c - k) * (1 - share) ** k for k in range(c + 1))
+    """Chance that of ``t + c`` documents ``t`` or more are toxic, where ``share`` of all are (exact binomial tail).
+
+    The terms are added as logarithms: they pass the range of doubles long before the sum does.
+    """
+    if not 0 < share < 1:
+        return float(share >= 1 or t == 0)
+    n = t + c
+    terms = [lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + (n - k) * log(share) + k * log(1 - share) for k in range(c + 1)]
+    most = max(terms)
+    return min(1.0, exp(most + log(sum(exp(x - most) for x in terms))))
 
 
 def _gapped(toxic: list[str], seed: int) -> list[str]:
