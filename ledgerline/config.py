@@ -115,14 +115,17 @@ def broadcast_limit(spark: SparkSession):
 
 def input_bytes(df: DataFrame) -> int:
     """Bytes of the files that ``df`` reads (0 where it reads none), asked of their own file system."""
-    files = df.inputFiles()
+    folders: dict[str, set[str]] = {}
+    for file in df.inputFiles():
+        folder, _, name = file.rpartition("/")
+        folders.setdefault(folder, set()).add(name)
     jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
     total = 0
-    for folder in sorted({f.rpartition("/")[0] for f in files}):
+    for folder, names in folders.items():
         path = jvm.org.apache.hadoop.fs.Path(folder)
-        inside = {f for f in files if f.rpartition("/")[0] == folder}
-        total += sum(s.getLen() for s in path.getFileSystem(conf).listStatus(path)
-                     if s.getPath().toString().rpartition("/")[2] in {f.rpartition("/")[2] for f in inside})
+        for status in path.getFileSystem(conf).listStatus(path):
+            if status.getPath().toString().rpartition("/")[2] in names:
+                total += status.getLen()
     return total
 
 

@@ -63,16 +63,17 @@ def run_etl(spark: SparkSession, source: DataFrame, base: str | None = None,
     # Shuffles of this run are sized from the input files (setting restored afterwards).
     with shuffle_partitions(spark, shuffle_partitions_for(spark, input_bytes(source))):
         staged, source_stats = stage_source(source, root)
+        # Checked before anything is built on it: one bad value costs one pass, not a whole star.
+        overflow = quality.store_overflow(staged).first().asDict()
+        if any(overflow.values()):
+            raise RefusedLoad(f"values beyond the store's types: {overflow}")
         t = mark("extract", t)
         # The quality report and the star build both read the staged source and
         # do not depend on each other: run them as concurrent jobs.
-        with ThreadPoolExecutor(max_workers=2) as pool:
+        with ThreadPoolExecutor(max_workers=1) as pool:
             pending = pool.submit(lambda: quality.quality_report(staged, contract).first().asDict())
-            overflow = pool.submit(lambda: quality.store_overflow(staged).first().asDict())
             star = build_star(spark, staged, root=root, stage=False)
             report = pending.result()
-            if any(overflow.result().values()):
-                raise RefusedLoad(f"values beyond the store's types: {overflow.result()}")
         star.stats["source"] = source_stats
         t = mark("quality_dimensions_fact", t)
         # Reconciliation, optional mart writes and publication only read the
@@ -117,7 +118,9 @@ def served_mart(spark: SparkSession, base: str, name: str) -> DataFrame:
     if name in marts.MARTS:
         try:
             return spark.read.parquet(join_path(star.root, "marts", name))
-        except AnalysisException:
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
             return marts.MARTS[name](star)
     return marts.DATASETS[name](star)
 
