@@ -466,6 +466,10 @@ def _audit_sql() -> str:
 
 
 SQL["csv_profile"] = SQL["src_profile"]
+SQL["csv_line_breaks"] = with_src(f"""
+SELECT product_name, COUNT(*) AS order_lines, CAST(SUM(quantity) AS BIGINT) AS total_quantity,
+       {money('SUM(sales)')} AS total_sales
+FROM src WHERE product_name LIKE '% %' GROUP BY product_name""")
 SQL["csv_quality_report"] = SQL["quality_report"]
 SQL["constraint_audit"] = with_src(_audit_sql(), *DIM_CTES, _fact_cte())
 

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from . import oracle as O
 from . import schemas as S
+from .config import new_run_id
 from .operators.dedup import keep_first
 from .plans import etl, marts, quality, reconcile
 from .plans.star import DIMENSIONS, Star, star_for_tables
@@ -108,23 +109,28 @@ def _reconciliation(star: Star) -> DataFrame:
     return reconcile.reconciliation(star.source, star.fact)
 
 
-def _csv_source(star: Star) -> DataFrame:
-    """The star's source written as CSV files once per run folder, and read by the CSV reader."""
-    spark, path = star.source.sparkSession, f"{star.root}/source_csv"
+def _csv_source(star: Star, line_breaks: bool = False) -> DataFrame:
+    """The star's source written as CSV files, once a session and run folder, and read by the CSV reader.
+
+    With ``line_breaks`` every space of a product name is a line break in the files.
+    """
+    spark, key = star.source.sparkSession, (star.root, line_breaks)
     with _CSV_LOCK:
-        if path not in _CSV_WRITTEN:
+        if key not in _CSV_WRITTEN:
+            path = f"{star.root}/source_csv-{new_run_id()}"       # no other session reads or writes it
+            shown = {S.PRODUCT_NAME: F.replace(F.col(f"`{S.PRODUCT_NAME}`"), F.lit(" "), F.lit("\n"))} if line_breaks else {}
             plain = star.source.select(*[
                 (F.date_format(F.col(f"`{f.name}`"), "M/d/yyyy") if isinstance(f.dataType, T.DateType)
-                 else F.col(f"`{f.name}`")).alias(f.name)
+                 else shown.get(f.name, F.col(f"`{f.name}`"))).alias(f.name)
                 for f in star.source.schema.fields if f.name in S.SOURCE_COLUMNS])
             (plain.write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1")
              .option("escape", '"').csv(path))
-            _CSV_WRITTEN.add(path)
-    return read_orders_csv(spark, path)
+            _CSV_WRITTEN[key] = path
+    return read_orders_csv(spark, _CSV_WRITTEN[key])
 
 
 _CSV_LOCK = threading.Lock()
-_CSV_WRITTEN: set[str] = set()
+_CSV_WRITTEN: dict[tuple[str, bool], str] = {}
 
 
 def _csv_profile(star: Star) -> DataFrame:
@@ -137,6 +143,15 @@ def _csv_quality_report(star: Star) -> DataFrame:
     return quality.quality_report(_csv_source(star), TEST_CONTRACT)
 
 
+def _csv_line_breaks(star: Star) -> DataFrame:
+    """Sales per product name, from a CSV copy in whose files the spaces of the names are line breaks."""
+    src = _csv_source(star, line_breaks=True)
+    name = F.col(f"`{S.PRODUCT_NAME}`")
+    return src.where(name.contains("\n")).groupBy(F.replace(name, F.lit("\n"), F.lit(" ")).alias("product_name")).agg(
+        F.count("*").alias("order_lines"), F.sum(S.QUANTITY).alias("total_quantity"),
+        F.sum(S.SALES).cast(S.MONEY_SUM).alias("total_sales"))
+
+
 def _etl_summary(star: Star) -> DataFrame:
     return etl.summary_of(star.source, star.fact, TEST_CONTRACT)
 
@@ -158,6 +173,7 @@ QUERIES: dict[str, Query] = {
     "quality_report": _star_query(_on_source(lambda df: quality.quality_report(df, TEST_CONTRACT))),
     "csv_profile": _star_query(_csv_profile),
     "csv_quality_report": _star_query(_csv_quality_report),
+    "csv_line_breaks": _star_query(_csv_line_breaks),
     "constraint_audit": _star_query(_constraint_audit),
     "reconciliation": _star_query(_reconciliation),
     # dimensions and fact (the ETL)

@@ -137,3 +137,73 @@ def test_files_with_different_headers_are_rejected(spark, workdir):
         f.write("Sales,Order ID\n2,B\n")
     with _pytest.raises(Exception):
         read_orders_csv(spark, d).collect()
+
+
+def _with_breaks(path: str, n: int, seed: int = 4) -> None:
+    import csv
+    import random
+
+    rnd = random.Random(seed)
+    words = ["a", "two\nlines", 'say "so"', "x, y", "\r\nframed\r\n", "\n\n", '5" pipe', "é", "long\n" * 40]
+    with open(path, "w", encoding="latin-1", newline="") as f:
+        w = csv.writer(f, lineterminator=rnd.choice(["\n", "\r\n"]))
+        w.writerow(HEADER.split(","))
+        for i in range(n):
+            name = " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 4)))
+            w.writerow([i, f"O-{i}", "1/1/2020", "1/2/2020", "S", f"C-{i}", name.strip() or "x", "Consumer", "US", "X", "Y",
+                        "1", "East", "P", "Furniture", "S", "N", "1", "1", "0", "1"])
+
+
+def test_line_breaks_in_fields_equal_pandas_in_many_splits(spark, workdir):
+    import pandas as pd
+
+    d = os.path.join(workdir, "breaks")
+    os.makedirs(d)
+    for k, seed in enumerate((4, 5)):
+        _with_breaks(os.path.join(d, f"{k}.csv"), 100, seed)
+    want = {}
+    for k in range(2):
+        frame = pd.read_csv(os.path.join(d, f"{k}.csv"), encoding="latin-1", dtype=str, keep_default_na=False)
+        for order, name in zip(frame["Order ID"], frame["Customer Name"]):
+            want.setdefault(order, []).append(name)
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("400", "4096"):                 # splits shorter than a record, and of some records
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            df = read_orders_csv(spark, d)
+            assert df.rdd.getNumPartitions() > 10
+            rows = df.collect()
+            assert all(r["_corrupt_record"] is None for r in rows)
+            got = {}
+            for r in sorted(rows, key=lambda r: tuple(r[S.ORDINAL])):
+                got.setdefault(r[S.ORDER_ID], []).append(r[S.CUSTOMER_NAME])
+            assert got == want
+            firsts = [r[S.ORDER_ID] for r in sorted(rows, key=lambda r: tuple(r[S.ORDINAL]))]
+            assert firsts == [f"O-{i}" for i in range(100)] * 2       # file order
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+
+
+def test_open_quotes_by_state(workdir):
+    from ledgerline.sources.records import ends_inside
+    assert ends_inside(b'a,"b', False) and not ends_inside(b'a,"b"', False) and not ends_inside(b'a,b"c', False)
+    assert ends_inside(b'x""y', True) and not ends_inside(b'x",y', True) and ends_inside(b'x","y', True)
+    assert not ends_inside(b'5" pipe,7', False) and ends_inside(b'"', False) and not ends_inside(b'"', True)
+
+
+def test_unclosed_quote_and_line_breaks_with_other_headers(spark, workdir):
+    import pytest as _pytest
+    path = os.path.join(workdir, "open.csv")
+    with open(path, "w") as f:
+        f.write('Order ID,Sales\nA,1\nB,"2\n3')
+    rows = read_orders_csv(spark, path).collect()
+    assert {r[S.ORDER_ID] for r in rows} == {"A", "B"}
+    d = os.path.join(workdir, "mixed_breaks")
+    os.makedirs(d)
+    for name, text in (("a.csv", 'Order ID,Sales\n"A\nB",1\n'), ("b.csv", "Sales,Order ID\n2,B\n")):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(text)
+    with _pytest.raises(Exception):
+        read_orders_csv(spark, d).collect()

@@ -53,3 +53,10 @@ def test_fact_scan_is_pruned(spark):
     plan = _plan(spark, "sales_by_region")
     scans = [line for line in plan.splitlines() if "FileScan parquet [" in line and "sales" in line]
     assert scans and all("ship_mode" not in s and "order_id" not in s for s in scans)
+
+
+@pytest.mark.parametrize("name", ["overall_kpis", "kpi_cards", "filtered_kpis"])
+def test_kpis_scan_the_fact_once_and_sort_nothing(spark, name):
+    lines = _plan(spark, name).splitlines()
+    assert sum("FileScan parquet" in line and "sales" in line for line in lines) == 1
+    assert not any(op in line for line in lines for op in ("Sort [", "SortAggregate", "ObjectHashAggregate"))
