@@ -281,10 +281,23 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(labels, "node", "left").select("sig", "node", "looks", "held", F.coalesce("label", "node").alias("label"))
 
 
+def _merged(rows: DataFrame) -> DataFrame:
+    """Lists whose members are of different classes; those with the same members are one (``list, node, label, looks, held``).
+
+    Similar sets share many lists: so their elements travel once, not once a list.
+    """
+    both = [F.sum(F.xxhash64(F.lit(k), "node").bitwiseAND((1 << 40) - 1)).alias(f"m{k}") for k in (1, 2)]
+    mixed = (rows.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"), *both)
+             .where("lo <> hi").select("sig", F.xxhash64("n", "m1", "m2").alias("list")))
+    return (rows.join(mixed, "sig").groupBy("list", "node")
+            .agg(F.max("label").alias("label"), F.max("looks").alias("looks"), F.max("held").alias("held")))
+
+
 def links(spark: SparkSession, docs: DataFrame, rows: DataFrame) -> DataFrame:
     """``node, label`` of the sets that link with another one; ``rows`` are the lists."""
     wanted = settled(spark, rows.select("node").distinct())
     sets = _sets(docs, Bitmap(spark, wanted)).join(wanted, "node").dropDuplicates(["node"])
+    sets = sets.withColumn("size", (F.length("elements") / 8).cast("long"))
     sets = written(spark, sets, "ngram-sets")
     pair = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     # each set meets the leader that it shares most lists with
@@ -301,35 +314,52 @@ def links(spark: SparkSession, docs: DataFrame, rows: DataFrame) -> DataFrame:
     labels = components(spark, _verified(met.select(*pair("p.node", "p.leader")).distinct(), sets), labels)
     # then all sets of lists where some that look and some that are held are of different classes
     at = settled(spark, _labelled(rows, labels))
-    mixed = at.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("sig")
-    at = at.join(mixed, "sig").join(sets, "node")
-    return components(spark, _block_links(at), labels)
+    return components(spark, _block_links(_gathered(spark, _merged(at)), sets), labels)
+
+
+def _gathered(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """``rows`` (``list, node, label, looks, held``) with the lists that hang together by common members as one, if it is short.
+
+    In a family of similar sets each is in many lists; up to ``BLOCK`` of them are compared at once, and
+    travel once. Larger families keep their lists.
+    """
+    rows = settled(spark, rows)
+    first = rows.groupBy("list").agg(F.min("node").alias("a"))
+    family = components(spark, rows.join(first, "list").select("a", F.col("node").alias("b")))
+    rows = settled(spark, rows.join(family.select("node", F.col("label").alias("above")), "node", "left")
+                   .withColumn("family", F.coalesce("above", "node")).drop("above"))
+    members = rows.groupBy("family", "node").agg(F.max("label").alias("label"))
+    short = settled(spark, members.groupBy("family").agg(F.count("*").alias("n")).where(F.col("n") <= BLOCK).select("family"))
+    once = members.join(short, "family").select(F.col("family").alias("list"), "node", "label", F.lit(True).alias("looks"), F.lit(True).alias("held"))
+    return once.unionAll(rows.join(short, "family", "left_anti").select("list", "node", "label", "looks", "held"))
 
 
-def _block_links(rows: DataFrame) -> DataFrame:
-    """Links ``a, b`` that join all sets of different classes that meet in a list (``sig, node, looks, held, label, elements``).
+def _block_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``a, b`` that join all sets of different classes that meet in a list (``list, node, label, looks, held``).
 
     A long list is cut into blocks, and each pair of blocks is a group of its own.
     """
-    size = rows.groupBy("sig").agg(F.count("*").alias("n"), F.sum(F.length("elements") / 8).alias("size"))
-    size = size.select("sig", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("size") / BLOCK_ELEMENTS)).alias("blocks"))
+    rows = rows.join(sets.select("node", "size"), "node")
+    size = rows.groupBy("list").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    size = size.select("list", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("size") / BLOCK_ELEMENTS)).alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    dealt = (rows.join(size, "sig").withColumn("own", own)
+    dealt = (rows.join(size, "list").withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
-    dealt = dealt.select("sig", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-                         "node", "label", "looks", "held", "elements")
+    dealt = dealt.select("list", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+                         "node", "label", "looks", "held").join(sets.select("node", "elements"), "node")
+    dealt = dealt.select("list", "p", "q", "node", "label", "looks", "held", "elements")
 
     def run(batches):
         key, group = None, []
         for b in batches:
-            for sig, p, q, *rest in zip(*(c.to_pylist() for c in b.columns)):
-                if (sig, p, q) != key:
+            for name, p, q, *rest in zip(*(c.to_pylist() for c in b.columns)):
+                if (name, p, q) != key:
                     yield _group_links(group)
-                    key, group = (sig, p, q), []
+                    key, group = (name, p, q), []
                 group.append(rest)
         yield _group_links(group)
 
-    return (dealt.repartition("sig", "p", "q").sortWithinPartitions("sig", "p", "q")
+    return (dealt.repartition("list", "p", "q").sortWithinPartitions("list", "p", "q")
             .mapInArrow(run, "a long, b long"))
 
 
