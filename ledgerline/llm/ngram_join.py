@@ -17,10 +17,11 @@ takes the values that cost least: signatures that no other set has cost nothing,
 are done before any pair is looked at, and the longest lists are left out where they can be.
 
 Signatures go to their lists in one shuffle; those that are alone drop out while it is read.
-Lists give no pairs of all members: each set meets the leader of the list that it shares most,
-then one member of each class meets the list's leader, and only the rest, members of a list that
-are of different classes still, are compared in blocks. Comparisons count common elements
-exactly. Every link joins the same classes, whichever pair shows it.
+Lists give no pairs of all members. Lists that have much in common are one family; the sets of
+a family of up to ``FAMILY`` are compared in one place. In larger ones each set meets the leader
+of the lists that it shares most, then one member of each class meets the list's leader, and only
+the rest, members of a list that are of different classes still, are compared in blocks.
+Comparisons count common elements exactly. Every link joins the same classes, whichever pair shows it.
 
 Rows: a null text counts as empty; a text without words has no elements, is its own class
 and linked with nothing; equal sets are linked; null ids belong to their set's class, whose
@@ -46,6 +47,8 @@ SHINGLE, PERCENT = 4, 85
 SPARE = 16
 #: Sets of a block of a list, and elements of a block, about.
 BLOCK, BLOCK_ELEMENTS = 512, 1 << 19
+#: Members of a family that are compared at once.
+FAMILY = 2048
 #: Sets whose signatures a task remembers, so that copies it meets again give none.
 SEEN = 1 << 20
 
@@ -293,18 +296,39 @@ def _merged(rows: DataFrame) -> DataFrame:
             .agg(F.max("label").alias("label"), F.max("looks").alias("looks"), F.max("held").alias("held")))
 
 
+def _families(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lists with much in common gathered: short families (``list, node, label, looks, held``), and the lists of the others.
+
+    Similar sets share many lists. A list's family is the smallest set that leads a list of one of
+    its members. Up to ``FAMILY`` members are compared at once, so that they travel once and not once a list.
+    """
+    first = rows.groupBy("sig").agg(F.min("node").alias("first"))
+    lead = rows.join(first, "sig").groupBy("node").agg(F.min("first").alias("lead"))
+    family = rows.join(lead, "node").groupBy("sig").agg(F.min("lead").alias("family"))
+    rows = settled(spark, rows.join(family, "sig"))
+    members = rows.select("family", "node").distinct()
+    short = settled(spark, members.groupBy("family").agg(F.count("*").alias("n")).where(F.col("n") <= FAMILY).select("family"))
+    once = members.join(short, "family").select(F.col("family").alias("list"), "node", F.col("node").alias("label"),
+                                                F.lit(True).alias("looks"), F.lit(True).alias("held"))
+    return once, settled(spark, rows.join(short, "family", "left_anti").drop("family"))
+
+
 def links(spark: SparkSession, docs: DataFrame, rows: DataFrame) -> DataFrame:
     """``node, label`` of the sets that link with another one; ``rows`` are the lists."""
     wanted = settled(spark, rows.select("node").distinct())
     sets = _sets(docs, Bitmap(spark, wanted)).join(wanted, "node").dropDuplicates(["node"])
     sets = sets.withColumn("size", (F.length("elements") / 8).cast("long"))
     sets = written(spark, sets, "ngram-sets")
+    short, rows = _families(spark, rows)
+    labels = components(spark, _block_links(short, sets))
+    if rows.isEmpty():
+        return labels
     pair = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-    # each set meets the leader that it shares most lists with
+    # in large families each set meets the leader that it shares most lists with
     leaders = rows.where("held").groupBy("sig").agg(F.min("node").alias("leader"))
     best = (rows.where("looks").join(leaders, "sig").where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("n"))
             .groupBy("node").agg(F.max_by("leader", "n").alias("leader")))
-    labels = components(spark, _verified(best.select(*pair("node", "leader")).distinct(), sets))
+    labels = components(spark, _verified(best.select(*pair("node", "leader")).distinct(), sets), labels)
     # one set of each class that looks meets one of a class, drawn by lot, that is held
     at = settled(spark, _labelled(rows, labels))
     lot = F.xxhash64("label", "sig")
@@ -313,25 +337,7 @@ def links(spark: SparkSession, docs: DataFrame, rows: DataFrame) -> DataFrame:
            .groupBy("sig", "label").agg(F.min(F.struct("node", "leader")).alias("p")))
     labels = components(spark, _verified(met.select(*pair("p.node", "p.leader")).distinct(), sets), labels)
     # then all sets of lists where some that look and some that are held are of different classes
-    at = settled(spark, _labelled(rows, labels))
-    return components(spark, _block_links(_gathered(spark, _merged(at)), sets), labels)
-
-
-def _gathered(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """``rows`` (``list, node, label, looks, held``) with the lists that hang together by common members as one, if it is short.
-
-    In a family of similar sets each is in many lists; up to ``BLOCK`` of them are compared at once, and
-    travel once. Larger families keep their lists.
-    """
-    rows = settled(spark, rows)
-    first = rows.groupBy("list").agg(F.min("node").alias("a"))
-    family = components(spark, rows.join(first, "list").select("a", F.col("node").alias("b")))
-    rows = settled(spark, rows.join(family.select("node", F.col("label").alias("above")), "node", "left")
-                   .withColumn("family", F.coalesce("above", "node")).drop("above"))
-    members = rows.groupBy("family", "node").agg(F.max("label").alias("label"))
-    short = settled(spark, members.groupBy("family").agg(F.count("*").alias("n")).where(F.col("n") <= BLOCK).select("family"))
-    once = members.join(short, "family").select(F.col("family").alias("list"), "node", "label", F.lit(True).alias("looks"), F.lit(True).alias("held"))
-    return once.unionAll(rows.join(short, "family", "left_anti").select("list", "node", "label", "looks", "held"))
+    return components(spark, _block_links(_merged(_labelled(rows, labels)), sets), labels)
 
 
 def _block_links(rows: DataFrame, sets: DataFrame) -> DataFrame:

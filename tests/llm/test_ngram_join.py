@@ -74,8 +74,10 @@ def test_equals_brute_force(spark, make_docs, seed):
     assert run(spark, make_docs(rows)) == want
 
 
-def test_chain_of_near_copies_and_a_shared_beginning(spark, make_docs, monkeypatch):
+@pytest.mark.parametrize("family", [2048, 8])
+def test_chain_of_near_copies_and_a_shared_beginning(spark, make_docs, monkeypatch, family):
     monkeypatch.setattr(N, "BLOCK", 16)                      # lists of several blocks
+    monkeypatch.setattr(N, "FAMILY", family)
     rnd = random.Random(3)
     base, rows = [f"b{i}" for i in range(120)], []
     for k in range(70):                                      # neighbours in the chain link, ends do not
