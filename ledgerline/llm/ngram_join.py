@@ -320,15 +320,15 @@ def links(spark: SparkSession, docs: DataFrame, rows: DataFrame) -> DataFrame:
     sets = sets.withColumn("size", (F.length("elements") / 8).cast("long"))
     sets = written(spark, sets, "ngram-sets")
     short, rows = _families(spark, rows)
-    labels = components(spark, _block_links(short, sets))
+    found = _block_links(short, sets)
     if rows.isEmpty():
-        return labels
+        return components(spark, found)
     pair = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     # in large families each set meets the leader that it shares most lists with
     leaders = rows.where("held").groupBy("sig").agg(F.min("node").alias("leader"))
     best = (rows.where("looks").join(leaders, "sig").where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("n"))
             .groupBy("node").agg(F.max_by("leader", "n").alias("leader")))
-    labels = components(spark, _verified(best.select(*pair("node", "leader")).distinct(), sets), labels)
+    labels = components(spark, found.unionAll(_verified(best.select(*pair("node", "leader")).distinct(), sets)))
     # one set of each class that looks meets one of a class, drawn by lot, that is held
     at = settled(spark, _labelled(rows, labels))
     lot = F.xxhash64("label", "sig")
@@ -337,7 +337,8 @@ def links(spark: SparkSession, docs: DataFrame, rows: DataFrame) -> DataFrame:
            .groupBy("sig", "label").agg(F.min(F.struct("node", "leader")).alias("p")))
     labels = components(spark, _verified(met.select(*pair("p.node", "p.leader")).distinct(), sets), labels)
     # then all sets of lists where some that look and some that are held are of different classes
-    return components(spark, _block_links(_merged(_labelled(rows, labels)), sets), labels)
+    mixed = settled(spark, _merged(_labelled(rows, labels)))
+    return labels if mixed.isEmpty() else components(spark, _block_links(mixed, sets), labels)
 
 
 def _block_links(rows: DataFrame, sets: DataFrame) -> DataFrame:

@@ -169,3 +169,31 @@ def test_held_out_rows_teach_nothing(spark, small):
     a = quality.score_documents(docs, quality.train(spark, docs, labels)).orderBy("doc_id").collect()
     b = quality.score_documents(docs, quality.train(spark, docs, wrong)).orderBy("doc_id").collect()
     assert a == b
+
+
+def test_chance_of_many_documents_stays_in_range():
+    from math import comb
+    from ledgerline.llm.toxicity import _by_chance
+    for t, c in ((5, 0), (3, 2), (40, 7), (0, 3)):
+        want = sum(comb(t + c, k) * 0.3 ** (t + c - k) * 0.7 ** k for k in range(c + 1))
+        assert abs(_by_chance(t, c, 0.3) - want) < 1e-9
+    assert _by_chance(11_000, 1_000, 0.5) == 0.0 and _by_chance(1_000, 11_000, 0.5) == pytest.approx(1.0)
+    assert 0 < _by_chance(500, 900, 0.3) < 1e-4
+    assert _by_chance(3, 0, 1.0) == 1.0 and _by_chance(3, 0, 0.0) == 0.0
+
+
+def test_a_word_of_many_toxic_and_some_clean_documents_trains(spark, make_docs):
+    from ledgerline.llm import toxicity
+    rows = [(i, ("grobnik " if i % 2 or i % 29 == 0 else "") + f"plain words {'abcdefgh'[i % 8] * 4} here") for i in range(2_400)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(2_400)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(spark, make_docs(rows), labels)
+    assert model.probability(model.margins(["grobnik"]))[0] >= 0.5 > model.probability(model.margins(["plain"]))[0]
+
+
+def test_a_repeated_labelled_row_is_learnt_from_once(spark, make_docs):
+    from ledgerline.llm import toxicity
+    rows = [(i, ("grobnik " if i % 2 else "") + f"plain words {'abcdefgh'[i % 8] * 4} here") for i in range(60)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    once = {(r.doc_id, r.segment) for r in toxicity.training_segments(spark, make_docs(rows), labels).collect()}
+    many = [(r.doc_id, r.segment) for r in toxicity.training_segments(spark, make_docs(rows + [rows[1]] * 60), labels).collect()]
+    assert set(many) == once and len(many) == len(once)

@@ -66,7 +66,7 @@ def corpus(seed: int) -> list[tuple]:
     return list(enumerate(out))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_equals_brute_force(spark, make_docs, seed):
     rows = corpus(seed)
     want = brute(rows)

@@ -176,3 +176,31 @@ def test_pipeline_of_odd_rows(spark, odd, none, workdir):
         for _, stage in corpus_pipeline.STAGES:
             docs = written(spark, stage(spark, docs, folder), "odd")
         assert docs.count() >= (n > 0)
+
+
+def _lcs(a, b):
+    t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
+    return t[-1][-1]
+
+
+def test_gaps_are_matched_by_a_longest_common_subsequence():
+    import random
+    import numpy as np
+    from ledgerline.llm import license_scan
+    rnd = random.Random(1)
+    for _ in range(150):
+        a, b = ([rnd.randrange(4) for _ in range(rnd.randrange(0, 30))] for _ in range(2))
+        found = sorted(license_scan._common(np.array(a, int), np.array(b, int), 0, 0))
+        assert len(found) == _lcs(a, b)
+        assert all(a[i] == b[j] for i, j in found) and all(x[0] < y[0] and x[1] < y[1] for x, y in zip(found, found[1:]))
+
+
+def test_large_gap_without_unique_words_is_aligned():
+    from ledgerline.llm import license_scan
+    words = ["x", "y"] * 41
+    text = ["q", *words[1:-1], "z"]
+    assert len(license_scan.align(text, words)) == 80
+    assert license_scan.Scanner({"two": " ".join(words)}).scan(" ".join(text)) == [("two", 80 / 82, 1, 81)]
