@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 QUOTE, DELIMITER = b'"', b","
@@ -73,33 +73,43 @@ def _by_split(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, int, lis
                 start = i
 
 
-def splits_inside(lines: DataFrame) -> set[tuple[str, int]]:
-    """The splits that begin inside a quoted field (``file, split``): one entry a split at most."""
+def splits_inside(lines: DataFrame) -> dict[tuple[str, int], int]:
+    """The splits that begin inside a quoted field, and the split in which that field's record begins.
+
+    One entry a split at most.
+    """
     def ends(batches):
         out = {}
         for file, split, part in _by_split(batches):
-            state = out.setdefault((file, split), [False, True])
+            state = out.setdefault((file, split), [False, True, False])
             for line in part:
                 if QUOTE in line:
                     state[0], state[1] = ends_inside(line, state[0]), ends_inside(line, state[1])
+                    state[2] |= not state[1]
         keys = list(out)
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()),
-                                          *(pa.array([out[k][x] for k in keys], pa.bool_()) for x in (0, 1))],
-                                         ["file", "split", "from_outside", "from_inside"])
+                                          *(pa.array([out[k][x] for k in keys], pa.bool_()) for x in range(3))],
+                                         ["file", "split", "from_outside", "from_inside", "closes"])
 
-    found = lines.mapInArrow(ends, "file string, split long, from_outside boolean, from_inside boolean")
-    inside, file_before, state = set(), None, False
-    for file, split, outside, within in found.orderBy("file", "split").toLocalIterator():     # four values a split
+    found = lines.mapInArrow(ends, "file string, split long, from_outside boolean, from_inside boolean, closes boolean")
+    inside, file_before, origin = {}, None, None             # origin: where the record that is open begins
+    for file, split, outside, within, closes in found.orderBy("file", "split").toLocalIterator():     # five values a split
         if file != file_before:
-            file_before, state = file, False
-        if state:
-            inside.add((file, split))
-        state = within if state else outside
+            file_before, origin = file, None
+        if origin is None:
+            origin = split if outside else None
+        else:
+            inside[file, split] = origin
+            if closes:
+                origin = split if within else None
     return inside
 
 
-def _pieces(lines: DataFrame, inside: set[tuple[str, int]]) -> DataFrame:
-    """``file, split, row, kind, text``: whole records, and the fragments at the ends of splits."""
+def _pieces(lines: DataFrame, inside: dict[tuple[str, int], int]) -> DataFrame:
+    """``file, split, row, kind, chain, text``: whole records, and the fragments at the ends of splits.
+
+    Fragments of one record have the split in which it begins as their ``chain``.
+    """
     held = lines.sparkSession.sparkContext.broadcast(inside)
 
     def cut(batches):
@@ -109,7 +119,8 @@ def _pieces(lines: DataFrame, inside: set[tuple[str, int]]) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [pa.array([key[0]] * len(rows), pa.string()), pa.array([key[1]] * len(rows), pa.int64()),
                  pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
-                 pa.array([r[2] for r in rows], pa.binary())], ["file", "split", "row", "kind", "text"])
+                 pa.array([key[1] if r[1] == TAIL else held.value.get(key) if r[1] != RECORD else None for r in rows], pa.int64()),
+                 pa.array([r[2] for r in rows], pa.binary())], ["file", "split", "row", "kind", "chain", "text"])
 
         def rest():
             return out([(row, INNER if kind == HEAD else TAIL, b"\n".join(pending))]) if pending else None
@@ -134,7 +145,7 @@ def _pieces(lines: DataFrame, inside: set[tuple[str, int]]) -> DataFrame:
         if key and (last := rest()):
             yield last
 
-    return lines.mapInArrow(cut, "file string, split long, row long, kind int, text binary")
+    return lines.mapInArrow(cut, "file string, split long, row long, kind int, chain long, text binary")
 
 
 def records(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -142,9 +153,8 @@ def records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     lines = file_lines(spark, path)
     pieces = _pieces(lines, splits_inside(lines))
     whole = pieces.where(F.col("kind") == RECORD).select("file", "split", "row", "text")
-    order = Window.partitionBy("file").orderBy("split", "kind")        # two fragments a split at most; a head comes first
-    parts = pieces.where(F.col("kind") != RECORD).withColumn("chain", F.sum((F.col("kind") == TAIL).cast("long")).over(order))
-    begin = F.min(F.struct("split", (F.col("kind") != TAIL).alias("later"), "row"))
+    parts = pieces.where(F.col("kind") != RECORD)
+    begin = F.min(F.struct("split", "kind", "row"))
     joined = (parts.groupBy("file", "chain").agg(
         begin.alias("at"), F.sort_array(F.collect_list(F.struct("split", "kind", F.hex("text").alias("text")))).alias("parts"))
         .select("file", "at.split", "at.row", F.unhex(F.array_join(F.transform("parts", lambda p: p["text"]), "0A")).alias("text")))

@@ -168,7 +168,7 @@ def test_line_breaks_in_fields_equal_pandas_in_many_splits(spark, workdir):
             want.setdefault(order, []).append(name)
     before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
     try:
-        for size in ("400", "4096"):                 # splits shorter than a record, and of some records
+        for size in ("400", "1024"):                 # splits shorter than a record, and of some records
             spark.conf.set("spark.sql.files.maxPartitionBytes", size)
             spark.conf.set("spark.sql.files.openCostInBytes", "1")
             df = read_orders_csv(spark, d)
