@@ -142,7 +142,7 @@ def test_license_lines_of_documents(spark):
 
 def test_registered_queries():
     numbers = sorted(int(k[2:].split("_")[0]) for k in QUERIES)
-    assert numbers == list(range(1, 11)) and set(SQL) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(SQL) <= set(QUERIES)
 
 
 def test_pipeline_stages(spark):
