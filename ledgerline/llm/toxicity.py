@@ -4,7 +4,9 @@ Texts are cut into segments (runs of non-space characters without punctuation; t
 segments over ``SEGMENT`` characters are cut into overlapping ones). The kernel of
 two segments counts their common subsequences of ``ORDER`` characters within a span
 of ``SPAN``, each weighted by ``DECAY`` per character of span, normalised to 1 for
-equal segments: inserted or dropped characters cost a factor, not the match.
+equal segments: inserted or dropped characters cost a factor, not the match. Each segment
+is compared with a mark before its first and one after its last character, so a stem that
+begins or ends a segment differs from the same letters inside one.
 
 A departure: no sentence is built. The method labels and compares sentences; here every
 word is compared alone. So an insult of several words whose single words also stand in
@@ -16,8 +18,9 @@ are training rows): every segment in a clean document is clean. In each toxic do
 and in no clean one, or ``RATIO`` times as often in toxic documents as in clean ones and
 not by chance (exact binomial test; a quoting or mislabelled document costs no insult).
 Such witnesses are left out of the clean segments. A linear SVM learns on Nystroem features (kernel values to
-``LANDMARKS`` landmark segments, whitened by the landmarks' own kernel matrix), picks
-the witnesses again by its own margin, and learns once more. A text scores its most
+``LANDMARKS`` landmark segments, whitened by the landmarks' own kernel matrix), finds
+the segments that it thinks toxic in toxic documents or wrongly in clean ones, and learns
+once more with these as rows and, of the wrong ones, as landmarks. A text scores its most
 toxic segment, through a logistic curve fitted on the training documents.
 
 For scoring, the learnt function (a weighted sum of kernels to landmarks) is folded
@@ -52,8 +55,10 @@ TOXIC_SEGMENTS, CLEAN_SEGMENTS = 2_000, 20_000
 #: at most so likely.
 RATIO, CHANCE = 10, 1e-6
 ORDER, SPAN, DECAY = 3, 5, 0.6
-LANDMARKS = 256
+LANDMARKS = 512
 SEGMENT = 24
+#: Stand around each segment where segments are compared.
+START, END = "^", "$"
 #: Scores kept in a worker's cache of segments; it starts anew beyond that.
 CACHE_SEGMENTS = 300_000
 
@@ -132,6 +137,10 @@ def kernel(words: list[str], landmarks: list[str], block: int = 4096) -> np.ndar
     return out
 
 
+def _marked(words: list[str]) -> list[str]:
+    return [START + w + END for w in words]
+
+
 @dataclass
 class Model:
     """Sorted subsequence keys with their weights, the bias, and the logistic curve's slope and offset."""
@@ -146,7 +155,7 @@ class Model:
         """Signed distance of each segment: the SVM's sum of kernels to landmarks."""
         if not len(self.keys):
             return np.full(len(words), self.bias)
-        rows, keys, weights = subsequences(words)
+        rows, keys, weights = subsequences(_marked(words))
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         hit = self.keys[at] == keys
         return np.bincount(rows[hit], self.weights[at[hit]] * weights[hit], len(words)) + self.bias
@@ -211,9 +220,9 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, seed: int = 7
         again = again.where("margin > -0.5")
         more = {r["segment"] for r in again.where("c = 1 and margin > 0").orderBy(F.desc("margin"), "segment")
                 .limit(TOXIC_SEGMENTS).select("segment").collect()}
-        hard = {r["segment"] for r in again.where((F.col("c") == 0) & ~F.col("segment").isin(often)).orderBy(F.desc("margin"), "segment")
-                .limit(CLEAN_SEGMENTS).select("segment").collect()}
-        model = _fit(_gapped(sorted({*toxic, *more}), seed), sorted({*clean, *hard}), seed)
+        hard = [r["segment"] for r in again.where((F.col("c") == 0) & ~F.col("segment").isin(often)).orderBy(F.desc("margin"), "segment")
+                .limit(CLEAN_SEGMENTS).select("segment").collect()]
+        model = _fit(_gapped(sorted({*toxic, *more}), seed), sorted({*clean, *hard}), seed, hard)
         best = _scored(found, model).groupBy("doc_id").agg(F.max("toxic").alias("y"), F.max("margin").alias("m")).collect()
         model.slope, model.offset = _curve(np.array([r["m"] for r in best]), np.array([r["y"] for r in best]))
         by.unpersist()
@@ -256,13 +265,18 @@ def _scored(df: DataFrame, model: Model) -> DataFrame:
     return df.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema) + ", margin double")
 
 
-def _fit(toxic: list[str], clean: list[str], seed: int) -> Model:
-    """Landmarks, Nystroem features, a squared-hinge SVM by Newton steps, and the folded weights."""
+def _fit(toxic: list[str], clean: list[str], seed: int, hard: list[str] = ()) -> Model:
+    """Landmarks, Nystroem features, a squared-hinge SVM by Newton steps, and the folded weights.
+
+    Half of the landmarks at most are toxic; half of the others at most are the first of ``hard`` (clean
+    segments that are likeliest mistaken), the rest are drawn from the clean ones.
+    """
     rng = np.random.default_rng(seed)
-    half = LANDMARKS // 2
     pick = lambda words, n: [words[i] for i in sorted(rng.permutation(len(words))[:n])]
-    landmarks = pick(toxic, half) + pick(clean, half)
-    words = toxic + clean
+    landmarks = pick(toxic, LANDMARKS // 2)
+    landmarks += hard[:(LANDMARKS - len(landmarks)) // 2]
+    landmarks += pick(sorted(set(clean) - set(hard)) or clean, LANDMARKS - len(landmarks))
+    words, landmarks = _marked(toxic + clean), _marked(list(dict.fromkeys(landmarks)))
     y = np.concatenate([np.ones(len(toxic)), -np.ones(len(clean))])
     value, vector = np.linalg.eigh(kernel(landmarks, landmarks).astype(float))
     keep = value > 1e-4 * value.max()
