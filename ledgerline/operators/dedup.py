@@ -1,38 +1,57 @@
 """Keep-first de-duplication and duplicate counting.
 
-"First" means first in file order, carried by an ordinal column taken at the
-scan (before any shuffle). Keep-first is ``min_by(row, ordinal)`` per key: a
-declarative aggregate with a map-side partial step, so a key that holds a third
-of all rows is reduced to one row per task before the shuffle.
+"First" means first in file order, carried by an ordinal column. A staged source numbers its
+rows with one number (``sources.ordinal``): keep-first is then a hash aggregate of that number
+per key, and only the rows whose numbers came out are fetched (late materialisation). No row is
+sorted, and a key that holds a third of all rows is one number per task before the shuffle.
+
+A source that is not staged may carry its ordinal as a struct; ``min_by`` over whole rows serves it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import ORDINAL
 
+FIRST = "_first"
+
 
 def _q(name: str):
     return F.col(f"`{name}`")
 
 
+def numbered(df: DataFrame, ordinal: str = ORDINAL) -> bool:
+    """The ordinal is one number, unique to its row, that fits a hash aggregate's buffer."""
+    return isinstance(df.schema[ordinal].dataType, (T.IntegralType, T.DecimalType))
+
+
+def first_ordinals(df: DataFrame, subset: list[str], ordinal: str = ORDINAL) -> DataFrame:
+    """Every distinct ``subset`` value with the ordinal of its first row, as ``_first``."""
+    return df.groupBy(*[_q(c) for c in subset]).agg(F.min(_q(ordinal)).alias(FIRST))
+
+
 def keep_first(df: DataFrame, subset: list[str], columns: list[str] | None = None,
-               ordinal: str = ORDINAL, keep_ordinal: bool = False) -> DataFrame:
+               ordinal: str = ORDINAL, few: bool = False) -> DataFrame:
     """First row (by ``ordinal``) of every distinct ``subset`` value.
 
     Like ``drop_duplicates(subset, keep='first')``: NULL keys form a group.
     ``columns`` are the non-key columns to keep (default: all others).
+    A numeric ordinal must be unique to its row. ``few`` says that the number of distinct values
+    is proven small: their ordinals are broadcast into the scan. Otherwise rows and ordinals meet
+    by a hash of the ordinal, which spreads evenly, in a hash join without a sort.
     """
     rest = columns if columns is not None else [c for c in df.columns if c not in subset and c != ordinal]
-    payload = [_q(c) for c in rest] + ([_q(ordinal)] if keep_ordinal else [])
+    if numbered(df, ordinal):
+        firsts = first_ordinals(df, subset, ordinal).select(FIRST)
+        firsts = F.broadcast(firsts) if few else firsts.hint("shuffle_hash")
+        rows = df.select(*[_q(c) for c in [*subset, *rest, ordinal]])
+        return rows.join(firsts, _q(ordinal) == F.col(FIRST), "left_semi").drop(ordinal)
     first = df.groupBy(*[_q(c) for c in subset]).agg(
-        F.min_by(F.struct(*payload), _q(ordinal)).alias("_first"))
-    out = [_q(c) for c in subset] + [F.col("_first").getField(c).alias(c) for c in rest]
-    if keep_ordinal:
-        out.append(F.col("_first").getField(ordinal).alias(ordinal))
-    return first.select(*out)
+        F.min_by(F.struct(*[_q(c) for c in rest]), _q(ordinal)).alias(FIRST))
+    return first.select(*[_q(c) for c in subset], *[F.col(FIRST).getField(c).alias(c) for c in rest])
 
 
 def duplicate_count(df: DataFrame, subset: list[str]) -> DataFrame:

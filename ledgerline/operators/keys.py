@@ -33,6 +33,12 @@ _OFFSET = "_key_offset"
 def with_surrogate_key(df: DataFrame, key_name: str, order_by: list[Column],
                        num_partitions: int | None = None) -> DataFrame:
     """``df`` with a dense ``key_name`` column numbered in ``order_by`` order, first column."""
+    return counted_surrogate_key(df, key_name, order_by, num_partitions)[0]
+
+
+def counted_surrogate_key(df: DataFrame, key_name: str, order_by: list[Column],
+                          num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """``with_surrogate_key`` and the number of rows, known from the numbering itself."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     # Without an explicit count AQE may coalesce adjacent range partitions (order
@@ -52,4 +58,5 @@ def with_surrogate_key(df: DataFrame, key_name: str, order_by: list[Column],
 
     position = F.col(_MONO) - F.shiftleft(F.col(_PART).cast("long"), 33)
     key = (F.col(_OFFSET) + position + F.lit(1)).cast("long").alias(key_name)
-    return tagged.join(F.broadcast(offsets), _PART).select(key, *[F.col(f"`{c}`") for c in df.columns])
+    keyed = tagged.join(F.broadcast(offsets), _PART).select(key, *[F.col(f"`{c}`") for c in df.columns])
+    return keyed, sum(n for _, n in sizes)

@@ -1,4 +1,9 @@
-"""Dimension builds: customer, product, location, date (with surrogate keys)."""
+"""Dimension builds: customer, product, location, date (with surrogate keys).
+
+From a staged source (one number a row, ``operators.dedup``) the natural keys are aggregated
+with the number of their first row and keyed; the attributes are then fetched from the rows of those
+numbers alone. The source is hashed and scanned, never sorted.
+"""
 
 from __future__ import annotations
 
@@ -7,45 +12,47 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.dates import date_attributes
-from ..operators.dedup import keep_first
-from ..operators.keys import with_surrogate_key
+from ..operators.dedup import FIRST, first_ordinals, keep_first, numbered
+from ..operators.keys import counted_surrogate_key, with_surrogate_key
+from ..operators.lookup import BroadcastLimit, TableStats
 
 
 def _q(name: str):
     return F.col(f"`{name}`")
 
 
-def customer_rows(src: DataFrame) -> DataFrame:
-    """First row per Customer ID (rows without an id cannot be keyed and are left out)."""
-    first = keep_first(src.filter(_q(S.CUSTOMER_ID).isNotNull()), [S.CUSTOMER_ID],
-                       [S.CUSTOMER_NAME, S.SEGMENT])
-    return first.select(_q(S.CUSTOMER_ID).alias("customer_id"),
-                        _q(S.CUSTOMER_NAME).alias("customer_name"),
-                        _q(S.SEGMENT).alias("segment"))
+#: Source columns of a dimension's natural key (``keys``) and of its first-seen attributes (``rest``).
+_KEEP_FIRST = {
+    "dim_customer": ([S.CUSTOMER_ID], [S.CUSTOMER_NAME, S.SEGMENT]),
+    "dim_product": ([S.PRODUCT_ID], [S.PRODUCT_NAME, S.CATEGORY, S.SUB_CATEGORY]),
+    "dim_location": ([S.POSTAL_CODE, S.CITY], [S.STATE, S.REGION, S.COUNTRY]),
+}
+_NAMES = {
+    S.CUSTOMER_ID: "customer_id", S.CUSTOMER_NAME: "customer_name", S.SEGMENT: "segment",
+    S.PRODUCT_ID: "product_id", S.PRODUCT_NAME: "product_name", S.CATEGORY: "category", S.SUB_CATEGORY: "sub_category",
+    S.POSTAL_CODE: "postal_code", S.CITY: "city", S.STATE: "state", S.REGION: "region", S.COUNTRY: "country",
+}
+# A row without a customer or product id cannot be keyed and is left out.
+_REQUIRED = {"dim_customer": S.CUSTOMER_ID, "dim_product": S.PRODUCT_ID}
+
+
+def _keyable(name: str, src: DataFrame) -> DataFrame:
+    return src.filter(_q(_REQUIRED[name]).isNotNull()) if name in _REQUIRED else src
 
 
-def product_rows(src: DataFrame) -> DataFrame:
-    """First row per Product ID."""
-    first = keep_first(src.filter(_q(S.PRODUCT_ID).isNotNull()), [S.PRODUCT_ID],
-                       [S.PRODUCT_NAME, S.CATEGORY, S.SUB_CATEGORY])
-    return first.select(_q(S.PRODUCT_ID).alias("product_id"),
-                        _q(S.PRODUCT_NAME).alias("product_name"),
-                        _q(S.CATEGORY).alias("category"),
-                        _q(S.SUB_CATEGORY).alias("sub_category"))
+def _named(columns: list[str]) -> list:
+    return [_q(c).alias(_NAMES[c]) for c in columns]
 
 
-def location_rows(src: DataFrame) -> DataFrame:
-    """Distinct locations, one per (postal code, city) -- the lookup key.
+def first_rows(name: str, src: DataFrame) -> DataFrame:
+    """First row per natural key of a dimension.
 
-    The first (state, region, country) seen for a (postal code, city) wins, so
-    the fact lookup can never fan out; conflicting rows are reported by the
-    constraint audit. A NULL postal code is a value of its own, as in the
-    fact lookup.
+    Locations are one per (postal code, city), the lookup key: the first (state, region,
+    country) seen wins, so the fact lookup can never fan out; conflicting rows are reported by
+    the constraint audit. A NULL postal code is a value of its own, as in the fact lookup.
     """
-    first = keep_first(src, [S.POSTAL_CODE, S.CITY], [S.STATE, S.REGION, S.COUNTRY])
-    return first.select(_q(S.POSTAL_CODE).alias("postal_code"), _q(S.CITY).alias("city"),
-                        _q(S.STATE).alias("state"), _q(S.REGION).alias("region"),
-                        _q(S.COUNTRY).alias("country"))
+    keys, rest = _KEEP_FIRST[name]
+    return keep_first(_keyable(name, src), keys, rest).select(*_named([*keys, *rest]))
 
 
 def date_rows(src: DataFrame) -> DataFrame:
@@ -70,18 +77,30 @@ KEY_ORDER = {
     "dim_date": ("date_key", lambda: [F.col("full_date").asc()]),
 }
 
-ROW_BUILDERS = {
-    "dim_customer": customer_rows,
-    "dim_product": product_rows,
-    "dim_location": location_rows,
-    "dim_date": date_rows,
-}
-
-
 def keyed(name: str, rows: DataFrame, num_partitions: int | None = None) -> DataFrame:
     key, order = KEY_ORDER[name]
     return with_surrogate_key(rows, key, order(), num_partitions)
 
 
-def build_dimension(name: str, src: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    return keyed(name, ROW_BUILDERS[name](src), num_partitions)
+def build_dimension(name: str, src: DataFrame, num_partitions: int | None = None,
+                    limit: BroadcastLimit = BroadcastLimit(0, 0)) -> DataFrame:
+    """A dimension with its surrogate keys.
+
+    The (first row, key) pairs are two numbers a row and counted while they are keyed: within
+    ``limit`` they are broadcast into the scan that fetches the attributes, beyond it they meet
+    the scan by a hash of the row number.
+    """
+    if name == "dim_date":
+        return keyed(name, date_rows(src), num_partitions)
+    if not numbered(src):
+        return keyed(name, first_rows(name, src), num_partitions)
+    keys, rest = _KEEP_FIRST[name]
+    key, order = KEY_ORDER[name]
+    firsts = first_ordinals(_keyable(name, src).select(*[_q(c) for c in [*keys, S.ORDINAL]]), keys)
+    firsts = firsts.select(*_named(keys), FIRST)
+    found, count = counted_surrogate_key(firsts, key, order(), num_partitions)
+    pairs = found.select(key, FIRST)
+    pairs = F.broadcast(pairs) if limit.allows(TableStats(count), pairs.columns) else pairs.hint("shuffle_hash")
+    rows = src.select(*[_q(c) for c in [*keys, *rest, S.ORDINAL]]).join(pairs, _q(S.ORDINAL) == F.col(FIRST))
+    # The fetched rows lie where their lines do: gathered, so a small dimension is not one file a scan task.
+    return rows.select(key, *_named([*keys, *rest])).repartition(key)

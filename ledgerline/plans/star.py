@@ -32,6 +32,7 @@ from .. import schemas as S
 from ..config import (broadcast_limit, input_bytes, join_path, new_run_id, shuffle_partitions, shuffle_partitions_for,
                       warehouse_dir)
 from ..operators.lookup import BroadcastLimit, TableStats, stats_from_metrics, stats_metrics
+from ..sources.ordinal import with_row_number
 from .dims import build_dimension
 from .fact import fact_rows, with_order_key
 
@@ -80,8 +81,8 @@ def write_observed(df: DataFrame, path: str, name: str, mode: str = "overwrite",
 
 
 def stage_source(src: DataFrame, root: str) -> tuple[DataFrame, TableStats]:
-    """Extract step: the typed source (with its ordinal) as a columnar table."""
-    return write_observed(src, join_path(root, "source"), "source", text_bytes=False)
+    """Extract step: the typed source, its rows numbered in file order, as a columnar table."""
+    return write_observed(with_row_number(src), join_path(root, "source"), "source", text_bytes=False)
 
 
 def laid_out(number, fact: DataFrame) -> DataFrame:
@@ -102,7 +103,7 @@ def build_star(spark: SparkSession, src: DataFrame, root: str | None = None,
     tables: dict[str, DataFrame] = {}
 
     def one(name: str) -> tuple[str, DataFrame, TableStats]:
-        df, st = write_observed(build_dimension(name, source, num_partitions), join_path(root, name), name)
+        df, st = write_observed(build_dimension(name, source, num_partitions, limit), join_path(root, name), name)
         return name, df, st
 
     # Shuffles sized from the input files before the first job (run_etl does its own sizing).

@@ -71,7 +71,8 @@ def _dim_counts(star: Star) -> DataFrame:
 def _dedup_keep_first(star: Star) -> DataFrame:
     """First line (file order) of every product id, all source columns."""
     rest = [c for c in S.SOURCE_COLUMNS if c != S.PRODUCT_ID]
-    return keep_first(star.source, [S.PRODUCT_ID], rest).select(*[F.col(f"`{c}`") for c in S.SOURCE_COLUMNS])
+    few = star.is_small("dim_product", ["product_key", "product_id"])     # as many keys, but for a NULL one
+    return keep_first(star.source, [S.PRODUCT_ID], rest, few=few).select(*[F.col(f"`{c}`") for c in S.SOURCE_COLUMNS])
 
 
 def _dedup_line_items(star: Star) -> DataFrame:

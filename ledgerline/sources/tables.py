@@ -19,7 +19,8 @@ Discount            l_discount as DECIMAL(5,2) times 3
 Sales / Profit      price * (1 - discount) / price * (0.22 - discount), 2 digits
 ==================  =========================================================
 
-"File order" for keep-first rules is the order of the full line record.
+"File order" for keep-first rules is the order of the full line record: the lines are sorted by it
+and numbered before they are joined, so every later step carries one number a row.
 
 Join order is chosen for scale: orders are enriched with customer, nation and
 region first (orders are a quarter of lineitem), then the lines join the
@@ -55,7 +56,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def read_tables_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item, in the order-line source shape, plus the ordinal."""
-    lines = _table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
+    # Range-partitioned and sorted, so the generated ids grow with the record (equal records are interchangeable).
+    lines = (_table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
+             .repartitionByRange(*LINEITEM_COLUMNS).sortWithinPartitions(*LINEITEM_COLUMNS)
+             .select("*", F.monotonically_increasing_id().alias(S.ORDINAL)))
     orders = _table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     customer = _table(spark, sf_dir, "customer").select(
@@ -104,5 +108,5 @@ def read_tables_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("int").alias(S.QUANTITY),
         discount.cast(S.SOURCE_RATE).alias(S.DISCOUNT),
         profit.cast(S.SOURCE_MONEY).alias(S.PROFIT),
-        F.struct(*[F.col(c) for c in LINEITEM_COLUMNS]).alias(S.ORDINAL),
+        F.col(S.ORDINAL),
     )

@@ -14,7 +14,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from ledgerline.config import broadcast_limit, build_session  # noqa: E402
-from ledgerline.plans.dims import ROW_BUILDERS  # noqa: E402
+from ledgerline.plans.dims import date_rows, first_rows  # noqa: E402
 from ledgerline.plans.fact import fact_rows  # noqa: E402
 from ledgerline.plans.star import star_for_tables  # noqa: E402
 from ledgerline.registry import QUERIES  # noqa: E402
@@ -56,8 +56,8 @@ def main() -> None:
     print("ETL steps first (extract from the test tables, keep-first rows of a dimension, the fact's key "
           "lookups), then every registered query.\n")
     show("ETL: extract (adapter over the test tables)", read_tables_source(spark, sf_dir))
-    show("ETL: customer dimension rows (keep-first)", ROW_BUILDERS["dim_customer"](star.source))
-    show("ETL: date dimension rows", ROW_BUILDERS["dim_date"](star.source))
+    show("ETL: customer dimension rows (keep-first)", first_rows("dim_customer", star.source))
+    show("ETL: date dimension rows", date_rows(star.source))
     dims = {k: v for k, v in star.tables.items() if k.startswith("dim_")}
     show("ETL: fact lookups", fact_rows(star.source, dims, star.stats, broadcast_limit(spark)))
     print(f"Generated by `scripts/plans.py` on `{os.path.basename(sf_dir)}` (initial adaptive plans; AQE may "

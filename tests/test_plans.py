@@ -60,3 +60,25 @@ def test_kpis_scan_the_fact_once_and_sort_nothing(spark, name):
     lines = _plan(spark, name).splitlines()
     assert sum("FileScan parquet" in line and "sales" in line for line in lines) == 1
     assert not any(op in line for line in lines for op in ("Sort [", "SortAggregate", "ObjectHashAggregate"))
+
+
+@pytest.mark.parametrize("name, joined", [("dedup_line_items", "ShuffledHashJoin"), ("dedup_keep_first", "BroadcastHashJoin")])
+def test_keep_first_aggregates_numbers_and_sorts_nothing(spark, name, joined):
+    plan = _plan(spark, name)
+    assert "partial_min(_line_ordinal" in plan and joined in plan
+    assert not any(op in plan for op in ("Sort [", "SortAggregate", "ObjectHashAggregate", "min_by"))
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_dimensions_do_not_sort_the_source(spark, few):
+    from ledgerline.operators.lookup import BroadcastLimit
+    from ledgerline.plans.dims import build_dimension
+    from ledgerline.plans.star import star_for_tables
+    source = star_for_tables(spark, SF).source
+    for name in ("dim_customer", "dim_product", "dim_location"):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            build_dimension(name, source, limit=BroadcastLimit(2_000_000, 1 << 28) if few else BroadcastLimit(0, 0)).explain()
+        plan = buf.getvalue()
+        assert ("BroadcastHashJoin [_line_ordinal" if few else "ShuffledHashJoin [_line_ordinal") in plan
+        assert "SortAggregate" not in plan and "Sort [" not in plan
