@@ -490,3 +490,14 @@ SELECT q.total_rows AS records_processed, q.quality_status,
        CASE WHEN (SELECT bool_and(matched) FROM ({SQL["reconciliation"]})) THEN 'PASSED' ELSE 'FAILED' END
          AS reconciliation_status
 FROM ({SQL["quality_report"]}) q"""
+
+
+# ---------------------------------------------------------------------------
+# The bundle of the nine views
+# ---------------------------------------------------------------------------
+
+_BUNDLE = ["daily_sales", "sales_by_region", "sales_by_category", "sales_by_segment", "monthly_trend", "top_products",
+           "top_customers", "overall_kpis", "discount_impact"]
+SQL["mart_bundle"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS view_name, COUNT(*) AS row_count, "
+    f"CAST(SUM(CAST(total_sales AS DECIMAL(28,2))) AS DOUBLE) AS total_sales FROM ({SQL[name]})" for name in _BUNDLE)

@@ -20,6 +20,7 @@ the grouping keys.
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import replace
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -42,9 +43,89 @@ def _sum_measures(prefix: str = "") -> list[Column]:
     ]
 
 
-def _by_key(fact: DataFrame, key: str) -> DataFrame:
+def _by_key(star: Star, key: str) -> DataFrame:
     """Fact partials per dimension key; NULL keys are dropped (inner-join semantics)."""
-    return fact.filter(F.col(key).isNotNull()).groupBy(key).agg(*_sum_measures("p_"))
+    if star.partials is not None:
+        return _part(star, key).filter(F.col("key").isNotNull()).withColumnRenamed("key", key)
+    return star.fact.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        *_sum_measures("p_"), F.sum("discount").alias("p_discount_sum"), F.count("discount").alias("p_discount_n"))
+
+
+# ---------------------------------------------------------------------------
+# Partials shared by a bundle of views
+# ---------------------------------------------------------------------------
+
+_KEY_PARTS = ("order_date_key", "customer_key", "product_key", "location_key")
+_BUCKETS = (S.BUCKET_NONE, S.BUCKET_LOW, S.BUCKET_MEDIUM, S.BUCKET_HIGH)
+
+
+def shared_partials(star: Star) -> DataFrame:
+    """All that the nine views need of the fact, in one pass over it: one row per (part, key, month).
+
+    Every fact row gives its measures to its group in each part (the four dimension keys, the discount
+    bucket, all rows), and the bit of its customer to the key block of its order month. The parts
+    are grouping sets of one hash aggregate, built in each task before the one exchange, so a hot key
+    is one row a task. The months come from the date dimension, which holds one row a day.
+    """
+    bit = F.expr(f"shiftleft(1L, cast(pmod(customer_key, {1 << _KEY_BLOCK_BITS}) as int))")
+    none = F.lit(None).cast("long")
+    bucket = discount_bucket(F.col("discount"))
+    code = F.coalesce(*[F.when(bucket == label, F.lit(n)) for n, label in enumerate(_BUCKETS)]).cast("long")
+
+    def group(part: str, key: Column, month: Column = none, bits: Column = none) -> Column:
+        return F.struct(F.lit(part).alias("part"), key.cast("long").alias("key"), month.alias("month"), bits.alias("bits"))
+
+    groups = [group(k, F.col(k)) for k in _KEY_PARTS] + [
+        group("bucket", code), group("all", none),
+        group("month_customers", F.shiftright("customer_key", _KEY_BLOCK_BITS), F.col("_month"), bit)]
+    days = star.dim("dim_date", ["date_key", "year", "month"]).select(
+        F.col("date_key").alias("_day"), _month_of(F.col("year"), F.col("month")).alias("_month"))
+    rows = (star.fact.join(days, F.col("order_date_key") == F.col("_day"), "left")
+            .select("order_key", "sales", "profit", "quantity", "discount", F.explode(F.array(*groups)).alias("g")))
+    return rows.groupBy("g.part", "g.key", "g.month").agg(
+        *_sum_measures("p_"),
+        F.sum("discount").alias("p_discount_sum"), F.count("discount").alias("p_discount_n"),
+        F.count("sales").alias("p_sales_n"), F.count("profit").alias("p_profit_n"), F.count(F.lit(1)).alias("p_rows"),
+        F.bit_or("g.bits").alias("p_bits"))
+
+
+def _month_of(year: Column, month: Column) -> Column:
+    return (year * 12 + month).cast("long")
+
+
+def _part(star: Star, part: str) -> DataFrame:
+    return star.partials.filter(F.col("part") == part).drop("part")
+
+
+def _monthly_from_partials(star: Star) -> DataFrame:
+    """The monthly trend: sums of its days' partials, distinct customers as bits of its key blocks."""
+    d = star.dim("dim_date", ["date_key", "year", "month", "month_name"])
+    days = _by_key(star, "order_date_key").drop("month")
+    sums = days.join(d, F.col("order_date_key") == F.col("date_key")).groupBy("year", "month", "month_name").agg(
+        F.sum("p_lines").alias("total_orders"),
+        *[F.sum(f"p_{m}").cast(days.schema[f"p_{m}"].dataType).alias(_TOTALS[m]) for m in ("sales", "profit")])
+    seen = _part(star, "month_customers").groupBy(F.col("month").alias("_month")).agg(
+        F.coalesce(F.sum(F.bit_count("p_bits")), F.lit(0)).cast("long").alias("unique_customers"))
+    return sums.join(seen, _month_of(F.col("year"), F.col("month")) == F.col("_month")).drop("_month")
+
+
+def _kpis_from_partials(star: Star) -> DataFrame:
+    """The overall KPIs; a key's partial is one row, so distinct keys are rows."""
+    rows = star.partials.filter(F.col("part").isin("all", "customer_key", "product_key"))
+    whole = F.col("part") == "all"
+
+    def total(c: str, t: str) -> Column:
+        return F.sum(F.when(whole, F.col(c))).cast(t)
+
+    def distinct(key: str) -> Column:
+        return F.count_if((F.col("part") == key) & F.col("key").isNotNull())
+
+    sales, profit = (total(f"p_{m}", _TYPES[m]) for m in ("sales", "profit"))
+    sales_n, lines = (F.coalesce(total(c, "long"), F.lit(0)).cast("long") for c in ("p_sales_n", "p_rows"))
+    return rows.agg(lines.alias("total_orders"), sales.alias("total_sales"), profit.alias("total_profit"),
+                    total("p_quantity", "long").alias("total_quantity"),
+                    rounded_mean(sales, sales_n).alias("avg_order_value"), margin_pct(profit, sales).alias("profit_margin_pct"),
+                    distinct("customer_key").alias("unique_customers"), distinct("product_key").alias("unique_products"))
 
 
 _TOTALS = {"lines": "total_orders", "sales": "total_sales", "profit": "total_profit", "quantity": "total_quantity"}
@@ -66,12 +147,12 @@ def rollup_by_dimension(star: Star, dim_name: str, key: str, attrs: list[str],
     meet a large dimension.
     """
     dim = star.tables[dim_name].select(key, *attrs)
-    if star.is_small(dim_name, [key, *attrs]):
+    if star.partials is None and star.is_small(dim_name, [key, *attrs]):
         joined = star.fact.join(F.broadcast(dim), key)
         aggs = {"lines": F.count(F.col("order_key")), "sales": F.sum("sales"), "profit": F.sum("profit"),
                 "quantity": F.sum("quantity")}
     else:
-        joined = _by_key(star.fact, key).join(dim, key)
+        joined = _by_key(star, key).join(star.dim(dim_name, [key, *attrs]) if star.partials is not None else dim, key)
         aggs = {m: F.sum(f"p_{m}") for m in _TOTALS}
     return joined.groupBy(*attrs).agg(*[aggs[m].cast(_TYPES[m]).alias(_TOTALS[m]) for m in measures])
 
@@ -82,11 +163,9 @@ def rollup_by_dimension(star: Star, dim_name: str, key: str, attrs: list[str],
 
 def daily_sales(star: Star) -> DataFrame:
     """Per order date: lines, sales, profit, quantity, mean discount."""
-    parts = star.fact.filter(F.col("order_date_key").isNotNull()).groupBy("order_date_key").agg(
-        *_sum_measures("p_"),
-        F.sum("discount").alias("p_discount_sum"),
-        F.count("discount").alias("p_discount_n"),
-    )
+    parts = _by_key(star, "order_date_key")
+    if star.partials is not None:
+        parts = parts.drop("month")
     d = star.dim("dim_date", ["date_key", "full_date", "year", "month", "month_name", "day_name", "is_weekend"])
     return parts.join(d, parts.order_date_key == d.date_key).select(
         "full_date", "year", "month", "month_name", "day_name", "is_weekend",
@@ -112,7 +191,7 @@ def sales_by_category(star: Star) -> DataFrame:
 
 def sales_by_segment(star: Star) -> DataFrame:
     """Per segment; each customer key is one partial row, so customers = partial rows."""
-    parts = _by_key(star.fact, "customer_key")
+    parts = _by_key(star, "customer_key")
     cust = star.dim("dim_customer", ["customer_key", "segment"])
     agg = parts.join(cust, "customer_key").groupBy("segment").agg(
         F.count(F.col("customer_key")).alias("total_customers"),
@@ -124,6 +203,8 @@ def sales_by_segment(star: Star) -> DataFrame:
 
 def monthly_trend(star: Star) -> DataFrame:
     """Per calendar month of the order date, with distinct customers."""
+    if star.partials is not None:
+        return _monthly_from_partials(star)
     d = star.dim("dim_date", ["date_key", "year", "month", "month_name"])
     f = star.fact.select("order_key", "order_date_key", "customer_key", "sales", "profit")
     return (f.join(d, f.order_date_key == d.date_key).groupBy("year", "month", "month_name").agg(
@@ -195,7 +276,7 @@ def kpis_of(fact: DataFrame) -> DataFrame:
 
 
 def overall_kpis(star: Star) -> DataFrame:
-    return kpis_of(star.fact)
+    return kpis_of(star.fact) if star.partials is None else _kpis_from_partials(star)
 
 
 def discount_bucket(discount: Column) -> Column:
@@ -208,13 +289,21 @@ def discount_bucket(discount: Column) -> Column:
 
 def discount_impact(star: Star) -> DataFrame:
     """Per discount bucket, ordered by bucket label."""
-    return (star.fact.groupBy(discount_bucket(F.col("discount")).alias("discount_bucket")).agg(
-        F.count(F.lit(1)).alias("total_orders"),
-        F.sum("sales").alias("total_sales"),
-        F.sum("profit").alias("total_profit"),
-        rounded_mean(F.sum("profit"), F.count("profit")).alias("avg_profit_per_order"),
-        margin_pct(F.sum("profit"), F.sum("sales")).alias("profit_margin_pct"),
-    ).orderBy("discount_bucket"))
+    if star.partials is None:
+        parts = star.fact.groupBy(discount_bucket(F.col("discount")).alias("discount_bucket")).agg(
+            F.count(F.lit(1)).alias("p_rows"), F.sum("sales").alias("p_sales"), F.sum("profit").alias("p_profit"),
+            F.count("profit").alias("p_profit_n"))
+    else:
+        label = F.element_at(F.array(*[F.lit(b) for b in _BUCKETS]), (F.col("key") + 1).cast("int"))
+        parts = _part(star, "bucket").select(label.alias("discount_bucket"), "p_rows", "p_sales", "p_profit", "p_profit_n")
+    return parts.select(
+        "discount_bucket",
+        F.col("p_rows").alias("total_orders"),
+        F.col("p_sales").alias("total_sales"),
+        F.col("p_profit").alias("total_profit"),
+        rounded_mean(F.col("p_profit"), F.col("p_profit_n")).alias("avg_profit_per_order"),
+        margin_pct(F.col("p_profit"), F.col("p_sales")).alias("profit_margin_pct"),
+    ).orderBy("discount_bucket")
 
 
 # ---------------------------------------------------------------------------
@@ -345,7 +434,7 @@ def high_revenue_low_margin(star: Star) -> DataFrame:
     totals (n, S, P) are uncorrelated scalar subqueries over the per-product
     rows: evaluated once, then used as values -- no join to a one-row frame.
     """
-    parts = _by_key(star.fact, "product_key")
+    parts = _by_key(star, "product_key")
     prod = star.dim("dim_product", ["product_key", "product_id", "product_name", "category", "sub_category"])
     per = parts.join(prod, "product_key").select(
         "product_id", "product_name", "category", "sub_category",
@@ -437,11 +526,15 @@ def all_marts(star: Star) -> dict[str, DataFrame]:
 def materialise(star: Star, root: str | None = None) -> dict[str, str]:
     """Write every view as a Parquet mart under ``root`` (default: the star's run folder).
 
-    The nine writes are independent jobs and are submitted together.
+    The fact is read once, into the partials that the views share (``_partials``, a folder a part); the nine
+    writes read those, are independent jobs and are submitted together.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     base = root or f"{star.root}/marts"
+    parts = shared_partials(star)
+    parts.write.mode("overwrite").partitionBy("part").parquet(f"{base}/_partials")
+    star = replace(star, partials=star.fact.sparkSession.read.schema(parts.schema).parquet(f"{base}/_partials"))
 
     def write(item: tuple[str, DataFrame]) -> tuple[str, str]:
         name, df = item

@@ -48,6 +48,7 @@ class Star:
     tables: dict[str, DataFrame]
     stats: dict[str, TableStats] = field(default_factory=dict)
     limit: BroadcastLimit = BroadcastLimit(2_000_000, 256 * 1024 * 1024)
+    partials: DataFrame | None = None       # written by ``marts.materialise``: the views are then derived from them
 
     @property
     def fact(self) -> DataFrame:

@@ -80,6 +80,14 @@ def test_repeated_surrogate_key_is_reported(spark):
     assert audit["fact_orders", "references(customer_key)"] == 0
 
 
+def test_repeated_numbers_are_counted_in_blocks(spark):
+    """Integer keys: dense, sparse, negative, beyond 2^33, repeated and NULL ones."""
+    keys = [*range(200), 5, 5, -1, -1, -64, -65, (7 << 33) + 1, (7 << 33) + 1, (1 << 62), None, None, None]
+    rows = spark.createDataFrame([(k,) for k in keys], "order_key long")
+    assert quality._repeated_numbers(rows, "order_key").first()[0] == len(keys) - len(set(keys))
+    assert quality._repeated_numbers(rows.limit(0), "order_key").first()[0] == 0
+
+
 def test_dates_are_month_first(from_csv):
     src = from_csv(*[csv_line(**{S.ORDER_DATE: d}) for d in (
         "08-11-2016", "2016-11-08 00:00:00", "11/8/2016", "2016-11-08", "13-08-2016", "11/8/2016 10:30")])

@@ -43,7 +43,7 @@ def duck():
 def test_registry_shape():
     q, o = E.queries(), E.oracle_sql()
     own = {k for k in q if not k.startswith("op") and k != "pipeline"}
-    assert len(own) == 43
+    assert len(own) == 45
     assert own <= set(o) <= set(q)
 
 

@@ -189,3 +189,33 @@ def test_star_for_tables_reuses_published_build(spark):
     assert again.root == first.root
     assert again.counts == {k: v for k, v in first.counts.items() if k in again.counts}
     assert sorted(again.tables["dim_product"].collect()) == sorted(first.tables["dim_product"].collect())
+
+
+def test_bundle_equals_its_views_and_reads_the_fact_once(spark, workdir):
+    """Views derived from shared partials equal the views of the fact, NULL keys and hot keys included."""
+    import contextlib
+    import datetime as dt
+    import io
+    import random
+    from decimal import Decimal
+
+    rng = random.Random(11)
+    lines = [{S.ORDER_DATE: None if n % 29 == 0 else dt.date(2023, 11, 1) + dt.timedelta(days=rng.randrange(120)),
+              S.CUSTOMER_ID: None if n % 31 == 0 else "C-1" if n % 3 == 0 else f"C-{rng.randrange(200)}",
+              S.SEGMENT: rng.choice(["Consumer", "Corporate"]), S.REGION: rng.choice(["West", None]),
+              S.PRODUCT_ID: None if n % 37 == 0 else f"P-{rng.randrange(90)}", S.PRODUCT_NAME: f"name {rng.randrange(40)}",
+              S.CITY: f"city {rng.randrange(9)}", S.SALES: rng.choice([None, Decimal(rng.randrange(9999)) / 100]),
+              S.PROFIT: rng.choice([None, Decimal(rng.randrange(-999, 999)) / 100]), S.QUANTITY: rng.choice([None, 1, 7]),
+              S.DISCOUNT: rng.choice([None, Decimal("0"), Decimal("0.1"), Decimal("0.3"), Decimal("0.8")])} for n in range(600)]
+    for source in (make_source(spark, lines), make_source(spark, lines).limit(0)):
+        star = build_star(spark, source)
+        paths = marts.materialise(star, f"{workdir}/{source.count()}")
+        for name, view in marts.all_marts(star).items():
+            served = spark.read.parquet(paths[name])
+            assert served.dtypes == view.dtypes, name
+            assert sorted(map(str, served.collect())) == sorted(map(str, view.collect())), name
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            marts.shared_partials(star).explain()
+        assert out.getvalue().count("order_key") and sum("FileScan" in x and "sales" in x for x in out.getvalue().splitlines()) == 1
+        assert "SortAggregate" not in out.getvalue() and "ObjectHashAggregate" not in out.getvalue()
