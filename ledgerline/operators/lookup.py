@@ -51,6 +51,19 @@ class BroadcastLimit:
         return (stats is not None and stats.text_measured and stats.rows <= self.max_rows
                 and stats.bytes_for(columns) <= self.max_bytes)
 
+    def admit(self, sides: dict[str, tuple[TableStats | None, list[str]]]) -> set[str]:
+        """The sides of one plan that are broadcast: smallest first, while all together fit ``max_bytes``.
+
+        An executor holds every broadcast of a plan at once, so the bound is one for their sum.
+        """
+        admitted, used = set(), 0
+        allowed = {name: stats.bytes_for(columns) for name, (stats, columns) in sides.items() if self.allows(stats, columns)}
+        for name, size in sorted(allowed.items(), key=lambda side: (side[1], side[0])):
+            if used + size <= self.max_bytes:
+                admitted.add(name)
+                used += size
+        return admitted
+
 
 def stats_metrics(df: DataFrame, text_bytes: bool = True) -> list[Column]:
     """Aggregates to observe on a write: row count and (optionally) string bytes per string column."""

@@ -19,8 +19,8 @@ def fact_rows(src: DataFrame, dims: dict[str, DataFrame], stats: dict[str, Table
 
     Every source line yields exactly one fact row: all lookups are left joins
     against dimensions unique on their lookup key, the location lookup matches
-    a NULL postal code or city to the location with that NULL. A dimension is broadcast
-    when the measured size of the columns the lookup needs is within ``limit``.
+    a NULL postal code or city to the location with that NULL. Dimensions are broadcast,
+    smallest first, while the measured sizes of the columns the lookups need fit ``limit`` together.
     Money is rounded to the store's decimals here (half away from zero); a value that
     the store's type cannot hold is NULL here and counted by ``quality.store_overflow``.
     """
@@ -39,21 +39,19 @@ def fact_rows(src: DataFrame, dims: dict[str, DataFrame], stats: dict[str, Table
         _q(S.SHIP_MODE).alias("ship_mode"),
     )
 
-    def fits(name: str, columns: list[str]) -> bool:
-        return limit.allows(stats.get(name), columns)
-
-    f = lookup(f, dims["dim_customer"], [("customer_id", "customer_id")], ["customer_key"],
-               broadcast=fits("dim_customer", ["customer_id", "customer_key"]))
-    f = lookup(f, dims["dim_product"], [("product_id", "product_id")], ["product_key"],
-               broadcast=fits("dim_product", ["product_id", "product_key"]))
-    f = lookup(f, dims["dim_location"], [("postal_code", "postal_code"), ("city", "city")], ["location_key"],
-               null_safe=("postal_code", "city"), broadcast=fits("dim_location", ["postal_code", "city", "location_key"]))
     dates = dims["dim_date"]
-    date_fits = fits("dim_date", ["full_date", "date_key"])
-    f = lookup(f, dates.withColumnRenamed("date_key", "order_date_key"), [("order_date", "full_date")],
-               ["order_date_key"], broadcast=date_fits)
-    f = lookup(f, dates.withColumnRenamed("date_key", "ship_date_key"), [("ship_date", "full_date")],
-               ["ship_date_key"], broadcast=date_fits)
+    # The key taken: dimension, (fact column, dimension column) pairs, NULL-safe columns.
+    lookups = {
+        "customer_key": ("dim_customer", dims["dim_customer"], [("customer_id", "customer_id")], ()),
+        "product_key": ("dim_product", dims["dim_product"], [("product_id", "product_id")], ()),
+        "location_key": ("dim_location", dims["dim_location"], [("postal_code", "postal_code"), ("city", "city")],
+                         ("postal_code", "city")),
+        "order_date_key": ("dim_date", dates.withColumnRenamed("date_key", "order_date_key"), [("order_date", "full_date")], ()),
+        "ship_date_key": ("dim_date", dates.withColumnRenamed("date_key", "ship_date_key"), [("ship_date", "full_date")], ()),
+    }
+    small = limit.admit({key: (stats.get(name), [key, *[r for _, r in pairs]]) for key, (name, _, pairs, _) in lookups.items()})
+    for key, (_, dim, pairs, null_safe) in lookups.items():
+        f = lookup(f, dim, pairs, [key], null_safe=null_safe, broadcast=key in small)
     return f.select(
         "order_id", "order_date_key", "ship_date_key", "customer_key", "product_key", "location_key",
         "sales", "quantity", "discount", "profit", "ship_mode",

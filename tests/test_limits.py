@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
-from ledgerline.operators.lookup import BroadcastLimit
+from ledgerline.operators.lookup import BroadcastLimit, TableStats
 from ledgerline.plans import etl, marts, quality, reconcile
 from ledgerline.plans.star import build_star
 from ledgerline.sources import read_orders_csv
@@ -88,6 +88,15 @@ def test_repeated_numbers_are_counted_in_blocks(spark):
     assert quality._repeated_numbers(rows.limit(0), "order_key").first()[0] == 0
 
 
+def test_broadcasts_share_one_budget():
+    side = lambda mib: (TableStats(1, {"c": mib << 20}), ["c"])
+    limit = BroadcastLimit(2_000_000, 256 << 20)
+    assert limit.admit({name: side(200) for name in "abcde"}) == {"a"}
+    assert limit.admit({"large": side(300), "mid": side(150), "small": side(90), "tiny": side(1)}) == {"tiny", "small", "mid"}
+    assert limit.admit({"rows": (TableStats(3_000_000), ["c"]), "unmeasured": (None, ["c"]),
+                        "text": (TableStats(1, {}, False), ["c"])}) == set()
+
+
 def test_dates_are_month_first(from_csv):
     src = from_csv(*[csv_line(**{S.ORDER_DATE: d}) for d in (
         "08-11-2016", "2016-11-08 00:00:00", "11/8/2016", "2016-11-08", "13-08-2016", "11/8/2016 10:30")])
