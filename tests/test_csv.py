@@ -207,3 +207,51 @@ def test_unclosed_quote_and_line_breaks_with_other_headers(spark, workdir):
             f.write(text)
     with _pytest.raises(Exception):
         read_orders_csv(spark, d).collect()
+
+
+def _odd_lines(seed, n=400):
+    import random
+    rnd = random.Random(seed)
+    quotes = ('"', '""', '"a"', 'a"b', '"a,b', ',"', '",', '"\r', "", "\r", "\r\r", "x", ",", ',"x"y"z')
+    plain = ('"a ""b"" c",1', "x,y", '"p', 'q",2', "", "\r", '"",', 'mid')
+    pool = quotes if seed % 2 else plain
+    return ["".join(rnd.choice(pool) for _ in range(rnd.randint(0, 3))).encode() for _ in range(n)]
+
+
+def test_quotes_of_whole_batches_equal_line_by_line():
+    import numpy as np
+    from ledgerline.sources.records import _after, _lines, _whole, ends_inside
+    for seed in range(40):
+        lines = _odd_lines(seed)[:1 + seed * 10]
+        edges = np.append(0, np.cumsum([len(x) for x in lines]))
+        data = np.frombuffer(b"".join(lines), np.uint8)
+        for begin in (False, True):
+            state, want = begin, []
+            for x in lines:
+                state = ends_inside(x, state)
+                want.append(state)
+            after = _after(data, edges, begin)
+            assert after.tolist() == want
+        assert _lines(data, edges, 0, len(lines)) == lines
+        stops = np.flatnonzero(~after)
+        if len(stops):
+            want, pending = [], []
+            for x, inside in zip(lines, after.tolist()):
+                pending.append(x)
+                if not inside:
+                    if len(pending) > 1 or x.strip(b"\r"):
+                        want.append(b"\n".join(pending))
+                    pending = []
+            texts, kept = _whole(data, edges, after, 0, stops)
+            assert texts.to_pylist() == want and kept == len(want)
+
+
+def test_records_of_a_file_read_in_one_pass_for_the_splits_and_one_for_the_records(spark, workdir):
+    """An ordered list of the splits read all lines once more, and fragments once more although there were none."""
+    from ledgerline.sources.records import file_lines, records, splits_inside
+    d = os.path.join(workdir, "one_split")
+    os.makedirs(d)
+    _with_breaks(os.path.join(d, "0.csv"), 50, 7)
+    assert splits_inside(file_lines(spark, d)) == ({}, [])
+    plan = records(spark, d)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
