@@ -20,7 +20,7 @@ BROADCAST_BYTES_CONF = "ledgerline.broadcast.maxBytes"
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 BYTES_PER_PARTITION_CONF = "ledgerline.shuffle.bytesPerPartition"
-DEFAULT_BYTES_PER_PARTITION = 128 * 1024 * 1024
+DEFAULT_BYTES_PER_PARTITION = 16 * 1024 * 1024     # of columnar input; in a sort or a hash table it is some ten times as much
 MAX_PARTITIONS_CONF = "ledgerline.shuffle.maxPartitions"
 DEFAULT_MAX_PARTITIONS = 20_000
 
@@ -160,6 +160,17 @@ def shuffle_partitions(spark: SparkSession, n: int):
             spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
+def whole_partitions(df: DataFrame) -> int:
+    """Partitions for sorting ``df``, or hashing rows of it that hardly repeat: as its input files need, one a core at least.
+
+    Compressed shuffle sizes, which AQE goes by, say little of what a sort or a hash table holds.
+    """
+    spark = df.sparkSession
+    per = max(1, _conf_int(spark, BYTES_PER_PARTITION_CONF, DEFAULT_BYTES_PER_PARTITION))
+    most = max(1, _conf_int(spark, MAX_PARTITIONS_CONF, DEFAULT_MAX_PARTITIONS))
+    return min(most, max(spark.sparkContext.defaultParallelism, -(-input_bytes(df) // per)))
+
+
 def new_run_id() -> str:
     return uuid.uuid4().hex[:12]
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import whole_partitions
 from ..schemas import ORDINAL
 
 FIRST = "_first"
@@ -55,6 +56,12 @@ def keep_first(df: DataFrame, subset: list[str], columns: list[str] | None = Non
 
 
 def duplicate_count(df: DataFrame, subset: list[str]) -> DataFrame:
-    """One row: how many rows repeat an earlier row's ``subset`` values."""
-    groups = df.groupBy(*[_q(c) for c in subset]).agg(F.count(F.lit(1)).alias("_n"))
+    """One row: how many rows repeat an earlier row's ``subset`` values.
+
+    Such keys hardly repeat, so hashing them before the shuffle would only hold (and spill) all of a task's
+    keys: they are dealt first and counted once, in partitions sized from the input. A key that many rows share is
+    one entry of its task's table.
+    """
+    keys = df.select(*[_q(c) for c in subset])
+    groups = keys.repartition(whole_partitions(df), *[_q(c) for c in subset]).groupBy(*[_q(c) for c in subset]).agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
