@@ -3,7 +3,8 @@
 Each query takes ``(spark, sf_dir)`` and returns a DataFrame. Queries over the
 star share one build per session and table folder (``star_for_tables``);
 the build itself is the ETL (stage, dimensions, fact) and is what the
-``fact_orders`` and ``dim_*`` queries expose.
+``fact_orders`` and ``dim_*`` queries expose. Checks of the source read the staged source alone
+(``source_for_tables``), the first step of that build.
 
 Reports leave the library with money as DOUBLE (``report``): decimal widths
 differ between engines, values do not.
@@ -11,6 +12,7 @@ differ between engines, values do not.
 
 from __future__ import annotations
 
+import os
 import threading
 from collections.abc import Callable
 from functools import reduce
@@ -21,11 +23,12 @@ from pyspark.sql import types as T
 
 from . import oracle as O
 from . import schemas as S
-from .config import new_run_id
+from .config import input_bytes, join_path, new_run_id, shuffle_partitions, shuffle_partitions_for, warehouse_dir
 from .operators.dedup import keep_first
 from .plans import etl, marts, quality, reconcile
-from .plans.star import DIMENSIONS, Star, star_for_tables
+from .plans.star import DIMENSIONS, Star, source_for_tables, star_for_tables
 from .sources.csv import read_orders_csv
+from .sources.tables import read_tables_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,10 +79,10 @@ def _dedup_keep_first(star: Star) -> DataFrame:
     return keep_first(star.source, [S.PRODUCT_ID], rest, few=few).select(*[F.col(f"`{c}`") for c in S.SOURCE_COLUMNS])
 
 
-def _dedup_line_items(star: Star) -> DataFrame:
+def _dedup_line_items(source: DataFrame) -> DataFrame:
     """Exact line-item duplicates removed: first line per duplicate key."""
     rest = [c for c in S.SOURCE_COLUMNS if c not in S.DUPLICATE_KEY]
-    return keep_first(star.source, S.DUPLICATE_KEY, rest).select(*[F.col(f"`{c}`") for c in S.SOURCE_COLUMNS])
+    return keep_first(source, S.DUPLICATE_KEY, rest).select(*[F.col(f"`{c}`") for c in S.SOURCE_COLUMNS])
 
 
 def _freshness(star: Star) -> DataFrame:
@@ -95,9 +98,9 @@ TEST_CONTRACT = quality.Contract(segments=tuple(O.TEST_SEGMENTS), regions=tuple(
                                  categories=tuple(O.TEST_CATEGORIES))
 
 
-def _on_source(fn: Callable[[DataFrame], DataFrame]) -> Callable[[Star], DataFrame]:
-    def run(star: Star) -> DataFrame:
-        return fn(star.source)
+def _source_query(fn: Callable[[DataFrame], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return report(fn(source_for_tables(spark, sf_dir).source))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
@@ -111,43 +114,52 @@ def _reconciliation(star: Star) -> DataFrame:
     return reconcile.reconciliation(star.source, star.fact)
 
 
-def _csv_source(star: Star, line_breaks: bool = False) -> DataFrame:
-    """The star's source written as CSV files, once a session and run folder, and read by the CSV reader.
+def _csv_source(spark: SparkSession, sf_dir: str, line_breaks: bool = False) -> DataFrame:
+    """The adapter's rows written as CSV files, once a session, and read by the CSV reader.
 
-    With ``line_breaks`` every space of a product name is a line break in the files.
+    The rows go from the joins straight to the files: the copy has no file order to keep, so nothing is
+    sorted or staged for it. With ``line_breaks`` every space of a product name is a line break in the files.
     """
-    spark, key = star.source.sparkSession, (star.root, line_breaks)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), line_breaks)
     with _CSV_LOCK:
         if key not in _CSV_WRITTEN:
-            path = f"{star.root}/source_csv-{new_run_id()}"       # no other session reads or writes it
+            path = join_path(warehouse_dir(spark), "runs", f"source_csv-{new_run_id()}")       # no other session reads or writes it
+            source = read_tables_source(spark, sf_dir, ordinal=False)
             shown = {S.PRODUCT_NAME: F.replace(F.col(f"`{S.PRODUCT_NAME}`"), F.lit(" "), F.lit("\n"))} if line_breaks else {}
-            plain = star.source.select(*[
+            plain = source.select(*[
                 (F.date_format(F.col(f"`{f.name}`"), "M/d/yyyy") if isinstance(f.dataType, T.DateType)
-                 else shown.get(f.name, F.col(f"`{f.name}`"))).alias(f.name)
-                for f in star.source.schema.fields if f.name in S.SOURCE_COLUMNS])
-            (plain.write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1")
-             .option("escape", '"').csv(path))
+                 else shown.get(f.name, F.col(f"`{f.name}`"))).alias(f.name) for f in source.schema.fields])
+            with shuffle_partitions(spark, shuffle_partitions_for(spark, input_bytes(source))):
+                (plain.write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1")
+                 .option("escape", '"').csv(path))
             _CSV_WRITTEN[key] = path
     return read_orders_csv(spark, _CSV_WRITTEN[key])
 
 
 _CSV_LOCK = threading.Lock()
-_CSV_WRITTEN: dict[tuple[str, bool], str] = {}
+_CSV_WRITTEN: dict[tuple[str, str, bool], str] = {}
+
+
+def _csv_query(fn: Callable[[DataFrame], DataFrame], line_breaks: bool = False) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return report(fn(_csv_source(spark, sf_dir, line_breaks)))
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
 
 
-def _csv_profile(star: Star) -> DataFrame:
+def _csv_profile(src: DataFrame) -> DataFrame:
     """Source profile of the CSV copy."""
-    return quality.source_profile(_csv_source(star))
+    return quality.source_profile(src)
 
 
-def _csv_quality_report(star: Star) -> DataFrame:
+def _csv_quality_report(src: DataFrame) -> DataFrame:
     """Quality report of the CSV copy."""
-    return quality.quality_report(_csv_source(star), TEST_CONTRACT)
+    return quality.quality_report(src, TEST_CONTRACT)
 
 
-def _csv_line_breaks(star: Star) -> DataFrame:
+def _csv_line_breaks(src: DataFrame) -> DataFrame:
     """Sales per product name, from a CSV copy in whose files the spaces of the names are line breaks."""
-    src = _csv_source(star, line_breaks=True)
     name = F.col(f"`{S.PRODUCT_NAME}`")
     return src.where(name.contains("\n")).groupBy(F.replace(name, F.lit("\n"), F.lit(" ")).alias("product_name")).agg(
         F.count("*").alias("order_lines"), F.sum(S.QUANTITY).alias("total_quantity"),
@@ -179,18 +191,18 @@ def _freshness_cards(star: Star) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     # source profile and quality checks
-    "src_profile": _star_query(_on_source(quality.source_profile)),
-    "schema_failures": _star_query(_on_source(lambda df: quality.schema_failures(df, TEST_CONTRACT))),
-    "null_counts": _star_query(_on_source(quality.null_counts)),
-    "critical_nulls": _star_query(_on_source(quality.critical_nulls)),
-    "duplicate_rows": _star_query(_on_source(quality.duplicate_rows)),
-    "ship_date_violations": _star_query(_on_source(quality.ship_date_violations)),
-    "range_violations": _star_query(_on_source(quality.range_violations)),
-    "uniqueness": _star_query(_on_source(quality.uniqueness)),
-    "quality_report": _star_query(_on_source(lambda df: quality.quality_report(df, TEST_CONTRACT))),
-    "csv_profile": _star_query(_csv_profile),
-    "csv_quality_report": _star_query(_csv_quality_report),
-    "csv_line_breaks": _star_query(_csv_line_breaks),
+    "src_profile": _source_query(quality.source_profile),
+    "schema_failures": _source_query(lambda df: quality.schema_failures(df, TEST_CONTRACT)),
+    "null_counts": _source_query(quality.null_counts),
+    "critical_nulls": _source_query(quality.critical_nulls),
+    "duplicate_rows": _source_query(quality.duplicate_rows),
+    "ship_date_violations": _source_query(quality.ship_date_violations),
+    "range_violations": _source_query(quality.range_violations),
+    "uniqueness": _source_query(quality.uniqueness),
+    "quality_report": _source_query(lambda df: quality.quality_report(df, TEST_CONTRACT)),
+    "csv_profile": _csv_query(_csv_profile),
+    "csv_quality_report": _csv_query(_csv_quality_report),
+    "csv_line_breaks": _csv_query(_csv_line_breaks, line_breaks=True),
     "constraint_audit": _star_query(_constraint_audit),
     "reconciliation": _star_query(_reconciliation),
     # dimensions and fact (the ETL)
@@ -224,7 +236,7 @@ QUERIES: dict[str, Query] = {
     "top_products_display": _star_query(marts.top_products_display),
     "top_customers_display": _star_query(marts.top_customers_display),
     # advertised analyses
-    "dedup_line_items": _star_query(_dedup_line_items),
+    "dedup_line_items": _source_query(_dedup_line_items),
     "month_over_month": _star_query(marts.month_over_month),
     "high_revenue_low_margin": _star_query(marts.high_revenue_low_margin),
     "filtered_kpis": _star_query(_filtered_kpis),

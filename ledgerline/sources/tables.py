@@ -20,13 +20,15 @@ Sales / Profit      price * (1 - discount) / price * (0.22 - discount), 2 digits
 ==================  =========================================================
 
 "File order" for keep-first rules is the order of the full line record: the lines are sorted by it
-and numbered before they are joined, so every later step carries one number a row.
+and numbered before they are joined, so every later step carries one number a row. A reader that needs no
+file order asks for the rows without it (``ordinal=False``), and no line is sorted.
 
 Join order is chosen for scale: orders are enriched with customer, nation and
 region first (orders are a quarter of lineitem), then the lines join the
-enriched orders on the order key, then the part. Strategies are left to the
-planner and AQE, which broadcast a side only from its measured size (file
-statistics or runtime shuffle sizes) and shuffle otherwise.
+enriched orders on the order key, then the part. Customers and parts are counted and measured, and
+broadcast while both fit the session's broadcast limit, so the joined rows, many times as wide as a line, are
+not shuffled and sorted once more for the parts. The other sides are hashed where they meet the lines:
+no line is sorted for a join.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..config import broadcast_limit, whole_partitions
+from ..operators.lookup import stats_from_metrics, stats_metrics
 
 # Fixed values of the adapter mapping.
 DISCOUNT_FACTOR = 3
@@ -54,12 +58,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_tables_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item, in the order-line source shape, plus the ordinal."""
-    # Range-partitioned and sorted, so the generated ids grow with the record (equal records are interchangeable).
-    lines = (_table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
-             .repartitionByRange(*LINEITEM_COLUMNS).sortWithinPartitions(*LINEITEM_COLUMNS)
-             .select("*", F.monotonically_increasing_id().alias(S.ORDINAL)))
+def _sides(spark: SparkSession, **sides: DataFrame) -> dict[str, DataFrame]:
+    """Join sides with their strategy: those whose measured sizes fit the broadcast limit together are
+    broadcast, the others hashed on the shuffle's reading side."""
+    measured = {name: (stats_from_metrics(df.agg(*stats_metrics(df)).first().asDict()), df.columns) for name, df in sides.items()}
+    small = broadcast_limit(spark).admit(measured)
+    return {name: F.broadcast(df) if name in small else df.hint("shuffle_hash") for name, df in sides.items()}
+
+
+def read_tables_source(spark: SparkSession, sf_dir: str, ordinal: bool = True) -> DataFrame:
+    """One row per line item, in the order-line source shape, plus the ordinal (if ``ordinal``)."""
+    lines = _table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
+    if ordinal:     # range-partitioned and sorted, so the generated ids grow with the record (equal records are interchangeable)
+        lines = (lines.repartitionByRange(whole_partitions(lines), *LINEITEM_COLUMNS).sortWithinPartitions(*LINEITEM_COLUMNS)
+                 .select("*", F.monotonically_increasing_id().alias(S.ORDINAL)))
     orders = _table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     customer = _table(spark, sf_dir, "customer").select(
@@ -68,13 +80,15 @@ def read_tables_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
 
+    sides = _sides(spark, customer=customer, part=part)
+    customer, part = sides["customer"], sides["part"]
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
     enriched_orders = (
         orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
         .join(geo, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     )
     joined = (
-        lines.join(enriched_orders, lines.l_orderkey == enriched_orders.o_orderkey, "left")
+        lines.join(enriched_orders.hint("shuffle_hash"), lines.l_orderkey == enriched_orders.o_orderkey, "left")
         .join(part, F.col("l_partkey") == part.p_partkey, "left")
     )
 
@@ -108,5 +122,5 @@ def read_tables_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("int").alias(S.QUANTITY),
         discount.cast(S.SOURCE_RATE).alias(S.DISCOUNT),
         profit.cast(S.SOURCE_MONEY).alias(S.PROFIT),
-        F.col(S.ORDINAL),
+        *([F.col(S.ORDINAL)] if ordinal else []),
     )

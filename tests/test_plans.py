@@ -8,6 +8,7 @@ import os
 
 import pytest
 
+from ledgerline import schemas as S
 from ledgerline.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -82,3 +83,49 @@ def test_dimensions_do_not_sort_the_source(spark, few):
         plan = buf.getvalue()
         assert ("BroadcastHashJoin [_line_ordinal" if few else "ShuffledHashJoin [_line_ordinal") in plan
         assert "SortAggregate" not in plan and "Sort [" not in plan
+
+
+def test_adapter_sorts_no_lines_for_joins_and_none_without_ordinal(spark):
+    """The joined rows were shuffled and sorted once more for the parts, and the CSV copy's lines for an order it drops."""
+    from ledgerline.sources.tables import read_tables_source
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")        # as for tables beyond it
+    try:
+        full, plain = read_tables_source(spark, SF), read_tables_source(spark, SF, ordinal=False)
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (full, plain)]
+        assert not any("SortMergeJoin" in line and "l_" in line for p in plans for line in p.splitlines())
+        assert "rangepartitioning(" in plans[0] and "rangepartitioning(" not in plans[1]
+        assert sorted(map(str, full.drop(S.ORDINAL).collect())) == sorted(map(str, plain.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_checks_of_the_source_build_no_dimension(spark, workdir):
+    from ledgerline.config import WAREHOUSE_CONF
+    from ledgerline.plans.star import forget_stars, star_for_tables
+    from ledgerline.registry import QUERIES
+    before = spark.conf.get(WAREHOUSE_CONF, None)
+    spark.conf.set(WAREHOUSE_CONF, os.path.join(workdir, "lazy"))
+    forget_stars()
+    try:
+        nulls = sorted(QUERIES["null_counts"](spark, SF).collect())
+        tables = {d for _, ds, _ in os.walk(os.path.join(workdir, "lazy", "runs")) for d in ds}
+        assert "source" in tables and not tables & set(S.STAR_TABLES)
+        forget_stars()                                   # as a new session would start: the staged source is found
+        star = star_for_tables(spark, SF)
+        assert star.root.rsplit("/", 1)[1] in tables and star.stats["source"].rows == star.stats["fact_orders"].rows
+        assert sorted(QUERIES["null_counts"](spark, SF).collect()) == nulls
+    finally:
+        spark.conf.unset(WAREHOUSE_CONF) if before is None else spark.conf.set(WAREHOUSE_CONF, before)
+        forget_stars()
+
+
+def test_duplicate_keys_are_dealt_before_they_are_hashed(spark):
+    """Hashed on both sides of the shuffle, keys that hardly repeat filled a task's memory twice."""
+    from ledgerline.operators import duplicate_count
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, None), (None, None), (3, "b")], "k long, t string")
+    out = duplicate_count(df, ["k", "t"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    deepest = plan[:plan.rindex("Exchange")]
+    assert deepest.count("HashAggregate") == plan.count("HashAggregate") and "REPARTITION_BY_NUM" in plan
+    assert out.first().duplicate_rows == 2
