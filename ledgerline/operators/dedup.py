@@ -10,7 +10,7 @@ A source that is not staged may carry its ordinal as a struct; ``min_by`` over w
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,13 +55,18 @@ def keep_first(df: DataFrame, subset: list[str], columns: list[str] | None = Non
     return first.select(*[_q(c) for c in subset], *[F.col(FIRST).getField(c).alias(c) for c in rest])
 
 
-def duplicate_count(df: DataFrame, subset: list[str]) -> DataFrame:
-    """One row: how many rows repeat an earlier row's ``subset`` values.
+def duplicate_count(df: DataFrame, subset: list[str], sums: dict[str, Column] | None = None) -> DataFrame:
+    """One row: how many rows repeat an earlier row's ``subset`` values, and the totals of ``sums`` (0 without rows).
+
+    ``sums`` are whole numbers of a row; they are added up per key and travel with it, so that ``df`` is read once for all.
 
     Such keys hardly repeat, so hashing them before the shuffle would only hold (and spill) all of a task's
     keys: they are dealt first and counted once, in partitions sized from the input. A key that many rows share is
     one entry of its task's table.
     """
-    keys = df.select(*[_q(c) for c in subset])
-    groups = keys.repartition(whole_partitions(df), *[_q(c) for c in subset]).groupBy(*[_q(c) for c in subset]).agg(F.count(F.lit(1)).alias("_n"))
-    return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
+    sums = sums or {}
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    keys = df.select(*[_q(c) for c in subset], *[c.alias(name) for name, c in sums.items()])
+    groups = (keys.repartition(whole_partitions(df), *[_q(c) for c in subset]).groupBy(*[_q(c) for c in subset])
+              .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(name).alias(name) for name in sums]))
+    return groups.agg(total(F.col("_n") - 1).alias("duplicate_rows"), *[total(F.col(name)).alias(name) for name in sums])

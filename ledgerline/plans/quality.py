@@ -1,8 +1,8 @@
 """Data-quality checks on the order-line source and constraint audit of the star.
 
-All checks are conditional aggregates. The scalar quality report is one pass
-of counters plus two scalar subqueries (duplicates, distinct orders) -- no
-row shuffle for the counters, no cross join.
+All checks are conditional aggregates. The scalar quality report is one pass, in
+which a row's counters travel with its duplicate key, plus a scalar subquery
+(distinct orders) -- no cross join.
 
 The contract check lists every failure case (lazy validation): each row gets
 an array of the rules it breaks, the array is exploded, and failures are
@@ -156,9 +156,9 @@ def critical_nulls(df: DataFrame) -> DataFrame:
     return df.agg(sum(F.count_if(missing(df, c)) for c in S.CRITICAL_COLUMNS).cast("long").alias("critical_nulls"))
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Lines repeating an earlier line's (Order ID, Product ID, Customer ID, Order Date)."""
-    return duplicate_count(df, S.DUPLICATE_KEY)
+def duplicate_rows(df: DataFrame, sums: dict[str, Column] | None = None) -> DataFrame:
+    """Lines repeating an earlier line's (Order ID, Product ID, Customer ID, Order Date); the totals of ``sums`` beside."""
+    return duplicate_count(df, S.DUPLICATE_KEY, sums)
 
 
 def _ship_violation(df: DataFrame) -> Column:
@@ -210,27 +210,25 @@ def uniqueness(df: DataFrame) -> DataFrame:
 def quality_report(df: DataFrame, contract: Contract = Contract()) -> DataFrame:
     """The seven-field quality report plus the failure-case count and the run status.
 
-    The counters are one pass with map-side partial aggregation (no row
-    shuffle); the duplicate count (shuffles only the four key columns) and the
-    distinct orders (shuffles only order ids) are uncorrelated scalar
-    subqueries, which Spark runs concurrently and uses as values.
+    The counters and the duplicate count are one pass, which shuffles the four
+    key columns and four small numbers a row; the distinct orders (partially
+    aggregated order ids) are an uncorrelated scalar subquery, which Spark runs
+    concurrently and uses as a value.
     """
-    ranges = _range_counters(df)
-    counters = df.agg(
-        (F.coalesce(F.sum(_failure_total(df, contract)), F.lit(0)) + len(absent_columns(df)))
-        .cast("long").alias("schema_failures"),
-        F.coalesce(F.sum(sum(F.when(missing(df, c), 1).otherwise(0) for c in S.CRITICAL_COLUMNS)), F.lit(0))
-        .cast("long").alias("critical_nulls"),
-        F.count_if(_ship_violation(df)).alias("ship_date_violations"),
-        sum(F.count_if(v) for v in ranges.values()).cast("long").alias("range_violations"),
-        F.count(F.lit(1)).alias("total_rows"),
-    )
-    duplicates = duplicate_rows(df).scalar()
+    flag = lambda fails: F.when(fails, 1).otherwise(0)
+    counters = duplicate_rows(df, {
+        "schema_failures": _failure_total(df, contract),
+        "critical_nulls": sum(flag(missing(df, c)) for c in S.CRITICAL_COLUMNS),
+        "ship_date_violations": flag(_ship_violation(df)),
+        "range_violations": sum(flag(v) for v in _range_counters(df).values()),
+        "total_rows": F.lit(1),
+    })
+    failures = F.col("schema_failures") + F.lit(len(absent_columns(df)))
     orders = df.agg(F.count_distinct(_q(S.ORDER_ID))).scalar()
     return counters.select(
-        (F.col("schema_failures") == 0).alias("schema_valid"),
-        "schema_failures", "critical_nulls",
-        duplicates.alias("duplicate_rows"),
+        (failures == 0).alias("schema_valid"),
+        failures.cast("long").alias("schema_failures"), "critical_nulls",
+        "duplicate_rows",
         "ship_date_violations", "range_violations",
         orders.alias("unique_orders"),
         "total_rows",

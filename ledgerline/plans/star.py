@@ -224,9 +224,11 @@ def _load_source(spark: SparkSession, base: str) -> StagedSource:
                         TableStats.from_dict(json.loads(latest.stats_json)))
 
 
-def source_for_tables(spark: SparkSession, sf_dir: str) -> StagedSource:
+def source_for_tables(spark: SparkSession, sf_dir: str, stage: bool = True) -> StagedSource | None:
     """The source staged from the test tables in ``sf_dir``: staged once, then reused, as the star is.
 
+    Where none is staged yet, ``stage`` says whether to do it now (else None).
+
     Checks of the source read no dimension and no fact, so they do not wait for them to be built.
     """
     from ..sources.tables import read_tables_source
@@ -238,6 +240,8 @@ def source_for_tables(spark: SparkSession, sf_dir: str) -> StagedSource:
             return StagedSource(star.root, star.source, star.stats.get("source", TableStats(0, text_measured=False)))
         if key not in _SOURCES:
             found = _published(_load_source, spark, base) if base is not None else None
+            if found is None and not stage:
+                return None
             if found is None:
                 src, root = read_tables_source(spark, sf_dir), join_path(warehouse_dir(spark), "runs", new_run_id())
                 with shuffle_partitions(spark, shuffle_partitions_for(spark, input_bytes(src))):

@@ -120,6 +120,25 @@ def test_checks_of_the_source_build_no_dimension(spark, workdir):
         forget_stars()
 
 
+def test_quality_report_waits_for_no_staged_source(spark, workdir):
+    """The lines were sorted and written in all their columns before the report read a part of them."""
+    from ledgerline.config import WAREHOUSE_CONF
+    from ledgerline.plans.star import forget_stars, source_for_tables
+    before = spark.conf.get(WAREHOUSE_CONF, None)
+    spark.conf.set(WAREHOUSE_CONF, os.path.join(workdir, "unstaged"))
+    forget_stars()
+    try:
+        plain = QUERIES["quality_report"](spark, SF).collect()
+        assert not os.path.exists(os.path.join(workdir, "unstaged", "runs"))
+        assert source_for_tables(spark, SF, stage=False) is None
+        root = source_for_tables(spark, SF).root
+        assert QUERIES["quality_report"](spark, SF).collect() == plain           # of the staged source
+        assert source_for_tables(spark, SF, stage=False).root == root
+    finally:
+        spark.conf.unset(WAREHOUSE_CONF) if before is None else spark.conf.set(WAREHOUSE_CONF, before)
+        forget_stars()
+
+
 def test_duplicate_keys_are_dealt_before_they_are_hashed(spark):
     """Hashed on both sides of the shuffle, keys that hardly repeat filled a task's memory twice."""
     from ledgerline.operators import duplicate_count
