@@ -16,7 +16,8 @@ the number of allowed differences, a partner must be met in one of the segments.
 takes the values that cost least: signatures that no other set has cost nothing, so most sets
 are done before any pair is looked at, and the longest lists are left out where they can be.
 
-Signatures go to their lists in one shuffle; those that are alone drop out while it is read.
+Most signatures are alone. So they are first dealt as bare 32-bit numbers, to find those that repeat; a bounded
+bitmap of these tells which go to their lists with their sets, and what is alone there drops out while it is read.
 Lists give no pairs of all members. Lists that have much in common are one family; the sets of
 a family of up to ``FAMILY`` are compared in one place. In larger ones each set meets the leader
 of the lists that it shares most, then one member of each class meets the list's leader, and only
@@ -51,6 +52,8 @@ BLOCK, BLOCK_ELEMENTS = 512, 1 << 19
 FAMILY = 2048
 #: Sets whose signatures a task remembers, so that copies it meets again give none.
 SEEN = 1 << 20
+#: Signatures that are packed at a time, and the first bits that make their parts, at least.
+PACKED, PART_BITS = 1 << 20, 12
 
 _SPACE = b" \t\n\x0b\x0c\r"
 #: Flags of a signature: looked for in the band below, a one-deletion subset, in a segment with deletions.
@@ -172,22 +175,83 @@ def signatures(elements: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
-def _signed(docs: DataFrame) -> DataFrame:
-    """``sig, node, info`` of all sets: info is slack << 35 | segment << 3 | flags."""
+def _all_signatures(batches):
+    """Set ids and ``signatures`` of the sets of one slice of texts after the other; a task gives no set twice (of ``SEEN``)."""
+    seen = set()
+    for b in slices(batches):
+        elements, sizes = sets_of(b.column(0))
+        ids = set_ids(elements, sizes)
+        fresh = np.zeros(len(ids), bool)
+        fresh[np.unique(ids, return_index=True)[1]] = True
+        fresh &= np.array([i not in seen for i in ids.tolist()], bool)
+        if len(seen) < SEEN:
+            seen.update(ids.tolist())
+        elements, sizes, ids = elements[np.repeat(fresh, sizes)], sizes[fresh], ids[fresh]
+        yield ids, *signatures(elements, sizes)
+
+
+def _repeated(docs: DataFrame) -> DataFrame:
+    """``hash``: the first bits of every signature that is given more than once (by copies in different tasks too).
+
+    Signatures travel without their sets, 32 bits each, in arrays by their first bits (their part).
+    """
+    src = docs.select(text_of().alias("text"))
+    parts = int(src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = max(PART_BITS, min(24, (4 * parts).bit_length()))
+
+    def packed(held):
+        sig = np.concatenate(held)
+        sig.sort()
+        part = (sig >> np.uint64(64 - bits)).astype(np.int64)
+        start = np.flatnonzero(np.diff(part, prepend=-1))
+        rest = (sig >> np.uint64(32 - bits)).astype(np.uint32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(part[start]), pa.array([r.tobytes() for r in np.split(rest, start[1:])], pa.binary())], ["part", "sigs"])
+
+    def dealt(batches):
+        held, n = [], 0
+        for _, sig, *_ in _all_signatures(batches):
+            if len(sig):
+                held.append(sig)
+                n += len(sig)
+            if n >= PACKED:
+                yield packed(held)
+                held, n = [], 0
+        if held:
+            yield packed(held)
+
+    def repeated(part, held):
+        rest = np.concatenate(held)
+        rest.sort()
+        rest = np.unique(rest[1:][rest[1:] == rest[:-1]]).astype(np.uint64)
+        whole = np.uint64(part) << np.uint64(64 - bits) | rest << np.uint64(32 - bits)
+        return pa.RecordBatch.from_arrays([pa.array(whole.view(np.int64))], ["hash"])
+
+    def met(batches):
+        part, held = None, []
+        for b in batches:
+            for p, sigs in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if p != part:
+                    if held:
+                        yield repeated(part, held)
+                    part, held = p, []
+                held.append(np.frombuffer(sigs, np.uint32))
+        if held:
+            yield repeated(part, held)
+
+    return (src.mapInArrow(dealt, "part long, sigs binary").repartition("part").sortWithinPartitions("part")
+            .mapInArrow(met, "hash long"))
+
+
+def _signed(docs: DataFrame, keep: Bitmap) -> DataFrame:
+    """``sig, node, info`` of the signatures that pass ``keep``: info is slack << 35 | segment << 3 | flags."""
     src = docs.select(text_of().alias("text"))
 
     def run(batches):
-        seen = set()
-        for b in slices(batches):
-            elements, sizes = sets_of(b.column(0))
-            ids = set_ids(elements, sizes)
-            fresh = np.zeros(len(ids), bool)
-            fresh[np.unique(ids, return_index=True)[1]] = True
-            fresh &= np.array([i not in seen for i in ids.tolist()], bool)
-            if len(seen) < SEEN:
-                seen.update(ids.tolist())
-            elements, sizes, ids = elements[np.repeat(fresh, sizes)], sizes[fresh], ids[fresh]
-            sig, who, at, slack = signatures(elements, sizes)
+        passes = keep.test()
+        for ids, sig, who, at, slack in _all_signatures(batches):
+            few = passes(sig)
+            sig, who, at, slack = sig[few], who[few], at[few], slack[few]
             for k in range(0, len(sig), 1 << 17):
                 part = slice(k, k + (1 << 17))
                 yield pa.RecordBatch.from_arrays([pa.array(sig[part].view(np.int64)), pa.array(ids[who[part]]), pa.array(slack[part] << 35 | at[part])],
@@ -230,12 +294,11 @@ def _met(signed: DataFrame) -> DataFrame:
 
 def lists(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``sig, node, looks, held``: lists where sets that look there may meet partners that are held there."""
-    met = settled(spark, _met(_signed(docs)))
+    met = settled(spark, _met(_signed(docs, Bitmap(spark, _repeated(docs)))))
     flag = lambda bit: F.col("info").bitwiseAND(F.lit(bit)) != 0
     met = met.join(met.groupBy("sig").agg((F.count("*") - 1).alias("cost")), "sig").select(
         "sig", "node", "cost", flag(_BELOW).alias("below"), flag(_DELETED).alias("deleted"), flag(_SPARE).alias("spare"),
         F.shiftright(F.col("info").bitwiseAND(F.lit((1 << 35) - 1)), 3).alias("segment"), F.shiftright("info", 35).alias("slack"))
-    met = settled(spark, met)
     # the units of value that cost something: equal subsets, and on top of them the deletions
     segments = met.groupBy("node", "below", "segment").agg(
         F.sum(F.when(F.col("deleted"), 0).otherwise(F.col("cost"))).alias("equal"), F.sum("cost").alias("both"),

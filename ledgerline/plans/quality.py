@@ -211,7 +211,7 @@ def quality_report(df: DataFrame, contract: Contract = Contract()) -> DataFrame:
     """The seven-field quality report plus the failure-case count and the run status.
 
     The counters and the duplicate count are one pass, which shuffles the four
-    key columns and four small numbers a row; the distinct orders (partially
+    key columns and five small numbers a row; the distinct orders (partially
     aggregated order ids) are an uncorrelated scalar subquery, which Spark runs
     concurrently and uses as a value.
     """

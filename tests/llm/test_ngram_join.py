@@ -90,6 +90,22 @@ def test_chain_of_near_copies_and_a_shared_beginning(spark, make_docs, monkeypat
     assert run(spark, make_docs(rows)) == brute(rows)
 
 
+def test_signatures_that_are_alone_do_not_travel(spark, make_docs, monkeypatch):
+    """Every signature went to its list with its set, though most lists have one member."""
+    from ledgerline.llm.bitmap import Bitmap
+    monkeypatch.setattr(N, "PACKED", 64)
+    docs = make_docs(corpus(2))
+    elements, sizes = N.sets_of(pa.array([t for _, t in corpus(2)]))
+    ids = N.set_ids(elements, sizes)
+    sig, who, *_ = N.signatures(elements, sizes)
+    pairs = set(zip(sig.tolist(), ids[who].tolist()))
+    lists = Counter(s for s, _ in pairs)
+    want = {(s, i) for s, i in pairs if lists[s] > 1}
+    signed = {(r.sig % 2 ** 64, r.node) for r in N._signed(docs, Bitmap(spark, N._repeated(docs))).collect()}
+    assert want <= signed <= pairs and len(signed) < len(pairs) / 2 + len(want)
+    assert {(r.sig % 2 ** 64, r.node) for r in N._met(N._signed(docs, Bitmap(spark, N._repeated(docs)))).collect()} == want
+
+
 def test_odd_rows(spark, odd, clashing, none):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     want = brute(rows)
