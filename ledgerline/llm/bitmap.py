@@ -15,11 +15,11 @@ BITS, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 29
 
 
 class Bitmap:
-    def __init__(self, spark: SparkSession, hashes: DataFrame):
-        """``hashes`` has one column of longs that are spread evenly."""
+    def __init__(self, spark: SparkSession, hashes: DataFrame, each: int = BITS):
+        """``hashes`` has one column of longs that are spread evenly; ``each`` has so many bits, if there is room."""
         hashes = settled(spark, hashes.toDF("hash"))
         size = LEAST_BITS
-        while size < min(MOST_BITS, BITS * hashes.count()):
+        while size < min(MOST_BITS, each * hashes.count()):
             size *= 2
         self.shift = 64 - (size.bit_length() - 1)
         place = F.shiftrightunsigned("hash", self.shift) + 1

@@ -106,6 +106,77 @@ def test_signatures_that_are_alone_do_not_travel(spark, make_docs, monkeypatch):
     assert {(r.sig % 2 ** 64, r.node) for r in N._met(N._signed(docs, Bitmap(spark, N._repeated(docs)))).collect()} == want
 
 
+def test_only_lists_that_may_show_a_partner_travel(spark, make_docs, monkeypatch):
+    """Copies in other tasks gave every signature again, and lists where nobody is held, or only deletions meet, went on to the allocation."""
+    from ledgerline.llm.bitmap import Bitmap
+    monkeypatch.setattr(N, "PACKED", 64)
+    monkeypatch.setattr(N, "SEEN", 0)
+    texts = [t for _, t in corpus(2)]
+    docs = make_docs(list(enumerate(texts * 4))).repartition(7)
+    elements, sizes = N.sets_of(pa.array(texts))
+    ids = N.set_ids(elements, sizes)
+    sig, who, at, _ = N.signatures(elements, sizes)
+    lists = defaultdict(dict)
+    for s, i, a in zip(sig.tolist(), ids[who].tolist(), at.tolist()):
+        lists[s][i] = a
+    met = {s: m for s, m in lists.items() if len(m) > 1}
+    want = {s: m for s, m in met.items()
+            if any(not x & 1 and not (x & 2 and y & 2) for i, x in m.items() for j, y in m.items() if i != j)}
+    assert want and len(want) < len(met)
+    once = N._speakers(spark, N._nodes(docs))
+    repeated = N._repeated(docs, once, True)
+    signed = N._signed(docs, Bitmap(spark, repeated, N.LIST_BITS), once)
+    assert signed.count() < 2 * sum(map(len, want.values()))
+    got = {(r.sig % 2 ** 64, r.node, r.cost) for r in N._met(signed, True).collect()}
+    assert got == {(s, i, len(m) - 1) for s, m in want.items() for i in m}
+    rows = N.lists(spark, docs, once).collect()
+    sides = defaultdict(list)
+    for r in rows:
+        sides[r.sig].append(r)
+    assert rows and all(any(a.looks and b.held for a in m for b in m if a.node != b.node) for m in sides.values())
+    assert len(rows) == len({(r.sig, r.node) for r in rows})
+
+
+@pytest.mark.parametrize("counted", [1 << 20, 3])
+def test_lists_and_sets_go_on_from_batch_to_batch(spark, make_docs, monkeypatch, counted):
+    monkeypatch.setattr(N, "COUNTED", counted)
+    rnd = random.Random(5)
+    base, rows = [f"b{i}" for i in range(90)], corpus(4)[:40]
+    rows = [t for _, t in rows] + [" ".join(edited(rnd, base, 2)) for _ in range(25)] + [" ".join(base)] * 3
+    rows = list(enumerate(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        assert run(spark, make_docs(rows)) == brute(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_the_dearest_units_are_left_out():
+    rnd = random.Random(7)
+    for _ in range(30):
+        rows = [(node, slack << 35 | seg << 3 | (4 if seg < 2 else 0) | deleted | below, rnd.randrange(1, 4))
+                for node in range(5) for below in (0, 1) for slack in [rnd.randrange(6)] for seg in range(4)
+                for deleted in ([0, 2, 2] if seg < 2 else [0]) if rnd.random() < 0.7]
+        if not rows:
+            continue
+        rnd.shuffle(rows)
+        units = defaultdict(list)
+        for node, below in {(n, i & 1) for n, i, _ in rows}:
+            mine = [(i, c) for n, i, c in rows if n == node and i & 1 == below]
+            for seg in {(i & 0xFFFF) >> 3 for i, _ in mine}:
+                here = [(i, c) for i, c in mine if (i & 0xFFFF) >> 3 == seg]
+                equal = sum(c for i, c in here if not i & 2)
+                if equal:
+                    units[node, below].append((-equal, 1, seg))
+                if any(i & 4 for i, _ in here):
+                    units[node, below].append((-sum(c for _, c in here), 0, seg))
+        want = []
+        for n, i, _ in rows:
+            chosen = sorted(units[n, i & 1])[i >> 35:]
+            want.append(any(seg == (i & 0xFFFF) >> 3 and whole == (not i & 2) for _, whole, seg in chosen))
+        assert N.allocated(*np.array(rows, np.int64).T).tolist() == want
+
+
 def test_odd_rows(spark, odd, clashing, none):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     want = brute(rows)
