@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -105,3 +106,84 @@ def test_chunks_own_every_word_once_and_overlap():
             for o, c in mine:
                 at += o
                 assert c[o:] == words[at:at + C.OVERLAP]
+
+
+class _Mapped:
+    """Stands for a table of chunks; keeps what a task runs."""
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+    def __getattr__(self, name):
+        return lambda *args: self
+
+    def rows(self, batch, size):
+        parts = (batch.slice(i, size) for i in range(0, batch.num_rows, size))
+        return [r for b in self.run(parts) for r in b.to_pylist()]
+
+
+class _All:
+    def test(self):
+        return lambda hashes: hashes == hashes
+
+
+def _grams(texts, freqs, lengths):
+    want = Counter()
+    for text, f in zip(texts, freqs):
+        for piece in text.split("\n"):
+            words = piece.split(" ")
+            for m in lengths:
+                for i in range(len(words) - m + 1):
+                    want[" ".join(words[i:i + m])] += f
+    return want
+
+
+@pytest.mark.parametrize("held,piece", [(1 << 20, 1 << 16), (200, 7), (1, 1)])
+def test_a_task_sums_up_its_slices(spark, monkeypatch, held, piece):
+    monkeypatch.setattr(C, "HELD", held)
+    monkeypatch.setattr(C, "PIECE", piece)
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice(["a", "b", "é", "x-y", "b1"]) + rnd.choice(["", "", "\nc"]) for _ in range(6)) for _ in range(300)]
+    freqs = [rnd.randint(1, 10 ** 15) for _ in texts]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["en"] * 300), pa.array([50] * 300, pa.int32()), pa.array(texts), pa.array(freqs, pa.int64())],
+        ["lang", "own", "chunk", "freq"])
+    for n in (1, 2, 3):
+        chunks = _Mapped()
+        C._counted(chunks, n, [_All()] * (n - 1))
+        got = chunks.rows(batch, 20)
+        want, total = _grams(texts, freqs, (n,)), Counter()
+        for r in got:
+            total[r["hash"]] += r["n"]
+        assert sorted(total.values()) == sorted(want.values())
+        assert held < 1 << 20 or len(got) == len(want)          # not a row of each slice
+    chunks = _Mapped()
+    C._spelled(chunks, [_All()] * 3)
+    got, total = chunks.rows(batch, 20), Counter()
+    for r in got:
+        assert r["lang"] == "en"
+        total[r["phrase"]] += r["n"]
+    want = _grams(texts, freqs, (1, 2, 3, 4))
+    assert total == want
+    assert held < 1 << 20 or len(got) == len(want)
+
+
+def test_words_are_counted_by_hash_and_spelled_only_if_frequent(spark, make_docs):
+    rows = [("en", "often here")] * 30 + [("en", f"rare{i}") for i in range(50)] + [(None, "x y")]
+    docs = docs_of(spark, rows)
+    counts, totals = C.phrase_counts(spark, docs)
+    assert {tuple(r) for r in counts.collect()} == {("en", "often", 1, 30), ("en", "here", 1, 30), ("en", "often here", 2, 30)}
+    assert {tuple(r) for r in totals.collect()} == {("en", 110), ("und", 2)}
+
+
+def test_word_hash_is_the_same_wherever_a_word_stands(monkeypatch):
+    from ledgerline.llm import tokens as T
+    words = ["a", "bc", "é漢", "x" * 50, "q" * 7, "\0", "\0\0"] * 3
+    data = np.frombuffer((" " + "  ".join(words)).encode(), np.uint8)
+    want = T.Words(data, b" ").hash
+    assert len(set(want.tolist())) == 7 and (want[:7] == want[7:14]).all()
+    assert (want[:7] == np.concatenate([T.Words(np.frombuffer(w.encode(), np.uint8), b" ").hash for w in words[:7]])).all()
+    for block in (1, 8, 64):
+        monkeypatch.setattr(T, "BLOCK", block)
+        assert (T.Words(data, b" ").hash == want).all()
