@@ -11,8 +11,10 @@ import contextlib
 import tempfile
 import threading
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 WAREHOUSE_CONF = "ledgerline.warehouse.dir"
 BROADCAST_ROWS_CONF = "ledgerline.broadcast.maxRows"
@@ -23,6 +25,9 @@ BYTES_PER_PARTITION_CONF = "ledgerline.shuffle.bytesPerPartition"
 DEFAULT_BYTES_PER_PARTITION = 16 * 1024 * 1024     # of columnar input; in a sort or a hash table it is some ten times as much
 MAX_PARTITIONS_CONF = "ledgerline.shuffle.maxPartitions"
 DEFAULT_MAX_PARTITIONS = 20_000
+BYTES_PER_SLICE_CONF = "ledgerline.slice.bytes"
+DEFAULT_BYTES_PER_SLICE = 512 * 1024 * 1024        # of columnar input; its shuffles hold some ten times as much at once
+SHUFFLE_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(master: str | None = None, app_name: str = "ledgerline",
@@ -160,6 +165,51 @@ def shuffle_partitions(spark: SparkSession, n: int):
             spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
+_CLEANUP = threading.Lock()
+_CLEANING: list[tuple[str, str]] = []      # blocks that run now: application and the setting before it
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Run a block whose jobs each remove their shuffle files when they end; the last block to end restores the setting.
+
+    Otherwise the files stay until the driver happens to collect its garbage, and the steps of a build add up on disk.
+    """
+    app = spark.sparkContext.applicationId
+    with _CLEANUP:
+        block = (app, next((before for a, before in _CLEANING if a == app), spark.conf.get(SHUFFLE_CLEANUP_CONF, "false")))
+        _CLEANING.append(block)
+        spark.conf.set(SHUFFLE_CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        with _CLEANUP:
+            _CLEANING.remove(block)
+            if all(a != app for a, _ in _CLEANING):
+                spark.conf.set(SHUFFLE_CLEANUP_CONF, block[1])
+
+
+def slices_for(spark: SparkSession, size: int) -> int:
+    """Slices in which a step over ``size`` bytes of input runs, one after the other, so that its shuffles fit a bounded disk."""
+    return max(1, -(-size // max(1, _conf_int(spark, BYTES_PER_SLICE_CONF, DEFAULT_BYTES_PER_SLICE))))
+
+
+def ranges(df: DataFrame, column: str, n: int) -> list[Callable[[Column], Column]]:
+    """At most ``n`` tests of a value, each true for one range of ``column``; in ascending order, NULL in the first.
+
+    The bounds are approximate quantiles: slices of about equal size, or fewer where many rows share a value.
+    """
+    cuts = [] if n < 2 else df.agg(F.percentile_approx(F.col(f"`{column}`"), [i / n for i in range(1, n)], 10_000)).first()[0]
+    cuts = sorted(set(cuts or []))
+
+    def test(low, high) -> Callable[[Column], Column]:
+        if low is None:
+            return (lambda c: F.lit(True)) if high is None else lambda c: c.isNull() | (c <= F.lit(high))
+        return (lambda c: c > F.lit(low)) if high is None else lambda c: (c > F.lit(low)) & (c <= F.lit(high))
+
+    return [test(low, high) for low, high in zip([None, *cuts], [*cuts, None])]
+
+
 def whole_partitions(df: DataFrame) -> int:
     """Partitions for sorting ``df``, or hashing rows of it that hardly repeat: as its input files need, one a core at least.
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..config import (broadcast_limit, input_bytes, join_path, new_run_id, shuffle_partitions, shuffle_partitions_for,
-                      warehouse_dir)
+                      shuffles_removed, warehouse_dir)
 from ..operators.lookup import BroadcastLimit, TableStats, stats_from_metrics, stats_metrics
 from ..sources.ordinal import with_row_number
 from .dims import build_dimension
@@ -77,13 +77,28 @@ def write_observed(df: DataFrame, path: str, name: str, mode: str = "overwrite",
     tables that are never broadcast (source, fact) only count rows.
     """
     obs = Observation(f"{name}-{new_run_id()}")   # unique: concurrent builds may share a session
-    df.observe(obs, *stats_metrics(df, text_bytes)).write.mode(mode).parquet(path)
+    df.observe(obs, *stats_metrics(df, text_bytes)).write.mode(mode).option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path), stats_from_metrics(obs.get, text_bytes)
 
 
 def stage_source(src: DataFrame, root: str) -> tuple[DataFrame, TableStats]:
     """Extract step: the typed source, its rows numbered in file order, as a columnar table."""
-    return write_observed(with_row_number(src), join_path(root, "source"), "source", text_bytes=False)
+    return stage_slices([src], root)
+
+
+def stage_slices(slices: list[DataFrame], root: str) -> tuple[DataFrame, TableStats]:
+    """``stage_source`` of a source that comes in slices: written one after the other, their shuffles removed in between."""
+    return write_slices([with_row_number(src) for src in slices], join_path(root, "source"), "source")
+
+
+def write_slices(slices: list[DataFrame], path: str, name: str) -> tuple[DataFrame, TableStats]:
+    """``write_observed`` of a table (row counts only) that comes in slices."""
+    rows = 0
+    with shuffles_removed(slices[0].sparkSession):
+        for i, df in enumerate(slices):
+            table, stats = write_observed(df, path, name, "append" if i else "overwrite", text_bytes=False)
+            rows += stats.rows
+    return table, TableStats(rows, text_measured=False)
 
 
 def laid_out(number, fact: DataFrame) -> DataFrame:
@@ -231,7 +246,7 @@ def source_for_tables(spark: SparkSession, sf_dir: str, stage: bool = True) -> S
 
     Checks of the source read no dimension and no fact, so they do not wait for them to be built.
     """
-    from ..sources.tables import read_tables_source
+    from ..sources.tables import read_tables_slices
 
     with _STARS_LOCK:
         key, base = _tables_key(spark, sf_dir)
@@ -243,9 +258,9 @@ def source_for_tables(spark: SparkSession, sf_dir: str, stage: bool = True) -> S
             if found is None and not stage:
                 return None
             if found is None:
-                src, root = read_tables_source(spark, sf_dir), join_path(warehouse_dir(spark), "runs", new_run_id())
-                with shuffle_partitions(spark, shuffle_partitions_for(spark, input_bytes(src))):
-                    found = StagedSource(root, *stage_source(src, root))
+                slices, root = read_tables_slices(spark, sf_dir), join_path(warehouse_dir(spark), "runs", new_run_id())
+                with shuffle_partitions(spark, shuffle_partitions_for(spark, -(-input_bytes(slices[0]) // len(slices)))):
+                    found = StagedSource(root, *stage_slices(slices, root))
                 if base is not None:
                     row = [(root, int(time.time() * 1000), json.dumps(found.stats.to_dict()))]
                     (spark.createDataFrame(row, "root string, published_ms long, stats_json string").coalesce(1)

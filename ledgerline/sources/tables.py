@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..config import broadcast_limit, whole_partitions
+from ..config import broadcast_limit, input_bytes, ranges, slices_for, whole_partitions
 from ..operators.lookup import stats_from_metrics, stats_metrics
 
 # Fixed values of the adapter mapping.
@@ -68,10 +68,20 @@ def _sides(spark: SparkSession, **sides: DataFrame) -> dict[str, DataFrame]:
 
 def read_tables_source(spark: SparkSession, sf_dir: str, ordinal: bool = True) -> DataFrame:
     """One row per line item, in the order-line source shape, plus the ordinal (if ``ordinal``)."""
+    return _read(spark, sf_dir, ordinal, 1)[0]
+
+
+def read_tables_slices(spark: SparkSession, sf_dir: str, ordinal: bool = True) -> list[DataFrame]:
+    """The rows of ``read_tables_source``, in as many ranges of the order key as their input needs (one if it is small).
+
+    Who writes the slices one after the other needs the disk of one slice's shuffles. The order key leads the record, so
+    the ordinals grow from slice to slice: they are those of one table.
+    """
+    return _read(spark, sf_dir, ordinal, slices_for(spark, sum(input_bytes(_table(spark, sf_dir, t)) for t in ("lineitem", "orders"))))
+
+
+def _read(spark: SparkSession, sf_dir: str, ordinal: bool, slices: int) -> list[DataFrame]:
     lines = _table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
-    if ordinal:     # range-partitioned and sorted, so the generated ids grow with the record (equal records are interchangeable)
-        lines = (lines.repartitionByRange(whole_partitions(lines), *LINEITEM_COLUMNS).sortWithinPartitions(*LINEITEM_COLUMNS)
-                 .select("*", F.monotonically_increasing_id().alias(S.ORDINAL)))
     orders = _table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     customer = _table(spark, sf_dir, "customer").select(
@@ -83,6 +93,24 @@ def read_tables_source(spark: SparkSession, sf_dir: str, ordinal: bool = True) -
     sides = _sides(spark, customer=customer, part=part)
     customer, part = sides["customer"], sides["part"]
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
+    if slices == 1:
+        return [_joined(_numbered(lines, whole_partitions(lines)) if ordinal else lines, orders, customer, geo, part, ordinal)]
+    n, out = max(spark.sparkContext.defaultParallelism, -(-whole_partitions(lines) // slices)), []
+    for i, within in enumerate(ranges(lines, "l_orderkey", slices)):
+        some = lines.where(within(F.col("l_orderkey")))
+        some = _numbered(some, n, i * n) if ordinal else some
+        out.append(_joined(some, orders.where(within(F.col("o_orderkey"))), customer, geo, part, ordinal))
+    return out
+
+
+def _numbered(lines: DataFrame, partitions: int, first: int = 0) -> DataFrame:
+    """``lines`` range-partitioned and sorted, so the generated ids grow with the record (equal records are
+    interchangeable); ``first`` counts the partitions of the lines before them."""
+    return (lines.repartitionByRange(partitions, *LINEITEM_COLUMNS).sortWithinPartitions(*LINEITEM_COLUMNS)
+            .select("*", (F.monotonically_increasing_id() + F.lit(first << 33)).alias(S.ORDINAL)))
+
+
+def _joined(lines: DataFrame, orders: DataFrame, customer: DataFrame, geo: DataFrame, part: DataFrame, ordinal: bool) -> DataFrame:
     enriched_orders = (
         orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
         .join(geo, F.col("c_nationkey") == F.col("n_nationkey"), "left")
