@@ -58,6 +58,6 @@ def fact_rows(src: DataFrame, dims: dict[str, DataFrame], stats: dict[str, Table
     )
 
 
-def with_order_key(fact: DataFrame) -> DataFrame:
-    """Row identity of the stored fact: unique, fixed once written, only ever counted."""
-    return fact.select(F.monotonically_increasing_id().alias("order_key"), "*")
+def with_order_key(fact: DataFrame, first: int = 0) -> DataFrame:
+    """Row identity of the stored fact: unique, fixed once written, only ever counted. ``first`` counts the partitions before."""
+    return fact.select((F.monotonically_increasing_id() + F.lit(first << 33)).alias("order_key"), "*")

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..config import shuffles_removed
 from ..functions.dates import year_month_period
 from ..functions.money import margin_pct, rounded_mean, rounded_ratio
 from ..functions.text import dollars, minute_text, percent_text, thousands
@@ -533,8 +534,6 @@ def materialise(star: Star, root: str | None = None) -> dict[str, str]:
 
     base = root or f"{star.root}/marts"
     parts = shared_partials(star)
-    parts.write.mode("overwrite").partitionBy("part").parquet(f"{base}/_partials")
-    star = replace(star, partials=star.fact.sparkSession.read.schema(parts.schema).parquet(f"{base}/_partials"))
 
     def write(item: tuple[str, DataFrame]) -> tuple[str, str]:
         name, df = item
@@ -542,5 +541,8 @@ def materialise(star: Star, root: str | None = None) -> dict[str, str]:
         df.write.mode("overwrite").parquet(path)   # AQE coalesces the few aggregated rows
         return name, path
 
-    with ThreadPoolExecutor(max_workers=len(MARTS)) as pool:
-        return dict(pool.map(write, all_marts(star).items()))
+    with shuffles_removed(star.fact.sparkSession):
+        parts.write.mode("overwrite").partitionBy("part").parquet(f"{base}/_partials")
+        star = replace(star, partials=star.fact.sparkSession.read.schema(parts.schema).parquet(f"{base}/_partials"))
+        with ThreadPoolExecutor(max_workers=len(MARTS)) as pool:
+            return dict(pool.map(write, all_marts(star).items()))

@@ -16,6 +16,7 @@ broadcast bounds without scanning.
 from __future__ import annotations
 
 import contextlib
+import functools
 import hashlib
 import json
 import os
@@ -29,8 +30,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..config import (broadcast_limit, input_bytes, join_path, new_run_id, shuffle_partitions, shuffle_partitions_for,
-                      shuffles_removed, warehouse_dir)
+from ..config import (broadcast_limit, input_bytes, join_path, new_run_id, ranges, shuffle_partitions, shuffle_partitions_for,
+                      shuffles_removed, slices_for, warehouse_dir)
 from ..operators.lookup import BroadcastLimit, TableStats, stats_from_metrics, stats_metrics
 from ..sources.ordinal import with_row_number
 from .dims import build_dimension
@@ -110,6 +111,18 @@ def laid_out(number, fact: DataFrame) -> DataFrame:
     return number(fact.repartitionByRange("order_date_key", "order_id").sortWithinPartitions("order_date_key"))
 
 
+def fact_slices(src: DataFrame, dims: dict[str, DataFrame], stats: dict[str, TableStats], limit: BroadcastLimit) -> list[DataFrame]:
+    """The fact in its stored layout, in as many ranges of the order date as the source needs (one if it is small).
+
+    A slice's files hold its dates alone, as those of the whole would; its row identities follow those of the slice before.
+    """
+    spark = src.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))        # of a slice at most: AQE only merges them
+    return [laid_out(functools.partial(with_order_key, first=i * partitions),
+                     fact_rows(src.where(within(F.col(f"`{S.ORDER_DATE}`"))), dims, stats, limit))
+            for i, within in enumerate(ranges(src, S.ORDER_DATE, slices_for(spark, input_bytes(src))))]
+
+
 def build_star(spark: SparkSession, src: DataFrame, root: str | None = None,
                num_partitions: int | None = None, stage: bool = True) -> Star:
     """Run extract, dimensions and fact; return handles to the written tables."""
@@ -125,7 +138,7 @@ def build_star(spark: SparkSession, src: DataFrame, root: str | None = None,
     # Shuffles sized from the input files before the first job (run_etl does its own sizing).
     sizing = (shuffle_partitions(spark, shuffle_partitions_for(spark, input_bytes(src)))
               if stage else contextlib.nullcontext())
-    with sizing:
+    with sizing, shuffles_removed(spark):
         if stage:
             source, stats["source"] = stage_source(src, root)
         else:
@@ -135,9 +148,8 @@ def build_star(spark: SparkSession, src: DataFrame, root: str | None = None,
         with ThreadPoolExecutor(max_workers=len(DIMENSIONS)) as pool:
             for name, df, st in pool.map(one, DIMENSIONS):
                 tables[name], stats[name] = df, st
-        tables["fact_orders"], stats["fact_orders"] = write_observed(
-            laid_out(with_order_key, fact_rows(source, tables, stats, limit)), join_path(root, "fact_orders"),
-            "fact", text_bytes=False)
+        tables["fact_orders"], stats["fact_orders"] = write_slices(
+            fact_slices(source, tables, stats, limit), join_path(root, "fact_orders"), "fact")
     return Star(root=root, source=source, tables=tables, stats=stats, limit=limit)
 
 
