@@ -23,12 +23,13 @@ from pyspark.sql import types as T
 
 from . import oracle as O
 from . import schemas as S
-from .config import checkpoint_dir, input_bytes, join_path, new_run_id, shuffle_partitions, shuffle_partitions_for, warehouse_dir
+from .config import (checkpoint_dir, input_bytes, join_path, new_run_id, shuffle_partitions, shuffle_partitions_for, shuffles_removed,
+                     warehouse_dir)
 from .operators.dedup import keep_first
 from .plans import etl, marts, quality, reconcile
 from .plans.star import DIMENSIONS, Star, source_for_tables, star_for_tables
 from .sources.csv import read_orders_csv
-from .sources.tables import read_tables_source
+from .sources.tables import read_tables_slices, read_tables_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,24 +129,28 @@ def _csv_source(spark: SparkSession, sf_dir: str, line_breaks: bool = False) ->
     """The adapter's rows written as CSV files, once a session, and read by the CSV reader.
 
     The rows go from the joins straight to the files: the copy has no file order to keep, so nothing is
-    sorted or staged for it. With ``line_breaks`` every space of a product name is a line break in the files.
+    sorted or staged for it. The files are compressed, for the text is some nine times as large as the tables; each
+    is read by one task, and so holds a bounded number of rows. With ``line_breaks`` every space of a product name is a line break in the files.
     """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), line_breaks)
     with _CSV_LOCK:
         if key not in _CSV_WRITTEN:
             path = join_path(warehouse_dir(spark), "runs", f"source_csv-{new_run_id()}")       # no other session reads or writes it
-            source = read_tables_source(spark, sf_dir, ordinal=False)
+            slices = read_tables_slices(spark, sf_dir, ordinal=False)
+            source = slices[0]
             shown = {S.PRODUCT_NAME: F.replace(F.col(f"`{S.PRODUCT_NAME}`"), F.lit(" "), F.lit("\n"))} if line_breaks else {}
-            plain = source.select(*[
-                (F.date_format(F.col(f"`{f.name}`"), "M/d/yyyy") if isinstance(f.dataType, T.DateType)
-                 else shown.get(f.name, F.col(f"`{f.name}`"))).alias(f.name) for f in source.schema.fields])
-            with shuffle_partitions(spark, shuffle_partitions_for(spark, input_bytes(source))):
-                (plain.write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1")
-                 .option("escape", '"').csv(path))
+            plain = [(F.date_format(F.col(f"`{f.name}`"), "M/d/yyyy") if isinstance(f.dataType, T.DateType)
+                      else shown.get(f.name, F.col(f"`{f.name}`"))).alias(f.name) for f in source.schema.fields]
+            size = -(-input_bytes(source) // len(slices))
+            with shuffle_partitions(spark, shuffle_partitions_for(spark, size)), shuffles_removed(spark):
+                for some in slices:
+                    (some.select(*plain).write.mode("append").option("header", True).option("encoding", "ISO-8859-1")
+                     .option("escape", '"').option("compression", "gzip").option("maxRecordsPerFile", _CSV_ROWS).csv(path))
             _CSV_WRITTEN[key] = path
     return read_orders_csv(spark, _CSV_WRITTEN[key])
 
 
+_CSV_ROWS = 1_000_000
 _CSV_LOCK = threading.Lock()
 _CSV_WRITTEN: dict[tuple[str, str, bool], str] = {}
 

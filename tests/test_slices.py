@@ -173,3 +173,18 @@ def test_star_in_slices_is_the_star(spark, tables, workdir):
     plain = marts.all_marts(want)
     for name, path in paths.items():
         assert _rows(spark.read.parquet(path)) == _rows(plain[name])
+
+
+@pytest.mark.parametrize("line_breaks", [False, True])
+def test_csv_copy_in_slices_is_the_copy(spark, tables, line_breaks):
+    """The copy's files were plain text, written by one join of all lines."""
+    want = read_tables_source(spark, tables, ordinal=False)
+    if line_breaks:
+        want = want.withColumn(S.PRODUCT_NAME, F.replace(S.PRODUCT_NAME, F.lit(" "), F.lit("\n")))
+    with sliced(spark, 1500):
+        got = registry._csv_source(spark, tables, line_breaks)
+    path = registry._CSV_WRITTEN[spark.sparkContext.applicationId, os.path.abspath(tables), line_breaks]
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len({f.split("-", 2)[2] for f in files}) > 2 and all(f.endswith(".csv.gz") for f in files)
+    columns = [F.col(f"`{c}`") for c in S.SOURCE_COLUMNS]
+    assert _rows(got.select(*columns)) == _rows(want.select(*columns))
